@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -18,7 +18,7 @@ from siltgate import retail_specs
 SPECS = retail_specs(key_type=LongType())
 AS_OF = dt.date(2001, 8, 1)
 ARRIVAL = {"customers": ["seq"], "orders": ["seq"], "payments": ["seq"]}
-# How the driver's orders spell "completed".
+# Fixed value: how the driver's orders spell "completed".
 NATIVE_COMPLETED = "F"
 
 
@@ -30,110 +30,97 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name")
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS customer_id", "c_name AS name"
     )
 
 
 def native_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the status as stored, so that a test on it reaches the scan."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.col("o_totalprice").alias("amount"),
-        F.col("o_orderstatus").alias("status"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        "o_totalprice AS amount",
+        "o_orderstatus AS status",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.col("status")
     return native_orders(spark, sf_dir).withColumn(
         "status",
-        F.when(status == "F", "completed").when(status == "O", "pending").otherwise("cancelled"),
+        F.expr(
+            "CASE status WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'cancelled' END"
+        ),
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_shipdate").cast("date").alias("payment_date"),
-        F.when(
-            (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1), F.lit("success")
-        )
-        .otherwise(F.lit("failed"))
-        .alias("payment_status"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS payment_id",
+        "l_orderkey AS order_id",
+        "CAST(l_shipdate AS DATE) AS payment_date",
+        """CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'success'
+            ELSE 'failed' END AS payment_status""",
     )
 
 
 # --- raw tables ------------------------------------------------------------------
 
 
-def _written(date: Column, key: Column) -> Column:
+def _written(date: str, key: str) -> str:
     """A date as text, in a layout that changes with the key."""
-    turn = F.pmod(key, F.lit(6))
-    return (
-        F.when(turn == 0, F.date_format(date, "dd-MM-yyyy"))
-        .when(turn == 2, F.date_format(date, "yyyy/MM/dd"))
-        .when(turn == 3, F.date_format(date, "MM/dd/yyyy"))
-        .when(turn == 4, F.lit("not_a_date"))
-        .otherwise(F.date_format(date, "yyyy-MM-dd"))
-    )
+    return f"""CASE ({key}) % 6
+        WHEN 0 THEN date_format({date}, 'dd-MM-yyyy')
+        WHEN 2 THEN date_format({date}, 'yyyy/MM/dd')
+        WHEN 3 THEN date_format({date}, 'MM/dd/yyyy')
+        WHEN 4 THEN 'not_a_date'
+        ELSE date_format({date}, 'yyyy-MM-dd') END"""
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "customer")
     nations = F.broadcast(table(spark, sf_dir, "nation"))  # the 25 nations of the benchmark
-    key, nation = F.col("c_custkey"), F.col("n_name")
-    start = F.lit(dt.date(2023, 1, 1))
-    first = source.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        key.alias("customer_id"),
-        F.when(key % 50 != 21, F.col("c_name")).alias("name"),
-        _written(F.date_add(start, (key % 700).cast("int")), key).alias("signup_date"),
-        F.when(key % 3 == 0, F.upper(nation))
-        .when(key % 3 == 1, F.concat(F.lit("  "), F.lower(nation)))
-        .otherwise(F.concat(nation, F.lit(" ")))
-        .alias("country"),
-        F.lit(0).alias("seq"),
+    signup = "date_add(DATE '2023-01-01', CAST(c_custkey % 700 AS INT))"
+    first = source.join(nations, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "c_custkey AS customer_id",
+        "CASE WHEN c_custkey % 50 != 21 THEN c_name END AS name",
+        f"{_written(signup, 'c_custkey')} AS signup_date",
+        """CASE c_custkey % 3 WHEN 0 THEN upper(n_name) WHEN 1 THEN '  ' || lower(n_name)
+            ELSE n_name || ' ' END AS country""",
+        "0 AS seq",
     )
-    again = source.filter(key % 40 == 5).select(
-        key.alias("customer_id"),
-        F.concat(F.col("c_name"), F.lit(" dup")).alias("name"),
-        _written(F.lit(dt.date(2024, 1, 1)), key).alias("signup_date"),
-        F.lit("dup").alias("country"),
-        F.lit(1).alias("seq"),
+    again = source.filter("c_custkey % 40 = 5").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name || ' dup' AS name",
+        f"{_written("DATE '2024-01-01'", 'c_custkey')} AS signup_date",
+        "'dup' AS country",
+        "1 AS seq",
     )
     return first.unionByName(again)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "orders")
-    key, price, state = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderstatus")
-    date = _written(F.col("o_orderdate").cast("date"), key).alias("order_date")
-    first = source.select(
-        key.alias("order_id"),
-        F.when(key % 97 == 0, F.col("o_custkey") + 10_000_000)
-        .otherwise(F.col("o_custkey"))
-        .alias("customer_id"),
+    date = f"{_written('CAST(o_orderdate AS DATE)', 'o_orderkey')} AS order_date"
+    first = source.selectExpr(
+        "o_orderkey AS order_id",
+        """CASE WHEN o_orderkey % 97 = 0 THEN o_custkey + 10000000
+            ELSE o_custkey END AS customer_id""",
         date,
-        F.when(key % 101 == 0, None)
-        .when(key % 103 == 0, -price)
-        .otherwise(price)
-        .alias("amount"),
-        F.when(state == "F", " Completed ")
-        .when(state == "O", "PENDING")
-        .otherwise("cancelled")
-        .alias("status"),
-        F.lit(0).alias("seq"),
+        """CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 0 THEN -o_totalprice
+            ELSE o_totalprice END AS amount""",
+        """CASE o_orderstatus WHEN 'F' THEN ' Completed ' WHEN 'O' THEN 'PENDING'
+            ELSE 'cancelled' END AS status""",
+        "0 AS seq",
     )
-    again = source.filter(key % 200 == 11).select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+    again = source.filter("o_orderkey % 200 = 11").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
         date,
-        (price + 1).alias("amount"),
-        F.lit("completed").alias("status"),
-        F.lit(1).alias("seq"),
+        "o_totalprice + 1 AS amount",
+        "'completed' AS status",
+        "1 AS seq",
     )
     return first.unionByName(again)
 
@@ -141,22 +128,22 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments with natural repeats.  ``seq`` is the tuple that orders them, not a
     number: numbering the repeats would cost a shuffle the real input never needs."""
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
-    key = order * 10 + line
-    return table(spark, sf_dir, "lineitem").select(
-        key.alias("payment_id"),
-        F.when(order % 211 == 0, order + 100_000_000).otherwise(order).alias("order_id"),
-        _written(F.col("l_shipdate").cast("date"), key).alias("payment_date"),
-        F.when((F.col("l_returnflag") == "R") & (line == 1), F.lit(" SUCCESS"))
-        .otherwise(F.lit("Failed "))
-        .alias("payment_status"),
-        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice").alias("seq"),
+    key = "l_orderkey * 10 + l_linenumber"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{key} AS payment_id",
+        """CASE WHEN l_orderkey % 211 = 0 THEN l_orderkey + 100000000
+            ELSE l_orderkey END AS order_id""",
+        f"{_written('CAST(l_shipdate AS DATE)', key)} AS payment_date",
+        """CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN ' SUCCESS'
+            ELSE 'Failed ' END AS payment_status""",
+        "struct(l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS seq",
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "customers": raw_customers(spark, sf_dir),
-        "orders": raw_orders(spark, sf_dir),
-        "payments": raw_payments(spark, sf_dir),
-    }
+RAW = {"customers": raw_customers, "orders": raw_orders, "payments": raw_payments}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str, upto: str = "payments") -> dict[str, DataFrame]:
+    """``upto`` and the tables it depends on."""
+    names = list(RAW)[: list(RAW).index(upto) + 1]
+    return {name: RAW[name](spark, sf_dir) for name in names}

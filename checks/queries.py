@@ -28,9 +28,8 @@ from siltgate.operators import (
     without_children,
 )
 from siltgate.plans import (
-    all_reports,
     clean,
-    clean_and_split,
+    clean_all,
     quarantine_reasons,
     refused_rows,
     reports,
@@ -51,16 +50,20 @@ def query(function: Query) -> Query:
     return function
 
 
-def _split(spark: SparkSession, sf_dir: str, name: str):
-    return clean_and_split(inputs.raw_tables(spark, sf_dir), SPECS, ARRIVAL, name)
+def _splits(spark: SparkSession, sf_dir: str, upto: str):
+    return clean_all(inputs.raw_tables(spark, sf_dir, upto), SPECS, ARRIVAL, upto)
 
 
-def _clean_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: _split(spark, sf_dir, name).valid for name in SPECS}
+def _valid(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _splits(spark, sf_dir, name)[name].valid
+
+
+def _orphans(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _splits(spark, sf_dir, name)[name].orphans
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return inputs.raw_tables(spark, sf_dir)[name]
+    return inputs.RAW[name](spark, sf_dir)
 
 
 # --- reports on the adapters -------------------------------------------------------
@@ -106,18 +109,33 @@ def q5_inactive_customers(spark, sf_dir):
 # --- reports on cleaned raw tables ---------------------------------------------------
 
 
-def _clean_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_reports(_clean_tables(spark, sf_dir), AS_OF)[name]
+def _clean_tables(spark: SparkSession, sf_dir: str, upto: str) -> list[DataFrame]:
+    return [split.valid for split in _splits(spark, sf_dir, upto).values()]
 
 
-for key, report in {
-    "q1_clean": "revenue_per_customer",
-    "q2_clean": "monthly_revenue",
-    "q3_clean": "unpaid_customers",
-    "q4_clean": "top_customers",
-    "q5_clean": "inactive_customers",
-}.items():
-    QUERIES[key] = partial(_clean_report, report)
+@query
+def q1_clean(spark, sf_dir):
+    return reports.revenue_per_customer(*_clean_tables(spark, sf_dir, "orders"))
+
+
+@query
+def q2_clean(spark, sf_dir):
+    return reports.monthly_revenue(_valid("orders", spark, sf_dir))
+
+
+@query
+def q3_clean(spark, sf_dir):
+    return reports.unpaid_customers(*_clean_tables(spark, sf_dir, "payments"))
+
+
+@query
+def q4_clean(spark, sf_dir):
+    return reports.top_customers(*_clean_tables(spark, sf_dir, "orders"))
+
+
+@query
+def q5_clean(spark, sf_dir):
+    return reports.inactive_customers(*_clean_tables(spark, sf_dir, "orders"), as_of=AS_OF)
 
 
 # --- scans -----------------------------------------------------------------------
@@ -160,7 +178,7 @@ def malformed_rows(spark, sf_dir):
 
 def _quarantine_csv(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sources.staging_dir(spark, f"quarantine-{name}")
-    orphans = _split(spark, sf_dir, name).orphans
+    orphans = _orphans(name, spark, sf_dir)
     sources.write_csv(orphans, path)
     return spark.read.schema(orphans.schema).csv(path, header=True)
 
@@ -216,7 +234,7 @@ def upsert_orders(spark, sf_dir):
     repeats = raw.filter("seq = 1")
     new = repeats.withColumn("order_id", F.col("order_id") + 1_000_000_000)
     return upsert(
-        raw.filter("seq = 0"), repeats.unionByName(new), "order_id", [F.desc("seq")]
+        raw.filter("seq = 0"), repeats.unionByName(new), "order_id", ["seq DESC"]
     ).drop("seq")
 
 
@@ -264,21 +282,21 @@ for name in SPECS:
 @query
 def normalise_country(spark, sf_dir):
     return inputs.raw_customers(spark, sf_dir).select(
-        "customer_id", title_case(F.col("country")).alias("country")
+        "customer_id", title_case("country").alias("country")
     )
 
 
 @query
 def normalise_order_status(spark, sf_dir):
     return inputs.raw_orders(spark, sf_dir).select(
-        "order_id", lower_trimmed(F.col("status")).alias("status")
+        "order_id", lower_trimmed("status").alias("status")
     )
 
 
 @query
 def normalise_payment_status(spark, sf_dir):
     return inputs.raw_payments(spark, sf_dir).select(
-        "payment_id", lower_trimmed(F.col("payment_status")).alias("payment_status")
+        "payment_id", lower_trimmed("payment_status").alias("payment_status")
     )
 
 
@@ -313,17 +331,13 @@ def dedup_documents(spark, sf_dir):
 # --- joins -----------------------------------------------------------------------
 
 
-def _side(name: str, side: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return getattr(_split(spark, sf_dir, name), side)
-
-
 for name in ("orders", "payments"):
-    QUERIES[f"fk_valid_{name}"] = partial(_side, name, "valid")
-    QUERIES[f"fk_orphan_{name}"] = partial(_side, name, "orphans")
+    QUERIES[f"fk_valid_{name}"] = partial(_valid, name)
+    QUERIES[f"fk_orphan_{name}"] = partial(_orphans, name)
 
 
 def _reasons(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarantine_reasons(inputs.raw_tables(spark, sf_dir), SPECS, ARRIVAL, name)
+    return quarantine_reasons(inputs.raw_tables(spark, sf_dir, name), SPECS, ARRIVAL, name)
 
 
 for name in ("orders", "payments"):
@@ -410,10 +424,6 @@ def hot_key_join(spark, sf_dir):
 # --- cleaning and reports about it -----------------------------------------------------
 
 
-def _valid(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(spark, sf_dir, name).valid
-
-
 for name in SPECS:
     QUERIES[f"clean_{name}"] = partial(_valid, name)
 
@@ -439,14 +449,14 @@ def whole_run_top_customers(spark, sf_dir):
     schema = _fresh_schema(spark)
     run_batch(spark, inputs.raw_tables(spark, sf_dir), SPECS, ARRIVAL, schema=schema)
     tables = {name: sources.read_table(spark, f"{schema}.{name}") for name in SPECS}
-    return all_reports(tables, AS_OF)["top_customers"]
+    return reports.top_customers(tables["customers"], tables["orders"])
 
 
 def _order_rules() -> dict:
     return {
         "amount_valid": not_negative("amount"),
         "date_readable": parse_date("order_date").isNotNull(),
-        "status_known": lower_trimmed(F.col("status")).isin("completed", "pending", "cancelled"),
+        "status_known": lower_trimmed("status").isin("completed", "pending", "cancelled"),
     }
 
 
@@ -499,7 +509,7 @@ def stream_clean_orders(spark, sf_dir):
     """The clean order table, built from two arrivals of files."""
     landing, target = (sources.staging_dir(spark, p) for p in ("landing", "cleaned"))
     parent = sources.written(
-        _split(spark, sf_dir, "customers").valid, sources.staging_dir(spark, "parent")
+        _valid("customers", spark, sf_dir), sources.staging_dir(spark, "parent")
     )
     for seq in (0, 1):
         _drop_files(spark, sf_dir, landing, seq)

@@ -1,6 +1,6 @@
 from siltgate.functions.dates import DATE_FORMATS, days_before, month_bucket, parse_date
 from siltgate.functions.numbers import not_negative
-from siltgate.functions.text import blank_out, lower_trimmed, title_case
+from siltgate.functions.text import blank_out, lower_trimmed, quoted, title_case
 
 __all__ = [
     "DATE_FORMATS",
@@ -10,5 +10,6 @@ __all__ = [
     "month_bucket",
     "not_negative",
     "parse_date",
+    "quoted",
     "title_case",
 ]

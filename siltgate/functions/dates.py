@@ -1,4 +1,8 @@
-"""Date columns built from Spark's own expressions."""
+"""Date columns built from Spark's own expressions.
+
+The functions of this package take a column name and give one SQL expression: a
+single call to the JVM, where a chain of Column calls is dozens.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siltgate.functions.text import quoted
+
 # The date layouts an extract may use.
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy")
 
 _FIELD = re.compile(r"yyyy|MM|dd")
 
 
-def parse_date(text: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def parse_date(column: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """DATE of the first format that reads the whole text, NULL if none does.
 
     Formats made of ``yyyy``, ``MM`` and ``dd`` never reach a date formatter: one
@@ -23,32 +29,32 @@ def parse_date(text: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Col
     A failed formatter call raises and swallows a Java exception for every row,
     which costs several times as much as the rest of the scan.
     """
-    column = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(*[_read_as(column, layout) for layout in formats])
+    tries = ", ".join(_read_as(quoted(column), layout) for layout in formats)
+    return F.expr(f"coalesce({tries})")
 
 
-def _read_as(text: Column, layout: str) -> Column:
+def _read_as(text: str, layout: str) -> str:
     fields = _FIELD.findall(layout)
     around = _FIELD.sub("", layout)
-    if sorted(fields) != ["MM", "dd", "yyyy"] or re.search(r"[A-Za-z'\[\]]", around):
-        return F.try_to_date(text, layout)
+    if sorted(fields) != ["MM", "dd", "yyyy"] or not re.fullmatch(r"[-/. :]*", around):
+        escaped = layout.replace("\\", "\\\\").replace("'", "\\'")
+        return f"try_to_date({text}, '{escaped}')"
 
-    # \A and \z rather than ^ and $: "$" would let a final line break through.
-    literal = [re.escape(part) for part in _FIELD.split(layout)]
-    shape = literal[0] + "".join(
-        rf"\d{{{len(field)}}}{tail}" for field, tail in zip(fields, literal[1:], strict=True)
+    shape = _FIELD.sub(
+        lambda field: rf"\d{{{len(field.group())}}}", layout.replace(".", "[.]")
     )
 
-    def part(field: str) -> Column:
-        return F.substring(text, layout.index(field) + 1, len(field))
+    def part(field: str) -> str:
+        return f"substring({text}, {layout.index(field) + 1}, {len(field)})"
 
-    iso = F.concat_ws("-", part("yyyy"), part("MM"), part("dd"))
-    return F.when(text.rlike(rf"\A{shape}\z"), iso.try_cast("date"))
+    iso = f"concat_ws('-', {part('yyyy')}, {part('MM')}, {part('dd')})"
+    # \A and \z rather than ^ and $: "$" would let a final line break through.
+    return rf"CASE WHEN {text} RLIKE r'\A{shape}\z' THEN try_cast({iso} AS DATE) END"
 
 
-def month_bucket(date: Column | str) -> Column:
+def month_bucket(column: str) -> Column:
     """``yyyy-MM`` of a date."""
-    return F.date_format(date, "yyyy-MM")
+    return F.expr(f"date_format({quoted(column)}, 'yyyy-MM')")
 
 
 def days_before(as_of: dt.date | Column | None, days: int) -> Column:

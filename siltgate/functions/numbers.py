@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siltgate.functions.text import quoted
 
-def not_negative(value: Column | str, finite: bool = False) -> Column:
+
+def not_negative(column: str, finite: bool = False) -> Column:
     """Present and at least zero.
 
     Spark sorts NaN above every number, so NaN and infinity pass unless ``finite``
     asks for them to be refused.
     """
-    column = F.col(value) if isinstance(value, str) else value
-    rule = column.isNotNull() & (column >= 0)
+    value = quoted(column)
+    rule = f"{value} IS NOT NULL AND {value} >= 0"
     if finite:
-        rule = rule & ~F.isnan(column) & (column != F.lit(float("inf")))
-    return rule
+        rule += f" AND NOT isnan({value}) AND {value} < double('Infinity')"
+    return F.expr(rule)

@@ -8,15 +8,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def title_case(text: Column) -> Column:
+def quoted(column: str) -> str:
+    """A column name as it has to be written in SQL text."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def title_case(column: str) -> Column:
     """First letter of every space-separated word in capitals, outer blanks gone."""
-    return F.initcap(F.trim(text))
+    return F.expr(f"initcap(trim({quoted(column)}))")
 
 
-def lower_trimmed(text: Column) -> Column:
-    return F.lower(F.trim(text))
+def lower_trimmed(column: str) -> Column:
+    return F.expr(f"lower(trim({quoted(column)}))")
 
 
-def blank_out(text: Column, tokens: Sequence[str]) -> Column:
+def blank_out(column: str, tokens: Sequence[str]) -> Column:
     """NULL where the whole cell is one of ``tokens`` (such as the word ``NULL``)."""
+    text = F.col(quoted(column))
     return F.when(~text.isin(*tokens), text) if tokens else text

@@ -4,30 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.functions import quoted
 from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
 
 
-def keep_first(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
-) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The first row of every key; rows whose key is NULL are one group.
 
-    ``order_by`` has to order the rows of a key completely, else which row is
-    "first" is left to chance.  The filter sits right on the row number, so Spark
-    keeps one row per key and task before the shuffle: a key with a third of all
-    rows sends one row per task, not the rows.
+    ``order_by`` holds SQL sort terms (``"seq"``, ``"version DESC"``) that have to
+    order the rows of a key completely, else which row is "first" is left to
+    chance.  The filter sits right on the row number, so Spark keeps one row per
+    key and task before the shuffle: a key with a third of all rows sends one row
+    per task, not the rows.
     """
     if not order_by:
         raise ValueError("keep_first needs an order; see with_arrival for files")
-    first = Window.partitionBy(*keys).orderBy(*order_by)
-    return (
-        df.withColumn("_place", F.row_number().over(first))
-        .filter(F.col("_place") == 1)
-        .drop("_place")
-    )
+    by = ", ".join(quoted(key) for key in keys)
+    place = f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(order_by)}) AS _place"
+    return df.selectExpr("*", place).filter("_place = 1").drop("_place")
 
 
 def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
@@ -52,17 +49,14 @@ def repeated_rows(
     order_by: Sequence[str],
     hot: HotRoutes | None = None,
 ) -> DataFrame:
-    """The rows ``keep_first`` leaves out.
+    """The rows ``keep_first`` leaves out; ``order_by`` are plain column names.
 
     Numbering all rows of a key would put a hot key into one task.  Instead the
     kept rows (one per key) are joined back, salted, and rows later than the kept
     one are returned.
     """
     hot = hot or hot_routes(df, keys)
-    place = F.struct(*[F.col(name) for name in order_by])
-    placed = df.withColumn("_place", place)
-    kept = keep_first(df, keys, order_by).select(*keys, place.alias("_kept"))
-    joined = salted_join(
-        placed, kept, keys, "inner", spread_by=order_by, hot=hot, null_safe=True
-    )
-    return joined.filter(F.col("_place") != F.col("_kept")).select(*df.columns)
+    place = f"struct({', '.join(quoted(c) for c in order_by)})"
+    kept = keep_first(df, keys, order_by).selectExpr(*map(quoted, keys), f"{place} AS _kept")
+    joined = salted_join(df, kept, keys, "inner", spread_by=order_by, hot=hot, null_safe=True)
+    return joined.filter(f"{place} != _kept").drop("_kept")

@@ -7,16 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.functions import quoted
+
 
 def require_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(all_present(columns))
 
 
 def all_present(columns: Sequence[str]) -> Column:
-    rule = F.lit(True)
-    for name in columns:
-        rule = rule & F.col(name).isNotNull()
-    return rule
+    return F.expr(" AND ".join(f"{quoted(name)} IS NOT NULL" for name in columns))
 
 
 def require(df: DataFrame, predicate: Column) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
+from siltgate.functions import quoted
 from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -42,7 +43,7 @@ def left_join_children(
 def _keys_of(child: DataFrame, key: str) -> DataFrame:
     # distinct() collapses a hot key inside each task; a bare semi join would send
     # every one of its rows to one task.  The join reuses the distinct's shuffle.
-    return child.select(key).filter(F.col(key).isNotNull()).distinct()
+    return child.select(key).filter(f"{quoted(key)} IS NOT NULL").distinct()
 
 
 def with_children(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
@@ -63,24 +64,21 @@ def without_children(
     rest = parent.join(_keys_of(child, key), key, "left_anti").select(*parent.columns)
     if not null_aware:
         return rest
-    facts = child.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")
-    )
+    facts = child.selectExpr("count(1) AS n", f"count_if({quoted(key)} IS NULL) AS nulls")
     return rest.filter(
         (facts.select("nulls").scalar() == 0)
         & (F.col(key).isNotNull() | (facts.select("n").scalar() == 0))
     )
 
 
-def measured_bytes(df: DataFrame) -> Column:
-    """Aggregate that adds up the width of every value of ``df``."""
-    width = F.lit(0).cast("bigint")
+def measured_bytes(df: DataFrame) -> int:
+    """The width of all values of ``df`` together; runs one job."""
+    widths = []
     for field in df.schema.fields:
-        size = F.lit(16).cast("bigint")
+        widths.append("16L")
         if not isinstance(field.dataType, (NumericType, DatetimeType, BooleanType)):
-            size = size + F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
-        width = width + size
-    return F.coalesce(F.sum(width), F.lit(0))
+            widths.append(f"coalesce(octet_length(CAST({quoted(field.name)} AS STRING)), 0)")
+    return df.selectExpr(f"coalesce(sum({' + '.join(widths)}), 0L)").first()[0]
 
 
 def join_small_parent(
@@ -96,8 +94,7 @@ def join_small_parent(
     Measuring runs one job over the parent.  A larger parent takes the salted
     shuffle join, so growth changes the plan and not the outcome.
     """
-    size = parent.agg(measured_bytes(parent).alias("bytes")).first()["bytes"]
-    if size > max_bytes:
+    if measured_bytes(parent) > max_bytes:
         return join_parent(child, parent, key, child_key, hot)
     return child.join(F.broadcast(parent), key, "inner").select(
         *child.columns, *[c for c in parent.columns if c != key]

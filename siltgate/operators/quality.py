@@ -47,13 +47,3 @@ def expect(df: DataFrame, rules: Mapping[str, Column], action: str = "warn") ->
             df = df.filter(F.when(failed, error).otherwise(F.lit(True)))
         return df
     raise ValueError(f"unknown action {action!r}")
-
-
-def unreadable(parsed: Column, original: Column) -> Column:
-    """There was text, and no format could read it."""
-    return parsed.isNull() & original.isNotNull()
-
-
-def missing(parsed: Column, original: Column) -> Column:
-    """There was nothing to read."""
-    return parsed.isNull() & original.isNull()

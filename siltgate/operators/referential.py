@@ -6,8 +6,8 @@ from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from siltgate.functions import quoted
 from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
 from siltgate.spec import TableSpec
 
@@ -19,7 +19,7 @@ class Split(NamedTuple):
 
 def _parent_keys(parent: DataFrame, spec: TableSpec) -> DataFrame:
     fk = spec.foreign_key
-    return parent.select(F.col(fk.parent_key).alias(fk.column))
+    return parent.selectExpr(f"{quoted(fk.parent_key)} AS {quoted(fk.column)}")
 
 
 def _match(
@@ -80,9 +80,10 @@ def tag_parent(
     """
     column = spec.foreign_key.column
     hot = hot or hot_routes(child, [column])
-    keys = _parent_keys(parent, spec).withColumn(flag, F.col(column).isNotNull())
+    found = f"{quoted(column)} IS NOT NULL AS {flag}"
+    keys = _parent_keys(parent, spec).selectExpr("*", found)
     tagged = salted_join(child, keys, [column], "left", spread_by=[spec.key], hot=hot)
-    return tagged.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return tagged.selectExpr(*map(quoted, child.columns), f"coalesce({flag}, false) AS {flag}")
 
 
 def with_reason(
@@ -95,9 +96,7 @@ def with_reason(
     input and cleaning refused it, ``missing_parent`` if it was never there."""
     seen = _parent_keys(raw_parent, spec).distinct()
     tagged = tag_parent(orphans, seen, spec, flag="_seen", hot=hot)
-    return tagged.select(
-        *orphans.columns,
-        F.when(F.col("_seen"), F.lit("parent_rejected"))
-        .otherwise(F.lit("missing_parent"))
-        .alias("reason"),
+    return tagged.selectExpr(
+        *map(quoted, orphans.columns),
+        "CASE WHEN _seen THEN 'parent_rejected' ELSE 'missing_parent' END AS reason",
     )

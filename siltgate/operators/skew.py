@@ -13,14 +13,17 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.functions import quoted
+
 HOT_SHARE = 0.01
 HOT_ROWS = 1_000_000
 LANE_ROWS = 1_000_000
 _SKETCH_ITEMS = 2048
 _MERGE_LANES = 256
+_NULL_LANES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -37,11 +40,9 @@ class HotRoutes:
 NO_HOT_KEYS = HotRoutes(None)
 
 
-def _route(columns: Sequence[str | Column]) -> Column:
+def _route(keys: Sequence[str]) -> str:
     # As text, so that an INT child and a BIGINT parent hash alike.
-    return F.xxhash64(
-        *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
-    )
+    return f"xxhash64({', '.join(f'CAST({quoted(k)} AS STRING)' for k in keys)})"
 
 
 def hot_routes(
@@ -60,28 +61,23 @@ def hot_routes(
     if most * 8 > _SKETCH_ITEMS:
         raise ValueError(f"share {share} is too fine for the sketch")
     sketches = (
-        df.select(
-            _route(keys).alias("route"),
-            F.pmod(F.spark_partition_id(), F.lit(_MERGE_LANES)).alias("lane"),
+        df.selectExpr(
+            f"{_route(keys)} AS route", f"pmod(spark_partition_id(), {_MERGE_LANES}) AS lane"
         )
         .groupBy("lane")
         .agg(
-            F.expr(f"approx_top_k_accumulate(route, {_SKETCH_ITEMS})").alias("sketch"),
-            F.count(F.lit(1)).alias("n"),
+            F.expr(f"approx_top_k_accumulate(route, {_SKETCH_ITEMS}) AS sketch"),
+            F.expr("count(1) AS n"),
         )
     )
     merged = sketches.agg(
-        F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS})").alias("sketch"),
-        F.sum("n").alias("n"),
+        F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS}) AS sketch"),
+        F.expr("sum(n) AS n"),
     )
     frame = (
-        merged.select("n", F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top"))
-        .select("n", F.expr("inline(top)"))
-        .filter(F.col("count") >= F.greatest(F.col("n") * F.lit(share), F.lit(float(min_rows))))
-        .select(
-            F.col("item").alias("_route"),
-            F.ceil(F.col("count") / F.lit(lane_rows)).cast("int").alias("_lanes"),
-        )
+        merged.selectExpr("n", f"inline(approx_top_k_estimate(sketch, {most}))")
+        .filter(f"count >= {min_rows} AND count >= n * {share}D")
+        .selectExpr("item AS _route", f"CAST(ceil(count / {lane_rows}) AS INT) AS _lanes")
     )
     return HotRoutes(frame)
 
@@ -106,60 +102,41 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    keys = list(on)
-    spread = F.xxhash64(*[F.col(c) for c in spread_by])
+    child_columns = [quoted(c) for c in child.columns]
+    values = [quoted(c) for c in parent.columns if c not in on]
+    spread = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
 
     if hot.frame is None:
-        left = child.withColumn("_lanes", F.lit(None).cast("int"))
-        right = parent.withColumn("_lane", _always_zero(keys))
+        left, right = child, parent
+        lanes = "1"
+        # Lane 0 of every parent row.  A literal would be folded into the join
+        # condition, and the spreading of NULL keys with it.
+        parent_lane = f"CAST(pmod({_route(on)}, 1) AS INT)"
     else:
-        left = _look_up(child, keys, hot.frame)
-        right = _look_up(parent, keys, hot.frame).withColumn(
-            "_lane",
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_lanes"), F.lit(1)) - 1)),
-        ).drop("_lanes")
+        left, right = _look_up(child, on, hot.frame), _look_up(parent, on, hot.frame)
+        lanes = "coalesce(_lanes, 1)"
+        parent_lane = f"explode(sequence(0, {lanes} - 1))"
 
-    lane = F.pmod(spread, F.coalesce(F.col("_lanes"), F.lit(1))).cast("int")
+    lane = f"CAST(pmod({spread}, {lanes}) AS INT)"
     if not null_safe:
-        missing = F.lit(False)
-        for key in keys:
-            missing = missing | F.col(key).isNull()
-        lane = F.when(missing, F.pmod(spread, F.lit(1 << 20)).cast("int")).otherwise(lane)
-    left = left.withColumn("_lane", lane).drop("_lanes")
-
-    if not null_safe:
-        return left.join(right, [*keys, "_lane"], how).select(
-            *_output(child, parent, keys, how)
-        )
-    right = right.select(
-        *[F.col(k).alias(f"_p_{k}") for k in keys],
-        F.col("_lane").alias("_p_lane"),
-        *[c for c in parent.columns if c not in keys],
+        absent = " OR ".join(f"{quoted(k)} IS NULL" for k in on)
+        lane = f"CASE WHEN {absent} THEN CAST(pmod({spread}, {_NULL_LANES}) AS INT) ELSE {lane} END"
+    left = left.selectExpr(*child_columns, f"{lane} AS _lane")
+    right = right.selectExpr(
+        *[f"{quoted(k)} AS {quoted('_p_' + k)}" for k in on], *values, f"{parent_lane} AS _p_lane"
+    )
+    equal = "<=>" if null_safe else "="
+    matched = " AND ".join(
+        ["_lane = _p_lane", *[f"{quoted(k)} {equal} {quoted('_p_' + k)}" for k in on]]
+    )
+    joined = left.join(right, F.expr(matched), how)
+    return joined.selectExpr(
+        *child_columns, *([] if how in ("left_semi", "left_anti") else values)
     )
-    matched = F.col("_lane") == F.col("_p_lane")
-    for key in keys:
-        matched = matched & F.col(key).eqNullSafe(F.col(f"_p_{key}"))
-    return left.join(right, matched, how).select(*_output(child, parent, keys, how))
 
 
 def _look_up(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """Add ``_lanes`` (NULL for ordinary keys) by a broadcast of the hot keys."""
-    return (
-        df.withColumn("_route", _route(keys))
-        .join(F.broadcast(hot), "_route", "left")
-        .drop("_route")
+    return df.selectExpr("*", f"{_route(keys)} AS _route").join(
+        F.broadcast(hot), "_route", "left"
     )
-
-
-def _always_zero(keys: Sequence[str]) -> Column:
-    # Lane 0 of every parent row.  A literal would be folded into the join
-    # condition, and the spreading of NULL keys with it.
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int")
-
-
-def _output(
-    child: DataFrame, parent: DataFrame, keys: Sequence[str], how: str
-) -> list[str]:
-    if how in ("left_semi", "left_anti"):
-        return child.columns
-    return [*child.columns, *[c for c in parent.columns if c not in keys]]

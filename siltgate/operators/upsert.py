@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.functions import quoted
 from siltgate.operators.dedup import keep_first
 from siltgate.operators.joins import BROADCAST_BYTES, measured_bytes
 
@@ -15,7 +16,7 @@ def upsert(
     base: DataFrame,
     changes: DataFrame,
     key: str,
-    latest_first: Sequence[str | Column],
+    latest_first: Sequence[str],
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``base`` with every changed key replaced and every new key added.
@@ -25,8 +26,8 @@ def upsert(
     (one job); up to ``max_bytes`` they are broadcast and the base is not shuffled.
     """
     winners = keep_first(changes, [key], latest_first).select(*base.columns)
-    keys = changes.select(key).filter(F.col(key).isNotNull()).distinct()
-    if keys.agg(measured_bytes(keys).alias("bytes")).first()["bytes"] <= max_bytes:
+    keys = changes.select(key).filter(f"{quoted(key)} IS NOT NULL").distinct()
+    if measured_bytes(keys) <= max_bytes:
         keys = F.broadcast(keys)
     untouched = base.join(keys, key, "left_anti").select(*base.columns)
     return untouched.unionByName(winners)

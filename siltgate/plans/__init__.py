@@ -1,7 +1,7 @@
 from siltgate.plans.batch import (
     BatchResult,
     all_reports,
-    clean_and_split,
+    clean_all,
     quarantine_reasons,
     run_batch,
 )
@@ -17,7 +17,7 @@ __all__ = [
     "BatchResult",
     "all_reports",
     "clean",
-    "clean_and_split",
+    "clean_all",
     "clean_tagged",
     "quarantine_reasons",
     "refused_rows",

@@ -6,8 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from siltgate.operators.referential import Split, split_by_parent, tag_parent, with_reason
 from siltgate.operators.skew import hot_routes
@@ -16,7 +15,6 @@ from siltgate.plans.cleaning import (
     REFUSED,
     clean,
     clean_tagged,
-    raw_name,
     row_counts,
     unreadable_dates,
 )
@@ -25,33 +23,40 @@ from siltgate.sources.staging import staging_dir
 from siltgate.sources.tables import create_schema, register_table
 from siltgate.spec import TableSpec
 
-# Fixed order: a table is cleaned after its parent.
-TABLES = ("customers", "orders", "payments")
+# Needs the columns ``refused`` and ``has_parent``.
+OUTCOME = f"""CASE WHEN {REFUSED} IS NOT NULL THEN 'refused'
+    WHEN has_parent THEN 'clean' ELSE 'orphan' END AS outcome"""
 
-Arrival = Mapping[str, Sequence[str | Column]]
+Arrival = Mapping[str, Sequence[str]]
 
 
 # --- lazy form -----------------------------------------------------------------
 
 
-def clean_and_split(
+def clean_all(
     raw: Mapping[str, DataFrame],
     specs: Mapping[str, TableSpec],
     arrival: Arrival,
-    table: str,
-) -> Split:
-    """Valid and orphaned rows of one table, as plans that nothing has run yet.
+    upto: str | None = None,
+) -> dict[str, Split]:
+    """Valid and orphaned rows of every table, or of those up to ``upto``, as plans
+    that nothing has run yet.  ``specs`` names a parent before its children.
 
     Children are checked against the cleaned parent, so an order of a refused
     customer is an orphan, and so is a payment of a refused or orphaned order.
     """
-    spec = specs[table]
-    kept = clean(raw[table], spec, arrival[table])
-    fk = spec.foreign_key
-    if fk is None:
-        return Split(kept, kept.filter(F.lit(False)))
-    parent = clean_and_split(raw, specs, arrival, fk.parent).valid
-    return split_by_parent(kept, parent, spec, hot_routes(raw[table], [fk.column]))
+    done: dict[str, Split] = {}
+    for name, spec in specs.items():
+        kept = clean(raw[name], spec, arrival[name])
+        if spec.foreign_key is None:
+            done[name] = Split(kept, kept.filter("false"))
+        else:
+            hot = hot_routes(raw[name], [spec.foreign_key.column])
+            parent = done[spec.foreign_key.parent].valid
+            done[name] = split_by_parent(kept, parent, spec, hot)
+        if name == upto:
+            break
+    return done
 
 
 def quarantine_reasons(
@@ -60,8 +65,9 @@ def quarantine_reasons(
     arrival: Arrival,
     table: str,
 ) -> DataFrame:
+    """Quarantined rows with the reason they have no parent."""
     spec = specs[table]
-    orphans = clean_and_split(raw, specs, arrival, table).orphans
+    orphans = clean_all(raw, specs, arrival, table)[table].orphans
     hot = hot_routes(raw[table], [spec.foreign_key.column])
     return with_reason(orphans, raw[spec.foreign_key.parent], spec, hot)
 
@@ -75,7 +81,10 @@ class BatchResult:
     quarantine: dict[str, DataFrame]
     unreadable: DataFrame
     counts: DataFrame
-    reports: dict[str, DataFrame]
+    as_of: dt.date | None
+
+    def reports(self) -> dict[str, DataFrame]:
+        return all_reports(self.tables, self.as_of)
 
 
 def run_batch(
@@ -104,62 +113,50 @@ def run_batch(
     staged: dict[str, DataFrame] = {}
     tables: dict[str, DataFrame] = {}
     quarantine: dict[str, DataFrame] = {}
-    for name in TABLES:
-        spec = specs[name]
+    for name, spec in specs.items():
         rows = clean_tagged(raw[name], spec, arrival[name])
         if spec.foreign_key:
             hot = hot_routes(raw[name], [spec.foreign_key.column])
             rows = tag_parent(rows, tables[spec.foreign_key.parent], spec, hot=hot)
         else:
-            rows = rows.withColumn("has_parent", F.lit(True))
-        rows = rows.withColumn("outcome", outcome())
+            rows = rows.selectExpr("*", "true AS has_parent")
+        rows = rows.selectExpr("*", OUTCOME)
         path = f"{out}/{name}"
         rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
 
         staged[name] = spark.read.schema(rows.schema).parquet(path)
-        tables[name] = staged[name].filter(F.col("outcome") == "clean").select(*spec.columns)
+        tables[name] = staged[name].filter("outcome = 'clean'").select(*spec.columns)
         if spec.foreign_key:
-            orphans = staged[name].filter(F.col("outcome") == "orphan").select(*spec.columns)
+            orphans = staged[name].filter("outcome = 'orphan'").select(*spec.columns)
             quarantine[name] = orphans
             if quarantine_csv:
                 write_csv(orphans, f"{out}/quarantine/{name}")
 
     if schema:
         create_schema(spark, schema)
-        for name in TABLES:
+        for name, spec in specs.items():
             register_table(
-                spark, specs[name], f"{schema}.{name}", f"{out}/{name}/outcome=clean"
+                spark, spec, f"{schema}.{name}", f"{out}/{name}/outcome=clean"
             )
 
     return BatchResult(
         tables=tables,
         quarantine=quarantine,
         unreadable=_union(
-            unreadable_dates(
-                staged[n].filter(F.col(REFUSED).isNull()).select(
-                    *specs[n].columns, *[raw_name(c) for c in specs[n].date_columns]
-                ),
-                specs[n],
-            )
-            for n in TABLES
+            unreadable_dates(staged[n].filter("outcome != 'refused'"), specs[n])
+            for n in specs
         ),
-        counts=_union(row_counts(raw[n], staged[n], specs[n]) for n in TABLES),
-        reports=all_reports(tables, as_of),
-    )
-
-
-def outcome() -> Column:
-    return (
-        F.when(F.col(REFUSED).isNotNull(), F.lit("refused"))
-        .when(F.col("has_parent"), F.lit("clean"))
-        .otherwise(F.lit("orphan"))
+        counts=_union(row_counts(raw[n], staged[n], specs[n]) for n in specs),
+        as_of=as_of,
     )
 
 
 def all_reports(
     tables: Mapping[str, DataFrame], as_of: dt.date | None = None
 ) -> dict[str, DataFrame]:
-    customers, orders, payments = (tables[name] for name in TABLES)
+    customers, orders, payments = (
+        tables[name] for name in ("customers", "orders", "payments")
+    )
     return {
         "revenue_per_customer": reports.revenue_per_customer(customers, orders),
         "monthly_revenue": reports.monthly_revenue(orders),

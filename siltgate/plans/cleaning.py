@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.functions import parse_date
+from siltgate.functions import parse_date, quoted
 from siltgate.operators.dedup import keep_first, repeated_rows
 from siltgate.operators.filters import all_present, require
-from siltgate.operators.quality import missing, unreadable
 from siltgate.operators.skew import HotRoutes, hot_routes
 from siltgate.spec import (
     KeepFirst,
@@ -29,52 +28,68 @@ def raw_name(column: str) -> str:
 
 
 def clean(
-    raw: DataFrame,
-    spec: TableSpec,
-    arrival: Sequence[str | Column],
-    keep_raw: bool = False,
+    raw: DataFrame, spec: TableSpec, arrival: Sequence[str], keep_raw: bool = False
 ) -> DataFrame:
     """Apply the steps of ``spec`` in their order.
 
     ``arrival`` orders the rows of a key (see ``with_arrival`` for files).  The
-    result has the columns of the spec, plus the original text of every date as
-    ``raw_<column>`` if ``keep_raw``.
+    result has the columns of the spec, plus, if ``keep_raw``, ``raw_<column>`` for
+    every date: the original text where no format could read it, else NULL.
     """
-    tagged = clean_tagged(raw, spec, arrival)
-    kept = tagged.filter(F.col(REFUSED).isNull())
-    extra = [raw_name(c) for c in spec.date_columns] if keep_raw else []
-    return kept.select(*spec.columns, *extra)
-
-
-def clean_tagged(raw: DataFrame, spec: TableSpec, arrival: Sequence[str | Column]) -> DataFrame:
-    """Like ``clean``, but rows refused after keep-first stay, with the name of the
-    rule in ``refused``.  Such a row has used up its key, which a later batch of the
-    same table needs to know."""
-    df = raw.withColumn(REFUSED, F.lit(None).cast("string"))
-    first_kept = False
+    extra = _unread(spec) if keep_raw else []
+    return _apply(raw, spec, arrival, mark=False).selectExpr(*_own(spec), *extra)
+
+
+def clean_tagged(raw: DataFrame, spec: TableSpec, arrival: Sequence[str]) -> DataFrame:
+    """Like ``clean`` with ``keep_raw``, but rows refused after keep-first stay, with
+    the name of the rule in ``refused``.  Such a row has used up its key, which a
+    later batch of the same table needs to know."""
+    rows = _apply(raw, spec, arrival, mark=True)
+    return rows.selectExpr(*_own(spec), *_unread(spec), REFUSED)
+
+
+def _own(spec: TableSpec) -> list[str]:
+    return [quoted(c) for c in spec.columns]
+
+
+def _unread(spec: TableSpec) -> list[str]:
+    return [
+        f"CASE WHEN {quoted(c)} IS NULL THEN {quoted(raw_name(c))} END AS {quoted(raw_name(c))}"
+        for c in spec.date_columns
+    ]
+
+
+def _apply(raw: DataFrame, spec: TableSpec, arrival: Sequence[str], mark: bool) -> DataFrame:
+    df = raw
+    first_kept = marked = False
     for step in spec.steps:
         match step:
             case RequirePresent(columns):
-                df = _refuse(df, all_present(columns), "missing_" + "_".join(columns), first_kept)
+                rule, reason = all_present(columns), "missing_" + "_".join(columns)
             case RequireRule(name, predicate):
-                df = _refuse(df, predicate(), f"invalid_{name}", first_kept)
+                rule, reason = predicate(), f"invalid_{name}"
             case KeepFirst(keys):
                 df = keep_first(df, keys, arrival)
                 first_kept = True
+                continue
             case ParseDate(column, formats):
-                df = df.withColumn(raw_name(column), F.col(column)).withColumn(
-                    column, parse_date(column, formats)
+                df = df.withColumns(
+                    {raw_name(column): F.col(column), column: parse_date(column, formats)}
                 )
+                continue
             case Normalise(column, using):
-                df = df.withColumn(column, using(F.col(column)))
-    return df.select(*spec.columns, *[raw_name(c) for c in spec.date_columns], REFUSED)
-
-
-def _refuse(df: DataFrame, rule: Column, reason: str, mark: bool) -> DataFrame:
-    if not mark:
-        return require(df, rule)
-    broken = F.col(REFUSED).isNull() & ~F.coalesce(rule, F.lit(False))
-    return df.withColumn(REFUSED, F.when(broken, F.lit(reason)).otherwise(F.col(REFUSED)))
+                df = df.withColumn(column, using(column))
+                continue
+        if not (mark and first_kept):
+            df = require(df, rule)
+        else:
+            earlier = F.col(REFUSED) if marked else F.lit(None)
+            holds = F.coalesce(rule, F.lit(False))
+            df = df.withColumn(REFUSED, F.coalesce(earlier, F.when(~holds, F.lit(reason))))
+            marked = True
+    if mark and not marked:
+        df = df.selectExpr("*", f"CAST(NULL AS STRING) AS {REFUSED}")
+    return df
 
 
 def refused_rows(
@@ -113,19 +128,13 @@ def refused_rows(
 def unreadable_dates(cleaned: DataFrame, spec: TableSpec) -> DataFrame:
     """``(table_name, row_key, column_name, original)`` of dates no format could
     read.  Takes the output of ``clean(..., keep_raw=True)``."""
-    reports = [
-        cleaned.filter(unreadable(F.col(c), F.col(raw_name(c)))).select(
-            F.lit(spec.name).alias("table_name"),
-            F.col(spec.key).alias("row_key"),
-            F.lit(c).alias("column_name"),
-            F.col(raw_name(c)).alias("original"),
-        )
+    lines = ", ".join(
+        f"named_struct('column_name', '{c}', 'original', {quoted(raw_name(c))})"
         for c in spec.date_columns
-    ]
-    report = reports[0]
-    for more in reports[1:]:
-        report = report.unionByName(more)
-    return report
+    )
+    return cleaned.selectExpr(
+        f"'{spec.name}' AS table_name", f"{quoted(spec.key)} AS row_key", f"inline(array({lines}))"
+    ).filter("original IS NOT NULL")
 
 
 def row_counts(raw: DataFrame, tagged: DataFrame, spec: TableSpec) -> DataFrame:
@@ -135,27 +144,22 @@ def row_counts(raw: DataFrame, tagged: DataFrame, spec: TableSpec) -> DataFrame:
     table has a foreign key.  ``unparsed`` and ``missing`` count dates of the rows
     that passed the rules, orphans included.
     """
-    passed = F.col(REFUSED).isNull()
-    parted = F.col("has_parent") if spec.foreign_key else F.lit(True)
+    passed = f"{REFUSED} IS NULL"
+    parted = "has_parent" if spec.foreign_key else "true"
+    dates = [(quoted(c), quoted(raw_name(c))) for c in spec.date_columns]
+    unparsed = " OR ".join(f"{raw_text} IS NOT NULL" for _, raw_text in dates)
+    missing = " OR ".join(f"({date} IS NULL AND {raw_text} IS NULL)" for date, raw_text in dates)
     stages = {
-        "kept_first": F.lit(True),
+        "kept_first": "true",
         "passed_rules": passed,
-        "orphan": passed & ~parted,
-        "clean": passed & parted,
+        "orphan": f"{passed} AND NOT {parted}",
+        "clean": f"{passed} AND {parted}",
+        "unparsed": f"{passed} AND ({unparsed or 'false'})",
+        "missing": f"{passed} AND ({missing or 'false'})",
     }
-    never = F.lit(False)
-    stages["unparsed"] = stages["missing"] = never
-    for c in spec.date_columns:
-        stages["unparsed"] = stages["unparsed"] | unreadable(F.col(c), F.col(raw_name(c)))
-        stages["missing"] = stages["missing"] | missing(F.col(c), F.col(raw_name(c)))
-    stages["unparsed"] = passed & stages["unparsed"]
-    stages["missing"] = passed & stages["missing"]
-
-    counted = tagged.agg(*[F.count_if(rule).alias(stage) for stage, rule in stages.items()])
-    lines = counted.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).alias("n")) for s in stages])
-        )
+    counted = tagged.selectExpr(*[f"count_if({rule}) AS {s}" for s, rule in stages.items()])
+    lines = ", ".join(f"named_struct('stage', '{s}', 'n', {s})" for s in stages)
+    whole = raw.selectExpr("count(1) AS n").selectExpr("'raw' AS stage", "n")
+    return whole.unionByName(counted.selectExpr(f"inline(array({lines}))")).selectExpr(
+        f"'{spec.name}' AS table_name", "stage", "n"
     )
-    whole = raw.agg(F.count(F.lit(1)).alias("n")).select(F.lit("raw").alias("stage"), "n")
-    return whole.unionByName(lines).select(F.lit(spec.name).alias("table_name"), "stage", "n")

@@ -65,7 +65,7 @@ def scan_csv(
     texts = {f.name for f in spec.fields if isinstance(f.raw, StringType)}
     return df.select(
         *[
-            blank_out(F.col(c), null_tokens).alias(c) if c in texts else F.col(c)
+            blank_out(c, null_tokens).alias(c) if c in texts else F.col(c)
             for c in df.columns
         ]
     )

@@ -63,7 +63,7 @@ class ParseDate:
 @dataclass(frozen=True)
 class Normalise:
     column: str
-    using: Callable[[SparkColumn], SparkColumn]
+    using: Callable[[str], SparkColumn]
 
 
 Step = RequirePresent | KeepFirst | RequireRule | ParseDate | Normalise

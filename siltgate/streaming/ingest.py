@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltgate.operators.joins import BROADCAST_BYTES, measured_bytes
 from siltgate.operators.referential import tag_parent
 from siltgate.operators.skew import hot_routes
-from siltgate.plans.batch import outcome
+from siltgate.plans.batch import OUTCOME
 from siltgate.plans.cleaning import clean_tagged
 from siltgate.sources.csv import csv_options
 from siltgate.spec import TableSpec
@@ -56,7 +56,7 @@ def clean_new_files(
     target: str,
     *,
     parent: DataFrame | None = None,
-    arrival: Sequence[str | Column] | None = None,
+    arrival: Sequence[str] | None = None,
     timeout: int | None = None,
 ) -> None:
     """Clean what has arrived since the last call, as if all files were one table.
@@ -85,8 +85,8 @@ def clean_new_files(
             hot = hot_routes(firsts, [spec.foreign_key.column])
             rows = tag_parent(rows, parent, spec, hot=hot)
         else:
-            rows = rows.withColumn("has_parent", F.lit(True))
-        rows.withColumn("outcome", outcome()).write.mode("overwrite").partitionBy(
+            rows = rows.selectExpr("*", "true AS has_parent")
+        rows.selectExpr("*", OUTCOME).write.mode("overwrite").partitionBy(
             "outcome"
         ).parquet(f"{target}/batch_id={batch_id}")
         firsts.unpersist()
@@ -127,7 +127,7 @@ def _unseen(rows: DataFrame, spec: TableSpec, target: str, batch_id: int) -> Dat
     # The folder exists: the checkpoint is in it.
     history = spark.read.schema(key).parquet(target).filter(F.col("batch_id") != batch_id)
     keys = rows.select(F.col(spec.key).alias("_key"))
-    if keys.agg(measured_bytes(keys).alias("bytes")).first()["bytes"] <= BROADCAST_BYTES:
+    if measured_bytes(keys) <= BROADCAST_BYTES:
         keys = F.broadcast(keys)
     used = (
         history.join(keys, F.col(spec.key).eqNullSafe(F.col("_key")), "left_semi")
