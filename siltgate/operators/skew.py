@@ -70,9 +70,15 @@ def hot_routes(
             F.expr("count(1) AS n"),
         )
     )
-    merged = sketches.agg(
-        F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS}) AS sketch"),
-        F.expr("sum(n) AS n"),
+    # Grouped by a constant that the optimizer does not see through: without a group,
+    # a task that gets no sketch would fail to write its empty one.
+    merged = (
+        sketches.selectExpr("pmod(lane, 1) AS all", "sketch", "n")
+        .groupBy("all")
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS}) AS sketch"),
+            F.expr("sum(n) AS n"),
+        )
     )
     frame = (
         merged.selectExpr("n", f"inline(approx_top_k_estimate(sketch, {most}))")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from siltgate.functions import blank_out
+from siltgate.functions import blank_out, quoted
 from siltgate.spec import TableSpec
 
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
@@ -26,10 +26,6 @@ def csv_options(
         raise ValueError(f"mode must be one of {MODES}")
     schema = spec.raw_schema()
     options = {"header": str(header).lower(), "mode": mode, "escape": '"'}
-    if corrupt_column or mode != "PERMISSIVE":
-        # A reader that skips unused cells does not see what is wrong with them, and
-        # which rows are bad would depend on the columns a query reads.
-        options["columnPruning"] = "false"
     if check_header:
         # By default columns bind by position and a reordered file shifts silently.
         options["enforceSchema"] = "false"
@@ -60,6 +56,8 @@ def scan_csv(
     schema, options = csv_options(spec, header, mode, check_header, corrupt_column)
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.schema(schema).options(**options).csv(paths)
+    if corrupt_column or mode != "PERMISSIVE":
+        df = read_every_cell(df, spec)
     if not null_tokens:
         return df
     texts = {f.name for f in spec.fields if isinstance(f.raw, StringType)}
@@ -71,6 +69,15 @@ def scan_csv(
     )
 
 
+def read_every_cell(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keep Spark from skipping cells a query does not use.
+
+    A skipped cell is not checked, so which rows are malformed would depend on the
+    columns that are read.  The filter is always true and needs all of them.
+    """
+    return df.filter(f"(xxhash64({', '.join(map(quoted, spec.columns))}) | 1L) != 0L")
+
+
 def malformed(df: DataFrame, corrupt_column: str) -> DataFrame:
     """Rows whose line did not fit the schema."""
     return df.filter(F.col(corrupt_column).isNotNull())

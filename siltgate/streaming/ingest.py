@@ -13,7 +13,7 @@ from siltgate.operators.referential import tag_parent
 from siltgate.operators.skew import hot_routes
 from siltgate.plans.batch import OUTCOME
 from siltgate.plans.cleaning import clean_tagged
-from siltgate.sources.csv import csv_options
+from siltgate.sources.csv import csv_options, read_every_cell
 from siltgate.spec import TableSpec
 
 # Inside the target: a target and the record of what it has seen belong together.
@@ -35,7 +35,8 @@ def scan_csv_stream(
     reader = spark.readStream.schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(directory)
+    stream = reader.csv(directory)
+    return stream if mode == "PERMISSIVE" else read_every_cell(stream, spec)
 
 
 def ingest_new_files(stream: DataFrame, target: str, timeout: int | None = None) -> None:

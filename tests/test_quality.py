@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from siltgate.operators import (
+    expect,
+    expectation_report,
+    join_small_parent,
+    upsert,
+    with_value,
+)
+from siltgate.operators.joins import measured_bytes
+from tests.conftest import rows
+
+
+@pytest.fixture
+def df(spark):
+    return spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "id int, v double")
+
+
+def rules():
+    return {"positive": F.col("v") > 0, "known": F.col("id").isNotNull()}
+
+
+def test_report(df):
+    assert rows(expectation_report(df, rules())) == [("known", 3, 0), ("positive", 1, 2)]
+    assert rows(expectation_report(df.filter("false"), rules())) == [
+        ("known", 0, 0), ("positive", 0, 0),
+    ]
+
+
+def test_actions(df):
+    warned = expect(df, rules())
+    assert [r.failed_rules for r in warned.orderBy("id").collect()] == [
+        [], ["positive"], ["positive"],
+    ]
+    assert rows(expect(df, rules(), "drop")) == [(1, 5.0)]
+    assert expect(df.filter("id = 1"), rules(), "fail").count() == 1
+    with pytest.raises(PySparkException, match="violates rule positive"):
+        expect(df, rules(), "fail").collect()
+    with pytest.raises(ValueError, match="unknown action"):
+        expect(df, rules(), "ignore")
+
+
+def test_value_filter_reaches_the_scan(df, spark, tmp_path, plan):
+    df.write.parquet(str(tmp_path / "t"))
+    text = plan(with_value(spark.read.parquet(str(tmp_path / "t")), "id", 2).select("id"))
+    assert "EqualTo(id,2)" in text and "ReadSchema: struct<id:int>" in text
+
+
+def test_measured_bytes(spark):
+    df = spark.createDataFrame([(1, "abc", ["x"]), (2, None, None)],
+                               "a int, b string, c array<string>")
+    assert measured_bytes(df.select("a")) == 32
+    assert measured_bytes(df.select("b")) == 32 + 3
+    assert measured_bytes(df.select("c")) > 32
+    assert measured_bytes(df.filter("false")) == 0
+
+
+def test_the_parent_is_broadcast_only_when_small(spark, plan):
+    child = spark.range(1000).selectExpr("id", "id % 10 AS k")
+    parent = spark.range(10).selectExpr("id AS k", "concat('p', id) AS name")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = join_small_parent(child, parent, "k", "id")
+        large = join_small_parent(child, parent, "k", "id", max_bytes=10)
+        assert "BroadcastHashJoin [k" in plan(small) and "SortMergeJoin" not in plan(small)
+        assert "SortMergeJoin" in plan(large)
+        assert rows(small) == rows(large) and small.columns == large.columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
+def test_upsert(spark, max_bytes):
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    changes = spark.createDataFrame(
+        [(2, "old", 1), (2, "new", 2), (3, "c", 1), (None, "m", 1)], "k int, v string, at int"
+    )
+    got = upsert(base, changes, "k", ["at DESC"], max_bytes=max_bytes)
+    assert rows(got) == sorted(
+        [(1, "a"), (2, "new"), (3, "c"), (None, "n"), (None, "m")], key=repr
+    )
