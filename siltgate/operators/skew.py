@@ -1,10 +1,11 @@
 """Joins that hold when one key has a third of all rows.
 
-A shuffle join sends all rows of a key to one task.  ``salted_join`` cuts the rows
-of hot keys into lanes of bounded size and gives every lane its own copy of the one
-parent row.  Which keys are hot is found beforehand in one narrow pass: a
-frequent-items sketch per task, merged in two levels.  The sketch only steers
-where rows go; the join is exact whatever it says.
+A shuffle join sends all rows of a key to one task.  ``hot_routes`` looks at the keys
+first, in one narrow pass that ends in at most a hundred numbers: a frequent-items
+sketch per task, merged in two levels.  Where no key is hot ``salted_join`` is the
+plain join, with the plain join's single sort key.  Where some are, it cuts their rows
+into lanes of bounded size and gives every lane its own copy of the one parent row.
+The sketch only steers where rows go; the join is exact whatever it says.
 """
 
 from __future__ import annotations
@@ -23,21 +24,17 @@ HOT_ROWS = 1_000_000
 LANE_ROWS = 1_000_000
 _SKETCH_ITEMS = 2048
 _MERGE_LANES = 256
-_NULL_LANES = 1 << 20
 
 
 @dataclass(frozen=True)
 class HotRoutes:
-    """Hot keys as ``(route, lanes)``; ``route`` is the hash of the key columns.
+    """Hot keys as pairs of route (a hash of the key columns, NULLs included) and
+    number of lanes; never more than ``1 / share`` pairs."""
 
-    ``frame`` has at most ``1 / share`` rows, so it may always be broadcast.
-    ``None`` stands for "no key is hot": nothing is looked up.
-    """
-
-    frame: DataFrame | None
+    lanes: tuple[tuple[int, int], ...]
 
 
-NO_HOT_KEYS = HotRoutes(None)
+NO_HOT_KEYS = HotRoutes(())
 
 
 def _route(keys: Sequence[str]) -> str:
@@ -54,8 +51,8 @@ def hot_routes(
 ) -> HotRoutes:
     """Keys with at least ``share`` of the rows and at least ``min_rows`` of them.
 
-    Give it the source table rather than a cleaned one: only the key columns are
-    read, and nothing has to be computed twice.
+    Runs one job that reads only the key columns.  Give it the source table rather
+    than a cleaned one, so that nothing has to be computed twice.
     """
     most = math.ceil(1 / share)
     if most * 8 > _SKETCH_ITEMS:
@@ -80,12 +77,12 @@ def hot_routes(
             F.expr("sum(n) AS n"),
         )
     )
-    frame = (
+    hot = (
         merged.selectExpr("n", f"inline(approx_top_k_estimate(sketch, {most}))")
         .filter(f"count >= {min_rows} AND count >= n * {share}D")
-        .selectExpr("item AS _route", f"CAST(ceil(count / {lane_rows}) AS INT) AS _lanes")
+        .selectExpr("item", f"CAST(ceil(count / {lane_rows}) AS INT) AS lanes")
     )
-    return HotRoutes(frame)
+    return HotRoutes(tuple((row.item, row.lanes) for row in hot.take(most)))
 
 
 def salted_join(
@@ -102,47 +99,40 @@ def salted_join(
 
     ``how`` is inner, left, left_semi or left_anti.  ``spread_by`` names child
     columns that tell its rows apart; lanes come from their hash, so a task that
-    runs twice sends its rows the same way.  Child rows with a NULL key match
-    nothing (unless ``null_safe``) and are spread the same way instead of meeting
-    in one task.
+    runs twice sends its rows the same way.  NULL is a key that can be hot like any
+    other, though it matches nothing unless ``null_safe``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     child_columns = [quoted(c) for c in child.columns]
     values = [quoted(c) for c in parent.columns if c not in on]
-    spread = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
-
-    if hot.frame is None:
-        left, right = child, parent
-        lanes = "1"
-        # Lane 0 of every parent row.  A literal would be folded into the join
-        # condition, and the spreading of NULL keys with it.
-        parent_lane = f"CAST(pmod({_route(on)}, 1) AS INT)"
-    else:
-        left, right = _look_up(child, on, hot.frame), _look_up(parent, on, hot.frame)
-        lanes = "coalesce(_lanes, 1)"
-        parent_lane = f"explode(sequence(0, {lanes} - 1))"
-
-    lane = f"CAST(pmod({spread}, {lanes}) AS INT)"
-    if not null_safe:
-        absent = " OR ".join(f"{quoted(k)} IS NULL" for k in on)
-        lane = f"CASE WHEN {absent} THEN CAST(pmod({spread}, {_NULL_LANES}) AS INT) ELSE {lane} END"
-    left = left.selectExpr(*child_columns, f"{lane} AS _lane")
-    right = right.selectExpr(
-        *[f"{quoted(k)} AS {quoted('_p_' + k)}" for k in on], *values, f"{parent_lane} AS _p_lane"
-    )
+    renamed = [f"{quoted(k)} AS {quoted('_p_' + k)}" for k in on]
     equal = "<=>" if null_safe else "="
-    matched = " AND ".join(
-        ["_lane = _p_lane", *[f"{quoted(k)} {equal} {quoted('_p_' + k)}" for k in on]]
-    )
-    joined = left.join(right, F.expr(matched), how)
+    # The keys come before the lane: a merge join sorts in this order, and a sort
+    # that starts with the lane, 0 for most rows, would compare nearly all in full.
+    matched = [f"{quoted(k)} {equal} {quoted('_p_' + k)}" for k in on]
+
+    if not hot.lanes:
+        right = parent.selectExpr(*renamed, *values)
+    else:
+        routes = child.sparkSession.createDataFrame(list(hot.lanes), "_route long, _lanes int")
+        spread = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
+        child = _with_lanes(child, on, routes).selectExpr(
+            *child_columns, f"CAST(pmod({spread}, coalesce(_lanes, 1)) AS INT) AS _lane"
+        )
+        right = _with_lanes(parent, on, routes).selectExpr(
+            *renamed, *values, "explode(sequence(0, coalesce(_lanes, 1) - 1)) AS _p_lane"
+        )
+        matched.append("_lane = _p_lane")
+
+    joined = child.join(right, F.expr(" AND ".join(matched)), how)
     return joined.selectExpr(
         *child_columns, *([] if how in ("left_semi", "left_anti") else values)
     )
 
 
-def _look_up(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add ``_lanes`` (NULL for ordinary keys) by a broadcast of the hot keys."""
+def _with_lanes(df: DataFrame, keys: Sequence[str], routes: DataFrame) -> DataFrame:
+    """Add ``_lanes``, NULL for ordinary keys; ``routes`` is a hundred rows at most."""
     return df.selectExpr("*", f"{_route(keys)} AS _route").join(
-        F.broadcast(hot), "_route", "left"
+        F.broadcast(routes), "_route", "left"
     )
