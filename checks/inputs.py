@@ -80,7 +80,7 @@ def _written(date: str, key: str) -> str:
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "customer")
-    nations = F.broadcast(table(spark, sf_dir, "nation"))  # the 25 nations of the benchmark
+    nations = table(spark, sf_dir, "nation")
     signup = "date_add(DATE '2023-01-01', CAST(c_custkey % 700 AS INT))"
     first = source.join(nations, F.expr("c_nationkey = n_nationkey")).selectExpr(
         "c_custkey AS customer_id",

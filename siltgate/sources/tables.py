@@ -64,12 +64,13 @@ def save_table(
     """Replace a managed table, schema included.
 
     For plain file formats the new table is written beside the old one and takes
-    its name only when complete: a failed write leaves the old table, and the old
-    table may be read by the very query that replaces it.
+    its name only when complete; until then the old one is there, at the last moment
+    as ``<table>__previous``.  A failed write changes nothing, and the old table may
+    be read by the very query that replaces it.
     """
     spark = df.sparkSession
     atomic = fmt in _ATOMIC_FORMATS
-    target = table if atomic else f"{table}__incoming"
+    target, previous = (table if atomic else f"{table}__incoming"), f"{table}__previous"
     if not atomic:
         spark.sql(f"DROP TABLE IF EXISTS {target}")
     writer = df.write.format(fmt).mode("overwrite")
@@ -78,9 +79,13 @@ def save_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(target)
-    if not atomic:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {target} RENAME TO {table}")
+    if atomic:
+        return
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {previous}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
+    spark.sql(f"ALTER TABLE {target} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
 def load_table(df: DataFrame, table: str) -> None:
