@@ -175,6 +175,7 @@ _SELECTS = {
     "q3_clean": _unpaid("clean_customers", "clean_orders", "clean_payments"),
     "q4_clean": _top("clean_customers", "clean_orders", "completed"),
     "q5_clean": _inactive("clean_customers", "clean_orders"),
+    "whole_run_revenue": _revenue("clean_customers", "clean_orders", "completed"),
     "whole_run_top_customers": _top("clean_customers", "clean_orders", "completed"),
     "malformed_rows": """SELECT order_id, customer_id,
         CASE WHEN order_id % 50 = 8 THEN amount END AS amount,

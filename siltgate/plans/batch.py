@@ -15,6 +15,7 @@ from siltgate.plans.cleaning import (
     REFUSED,
     clean,
     clean_tagged,
+    raw_name,
     row_counts,
     unreadable_dates,
 )
@@ -97,6 +98,7 @@ def run_batch(
     schema: str | None = None,
     as_of: dt.date | None = None,
     quarantine_csv: bool = True,
+    keep_raw: bool = False,
 ) -> BatchResult:
     """Clean every table once, write it, and build everything else on what is written.
 
@@ -107,7 +109,10 @@ def run_batch(
     executor never sends a later stage back to the raw files.  Counts come from the
     written files: an accumulator would count a repeated task twice.
 
-    With ``schema`` the clean folders are registered as catalog tables in place.
+    With ``schema`` the clean folders are registered as catalog tables in place, after
+    all of them are written: a run that fails leaves the tables of the last one.  For
+    that, let every run have its own ``out_dir``.  ``keep_raw`` adds the text of
+    unreadable dates to the quarantine.
     """
     out = out_dir or staging_dir(spark, "batch")
     staged: dict[str, DataFrame] = {}
@@ -127,7 +132,8 @@ def run_batch(
         staged[name] = spark.read.schema(rows.schema).parquet(path)
         tables[name] = staged[name].filter("outcome = 'clean'").select(*spec.columns)
         if spec.foreign_key:
-            orphans = staged[name].filter("outcome = 'orphan'").select(*spec.columns)
+            extra = [raw_name(c) for c in spec.date_columns] if keep_raw else []
+            orphans = staged[name].filter("outcome = 'orphan'").select(*spec.columns, *extra)
             quarantine[name] = orphans
             if quarantine_csv:
                 write_csv(orphans, f"{out}/quarantine/{name}")

@@ -150,6 +150,15 @@ def test_refused_rows_and_kept_rows_make_the_whole(raw):
     ]
 
 
+def test_the_quarantine_may_keep_unreadable_dates(spark, raw):
+    late = raw["orders"].withColumn("order_date", F.lit("some day"))
+    result = run_batch(
+        spark, {**raw, "orders": late}, SPECS, ARRIVAL, keep_raw=True, quarantine_csv=False
+    )
+    kept = result.quarantine["orders"].select("order_date", "raw_order_date").distinct()
+    assert rows(kept) == [(None, "some day")]
+
+
 def test_a_second_run_replaces_the_first(spark, raw, batch, tmp_path):
     out = str(tmp_path / "out")
     for _ in range(2):
