@@ -4,6 +4,7 @@ from siltgate.operators.joins import (
     join_parent,
     join_small_parent,
     left_join_children,
+    rows_with_keys,
     with_children,
     without_children,
 )
@@ -33,6 +34,7 @@ __all__ = [
     "repeated_rows",
     "require",
     "require_present",
+    "rows_with_keys",
     "salted_join",
     "split_by_parent",
     "tag_parent",

@@ -99,3 +99,17 @@ def join_small_parent(
     return child.join(F.broadcast(parent), key, "inner").select(
         *child.columns, *[c for c in parent.columns if c != key]
     )
+
+
+def rows_with_keys(
+    big: DataFrame, column: str, keys: DataFrame, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows of ``big`` whose ``column`` is among the one-column ``keys``; NULL is a key.
+
+    For a small set looked up in a large table: the keys are measured (one job) and
+    up to ``max_bytes`` broadcast, so that ``big`` is scanned and not shuffled.
+    """
+    keys = keys.toDF("_key").distinct()
+    if measured_bytes(keys) <= max_bytes:
+        keys = F.broadcast(keys)
+    return big.join(keys, F.expr(f"{quoted(column)} <=> _key"), "left_semi")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltgate.operators.joins import BROADCAST_BYTES, measured_bytes
+from siltgate.operators.joins import rows_with_keys
 from siltgate.operators.referential import tag_parent
 from siltgate.operators.skew import hot_routes
 from siltgate.plans.batch import OUTCOME
@@ -67,6 +67,9 @@ def clean_new_files(
     ``target/batch_id=N/outcome=...``; a batch that is run again overwrites its own
     folder and ignores it when looking for used keys.  ``arrival`` orders the rows
     of a key in a batch; by default file path and place in the file.
+
+    History and parent grow and a batch does not: a batch's keys are looked up in
+    both by broadcast where they measure small, so that both are only scanned.
     """
     spark = stream.sparkSession
     order = list(arrival or ["_file", "_block", "_row"])
@@ -83,8 +86,10 @@ def clean_new_files(
         firsts = clean_tagged(batch, spec, order).persist()
         rows = _unseen(firsts, spec, target, batch_id)
         if spec.foreign_key:
-            hot = hot_routes(firsts, [spec.foreign_key.column])
-            rows = tag_parent(rows, parent, spec, hot=hot)
+            fk = spec.foreign_key
+            wanted = rows_with_keys(parent, fk.parent_key, firsts.select(fk.column))
+            hot = hot_routes(firsts, [fk.column])
+            rows = tag_parent(rows, wanted, spec, hot=hot)
         else:
             rows = rows.selectExpr("*", "true AS has_parent")
         rows.selectExpr("*", OUTCOME).write.mode("overwrite").partitionBy(
@@ -118,21 +123,13 @@ def read_cleaned(spark: SparkSession, spec: TableSpec, target: str, which: str)
 
 
 def _unseen(rows: DataFrame, spec: TableSpec, target: str, batch_id: int) -> DataFrame:
-    """Rows whose key no earlier batch has used; NULL is a key like any other here.
-
-    The history grows without end and a batch does not: where the batch's keys
-    measure small they are broadcast to the history, which is then only scanned.
-    """
-    spark = rows.sparkSession
-    key = StructType([spec.clean_schema()[spec.key]]).add("batch_id", "long")
+    """Rows whose key no earlier batch has used; NULL is a key like any other here."""
+    schema = StructType([spec.clean_schema()[spec.key]]).add("batch_id", "long")
     # The folder exists: the checkpoint is in it.
-    history = spark.read.schema(key).parquet(target).filter(F.col("batch_id") != batch_id)
-    keys = rows.select(F.col(spec.key).alias("_key"))
-    if measured_bytes(keys) <= BROADCAST_BYTES:
-        keys = F.broadcast(keys)
-    used = (
-        history.join(keys, F.col(spec.key).eqNullSafe(F.col("_key")), "left_semi")
-        .select(F.col(spec.key).alias("_used"))
+    history = rows.sparkSession.read.schema(schema).parquet(target)
+    earlier = history.filter(F.col("batch_id") != batch_id)
+    used = rows_with_keys(earlier, spec.key, rows.select(spec.key)).select(
+        F.col(spec.key).alias("_used")
     )
     return rows.join(used, F.col(spec.key).eqNullSafe(F.col("_used")), "left_anti")
 

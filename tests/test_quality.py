@@ -8,6 +8,7 @@ from siltgate.operators import (
     expect,
     expectation_report,
     join_small_parent,
+    rows_with_keys,
     upsert,
     with_value,
 )
@@ -83,3 +84,16 @@ def test_upsert(spark, max_bytes):
     assert rows(got) == sorted(
         [(1, "a"), (2, "new"), (3, "c"), (None, "n"), (None, "m")], key=repr
     )
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
+def test_rows_with_keys(spark, plan, max_bytes):
+    big = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
+    keys = spark.createDataFrame([(1,), (1,), (None,), (9,)], "other long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rows_with_keys(big, "k", keys, max_bytes)
+        assert ("BroadcastHashJoin" in plan(got)) == (max_bytes > 0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(got) == [(1, "a"), (1, "b"), (None, "d")]

@@ -10,6 +10,7 @@ from siltgate.operators import (
     hot_routes,
     join_parent,
     left_join_children,
+    repeated_rows,
     salted_join,
     split_by_parent,
     tag_parent,
@@ -156,3 +157,15 @@ def test_unknown_join_type(child, parent, hot):
         salted_join(child, parent, ["k"], "full", spread_by=["id"], hot=hot)
     with pytest.raises(ValueError, match="too fine"):
         hot_routes(child, ["k"], share=0.0001)
+
+
+def test_repeats_of_a_hot_key(spark):
+    # A third of the rows are copies under key 7, a third have no key.
+    df = spark.range(6000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN 7 WHEN 1 THEN NULL ELSE id END AS k", "id AS seq", "'x' AS same"
+    )
+    hot = hot_routes(df, ["k"], min_rows=1, lane_rows=100)
+    assert len(hot.lanes) == 2
+    later = repeated_rows(df, ["k"], ["seq"], hot)
+    assert rows(later.groupBy("k").count()) == [(7, 1999), (None, 1999)]
+    assert later.filter("seq < 2").count() == 0 and later.columns == df.columns
