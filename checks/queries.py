@@ -37,8 +37,12 @@ from siltgate.plans import (
     unreadable_dates,
 )
 from siltgate.sources.csv import malformed
-from siltgate.streaming import clean_new_files, ingest_new_files, scan_csv_stream
-from siltgate.streaming.ingest import read_cleaned
+from siltgate.streaming import (
+    clean_new_files,
+    ingest_new_files,
+    read_cleaned,
+    scan_csv_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

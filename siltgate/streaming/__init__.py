@@ -1,3 +1,8 @@
-from siltgate.streaming.ingest import clean_new_files, ingest_new_files, scan_csv_stream
+from siltgate.streaming.ingest import (
+    clean_new_files,
+    ingest_new_files,
+    read_cleaned,
+    scan_csv_stream,
+)
 
-__all__ = ["clean_new_files", "ingest_new_files", "scan_csv_stream"]
+__all__ = ["clean_new_files", "ingest_new_files", "read_cleaned", "scan_csv_stream"]

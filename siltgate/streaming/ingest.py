@@ -84,6 +84,12 @@ def clean_new_files(
         if arrival is None:
             batch = batch.withColumn("_row", F.monotonically_increasing_id())
         firsts = clean_tagged(batch, spec, order).persist()
+        try:
+            write(firsts, batch_id)
+        finally:
+            firsts.unpersist()
+
+    def write(firsts: DataFrame, batch_id: int) -> None:
         rows = _unseen(firsts, spec, target, batch_id)
         if spec.foreign_key:
             fk = spec.foreign_key
@@ -95,7 +101,6 @@ def clean_new_files(
         rows.selectExpr("*", OUTCOME).write.mode("overwrite").partitionBy(
             "outcome"
         ).parquet(f"{target}/batch_id={batch_id}")
-        firsts.unpersist()
 
     if spec.foreign_key and parent is None:
         raise ValueError(f"{spec.name} needs its parent table")

@@ -13,7 +13,8 @@ D = dt.date
 
 @pytest.fixture
 def customers(spark):
-    return spark.createDataFrame([(i, f"c{i}") for i in range(1, 9)], "customer_id int, name string")
+    people = [(i, f"c{i}") for i in range(1, 9)]
+    return spark.createDataFrame(people, "customer_id int, name string")
 
 
 ORDER = "order_id int, customer_id int, order_date date, amount double, status string"

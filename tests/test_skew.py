@@ -76,7 +76,8 @@ def test_same_rows_as_the_plain_join(child, parent, hot, how, salted):
 
 
 def test_null_safe_join(child, spark, hot):
-    parent = spark.createDataFrame([(7, "seven"), (None, "none"), (8, "eight")], "k int, name string")
+    named = [(7, "seven"), (None, "none"), (8, "eight")]
+    parent = spark.createDataFrame(named, "k int, name string")
     got = salted_join(child, parent, ["k"], "inner", spread_by=["id"], hot=hot, null_safe=True)
     want = child.join(
         parent.withColumnRenamed("k", "pk"), F.col("k").eqNullSafe(F.col("pk"))

@@ -3,11 +3,15 @@ from __future__ import annotations
 import pytest
 
 from siltgate import retail_specs
-from siltgate.operators import with_arrival
-from siltgate.plans import clean_all
+from siltgate.operators import split_by_parent, with_arrival
+from siltgate.plans import clean, clean_all
 from siltgate.sources import scan_csv
-from siltgate.streaming import clean_new_files, ingest_new_files, scan_csv_stream
-from siltgate.streaming.ingest import read_cleaned
+from siltgate.streaming import (
+    clean_new_files,
+    ingest_new_files,
+    read_cleaned,
+    scan_csv_stream,
+)
 from tests import shop
 from tests.conftest import rows
 
@@ -49,9 +53,6 @@ def test_cleaning_in_pieces_is_cleaning_at_once(spark, tmp_path, customers, cuts
             scan_csv_stream(spark, str(landing), ORDERS), ORDERS, target, parent=customers
         )
     raw = with_arrival(scan_csv(spark, str(landing), ORDERS))
-    from siltgate.operators import split_by_parent
-    from siltgate.plans import clean
-
     want = split_by_parent(clean(raw, ORDERS, ["_arrival"]), customers, ORDERS)
     assert rows(read_cleaned(spark, ORDERS, target, "clean")) == rows(want.valid)
     # Order 10 came first without a known customer: its key stays used.
