@@ -93,3 +93,48 @@ def sigmoid(z):
 def logit(p):
     p = np.clip(p, 1e-6, 1 - 1e-6)
     return np.log(p / (1 - p))
+
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+class WordHasher:
+    """64-bit hashes of the words of many texts, without making a Python object per word.
+
+    A word (see ``ascii_words``) is a polynomial in an odd base over random numbers for its
+    bytes, modulo 2**64; running sums of the whole buffer give every word at once.  The
+    result is mixed with the word's length.
+    """
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and last two bytes of each word, and the number of words of each text."""
+        raw = [b"" if not isinstance(t, str) else t.encode("utf-8", "replace").lower() for t in texts]
+        ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
+        buffer = np.frombuffer(b" " + b" ".join(raw) + b" ", dtype=np.uint8)
+        n = len(buffer)
+        if len(self.up) < n + 1:
+            self.up = _powers(_BASE, n + 1)
+            self.down = _powers(pow(_BASE, -1, 2**64), n + 1)
+        space = _IS_SPACE[buffer]
+        edge = np.diff(space.astype(np.int8))
+        starts, stops = np.flatnonzero(edge == -1) + 1, np.flatnonzero(edge == 1) + 1
+        terms = _BYTES[buffer]
+        terms *= self.up[:n]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+        words = (sums[stops] - sums[starts]) * self.down[starts]
+        words = mix64(words ^ ((stops - starts).astype(np.uint64) << np.uint64(48)))
+        tails = buffer[stops - 1].astype(np.int32) + 256 * buffer[stops - 2].astype(np.int32)
+        text_of = np.searchsorted(ends, starts - 1, side="right")
+        return words, tails, np.bincount(text_of, minlength=len(raw))[: len(raw)]

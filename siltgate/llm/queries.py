@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import decontamination, language, licenses, quality, toxicity
+from siltgate.llm import (
+    decontamination,
+    embeddings,
+    language,
+    licenses,
+    near_duplicates,
+    packing,
+    quality,
+    recurrent,
+    toxicity,
+    wrappers,
+)
 from siltgate.llm.common import crc_mod, table
 from siltgate.llm.sql import SQL
 
@@ -59,6 +70,32 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` at four words and similarity 0.8."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` at cosine 0.95."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
+    docs = table(spark, sf_dir, "documents")
+    scored = recurrent.score_documents(docs, docs.filter(crc_mod("doc_id", 10) != 0))
+    return scored.select(
+        "doc_id",
+        (crc_mod("doc_id", 10) == 0).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, held_out, score, predicted``."""
     docs = table(spark, sf_dir, "documents")
@@ -71,6 +108,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, url, text, n_chars``."""
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``."""
     return decontamination.digest(
@@ -78,7 +120,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of ``corpus_pipeline`` over ``documents``."""
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_language, op3_licenses, op8_quality, op10_decontamination)
+    for f in (
+        op1_toxicity,
+        op2_language,
+        op3_licenses,
+        op4_near_duplicates,
+        op5_embeddings,
+        op6_packing,
+        op7_language_model,
+        op8_quality,
+        op9_main_text,
+        op10_decontamination,
+        pipeline,
+    )
 }
