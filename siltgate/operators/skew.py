@@ -1,88 +1,138 @@
 """Joins that hold when one key has a third of all rows.
 
 A shuffle join sends all rows of a key to one task.  ``hot_routes`` looks at the keys
-first, in one narrow pass that ends in at most a hundred numbers: a frequent-items
+first, in one narrow pass that ends in a few thousand numbers at most: a frequent-items
 sketch per task, merged in two levels.  Where no key is hot ``salted_join`` is the
 plain join, with the plain join's single sort key.  Where some are, it cuts their rows
 into lanes of bounded size and gives every lane its own copy of the one parent row.
-The sketch only steers where rows go; the join is exact whatever it says.
+
+Both sides are brought to one type first, the one their keys are compared in, and the
+route of a key is a hash of that value; equal keys therefore have equal routes, whatever
+they look like as text.  Types with no common one (a text and a number, say) are refused.
+No hash follows a collation other than the binary one, so such keys are never cut into
+lanes; they are left to adaptive skew handling.
+
+A key is hot by its rows, not by its share.  The sketch follows 65,536 keys, so it names
+every key with more than about one row in 50,000, up to 8,192 of them; a key below that
+share is left to adaptive skew handling, however many rows it has.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from siltgate.functions import quoted
 
-HOT_SHARE = 0.01
 HOT_ROWS = 1_000_000
 LANE_ROWS = 1_000_000
-_SKETCH_ITEMS = 2048
-_MERGE_LANES = 256
+_MOST_KEYS = 8192
+_SKETCH_ITEMS = 65_536
+_MERGE_LANES = 64
 
 
 @dataclass(frozen=True)
 class HotRoutes:
     """Hot keys as pairs of route (a hash of the key columns, NULLs included) and
-    number of lanes; never more than ``1 / share`` pairs."""
+    number of lanes, with the types in which the keys were hashed and the limits."""
 
     lanes: tuple[tuple[int, int], ...]
+    types: tuple[str, ...] = ()
+    min_rows: int = HOT_ROWS
+    lane_rows: int = LANE_ROWS
 
 
 NO_HOT_KEYS = HotRoutes(())
 
 
-def _route(keys: Sequence[str]) -> str:
-    # As text, so that an INT child and a BIGINT parent hash alike.
-    return f"xxhash64({', '.join(f'CAST({quoted(k)} AS STRING)' for k in keys)})"
+def _types(df: DataFrame, keys: Sequence[str]) -> list[DataType]:
+    return [df.select(quoted(k)).schema.fields[0].dataType for k in keys]
+
+
+def _common_type(a: DataType, b: DataType) -> DataType:
+    """The type in which values of two types are compared."""
+    if a == b:
+        return a
+    if isinstance(a, StringType) and isinstance(b, StringType):
+        if a.collationId == b.collationId:
+            return StringType(a.collation)  # char and varchar against string
+    elif isinstance(a, NumericType) and isinstance(b, NumericType):
+        return _wider(a, b)
+    elif {type(a), type(b)} <= {DateType, TimestampType, TimestampNTZType}:
+        return _wider(a, b)
+    raise ValueError(
+        f"keys of type {a.simpleString()} and {b.simpleString()} have no common type; cast one"
+    )
+
+
+def _collated(sql_type: str) -> bool:
+    return "collate" in sql_type
+
+
+def _wider(a: DataType, b: DataType) -> DataType:
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.active()
+    pair = " UNION ALL ".join(f"SELECT CAST(NULL AS {t.simpleString()}) AS k" for t in (a, b))
+    return spark.sql(pair).schema.fields[0].dataType
+
+
+def _route(keys: Sequence[str], types: Sequence[str]) -> str:
+    # The hash of a value, not of its text: 0.0 and -0.0, and all NaNs, hash alike, as
+    # they compare alike.
+    values = [f"CAST({quoted(k)} AS {t})" for k, t in zip(keys, types, strict=True)]
+    return f"xxhash64({', '.join(values)})"
 
 
 def hot_routes(
     df: DataFrame,
     keys: Sequence[str],
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
     lane_rows: int = LANE_ROWS,
+    types: Sequence[str] | None = None,
 ) -> HotRoutes:
-    """Keys with at least ``share`` of the rows and at least ``min_rows`` of them.
+    """Keys with at least ``min_rows`` rows.
 
     Runs one job that reads only the key columns.  Give it the source table rather
-    than a cleaned one, so that nothing has to be computed twice.
+    than a cleaned one, so that nothing has to be computed twice.  ``types`` are those
+    of the comparison to come, if they differ from the columns' own.
     """
-    most = math.ceil(1 / share)
-    if most * 8 > _SKETCH_ITEMS:
-        raise ValueError(f"share {share} is too fine for the sketch")
+    types = tuple(types or (t.simpleString() for t in _types(df, keys)))
+    if any(map(_collated, types)):
+        return NO_HOT_KEYS
     sketches = (
         df.selectExpr(
-            f"{_route(keys)} AS route", f"pmod(spark_partition_id(), {_MERGE_LANES}) AS lane"
+            f"{_route(keys, types)} AS route",
+            f"pmod(spark_partition_id(), {_MERGE_LANES}) AS lane",
         )
         .groupBy("lane")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(route, {_SKETCH_ITEMS}) AS sketch"),
-            F.expr("count(1) AS n"),
-        )
+        .agg(F.expr(f"approx_top_k_accumulate(route, {_SKETCH_ITEMS}) AS sketch"))
     )
     # Grouped by a constant that the optimizer does not see through: without a group,
     # a task that gets no sketch would fail to write its empty one.
     merged = (
-        sketches.selectExpr("pmod(lane, 1) AS all", "sketch", "n")
+        sketches.selectExpr("pmod(lane, 1) AS all", "sketch")
         .groupBy("all")
-        .agg(
-            F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS}) AS sketch"),
-            F.expr("sum(n) AS n"),
-        )
+        .agg(F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS}) AS sketch"))
     )
     hot = (
-        merged.selectExpr("n", f"inline(approx_top_k_estimate(sketch, {most}))")
-        .filter(f"count >= {min_rows} AND count >= n * {share}D")
+        merged.selectExpr(f"inline(approx_top_k_estimate(sketch, {_MOST_KEYS}))")
+        .filter(f"count >= {min_rows}")
         .selectExpr("item", f"CAST(ceil(count / {lane_rows}) AS INT) AS lanes")
     )
-    return HotRoutes(tuple((row.item, row.lanes) for row in hot.take(most)))
+    lanes = tuple((row.item, row.lanes) for row in hot.take(_MOST_KEYS))
+    return HotRoutes(lanes, types, min_rows, lane_rows) if lanes else NO_HOT_KEYS
 
 
 def salted_join(
@@ -100,27 +150,42 @@ def salted_join(
     ``how`` is inner, left, left_semi or left_anti.  ``spread_by`` names child
     columns that tell its rows apart; lanes come from their hash, so a task that
     runs twice sends its rows the same way.  NULL is a key that can be hot like any
-    other, though it matches nothing unless ``null_safe``.
+    other, though it matches nothing unless ``null_safe``.  ``hot`` that was found in
+    another type than that of the comparison is looked for again, in one job.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
+    common = [
+        _common_type(a, b)
+        for a, b in zip(_types(child, on), _types(parent, on), strict=True)
+    ]
+    types = tuple(t.simpleString() for t in common)
+    if any(map(_collated, types)):
+        hot = NO_HOT_KEYS
+    if hot.lanes and hot.types != types:
+        hot = hot_routes(child, on, hot.min_rows, hot.lane_rows, types)
     child_columns = [quoted(c) for c in child.columns]
     values = [quoted(c) for c in parent.columns if c not in on]
-    renamed = [f"{quoted(k)} AS {quoted('_p_' + k)}" for k in on]
+    renamed = [
+        f"CAST({quoted(k)} AS {t}) AS {quoted('_p_' + k)}" for k, t in zip(on, types, strict=True)
+    ]
     equal = "<=>" if null_safe else "="
     # The keys come before the lane: a merge join sorts in this order, and a sort
     # that starts with the lane, 0 for most rows, would compare nearly all in full.
-    matched = [f"{quoted(k)} {equal} {quoted('_p_' + k)}" for k in on]
+    matched = [
+        f"CAST({quoted(k)} AS {t}) {equal} {quoted('_p_' + k)}"
+        for k, t in zip(on, types, strict=True)
+    ]
 
     if not hot.lanes:
         right = parent.selectExpr(*renamed, *values)
     else:
         routes = child.sparkSession.createDataFrame(list(hot.lanes), "_route long, _lanes int")
         spread = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
-        child = _with_lanes(child, on, routes).selectExpr(
+        child = _with_lanes(child, on, types, routes).selectExpr(
             *child_columns, f"CAST(pmod({spread}, coalesce(_lanes, 1)) AS INT) AS _lane"
         )
-        right = _with_lanes(parent, on, routes).selectExpr(
+        right = _with_lanes(parent, on, types, routes).selectExpr(
             *renamed, *values, "explode(sequence(0, coalesce(_lanes, 1) - 1)) AS _p_lane"
         )
         matched.append("_lane = _p_lane")
@@ -131,8 +196,10 @@ def salted_join(
     )
 
 
-def _with_lanes(df: DataFrame, keys: Sequence[str], routes: DataFrame) -> DataFrame:
-    """Add ``_lanes``, NULL for ordinary keys; ``routes`` is a hundred rows at most."""
-    return df.selectExpr("*", f"{_route(keys)} AS _route").join(
+def _with_lanes(
+    df: DataFrame, keys: Sequence[str], types: Sequence[str], routes: DataFrame
+) -> DataFrame:
+    """Add ``_lanes``, NULL for ordinary keys; ``routes`` has ``_MOST_KEYS`` rows at most."""
+    return df.selectExpr("*", f"{_route(keys, types)} AS _route").join(
         F.broadcast(routes), "_route", "left"
     )
