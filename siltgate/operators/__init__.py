@@ -11,6 +11,7 @@ from siltgate.operators.joins import (
 from siltgate.operators.quality import expect, expectation_report
 from siltgate.operators.referential import (
     Split,
+    require_unique_parents,
     split_by_parent,
     tag_parent,
     with_parent,
@@ -34,6 +35,7 @@ __all__ = [
     "repeated_rows",
     "require",
     "require_present",
+    "require_unique_parents",
     "rows_with_keys",
     "salted_join",
     "split_by_parent",

@@ -28,14 +28,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
 
 
 def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
-    """Add the place of a row in its files: file, block, then row within the task.
+    """Add the place of a row in its files: time, file, block, then row within the task.
 
     For inputs with no arrival column of their own.  Has to be called on the file
-    scan itself.  Files come in name order, so name them in the order they arrived.
+    scan itself.  Files come in the order they were last changed, files of the same
+    moment in name order, as in a stream of the same folder.
     """
     return df.withColumn(
         name,
         F.struct(
+            F.col("_metadata.file_modification_time").alias("time"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
@@ -53,10 +55,16 @@ def repeated_rows(
 
     Numbering all rows of a key would put a hot key into one task.  Instead the
     kept rows (one per key) are joined back, salted, and rows later than the kept
-    one are returned.
+    one are returned.  Of rows that tie with the kept one all but one are returned
+    too; only those are numbered, which are few where the order is worth its name.
     """
     hot = hot or hot_routes(df, keys)
     place = f"struct({', '.join(quoted(c) for c in order_by)})"
     kept = keep_first(df, keys, order_by).selectExpr(*map(quoted, keys), f"{place} AS _kept")
     joined = salted_join(df, kept, keys, "inner", spread_by=order_by, hot=hot, null_safe=True)
-    return joined.filter(f"{place} != _kept").drop("_kept")
+    later = joined.filter(f"{place} != _kept").drop("_kept")
+    by = ", ".join(quoted(key) for key in keys)
+    ties = joined.filter(f"{place} = _kept").selectExpr(
+        *map(quoted, df.columns), f"row_number() OVER (PARTITION BY {by} ORDER BY 1) AS _place"
+    )
+    return later.unionByName(ties.filter("_place > 1").drop("_place"))

@@ -25,4 +25,4 @@ def require(df: DataFrame, predicate: Column) -> DataFrame:
 
 def with_value(df: DataFrame, column: str, value: object) -> DataFrame:
     """Rows where ``column`` equals ``value``; the test reaches a parquet scan."""
-    return df.filter(F.col(column) == F.lit(value))
+    return df.filter(F.col(quoted(column)) == F.lit(value))

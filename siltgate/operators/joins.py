@@ -25,10 +25,18 @@ def left_join_children(
 ) -> DataFrame:
     """Left join: every parent row with each of its children, or with NULLs.
 
-    The many side is on the right, where neither salting nor a runtime split of
-    skewed partitions can cut it.  So the matches come from the salted inner join
-    and the childless parents from an anti join against the distinct child keys.
+    Without hot keys it is the plain join.  With some, the many side is on the right,
+    where neither salting nor a runtime split of skewed partitions can cut it.  So the
+    matches come from the salted inner join and the childless parents from an anti join
+    against the distinct child keys.
     """
+    hot = hot or hot_routes(child, [key])
+    if not hot.lanes:
+        columns = [c for c in child.columns if c != key]
+        found = child.select(F.col(quoted(key)).alias("_child_key"), *map(quoted, columns))
+        return parent.join(
+            found, F.expr(f"{quoted(key)} = _child_key"), "left"
+        ).select(*map(quoted, parent.columns), *map(quoted, columns))
     matched = join_parent(child, parent, key, child_key, hot)
     extra = [c for c in child.columns if c != key]
     columns = [*parent.columns, *extra]

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from siltgate.functions import quoted
 from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
-from siltgate.spec import TableSpec
+from siltgate.spec import KeepFirst, TableSpec
 
 
 class Split(NamedTuple):
@@ -52,16 +52,10 @@ def without_parent(
 
 
 def split_by_parent(
-    child: DataFrame,
-    parent: DataFrame,
-    spec: TableSpec,
-    hot: HotRoutes | None = None,
-    keep: bool = False,
+    child: DataFrame, parent: DataFrame, spec: TableSpec, hot: HotRoutes | None = None
 ) -> Split:
-    """Both sides.  ``keep`` persists the child for callers that read both; they
-    unpersist it.  For large tables write ``tag_parent`` once instead."""
-    if keep:
-        child = child.persist(StorageLevel.MEMORY_AND_DISK)
+    """Both sides.  For large tables write ``tag_parent`` once instead: a caller that
+    reads both sides of a split computes the child twice."""
     return Split(
         with_parent(child, parent, spec, hot), without_parent(child, parent, spec, hot)
     )
@@ -76,7 +70,8 @@ def tag_parent(
 ) -> DataFrame:
     """All child rows plus a boolean: one shuffle of the child gives both sides.
 
-    ``parent`` must be unique on its key, which a cleaned table is.
+    ``parent`` must be unique on its key.  A cleaned table is if its spec keeps the
+    first row of that key, which ``require_unique_parents`` checks.
     """
     column = spec.foreign_key.column
     hot = hot or hot_routes(child, [column])
@@ -86,6 +81,19 @@ def tag_parent(
     return tagged.selectExpr(*map(quoted, child.columns), f"coalesce({flag}, false) AS {flag}")
 
 
+def require_unique_parents(specs: Mapping[str, TableSpec]) -> None:
+    """Refuse specs whose parent tables may repeat the key their children point at."""
+    for spec in specs.values():
+        fk = spec.foreign_key
+        if fk is None:
+            continue
+        steps = specs[fk.parent].steps
+        if not any(isinstance(s, KeepFirst) and s.keys == (fk.parent_key,) for s in steps):
+            raise ValueError(
+                f"{fk.parent} is the parent of {spec.name} and needs KeepFirst(({fk.parent_key!r},))"
+            )
+
+
 def with_reason(
     orphans: DataFrame,
     raw_parent: DataFrame,

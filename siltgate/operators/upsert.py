@@ -21,13 +21,15 @@ def upsert(
 ) -> DataFrame:
     """``base`` with every changed key replaced and every new key added.
 
-    Of several changes to a key the first by ``latest_first`` wins.  Rows of the
-    base with a NULL key are never replaced.  The keys of the changes are measured
-    (one job); up to ``max_bytes`` they are broadcast and the base is not shuffled.
+    Of several changes to a key the first by ``latest_first`` wins.  NULL is a key like
+    any other: a change with a NULL key replaces the rows of the base without one, so
+    the same changes applied twice give what they gave once.  The keys of the changes
+    are measured (one job); up to ``max_bytes`` they are broadcast and the base is not
+    shuffled.
     """
     winners = keep_first(changes, [key], latest_first).select(*base.columns)
-    keys = changes.select(key).filter(f"{quoted(key)} IS NOT NULL").distinct()
+    keys = changes.select(F.col(quoted(key)).alias("_changed")).distinct()
     if measured_bytes(keys) <= max_bytes:
         keys = F.broadcast(keys)
-    untouched = base.join(keys, key, "left_anti").select(*base.columns)
+    untouched = base.join(keys, F.expr(f"{quoted(key)} <=> _changed"), "left_anti")
     return untouched.unionByName(winners)
