@@ -8,7 +8,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltgate.operators.referential import Split, split_by_parent, tag_parent, with_reason
+from siltgate.operators.referential import (
+    Split,
+    require_unique_parents,
+    split_by_parent,
+    tag_parent,
+    with_reason,
+)
 from siltgate.operators.skew import hot_routes
 from siltgate.plans import reports
 from siltgate.plans.cleaning import (
@@ -20,7 +26,7 @@ from siltgate.plans.cleaning import (
     unreadable_dates,
 )
 from siltgate.sources.csv import write_csv
-from siltgate.sources.staging import staging_dir
+from siltgate.sources.staging import staging_dir, written
 from siltgate.sources.tables import create_schema, register_table
 from siltgate.spec import TableSpec
 
@@ -40,12 +46,14 @@ def clean_all(
     arrival: Arrival,
     upto: str | None = None,
 ) -> dict[str, Split]:
-    """Valid and orphaned rows of every table, or of those up to ``upto``, as plans
-    that nothing has run yet.  ``specs`` names a parent before its children.
+    """Valid and orphaned rows of every table, or of those up to ``upto``, as plans.
+    Only the look at the foreign keys of each child runs now, one job over one column.
+    ``specs`` names a parent before its children.
 
     Children are checked against the cleaned parent, so an order of a refused
     customer is an orphan, and so is a payment of a refused or orphaned order.
     """
+    require_unique_parents(specs)
     done: dict[str, Split] = {}
     for name, spec in specs.items():
         kept = clean(raw[name], spec, arrival[name])
@@ -102,8 +110,10 @@ def run_batch(
 ) -> BatchResult:
     """Clean every table once, write it, and build everything else on what is written.
 
-    One job per table: keep-first and the foreign key are its only shuffles, and
-    the rows land in folders ``outcome=clean|orphan|refused`` under ``out_dir`` (by
+    The raw input is read once per table and written as it is to ``out_dir/raw``, from
+    where the look at the foreign keys, the cleaning and the raw count read what they
+    need: text files would be parsed three times.  Then one job cleans each table:
+    keep-first and the foreign key are its only shuffles, and the rows land in folders ``outcome=clean|orphan|refused`` under ``out_dir`` (by
     default a fresh folder under ``spark.checkpoint.dir``).  Children, quarantine,
     counts and reports read those folders, so nothing is computed twice and a lost
     executor never sends a later stage back to the raw files.  Counts come from the
@@ -114,7 +124,9 @@ def run_batch(
     that, let every run have its own ``out_dir``.  ``keep_raw`` adds the text of
     unreadable dates to the quarantine.
     """
+    require_unique_parents(specs)
     out = out_dir or staging_dir(spark, "batch")
+    raw = {name: written(raw[name], f"{out}/raw/{name}") for name in specs}
     staged: dict[str, DataFrame] = {}
     tables: dict[str, DataFrame] = {}
     quarantine: dict[str, DataFrame] = {}

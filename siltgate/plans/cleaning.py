@@ -33,11 +33,13 @@ def clean(
     """Apply the steps of ``spec`` in their order.
 
     ``arrival`` orders the rows of a key (see ``with_arrival`` for files).  The
-    result has the columns of the spec, plus, if ``keep_raw``, ``raw_<column>`` for
-    every date: the original text where no format could read it, else NULL.
+    result has the columns of the spec in their clean types (a value that does not fit
+    becomes NULL), plus, if ``keep_raw``, ``raw_<column>`` for every date: the original
+    text where no format could read it, else NULL.
     """
     extra = _unread(spec) if keep_raw else []
-    return _apply(raw, spec, arrival, mark=False).selectExpr(*_own(spec), *extra)
+    rows = _apply(raw, spec, arrival, mark=False)
+    return rows.selectExpr(*_own(rows, spec), *extra)
 
 
 def clean_tagged(raw: DataFrame, spec: TableSpec, arrival: Sequence[str]) -> DataFrame:
@@ -45,11 +47,17 @@ def clean_tagged(raw: DataFrame, spec: TableSpec, arrival: Sequence[str]) -> Dat
     the name of the rule in ``refused``.  Such a row has used up its key, which a
     later batch of the same table needs to know."""
     rows = _apply(raw, spec, arrival, mark=True)
-    return rows.selectExpr(*_own(spec), *_unread(spec), REFUSED)
+    return rows.selectExpr(*_own(rows, spec), *_unread(spec), REFUSED)
 
 
-def _own(spec: TableSpec) -> list[str]:
-    return [quoted(c) for c in spec.columns]
+def _own(rows: DataFrame, spec: TableSpec) -> list[str]:
+    has = {f.name: f.dataType for f in rows.schema.fields}
+    return [
+        quoted(f.name)
+        if has.get(f.name) == f.clean
+        else f"try_cast({quoted(f.name)} AS {f.clean.simpleString()}) AS {quoted(f.name)}"
+        for f in spec.fields
+    ]
 
 
 def _unread(spec: TableSpec) -> list[str]:
@@ -125,15 +133,21 @@ def refused_rows(
     return refused.select(*spec.columns, "reason")
 
 
-def unreadable_dates(cleaned: DataFrame, spec: TableSpec) -> DataFrame:
+def unreadable_dates(
+    cleaned: DataFrame, spec: TableSpec, context: Sequence[str] = ()
+) -> DataFrame:
     """``(table_name, row_key, column_name, original)`` of dates no format could
-    read.  Takes the output of ``clean(..., keep_raw=True)``."""
+    read, and the ``context`` columns of their rows.  Takes the output of
+    ``clean(..., keep_raw=True)``."""
     lines = ", ".join(
         f"named_struct('column_name', '{c}', 'original', {quoted(raw_name(c))})"
         for c in spec.date_columns
     )
     return cleaned.selectExpr(
-        f"'{spec.name}' AS table_name", f"{quoted(spec.key)} AS row_key", f"inline(array({lines}))"
+        f"'{spec.name}' AS table_name",
+        f"{quoted(spec.key)} AS row_key",
+        *map(quoted, context),
+        f"inline(array({lines}))",
     ).filter("original IS NOT NULL")
 
 

@@ -7,6 +7,7 @@ from siltgate.sources.tables import (
     create_table,
     load_table,
     null_violations,
+    read_month,
     read_table,
     register_table,
     save_table,
@@ -22,6 +23,7 @@ __all__ = [
     "load_table",
     "malformed",
     "null_violations",
+    "read_month",
     "read_table",
     "register_table",
     "save_table",

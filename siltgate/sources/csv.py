@@ -20,12 +20,18 @@ def csv_options(
     mode: str = "PERMISSIVE",
     check_header: bool = False,
     corrupt_column: str | None = None,
+    multi_line: bool = False,
+    skip_unreadable_files: bool = False,
 ) -> tuple[StructType, dict[str, str]]:
     """Schema and reader options, the same for a batch scan and a file stream."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     schema = spec.raw_schema()
     options = {"header": str(header).lower(), "mode": mode, "escape": '"'}
+    if multi_line:
+        options["multiLine"] = "true"
+    if skip_unreadable_files:
+        options |= {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
     if check_header:
         # By default columns bind by position and a reordered file shifts silently.
         options["enforceSchema"] = "false"
@@ -45,15 +51,21 @@ def scan_csv(
     check_header: bool = False,
     corrupt_column: str | None = None,
     null_tokens: Sequence[str] = (),
+    multi_line: bool = False,
+    skip_unreadable_files: bool = False,
 ) -> DataFrame:
     """Read CSV under the declared schema; no inference pass over the files.
 
     ``mode`` decides about cells that do not fit: PERMISSIVE makes them NULL (and
     keeps the line in ``corrupt_column`` if one is named), DROPMALFORMED leaves the
     row out, FAILFAST stops the job.  Empty cells are NULL; ``null_tokens`` are
-    words to be read as NULL too.
+    words to be read as NULL too.  ``multi_line`` reads quoted cells with line breaks
+    whole; each file is then one task, so it is an option and not the rule.  A file that
+    cannot be read stops the job unless ``skip_unreadable_files``.
     """
-    schema, options = csv_options(spec, header, mode, check_header, corrupt_column)
+    schema, options = csv_options(
+        spec, header, mode, check_header, corrupt_column, multi_line, skip_unreadable_files
+    )
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.schema(schema).options(**options).csv(paths)
     if corrupt_column or mode != "PERMISSIVE":
@@ -84,7 +96,11 @@ def malformed(df: DataFrame, corrupt_column: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with CSV files that read back to the same values.
+    """Overwrite ``path`` with CSV files.
+
+    With ``scan_csv(..., multi_line=True)`` they read back to the same values, line
+    breaks included, but for empty text, which CSV does not tell from NULL: it comes back
+    as NULL.  Without that option a cell with a line break is cut in two rows.
 
     Written even if there are no rows, so that an earlier run's quarantine does
     not survive a clean one.  Blanks at the ends of a cell are kept.

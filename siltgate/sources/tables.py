@@ -108,6 +108,11 @@ def write_by_month(df: DataFrame, path: str, date: str) -> None:
     by_month(df, date).write.mode("overwrite").partitionBy("year", "month").parquet(path)
 
 
+def read_month(spark: SparkSession, path: str, year: int, month: int) -> DataFrame:
+    """One month of ``write_by_month``; the other months' folders are not opened."""
+    return spark.read.parquet(path).filter((F.col("year") == year) & (F.col("month") == month))
+
+
 def clustered(df: DataFrame, key: str, unique: str) -> DataFrame:
     """Range-partition and sort by ``key`` so that a filter on it skips files.
 

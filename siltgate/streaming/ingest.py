@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltgate.operators.joins import rows_with_keys
-from siltgate.operators.referential import tag_parent
+from siltgate.operators.referential import tag_parent, with_parent, without_parent
 from siltgate.operators.skew import hot_routes
 from siltgate.plans.batch import OUTCOME
 from siltgate.plans.cleaning import clean_tagged
@@ -29,9 +29,10 @@ def scan_csv_stream(
     header: bool = True,
     mode: str = "PERMISSIVE",
     max_files: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Stream of a growing folder of CSV files, ``max_files`` per micro-batch."""
-    schema, options = csv_options(spec, header, mode)
+    schema, options = csv_options(spec, header, mode, multi_line=multi_line)
     reader = spark.readStream.schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -66,16 +67,22 @@ def clean_new_files(
     whether that row was clean, an orphan or refused.  Rows land in
     ``target/batch_id=N/outcome=...``; a batch that is run again overwrites its own
     folder and ignores it when looking for used keys.  ``arrival`` orders the rows
-    of a key in a batch; by default file path and place in the file.
+    of a key in a batch; by default the time a file was last changed, its path and the
+    place in it.  Files come to batches in order of that time too, so where the batches
+    are cut makes no difference.
+
+    An order that arrives before its customer is an orphan and keeps its key.  Whoever
+    reads the result can have orphans looked up again, see ``read_cleaned``.
 
     History and parent grow and a batch does not: a batch's keys are looked up in
     both by broadcast where they measure small, so that both are only scanned.
     """
     spark = stream.sparkSession
-    order = list(arrival or ["_file", "_block", "_row"])
+    order = list(arrival or ["_time", "_file", "_block", "_row"])
     if arrival is None:
         stream = stream.select(
             "*",
+            F.col("_metadata.file_modification_time").alias("_time"),
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
         )
@@ -114,17 +121,29 @@ def clean_new_files(
     spark.catalog.refreshByPath(target)
 
 
-def read_cleaned(spark: SparkSession, spec: TableSpec, target: str, which: str) -> DataFrame:
-    """Rows of ``clean_new_files`` with the outcome ``clean``, ``orphan`` or ``refused``."""
+def read_cleaned(
+    spark: SparkSession,
+    spec: TableSpec,
+    target: str,
+    which: str,
+    parent: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of ``clean_new_files`` with the outcome ``clean``, ``orphan`` or ``refused``.
+
+    With ``parent``, the parent table of now, orphans whose parent has come since count
+    as clean.  Only the orphans are looked up again.
+    """
     schema = StructType([*spec.clean_schema().fields]).add("outcome", "string").add(
         "batch_id", "long"
     )
-    return (
-        spark.read.schema(schema)
-        .parquet(target)
-        .filter(F.col("outcome") == which)
-        .select(*spec.columns)
-    )
+    stored = spark.read.schema(schema).parquet(target)
+    rows = stored.filter(F.col("outcome") == which).select(*spec.columns)
+    if parent is None or spec.foreign_key is None or which == "refused":
+        return rows
+    orphans = stored.filter("outcome = 'orphan'").select(*spec.columns)
+    if which == "orphan":
+        return without_parent(orphans, parent, spec)
+    return rows.unionByName(with_parent(orphans, parent, spec))
 
 
 def _unseen(rows: DataFrame, spec: TableSpec, target: str, batch_id: int) -> DataFrame:
