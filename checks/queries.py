@@ -37,6 +37,7 @@ from siltgate.plans import (
     unreadable_dates,
 )
 from siltgate.sources.csv import malformed
+from siltgate.spec import retail_specs
 from siltgate.streaming import (
     clean_new_files,
     ingest_new_files,
@@ -113,20 +114,14 @@ def q5_inactive_customers(spark, sf_dir):
 # --- reports on cleaned raw tables ---------------------------------------------------
 
 
-def _kept(spark: SparkSession, sf_dir: str, upto: str) -> list[DataFrame]:
-    """Cleaned tables before the foreign-key check.
-
-    A report that joins on the key does the check itself: an orphaned order finds no
-    customer, and a payment of an order that is not there pays none.  That spares a
-    shuffle of the orders and, for payments, cleaning the orders a second time.
-    """
-    raw = inputs.raw_tables(spark, sf_dir, upto)
-    return [clean(rows, SPECS[name], ARRIVAL[name]) for name, rows in raw.items()]
+def _cleaned(spark: SparkSession, sf_dir: str, upto: str) -> list[DataFrame]:
+    """Clean and checked tables, as a user of the reports has them."""
+    return [split.valid for split in _splits(spark, sf_dir, upto).values()]
 
 
 @query
 def q1_clean(spark, sf_dir):
-    return reports.revenue_per_customer(*_kept(spark, sf_dir, "orders"))
+    return reports.revenue_per_customer(*_cleaned(spark, sf_dir, "orders"))
 
 
 @query
@@ -136,17 +131,17 @@ def q2_clean(spark, sf_dir):
 
 @query
 def q3_clean(spark, sf_dir):
-    return reports.unpaid_customers(*_kept(spark, sf_dir, "payments"))
+    return reports.unpaid_customers(*_cleaned(spark, sf_dir, "payments"))
 
 
 @query
 def q4_clean(spark, sf_dir):
-    return reports.top_customers(*_kept(spark, sf_dir, "orders"))
+    return reports.top_customers(*_cleaned(spark, sf_dir, "orders"))
 
 
 @query
 def q5_clean(spark, sf_dir):
-    return reports.inactive_customers(*_kept(spark, sf_dir, "orders"), as_of=AS_OF)
+    return reports.inactive_customers(*_cleaned(spark, sf_dir, "orders"), as_of=AS_OF)
 
 
 # --- scans -----------------------------------------------------------------------
@@ -162,9 +157,35 @@ for name in SPECS:
     QUERIES[f"scan_csv_{name}"] = partial(_csv_round_trip, name)
 
 
+@query
+def scan_csv_by_position(spark, sf_dir):
+    """INT keys, columns bound by position under a header with other names."""
+    path = sources.staging_dir(spark, "csv-position")
+    columns = retail_specs()["orders"].columns
+    rows = inputs.raw_orders(spark, sf_dir).select(*columns)
+    sources.write_csv(rows.toDF(*[f"c{k}" for k in range(len(columns))]), path)
+    return sources.scan_csv(spark, path, retail_specs()["orders"])
+
+
 @query
 def malformed_rows(spark, sf_dir):
     """Order lines as text, some with a word for an amount or a cell too many."""
+    path = _messy_lines(spark, sf_dir)
+    read = sources.scan_csv(
+        spark, path, SPECS["orders"], header=False, corrupt_column="bad_line"
+    )
+    return malformed(read, "bad_line").select("order_id", "customer_id", "amount", "bad_line")
+
+
+@query
+def wellformed_rows(spark, sf_dir):
+    """The same lines without those that do not fit."""
+    path = _messy_lines(spark, sf_dir)
+    read = sources.scan_csv(spark, path, SPECS["orders"], header=False, mode="DROPMALFORMED")
+    return read.select("order_id", "customer_id", "amount", "status")
+
+
+def _messy_lines(spark: SparkSession, sf_dir: str) -> str:
     order = F.col("order_id")
     price = F.col("amount").cast("decimal(15,2)").cast("string")
     amount = F.when(order % 50 == 7, F.lit("abc")).otherwise(price)
@@ -178,20 +199,33 @@ def malformed_rows(spark, sf_dir):
     )
     path = sources.staging_dir(spark, "malformed")
     inputs.native_orders(spark, sf_dir).select(line.alias("value")).write.text(path)
-    read = sources.scan_csv(
-        spark, path, SPECS["orders"], header=False, corrupt_column="bad_line"
-    )
-    return malformed(read, "bad_line").select("order_id", "customer_id", "amount", "bad_line")
+    return path
 
 
 # --- sinks -----------------------------------------------------------------------
 
 
+@query
+def quarantine_text_csv(spark, sf_dir):
+    """Cells with line breaks, quotes, commas and blanks, written and read back."""
+    path = sources.staging_dir(spark, "text-csv")
+    messy = inputs.raw_customers(spark, sf_dir).withColumn(
+        "name",
+        F.expr(
+            """CASE customer_id % 6 WHEN 0 THEN name || chr(10) || 'b'
+            WHEN 1 THEN name || chr(13) || chr(10) || 'c' WHEN 2 THEN name || ',"q"'
+            WHEN 3 THEN '' WHEN 4 THEN ' ' || name || ' ' ELSE name END"""
+        ),
+    )
+    sources.write_csv(messy.select(*SPECS["customers"].columns), path)
+    return sources.scan_csv(spark, path, SPECS["customers"], multi_line=True)
+
+
 def _quarantine_csv(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sources.staging_dir(spark, f"quarantine-{name}")
     orphans = _orphans(name, spark, sf_dir)
     sources.write_csv(orphans, path)
-    return spark.read.schema(orphans.schema).csv(path, header=True)
+    return spark.read.schema(orphans.schema).csv(path, header=True, multiLine=True)
 
 
 for name in ("orders", "payments"):
@@ -225,6 +259,42 @@ def ddl_create_tables(spark, sf_dir):
     return sources.read_table(spark, table)
 
 
+@query
+def ddl_replace_tables(spark, sf_dir):
+    """All three tables declared, loaded, dropped and declared anew, loaded again."""
+    schema = _fresh_schema(spark)
+    found = None
+    for name, source in (
+        ("customers", inputs.customers),
+        ("orders", inputs.orders),
+        ("payments", inputs.payments),
+    ):
+        table, spec = f"{schema}.{name}", SPECS[name]
+        rows = source(spark, sf_dir)
+        missing = [c for c in spec.columns if c not in rows.columns]
+        rows = rows.select(
+            "*", *[F.lit(None).cast(spec.clean_schema()[c].dataType).alias(c) for c in missing]
+        )
+        for _ in range(2):
+            sources.create_table(spark, spec, table)
+            sources.load_table(rows, table)
+        part = sources.read_table(spark, table).select(
+            F.lit(name).alias("table_name"), F.col(spec.key).alias("row_key")
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query
+def partitioned_orders_month(spark, sf_dir):
+    """One month out of the table that is laid out by month."""
+    path = sources.staging_dir(spark, "by-month")
+    sources.write_by_month(inputs.orders(spark, sf_dir), path, "order_date")
+    return sources.read_month(spark, path, 1995, 3).select(
+        *SPECS["orders"].columns, "year", "month"
+    )
+
+
 @query
 def partitioned_orders(spark, sf_dir):
     path = sources.staging_dir(spark, "by-month")
@@ -278,6 +348,14 @@ def unparsed_dates(spark, sf_dir):
     return report
 
 
+@query
+def unparsed_customer_dates(spark, sf_dir):
+    """Unreadable dates with the name that tells whose they are."""
+    spec = SPECS["customers"]
+    rows = clean(inputs.raw_customers(spark, sf_dir), spec, ARRIVAL["customers"], keep_raw=True)
+    return unreadable_dates(rows, spec, context=["name"])
+
+
 def _parse_dates(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = SPECS[name]
     column = spec.date_columns[0]
@@ -432,6 +510,19 @@ def hot_key_join(spark, sf_dir):
     return join_parent(lines, states, "payment_status", "payment_id", hot)
 
 
+@query
+def hot_key_join_mixed_types(spark, sf_dir):
+    """Order amounts in cents as DECIMAL to a parent with INT keys, hot keys in lanes."""
+    orders = inputs.native_orders(spark, sf_dir).selectExpr(
+        "order_id", "CAST(IF(order_id % 3 = 0, 7, customer_id % 50) AS DECIMAL(12,2)) AS grp"
+    )
+    groups = spark.range(40).selectExpr("CAST(id AS INT) AS grp", "concat('g', id) AS name")
+    hot = hot_routes(orders, ["grp"], min_rows=100, lane_rows=50)
+    return join_parent(orders, groups, "grp", "order_id", hot).selectExpr(
+        "order_id", "CAST(grp AS INT) AS grp", "name"
+    )
+
+
 # --- cleaning and reports about it -----------------------------------------------------
 
 
@@ -470,6 +561,21 @@ def whole_run_top_customers(spark, sf_dir):
     return reports.top_customers(tables["customers"], tables["orders"])
 
 
+def _whole_run(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
+    result = run_batch(spark, inputs.raw_tables(spark, sf_dir), SPECS, ARRIVAL, as_of=AS_OF)
+    return result.reports()[report]
+
+
+@query
+def whole_run_unpaid_customers(spark, sf_dir):
+    return _whole_run(spark, sf_dir, "unpaid_customers")
+
+
+@query
+def whole_run_inactive_customers(spark, sf_dir):
+    return _whole_run(spark, sf_dir, "inactive_customers")
+
+
 def _order_rules() -> dict:
     return {
         "amount_valid": not_negative("amount"),
@@ -506,7 +612,8 @@ def _drop_files(spark: SparkSession, sf_dir: str, path: str, seq: int) -> None:
 @query
 def stream_ingest_orders(spark, sf_dir):
     landing, target = (sources.staging_dir(spark, p) for p in ("landing", "ingested"))
-    _drop_files(spark, sf_dir, landing, 0)
+    for seq in (0, 1):
+        _drop_files(spark, sf_dir, landing, seq)
     ingest_new_files(scan_csv_stream(spark, landing, SPECS["orders"]), target)
     return spark.read.schema(SPECS["orders"].raw_schema()).parquet(target)
 
@@ -538,3 +645,21 @@ def stream_clean_orders(spark, sf_dir):
             parent=parent,
         )
     return read_cleaned(spark, SPECS["orders"], target, "clean")
+
+
+@query
+def stream_late_parent(spark, sf_dir):
+    """Orders that came before half of the customers, read when all customers are there."""
+    landing, target = (sources.staging_dir(spark, p) for p in ("landing", "cleaned"))
+    customers = sources.written(
+        _valid("customers", spark, sf_dir), sources.staging_dir(spark, "parent")
+    )
+    for seq in (0, 1):
+        _drop_files(spark, sf_dir, landing, seq)
+    clean_new_files(
+        scan_csv_stream(spark, landing, SPECS["orders"]),
+        SPECS["orders"],
+        target,
+        parent=customers.filter("customer_id % 2 = 0"),
+    )
+    return read_cleaned(spark, SPECS["orders"], target, "clean", parent=customers)

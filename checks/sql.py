@@ -177,6 +177,17 @@ _SELECTS = {
     "q5_clean": _inactive("clean_customers", "clean_orders"),
     "whole_run_revenue": _revenue("clean_customers", "clean_orders", "completed"),
     "whole_run_top_customers": _top("clean_customers", "clean_orders", "completed"),
+    "whole_run_unpaid_customers": _unpaid("clean_customers", "clean_orders", "clean_payments"),
+    "whole_run_inactive_customers": _inactive("clean_customers", "clean_orders"),
+    "wellformed_rows": """SELECT order_id, customer_id,
+        CAST(CAST(amount AS DECIMAL(15, 2)) AS DOUBLE) AS amount, status
+        FROM dom_native_orders WHERE order_id % 50 NOT IN (7, 8)""",
+    "scan_csv_by_position": """SELECT CAST(order_id AS INT) AS order_id,
+        CAST(customer_id AS INT) AS customer_id, order_date, amount, status FROM raw_orders""",
+    "quarantine_text_csv": """SELECT customer_id, CASE customer_id % 6
+            WHEN 0 THEN name || chr(10) || 'b' WHEN 1 THEN name || chr(13) || chr(10) || 'c'
+            WHEN 2 THEN name || ',"q"' WHEN 3 THEN NULL WHEN 4 THEN ' ' || name || ' '
+            ELSE name END AS name, signup_date, country FROM raw_customers""",
     "malformed_rows": """SELECT order_id, customer_id,
         CASE WHEN order_id % 50 = 8 THEN amount END AS amount,
         order_id || ',' || customer_id || ',2024-01-15,'
@@ -185,6 +196,11 @@ _SELECTS = {
             || ',' || status || CASE WHEN order_id % 50 = 8 THEN ',extra' ELSE '' END AS bad_line
         FROM dom_native_orders WHERE order_id % 50 IN (7, 8)""",
     "ddl_create_tables": "SELECT * FROM dom_orders",
+    "ddl_replace_tables": """SELECT 'customers' AS table_name, customer_id AS row_key
+        FROM dom_customers UNION ALL SELECT 'orders', order_id FROM dom_orders
+        UNION ALL SELECT 'payments', payment_id FROM dom_payments""",
+    "partitioned_orders_month": """SELECT *, 1995 AS year, 3 AS month FROM dom_orders
+        WHERE year(order_date) = 1995 AND month(order_date) = 3""",
     "partitioned_orders": """SELECT *, CAST(year(order_date) AS INT) AS year,
         CAST(month(order_date) AS INT) AS month FROM dom_orders""",
     "clustered_orders": "SELECT * FROM dom_orders",
@@ -203,6 +219,9 @@ _SELECTS = {
         WHERE amount >= 0 AND order_date IS NOT NULL AND {_parsed("order_date")} IS NULL
         UNION ALL SELECT 'payments', payment_id, 'payment_date', payment_date FROM first_payments
         WHERE payment_date IS NOT NULL AND {_parsed("payment_date")} IS NULL""",
+    "unparsed_customer_dates": f"""SELECT 'customers' AS table_name, customer_id AS row_key,
+        name, 'signup_date' AS column_name, signup_date AS original FROM first_customers
+        WHERE signup_date IS NOT NULL AND {_parsed("signup_date")} IS NULL""",
     "normalise_country": f"SELECT customer_id, {_titled('country')} AS country FROM raw_customers",
     "normalise_order_status": "SELECT order_id, lower(trim(status)) AS status FROM raw_orders",
     "normalise_payment_status": """SELECT payment_id,
@@ -237,6 +256,9 @@ _SELECTS = {
     "broadcast_join": """SELECT o.*, c.name FROM dom_customers c
         JOIN dom_native_orders o ON c.customer_id = o.customer_id""",
     "hot_key_join": """SELECT *, payment_status = 'success' AS settled FROM dom_payments""",
+    "hot_key_join_mixed_types": """SELECT order_id, grp, 'g' || grp AS name FROM (
+        SELECT order_id, CAST(CASE WHEN order_id % 3 = 0 THEN 7 ELSE customer_id % 50 END AS INT)
+            AS grp FROM dom_native_orders) o WHERE grp < 40""",
     "refused_customers": """SELECT customer_id, name, signup_date, country,
         'missing_name' AS reason FROM raw_customers WHERE name IS NULL
         UNION ALL SELECT customer_id, name, signup_date, country, 'duplicate'
@@ -262,7 +284,8 @@ _SELECTS = {
     "not_null_violations": """SELECT 'customer_id' AS "column",
         count(*) FILTER (customer_id IS NULL) AS nulls FROM raw_customers
         UNION ALL SELECT 'name', count(*) FILTER (name IS NULL) FROM raw_customers""",
-    "stream_ingest_orders": f"SELECT {_COLUMNS['orders']} FROM raw_orders WHERE seq = 0",
+    "stream_ingest_orders": f"SELECT {_COLUMNS['orders']} FROM raw_orders",
+    "stream_late_parent": "SELECT * FROM clean_orders",
     "stream_rerun_idempotent": f"SELECT {_COLUMNS['orders']} FROM raw_orders",
     "stream_clean_orders": "SELECT * FROM clean_orders",
 }
