@@ -169,10 +169,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORD
         .select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text"))
         .distinct()
     )
-    return docs.join(
-        bad,
-        docs["doc_id"].eqNullSafe(F.col("_bad_id"))
-        & (F.xxhash64(docs["text"]) == F.col("_bad_text")),
+    return docs.alias("d").join(
+        bad.alias("bad"),
+        F.expr("d.doc_id <=> bad._bad_id AND xxhash64(d.text) = bad._bad_text"),
         "left_anti",
     )
 

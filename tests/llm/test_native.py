@@ -1,0 +1,130 @@
+"""Decontamination and licences: DataFrame functions only, against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from siltgate.llm import decontamination as dc
+from siltgate.llm import licenses
+from tests.llm.helpers import documents, odd_texts, sentence
+
+_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+_LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+
+
+def words(text):
+    return _WORD.findall(text.translate(_LOWER)) if text else []
+
+
+def brute(docs, items, n=13):
+    grams = {}
+    for item, text in items:
+        w = words(text)
+        k = min(n, len(w))
+        for i in range(len(w) - k + 1) if w else ():
+            grams.setdefault(tuple(w[i : i + k]), set()).add(str(item))
+    out = []
+    for doc_id, text in docs:
+        w, hit, found = words(text), set(), set()
+        for k in {len(g) for g in grams}:
+            for i in range(len(w) - k + 1):
+                ids = grams.get(tuple(w[i : i + k]))
+                if ids:
+                    hit.update(range(i, i + k))
+                    found |= ids
+        sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(found), sha, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+def cases():
+    draw = random.Random(4)
+    items = [(i, sentence(draw, 13 + 3 * i)) for i in range(6)]
+    items += [(7, "Short item, of SEVEN words: it is."), (8, None), (9, "..."), (10, items[2][1]), (11, "one")]
+    docs = [(i, t) for i, t in enumerate(odd_texts(draw))]
+    for i, (_, text) in enumerate(items[:6]):
+        docs.append((100 + i, sentence(draw, 30) + " " + text.upper().replace(" ", ", ") + " " + sentence(draw, 400 * i)))
+        docs.append((200 + i, " ".join(text.split()[:12])))
+    docs += [(300, "short item of seven words it is"), (301, "zero one two"), (302, "One"), (None, items[3][1])]
+    docs += [(300, items[4][1]), docs[-1], docs[-1]]
+    return docs, items
+
+
+@pytest.mark.parametrize("limit", [0, dc.BROADCAST_WINDOWS])
+def test_decontamination_equals_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(dc, "BROADCAST_WINDOWS", limit)
+    docs, items = cases()
+    df = documents(spark, docs, extra=True)
+    benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS size", "2 AS gram")
+    got = dc.digest(df, benchmark).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(docs, items)
+    kept = dc.remove_documents(df, benchmark)
+    assert kept.columns == df.columns
+    assert kept.count() == sum(not r[5] for r in brute(docs, items))
+
+
+def test_spans_go_and_the_rest_stays(spark):
+    item = " ".join(f"t{i}" for i in range(13))
+    docs = documents(spark, [(1, f"Before, it. {item}! After: it;"), (2, "Left - as it is."), (3, None)])
+    got = dc.remove_spans(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {r.doc_id: (r.text, r.n_removed) for r in got.collect()} == {
+        1: ("Before, it! After: it;", 13),
+        2: ("Left - as it is.", 0),
+        3: (None, 0),
+    }
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    docs = documents(spark, ["a b c", None])
+    assert [(r.n_words, r.n_hit, r.contaminated) for r in dc.digest(docs, none).collect()] == [(3, 0, False), (0, 0, False)]
+    some = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert dc.digest(documents(spark, []), some).collect() == []
+
+
+def test_native_plans_have_no_python(spark, plan):
+    docs = documents(spark, ["a b c"])
+    some = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    for df in (dc.digest(docs, some), licenses.scan(licenses.documents_as_files(docs))):
+        text = plan(df)
+        assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+        assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_licences_and_their_directories(spark):
+    rows = [
+        ("a/LICENSE", "Released under the MIT License."),
+        ("a/x.py", "Some code without a notice."),
+        ("a/b/y.py", "# Licensed under the Apache License, Version 2.0.\n" + "code line " * 40),
+        ("a/b/z.py", None),
+        ("a/b/c/COPYING", "This work is licensed under the GNU General Public License, version 3."),
+        ("a/b/c/w.py", ""),
+        ("a/b/c/d/v.py", "text"),
+        ("ab/u.py", "the driver licence of the day was lost and never found again by anyone here"),
+        ("top.py", "x"),
+        (None, "y"),
+        ("a/x.py", "Some code without a notice."),
+    ]
+    files = spark.createDataFrame(rows, "path string, text string").selectExpr("*", "1 AS license", "2 AS block", "3 AS dir")
+    got = sorted(((r.path, r.license, r.origin, r.from_dir) for r in licenses.scan(files).collect()), key=repr)
+    assert got == sorted(
+        [
+            ("a/LICENSE", "MIT", "file", None),
+            ("a/x.py", "MIT", "inherited", "a"),
+            ("a/x.py", "MIT", "inherited", "a"),
+            ("a/b/y.py", "Apache-2.0", "header", None),
+            ("a/b/z.py", "MIT", "inherited", "a"),
+            ("a/b/c/COPYING", "GPL-3.0", "file", None),
+            ("a/b/c/w.py", "GPL-3.0", "inherited", "a/b/c"),
+            ("a/b/c/d/v.py", "GPL-3.0", "inherited", "a/b/c"),
+            ("ab/u.py", None, "none", None),
+            ("top.py", None, "none", None),
+            (None, None, "none", None),
+        ],
+        key=repr,
+    )
+    assert licenses.scan(files.limit(0)).collect() == []
