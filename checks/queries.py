@@ -413,7 +413,10 @@ for name in SPECS:
 @query
 def dedup_documents(spark, sf_dir):
     return keep_first(
-        inputs.table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"], ["doc_id"]
+        inputs.table(spark, sf_dir, "documents").select("doc_id", "text"),
+        ["text"],
+        ["doc_id"],
+        by_hash=True,
     )
 
 

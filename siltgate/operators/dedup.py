@@ -11,7 +11,9 @@ from siltgate.functions import quoted
 from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], by_hash: bool = False
+) -> DataFrame:
     """The first row of every key; rows whose key is NULL are one group.
 
     ``order_by`` holds SQL sort terms (``"seq"``, ``"version DESC"``) that have to
@@ -19,10 +21,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     chance.  The filter sits right on the row number, so Spark keeps one row per
     key and task before the shuffle: a key with a third of all rows sends one row
     per task, not the rows.
+
+    ``by_hash`` is for long keys such as whole texts: rows are sorted by a hash first,
+    and the keys themselves are compared only where hashes are equal.
     """
     if not order_by:
         raise ValueError("keep_first needs an order; see with_arrival for files")
     by = ", ".join(quoted(key) for key in keys)
+    if by_hash:
+        by = f"xxhash64({by}), {by}"
     place = f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(order_by)}) AS _place"
     return df.selectExpr("*", place).filter("_place = 1").drop("_place")
 
