@@ -35,12 +35,12 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, p_low_quality, is_low_quality, p_toxic, is_toxic, kept``."""
+    """``doc_id, p_low_quality, p_toxic, is_toxic, kept`` (not toxic)."""
     docs = table(spark, sf_dir, "documents")
     chain = toxicity_chain(docs, table(spark, sf_dir, "labels"))
     return (
         docs.select("doc_id", toxicity.score(chain, F.col("text")).alias("s"))
-        .select("doc_id", "s.*")
+        .select("doc_id", "s.p_low_quality", "s.p_toxic", "s.is_toxic")
         .withColumn("kept", ~F.col("is_toxic"))
     )
 
