@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from siltgate.sources import staging_dir, written
 
 MAX_ROUNDS = 60
+TASK_EDGES = 200_000
+MIN_TASKS = 6
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -35,7 +37,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if before == seen or not seen["n"]:
             break
         before = seen
-        stars = written(_small_star(_large_star(stars)), staging_dir(spark, "stars"))
+        tasks = max(MIN_TASKS, seen["n"] // TASK_EDGES)
+        stars = written(
+            _small_star(_large_star(stars, tasks), tasks), staging_dir(spark, "stars")
+        )
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return (
@@ -44,21 +49,32 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     )
 
 
-def _large_star(stars: DataFrame) -> DataFrame:
-    both = stars.unionByName(stars.selectExpr("v AS u", "u AS v"))
+# A round is several small shuffles.  ``coalesce`` lets one task read many of their
+# partitions where there are few edges; it never makes a task larger than TASK_EDGES
+# would and does nothing where there are many.
+
+
+def _large_star(stars: DataFrame, tasks: int) -> DataFrame:
+    both = stars.unionByName(stars.selectExpr("v AS u", "u AS v")).coalesce(tasks)
     least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u AS c", "least(u, m) AS m")
     return (
         both.filter("v > u")
-        .join(least, F.col("u") == F.col("c"))
+        .join(least.coalesce(tasks), F.col("u") == F.col("c"))
         .selectExpr("v AS u", "m AS v")
         .filter("u > v")
+        .coalesce(tasks)
         .distinct()
+        .coalesce(tasks)
     )
 
 
-def _small_star(stars: DataFrame) -> DataFrame:
-    least = stars.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "c")
+def _small_star(stars: DataFrame, tasks: int) -> DataFrame:
+    least = stars.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "c").coalesce(tasks)
     moved = stars.join(least, F.col("u") == F.col("c")).selectExpr("v AS u", "m AS v")
     return (
-        moved.filter("u > v").unionByName(least.selectExpr("c AS u", "m AS v")).distinct()
+        moved.filter("u > v")
+        .coalesce(tasks)
+        .unionByName(least.selectExpr("c AS u", "m AS v"))
+        .distinct()
+        .coalesce(tasks)
     )

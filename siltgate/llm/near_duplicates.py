@@ -101,6 +101,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             out = chunk[["v"]].assign(set=[s.tobytes() for s in sets])
             yield out[[len(s) > 0 and _set_hash(s) == v for s, v in zip(sets, chunk["v"], strict=True)]]
 
+    wanted = written(wanted, staging_dir(docs.sparkSession, "wanted"))
     small = wanted.count() <= BROADCAST_IDS
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(wanted) if small else wanted, "doc_id"
@@ -148,8 +149,11 @@ def _blocks(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     largest (sides 0 and 1) or against one of the smaller (0 and 1, or 2 for a block
     against itself).
     """
-    here = buckets.join(labels, "v", "left").selectExpr(
-        "key", "band", "v", "coalesce(label, v) AS label"
+    here = written(
+        buckets.join(labels, "v", "left").selectExpr(
+            "key", "band", "v", "coalesce(label, v) AS label"
+        ),
+        staging_dir(buckets.sparkSession, "labelled"),
     )
     mixed = (
         here.groupBy("key", "label")
@@ -315,12 +319,13 @@ def near_duplicates(
         _rest_of_links(docs, ids, buckets.drop("center"), sigs, labels, width, percent, limits, rows),
         staging_dir(spark, "links"),
     )
-    labels = connected_components(links.unionByName(more))
-    return _components(classes, labels)
+    if not more.isEmpty():
+        contracted = labels.selectExpr("v AS a", "label AS b")
+        labels = connected_components(contracted.unionByName(more))
+    return _components(classes, one.selectExpr("v", "doc_id AS least"), labels)
 
 
-def _components(classes: DataFrame, labels: DataFrame) -> DataFrame:
-    ids = classes.filter("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("least"))
+def _components(classes: DataFrame, ids: DataFrame, labels: DataFrame) -> DataFrame:
     # Few classes are linked at all; the others are components of their own.
     linked = labels.join(ids, "v")
     named = linked.groupBy("label").agg(F.min("least").alias("component_id"))
@@ -353,4 +358,5 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
         .select(F.col("doc_id").alias("_gone"))
         .distinct()
     )
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    same = F.expr("CAST(d.doc_id AS BIGINT) = gone._gone")
+    return docs.alias("d").join(gone.alias("gone"), same, "left_anti")
