@@ -31,7 +31,7 @@ from siltgate.sources import staging_dir, written
 CAPACITY = 1024
 END_ID = 2
 SPECIAL = "<|endoftext|>"
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 10_000
 _MERGED_ALIKE = 0x0250  # below: Latin letters, where both libraries cut words alike
 
 
