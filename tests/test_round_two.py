@@ -10,7 +10,13 @@ from pyspark.sql.types import DateType, IntegerType, StringType
 
 from checks.inputs import ARRIVAL, SPECS, raw_tables
 from siltgate import sources
-from siltgate.operators import repeated_rows, upsert, with_arrival, with_value
+from siltgate.operators import (
+    left_join_children,
+    repeated_rows,
+    upsert,
+    with_arrival,
+    with_value,
+)
 from siltgate.operators.skew import NO_HOT_KEYS
 from siltgate.plans import clean, run_batch
 from siltgate.spec import Field, KeepFirst, TableSpec, retail_specs
@@ -140,3 +146,16 @@ def test_unreadable_files_stop_the_job_or_are_skipped(spark, tmp_path):
 def test_a_column_with_a_dot(spark):
     df = spark.createDataFrame([(1,), (2,)], "`a.b` int")
     assert with_value(df, "a.b", 2).count() == 1
+
+
+def test_a_left_join_without_hot_keys_is_one_join(spark, plan):
+    parent = spark.range(5).selectExpr("id AS k", "id AS name")
+    child = spark.range(20).selectExpr("id % 3 AS k", "id AS c")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left_join_children(parent, child, "k", "c", NO_HOT_KEYS)
+        text = plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("SortMergeJoin") == 1 and text.count("Exchange hash") == 2
+    assert joined.count() == 22 and joined.columns == ["k", "name", "c"]
