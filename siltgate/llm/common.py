@@ -53,6 +53,31 @@ def _runs(values: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
+def whole_groups(
+    batches: Iterator[pd.DataFrame], keys: tuple[str, ...]
+) -> Iterator[pd.DataFrame]:
+    """Groups of rows with equal ``keys`` from batches that are sorted by them.
+
+    A batch may end within a group; its last group waits for the next batch.
+    """
+    rest = None
+    for batch in batches:
+        if rest is not None:
+            batch = pd.concat([rest, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        new = np.zeros(len(batch), dtype=bool)
+        for key in keys:
+            values = batch[key].to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        starts = [0, *np.flatnonzero(new).tolist()]
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield batch.iloc[a:b]
+        rest = batch.iloc[starts[-1] :]
+    if rest is not None and len(rest):
+        yield rest
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """Lower-case A-Z, then words between space, tab, LF, VT, FF and CR.
 

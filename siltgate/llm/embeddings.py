@@ -28,14 +28,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.llm.common import hash64, whole_groups
 from siltgate.llm.components import connected_components
 from siltgate.sources import staging_dir, written
 
 THRESHOLD = 0.95
-CELL_VECTORS = 2000
+CELL_VECTORS = 4000
 MAX_CELLS = 4096
 SAMPLE = 40_000
-BLOCK = 1024
+BLOCK = 4096
+#: Rows of a block that are multiplied at a time.
+_STRIP = 512
 REACH = 5.0
 
 
@@ -46,7 +49,9 @@ def fit_centres(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     k = min(k, len(x))
     centres = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
     for _ in range(rounds):
-        home = np.concatenate([(x[i : i + 8192] @ centres.T).argmax(axis=1) for i in range(0, len(x), 8192)])
+        home = np.concatenate(
+            [(x[i : i + 8192] @ centres.T).argmax(axis=1) for i in range(0, len(x), 8192)]
+        )
         order = np.argsort(home, kind="stable")
         starts = np.searchsorted(home[order], np.arange(k))
         sums = np.add.reduceat(np.vstack([x[order], np.zeros((1, x.shape[1]))]), starts, axis=0)
@@ -60,7 +65,9 @@ def _units(rows) -> list[np.ndarray | None]:
     """Unit vectors in double precision; None for NULL, zero and non-finite ones."""
     out = []
     for row in rows:
-        x = None if row is None else np.array([np.nan if v is None else v for v in row], dtype=float)
+        x = None
+        if row is not None:
+            x = np.array([np.nan if v is None else v for v in row], dtype=float)
         # Scaled by the largest component first, so that no square overflows.
         top = np.abs(x).max() if x is not None and len(x) else 0.0
         good = np.isfinite(top) and top > 0 and np.isfinite(x).all()
@@ -74,14 +81,14 @@ def _classes(vectors: DataFrame, dim: int) -> DataFrame:
             units = _units(batch["embedding"])
             units = [u if u is not None and len(u) == dim else None for u in units]
             packed = [None if u is None else u.tobytes() for u in units]
-            hashed = pd.util.hash_array(np.array([p or b"" for p in packed] + [b""], dtype=object))
+            hashed = hash64([p or b"" for p in packed]).view(np.int64)
+            names = [
+                None if p is None else int(h) for p, h in zip(packed, hashed, strict=True)
+            ]
             yield pd.DataFrame(
                 {
                     "vec_id": batch["vec_id"].astype("Int64"),
-                    "v": pd.array(
-                        [None if p is None else int(h) for p, h in zip(packed, hashed.view(np.int64)[:-1], strict=True)],
-                        dtype="Int64",
-                    ),
+                    "v": pd.array(names, dtype="Int64"),
                     "x": packed,
                 }
             )
@@ -136,67 +143,69 @@ def _parts(placed: DataFrame) -> DataFrame:
 
 
 def block_links(
-    left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, threshold: float, itself: bool
+    left: np.ndarray,
+    right: np.ndarray,
+    n_left: np.ndarray,
+    n_right: np.ndarray,
+    threshold: float,
+    itself: bool,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """For the rows of both sides (left, then right): number of links and a row of their component."""
+    """Number of links of each row, left rows before right ones, and a row of its component.
+
+    ``n_left`` and ``n_right`` say how many equal vectors a row stands for; ``itself``
+    that both sides are the same block.
+    """
     a, b = len(left), len(right)
-    near = left @ right.T >= threshold
+    near = np.empty((a, b), dtype=bool)
+    for k in range(0, a, _STRIP):
+        near[k : k + _STRIP] = left[k : k + _STRIP] @ right.T >= threshold
     if itself:
         np.fill_diagonal(near, False)
-        links = near @ n_right
-        i, j = np.nonzero(np.triu(near))
-        total = a
-    else:
-        links = np.concatenate((near @ n_right, n_left @ near))
-        i, j = np.nonzero(near)
-        j = j + a
-        total = a + b
+    rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    total = a if itself else a + b
+    at_row, at_column = rows, columns if itself else a + columns
+    near = near[np.ix_(rows, columns)]
+    links = np.zeros(total, dtype=np.int64)
+    links[at_row] = near @ n_right[columns]
+    if not itself:
+        links[at_column] = n_left[rows] @ near
     label = np.arange(total)
-    while len(i):
-        least = np.minimum(label[i], label[j])
+    while len(rows):
         new = label.copy()
-        np.minimum.at(new, i, least)
-        np.minimum.at(new, j, least)
+        for k in range(0, len(rows), _STRIP):
+            some, at = near[k : k + _STRIP], at_row[k : k + _STRIP]
+            of_rows = np.where(some, label[at_column], total).min(axis=1)
+            of_columns = np.where(some, label[at][:, None], total).min(axis=0)
+            new[at] = np.minimum(new[at], of_rows)
+            new[at_column] = np.minimum(new[at_column], of_columns)
         new = new[new]
         if (new == label).all():
             break
         label = new
-    return links.astype(np.int64), label
+    return links, label
 
 
 def _compare(parts: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in _then_none(batches):
-            if batch is not None:
-                rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if rest is None or not len(rest):
-                continue
-            new = (rest["cell"].diff() != 0) | (rest["part"].diff() != 0)
-            starts = np.flatnonzero(new.to_numpy())
-            ends = [*starts[1:], len(rest)]
-            whole = len(starts) if batch is None else len(starts) - 1
-            for s, e in zip(starts[:whole], ends[:whole], strict=True):
-                found = _one(rest.iloc[s:e])
-                if len(found):
-                    yield found
-            rest = rest.iloc[starts[whole] :] if whole < len(starts) else None
-
-    def _then_none(batches):
-        yield from batches
-        yield None
-
-    def _one(part: pd.DataFrame) -> pd.DataFrame:
+        for part in whole_groups(batches, ("cell", "part")):
+            found = one(part)
+            if len(found):
+                yield found
+
+    def one(part: pd.DataFrame) -> pd.DataFrame:
         side, v, n = (part[c].to_numpy() for c in ("side", "v", "n"))
         x = np.frombuffer(b"".join(part["x"]), float).reshape(len(part), -1)
         itself = bool((side == 2).any())
-        first, second = (np.flatnonzero(side == 2),) * 2 if itself else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        first = np.flatnonzero(side == (2 if itself else 0))
+        second = first if itself else np.flatnonzero(side == 1)
         if not len(first) or not len(second):
             return pd.DataFrame({"v": [], "n_links": [], "w": []})
         links, label = block_links(x[first], x[second], n[first], n[second], threshold, itself)
         rows = first if itself else np.concatenate((first, second))
         hit = links > 0
-        return pd.DataFrame({"v": v[rows[hit]], "n_links": links[hit], "w": v[rows[label[hit]]]})
+        return pd.DataFrame(
+            {"v": v[rows[hit]], "n_links": links[hit], "w": v[rows[label[hit]]]}
+        )
 
     return (
         parts.repartition("cell", "part")
@@ -206,7 +215,9 @@ def _compare(parts: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = THRESHOLD, cell_vectors: int = CELL_VECTORS,
+    vectors: DataFrame,
+    threshold: float = THRESHOLD,
+    cell_vectors: int = CELL_VECTORS,
     margin: float | None = None,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (vec_id, embedding).

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import WordHasher, mix64, text_chunks
+from siltgate.llm.common import WordHasher, mix64, text_chunks, whole_groups
 from siltgate.llm.components import connected_components
 from siltgate.llm.shingles import (
     band_keys,
@@ -205,23 +205,6 @@ def _pairs_of_block(g: dict[str, np.ndarray], sigs: np.ndarray, limits, rows: in
             yield int(i), int(j)
 
 
-def _by_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole parts from batches sorted by ``key, part``."""
-    rest = None
-    for batch in batches:
-        if rest is not None:
-            batch = pd.concat([rest, batch], ignore_index=True)
-        if not len(batch):
-            continue
-        new = (batch["key"].diff() != 0) | (batch["part"].diff() != 0)
-        starts = np.flatnonzero(new.to_numpy())
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            yield batch.iloc[a:b]
-        rest = batch.iloc[starts[-1] :]
-    if rest is not None and len(rest):
-        yield rest
-
-
 def _rest_of_links(
     docs: DataFrame, ids: DataFrame, buckets: DataFrame, sigs: DataFrame, labels: DataFrame,
     width: int, percent: int, limits: list[tuple[int, int]], rows: int,
@@ -229,7 +212,7 @@ def _rest_of_links(
     spark = docs.sparkSession
 
     def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _by_part(batches):
+        for part in whole_groups(batches, ("key", "part")):
             sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(part), -1)
             g = {c: part[c].to_numpy() for c in ("side", "label", "band")}
             hit = sorted({x for pair in _pairs_of_block(g, sig, limits, rows) for x in pair})
@@ -237,7 +220,7 @@ def _rest_of_links(
                 yield part.iloc[hit]
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _by_part(batches):
+        for part in whole_groups(batches, ("key", "part")):
             sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(part), -1)
             g = {c: part[c].to_numpy() for c in ("side", "label", "band")}
             sets = [np.frombuffer(s, np.uint64) for s in part["set"]]
