@@ -25,7 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltgate.sources import staging_dir, written
+
 SAMPLE_PAGES = 16
+BROADCAST_BYTES = 32 * 1024 * 1024
 _PERIOD = 4
 
 #: Elements whose text is never part of an article.
@@ -52,6 +55,7 @@ _BOILER = re.compile(
     r"overlay|login|search|pagination|pager|toolbar|copyright|legal|skip|alert|"
     r"contentinfo|complementary|dialog|form)(?:$|[^a-z])"
 )
+_MODIFIER = re.compile(r"(?:has|with|without|no|is)[-_]|(?:article|post|entry|content|page)[-_]?(?:header|title)$")
 _MAIN = re.compile(r"(?:^|[^a-z])(?:article|main|content|post|entry|story|body)(?:$|[^a-z])")
 _TAG = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
@@ -243,9 +247,11 @@ def _says(key: str) -> str | None:
     if name in ("article", "main"):
         return "main"
     if hint and name != "body":
-        if _BOILER.search(hint.replace("-", " ").replace("_", " ")):
+        # "with-sidebar" is not a sidebar, and an article's own header holds its title.
+        words = [w for w in hint.split() if not _MODIFIER.match(w)]
+        if any(_BOILER.search(w) for w in words):
             return "skip"
-        if _MAIN.search(hint.replace("-", " ").replace("_", " ")):
+        if any(_MAIN.search(w) for w in words):
             return "main"
     return None
 
@@ -385,9 +391,17 @@ def main_text(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``.
 
     NULL and empty pages, and pages without an article, give an empty text; a NULL url is
-    a host of its own.  Repeated rows give repeated rows.
+    a host of its own.  Repeated rows give repeated rows.  Wrappers are written and
+    measured; up to ``BROADCAST_BYTES`` they go to the pages, beyond that the pages are
+    shuffled to them.
     """
-    wrappers = learn_wrappers(pages, sample).select(F.col("host").alias("_host"), "wrapper")
+    wrappers = written(
+        learn_wrappers(pages, sample).select(F.col("host").alias("_host"), "wrapper"),
+        staging_dir(pages.sparkSession, "wrappers"),
+    )
+    width = F.sum(F.octet_length("_host") + F.octet_length("wrapper") + 64)
+    if (wrappers.agg(width.alias("n")).first()["n"] or 0) <= BROADCAST_BYTES:
+        wrappers = F.broadcast(wrappers)
     joined = (
         pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
         .join(wrappers, F.col("host") == F.col("_host"), "left")

@@ -86,3 +86,23 @@ def test_the_given_pages(spark):
 @pytest.mark.parametrize("broken", ["<", "<a", "<!--", "</p>", "<p", "<script>x", "&#xffffffff;", "<p class='ad", "<![CDATA[x"])
 def test_broken_markup_does_not_stop_it(broken):
     assert isinstance(w.extract(broken, w.infer([broken, page(1)])), str)
+
+
+def test_wrappers_too_large_to_broadcast(spark, monkeypatch, plan):
+    rows = [(i, f"https://h{i % 3}.example/{i}", page(i)) for i in range(9)]
+    small = w.main_text(pages(spark, rows))
+    monkeypatch.setattr(w, "BROADCAST_BYTES", 0)
+    large = w.main_text(pages(spark, rows))
+    assert sorted(small.collect()) == sorted(large.collect())
+    assert "BroadcastHashJoin" in plan(small)
+
+
+@pytest.mark.parametrize(
+    ("hint", "says"),
+    [
+        ("content with-sidebar", "main"), ("entry-header", None), ("site-header", "skip"), ("post-comments", "skip"),
+        ("adverb", None), ("shadow", None), ("ad", "skip"), ("ad-slot", "skip"), ("header_top", "skip"), ("entry-content", "main"),
+    ],
+)
+def test_what_class_names_say(hint, says):
+    assert w._says(f"div.{hint}") == says
