@@ -30,7 +30,7 @@ from siltgate.llm.common import hash64, letter_tokens, logit, sigmoid, text_chun
 from siltgate.llm.linear import Sparse, chi_square, fit_logistic
 
 _UPPER = re.compile("[A-ZÀ-ÖØ-Þ]")
-MAX_ROWS = 4000
+MAX_ROWS = 1500
 MAX_FEATURES = 800
 FOLDS = 5
 
@@ -121,7 +121,9 @@ def fit_chain(
     weight = np.ones(n) if weight is None else weight
     flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
     features, place = np.unique(flat, return_inverse=True)
-    row_of = np.repeat(np.arange(n), [len(r) for r in rows])
+    place = place.astype(np.int32)
+    row_of = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
+    del flat
     present = np.bincount(place, minlength=len(features))
     chosen = np.zeros((k, len(features)), dtype=bool)
     for c in range(k):
