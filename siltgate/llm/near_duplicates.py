@@ -188,43 +188,43 @@ def _blocks(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     ).select("key", "band", "p.part", "p.side", "v", "label")
 
 
-def _pairs_of_block(g: dict[str, np.ndarray], sigs: np.ndarray, limits, rows: int):
-    """Unordered places of a block's pairs that pass the signatures, each pair in one band only."""
-    side, label, band = g["side"], g["label"], int(g["band"][0])
+def _pairs_of_block(part: pd.DataFrame, limits: list[tuple[int, int]]):
+    """Unordered places of a block's pairs that pass the signatures, each pair in one band only.
+
+    ``earlier`` holds the keys of the bands before this one, whole: signatures keep 8 bits of
+    a hash, so two may agree on a band without a common bucket there.
+    """
+    side, label = part["side"].to_numpy(), part["label"].to_numpy()
+    sigs = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(part), -1)
+    earlier = np.array(part["earlier"].tolist(), dtype=np.int64).reshape(len(part), -1)
     zero, one = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     for i in zero:
         js = one[(label[one] != label[i]) & ((side[one] == 1) | (one > i))]
         if not len(js):
             continue
+        # A pair that shares an earlier bucket is compared there.
+        js = js[~(earlier[js] == earlier[i]).any(axis=1)]
         left = np.broadcast_to(sigs[i], (len(js), sigs.shape[1]))
-        if band:  # a pair that shares an earlier band is compared there
-            head = (sigs[js, : band * rows] == sigs[i, : band * rows]).reshape(len(js), band, rows)
-            js = js[~head.all(axis=2).any(axis=1)]
-            left = left[: len(js)]
         for j in js[survivors(left, sigs[js], limits)[0]]:
             yield int(i), int(j)
 
 
 def _rest_of_links(
     docs: DataFrame, ids: DataFrame, buckets: DataFrame, sigs: DataFrame, labels: DataFrame,
-    width: int, percent: int, limits: list[tuple[int, int]], rows: int,
+    width: int, percent: int, limits: list[tuple[int, int]],
 ) -> DataFrame:
     spark = docs.sparkSession
 
     def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches, ("key", "part")):
-            sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(part), -1)
-            g = {c: part[c].to_numpy() for c in ("side", "label", "band")}
-            hit = sorted({x for pair in _pairs_of_block(g, sig, limits, rows) for x in pair})
+            hit = sorted({x for pair in _pairs_of_block(part, limits) for x in pair})
             if hit:
                 yield part.iloc[hit]
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches, ("key", "part")):
-            sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(part), -1)
-            g = {c: part[c].to_numpy() for c in ("side", "label", "band")}
             sets = [np.frombuffer(s, np.uint64) for s in part["set"]]
-            v, root = part["v"].to_numpy(), {}
+            v, label, root = part["v"].to_numpy(), part["label"].to_numpy(), {}
             out = []
 
             def find(x, root=root):
@@ -232,8 +232,8 @@ def _rest_of_links(
                     x = root[x]
                 return x
 
-            for i, j in _pairs_of_block(g, sig, limits, rows):
-                x, y = find(g["label"][i]), find(g["label"][j])
+            for i, j in _pairs_of_block(part, limits):
+                x, y = find(label[i]), find(label[j])
                 # Two components that this block has joined need no second link.
                 if x != y and similar(sets[i], sets[j], percent):
                     root[x] = y
@@ -241,9 +241,9 @@ def _rest_of_links(
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
-    schema = "key long, band int, part int, side int, v long, label long, sig binary"
-    todo = _blocks(buckets, labels).join(sigs, "v").select(
-        "key", "band", "part", "side", "v", "label", "sig"
+    schema = "key long, part int, side int, v long, label long, sig binary, earlier array<long>"
+    todo = _blocks(buckets, labels).join(sigs, "v").selectExpr(
+        "key", "part", "side", "v", "label", "sig", "slice(bands, 1, band) AS earlier"
     )
     asked = written(
         todo.repartition("key", "part").sortWithinPartitions("key", "part", "v").mapInPandas(needed, schema),
@@ -299,7 +299,9 @@ def near_duplicates(
     links = written(_verify(alive, sets, percent), staging_dir(spark, "links"))
     labels = connected_components(links)
     more = written(
-        _rest_of_links(docs, ids, buckets.drop("center"), sigs, labels, width, percent, limits, rows),
+        _rest_of_links(
+            docs, ids, buckets.drop("center"), one.drop("doc_id"), labels, width, percent, limits
+        ),
         staging_dir(spark, "links"),
     )
     if not more.isEmpty():

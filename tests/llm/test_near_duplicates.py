@@ -86,6 +86,19 @@ def test_blocks_cover_large_buckets(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows, 4, 80)
 
 
+def test_bands_that_agree_in_stored_bits_only(spark):
+    """A pair away from the centre whose hashes of an earlier band differ above the low 8 bits."""
+    draw = random.Random(749)
+    w = [f"w{draw.randrange(10**6)}" for _ in range(20)]
+    rows = [(0, " ".join(w[:9])), (1, " ".join(w[2:11])), (2, " ".join(w[2:5] + w[11:17]))]
+    sets = sh.shingle_sets([t for _, t in rows], 1)
+    a, b, centre = (sh.signature(s, sh.multipliers(2)).tolist() for s in sets)
+    assert a[0] != b[0] and a[0] % 256 == b[0] % 256 and centre[0] not in (a[0], b[0])
+    assert a[1] == b[1] == centre[1] and nd._set_hash(sets[2]) < min(map(nd._set_hash, sets[:2]))
+    got = nd.near_duplicates(documents(spark, rows), 1, 50, rows=1, bands=2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 1, 50)
+
+
 def test_empty_table(spark):
     assert nd.near_duplicates(documents(spark, [])).collect() == []
 
