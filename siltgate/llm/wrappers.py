@@ -4,7 +4,8 @@ Pages of one host mostly come from one template.  Per host a bounded sample of p
 aligned, one after the other, into a union-free regular expression over elements and
 texts: elements in the same order match; one that only some pages have becomes optional;
 neighbours (up to four in a row) that come again become a repeated group; a text that
-differs becomes a slot.  What never differs is template.  The wrapper then names the
+differs becomes a slot.  What never differs over ``TEMPLATE_PAGES`` pages of different
+content is template; copies of a page count once.  The wrapper then names the
 part that holds the article, and each page of the host is read along it: blocks of that
 part are kept, template parts and parts that announce themselves as menus, adverts,
 comments and the like are not.  A page whose structure the sample did not show is read by
@@ -16,6 +17,7 @@ smallest hash).  Every page is extracted whole.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import json
 import re
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from siltgate.sources import staging_dir, written
 
 SAMPLE_PAGES = 16
+#: Pages of different content that must agree on a text before it is template.
+TEMPLATE_PAGES = 3
 BROADCAST_BYTES = 32 * 1024 * 1024
 _PERIOD = 4
 
@@ -139,7 +143,9 @@ def parse(page: str) -> Node:
 # A wrapper is a nested list, ready for JSON:
 #   ["e", key, times, children]   an element; times is "1", "?" or "+"
 #   ["g", "+", children]          a group of several neighbours that repeats
-#   ["t", times, text]            a text; None for a slot
+#   ["t", times, text, contents]  a text, and the smallest hashes of the contents it was
+#                                 seen with, up to TEMPLATE_PAGES
+#   ["t", times, None]            a slot
 
 
 def _key(item: list) -> str:
@@ -148,10 +154,18 @@ def _key(item: list) -> str:
     return "#text" if item[0] == "t" else "+".join(_key(c) for c in item[2])
 
 
-def _of_page(child) -> list:
+def _of_page(child, content: int) -> list:
     if isinstance(child, str):
-        return ["t", "1", child]
-    return ["e", child.key, "1", fold([_of_page(c) for c in child.children])]
+        return ["t", "1", child, [content]]
+    return ["e", child.key, "1", fold([_of_page(c, content) for c in child.children])]
+
+
+def page_items(page: str) -> list:
+    """Folded items of one page, its texts marked with a hash of what it says."""
+    root = parse(page)
+    said = "\n".join(_read(root, [])).encode("utf-8", "replace")
+    content = int.from_bytes(hashlib.blake2b(said, digest_size=8).digest())
+    return fold([_of_page(c, content) for c in root.children])
 
 
 def fold(items: list) -> list:
@@ -193,7 +207,9 @@ def _optional(item: list) -> list:
 
 def _join(a: list, b: list) -> list:
     if a[0] == "t":
-        return ["t", _times(a[1], b[1]), a[2] if a[2] == b[2] else None]
+        if a[2] is None or a[2] != b[2]:
+            return ["t", _times(a[1], b[1]), None]
+        return ["t", _times(a[1], b[1]), a[2], sorted({*a[3], *b[3]})[:TEMPLATE_PAGES]]
     if a[0] == "g":
         return ["g", _times(a[1], b[1]), merge(a[2], b[2])]
     return ["e", a[1], _times(a[2], b[2]), merge(a[3], b[3])]
@@ -234,7 +250,7 @@ def infer(pages: list[str]) -> list:
     """Wrapper of the pages of one host, aligned in the given order."""
     wrapper: list | None = None
     for page in pages:
-        items = fold([_of_page(c) for c in parse(page).children])
+        items = page_items(page)
         wrapper = items if wrapper is None else merge(wrapper, items)
     return wrapper or []
 
@@ -290,9 +306,10 @@ def main_path(wrapper: list) -> list[str]:
 
 def extract(page: str | None, wrapper: list) -> str:
     """Blocks of the article in page order, joined by line feeds; empty if there are none."""
-    if not page:
-        return ""
-    root = parse(page)
+    return "\n".join(_read(parse(page), wrapper)) if page else ""
+
+
+def _read(root: Node, wrapper: list) -> list[str]:
     last = main_path(wrapper)[-1:] or [None]
     found = _find(root, lambda n: n.key == last[0]) or _find(
         root, lambda n: n.name in ("article", "main")
@@ -300,7 +317,7 @@ def extract(page: str | None, wrapper: list) -> str:
     blocks: list[str] = []
     for node, items in found or [(root, None)]:
         _collect(node, _along(wrapper, node.key) if items is None else items, blocks, bool(found))
-    return "\n".join(blocks)
+    return blocks
 
 
 def _find(root: Node, wanted) -> list[tuple[Node, None]]:
@@ -343,13 +360,14 @@ def _collect(node: Node, items: list | None, blocks: list[str], inside: bool) ->
 
 
 def _template_only(node: Node, below: list | None) -> bool:
-    """A nameless box (no paragraph, heading or list) with one short text that no page changes."""
+    """A box (no paragraph, heading or list) with one short text that several pages share and none changes."""
     return (
         below is not None
         and node.name in ("div", "section")
         and len(below) == 1
         and below[0][0] == "t"
         and below[0][2] is not None
+        and len(below[0][3]) >= TEMPLATE_PAGES
         and len(below[0][2]) < 200
         and node.children == [below[0][2]]
         and bool(node.hint)

@@ -68,6 +68,27 @@ def test_groups_of_neighbours_repeat():
     assert items[0][3] == [["g", "+", [["e", "h2", "1", [["t", "1", None]]], ["e", "p", "1", [["t", "1", None]]]]]]
 
 
+LEAD = '<body><article><div class="lead">Short intro</div><p>{}</p></article><footer>{}</footer></body>'
+
+
+@pytest.mark.parametrize("others", [[], [f"<body><article><p>other {i}</p></article></body>" for i in range(9)]])
+def test_a_text_of_one_page_is_no_template(spark, others):
+    """On a host with one page, in a page that alone has it, and in every copy of that page."""
+    for copies in (1, 6):
+        texts = [LEAD.format("Body", f"copy {i}") for i in range(copies)] + others
+        rows = [(i, f"http://a.example/{i}", t) for i, t in enumerate(texts)]
+        got = {r.page_id: r.text for r in w.main_text(pages(spark, rows)).collect()}
+        assert {got[i] for i in range(copies)} == {"Short intro\nBody"}
+    single = '<body><article><div class="text">All there is</div></article></body>'
+    assert w.extract(single, w.infer([single] * 4)) == "All there is"
+
+
+def test_a_text_that_pages_of_different_content_share_is_template():
+    texts = [LEAD.format(f"Body {i}", "") for i in range(w.TEMPLATE_PAGES)]
+    assert w.extract(texts[0], w.infer(texts)) == "Body 0"
+    assert w.extract(texts[0], w.infer(texts[1:] * 2)) == "Short intro\nBody 0"
+
+
 def test_pages_without_an_article_element():
     text = '<body><div class="menu">m</div><div class="post-content"><p>x &eacute;</p><p>y</p></div><div class="sidebar">s</div></body>'
     assert w.extract(text, w.infer([text])) == "x é\ny"
