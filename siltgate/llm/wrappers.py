@@ -1,18 +1,17 @@
 """Main text of web pages by wrapper inference.
 
-Pages of one host mostly come from one template.  Per host a bounded sample of pages is
-aligned, one after the other, into a union-free regular expression over elements and
-texts: elements in the same order match; one that only some pages have becomes optional;
+Pages of one host mostly come from few templates.  Per host all pages are aligned into a
+union-free regular expression over elements and texts: pages of equal structure first,
+then the structures with each other, in rounds of groups of about ``FAN``.  In it elements in the same order match; one that only some pages have becomes optional;
 neighbours (up to four in a row) that come again become a repeated group; a text that
 differs becomes a slot.  What never differs over ``TEMPLATE_PAGES`` pages of different
 content is template; copies of a page count once.  The wrapper then names the
 part that holds the article, and each page of the host is read along it: blocks of that
 part are kept, template parts and parts that announce themselves as menus, adverts,
-comments and the like are not.  A page whose structure the sample did not show is read by
-what its own elements say.
+comments and the like are not.
 
-Only wrappers are learned from a sample (``SAMPLE_PAGES`` of a host, those with the
-smallest hash).  Every page is extracted whole.
+Wrappers do not depend on the order of pages or on how they are dealt to tasks, and copies
+of a page change nothing.  A wrapper grows with the different structures of its host.
 """
 
 from __future__ import annotations
@@ -24,12 +23,17 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.sources import staging_dir, written
 
-SAMPLE_PAGES = 16
+#: Structures of a host, about, that one group aligns in a round.
+FAN = 64
+#: Characters of pages that a task holds as wrappers before it hands them on.
+HELD_CHARS = 8_000_000
+#: Longer texts are never template; wrappers hold a hash in their place.
+SHORT_TEXT = 200
 #: Pages of different content that must agree on a text before it is template.
 TEMPLATE_PAGES = 3
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -143,7 +147,7 @@ def parse(page: str) -> Node:
 # A wrapper is a nested list, ready for JSON:
 #   ["e", key, times, children]   an element; times is "1", "?" or "+"
 #   ["g", "+", children]          a group of several neighbours that repeats
-#   ["t", times, text, contents]  a text, and the smallest hashes of the contents it was
+#   ["t", times, text, contents]  a text (a hash if it is not short), and the smallest hashes of the contents it was
 #                                 seen with, up to TEMPLATE_PAGES
 #   ["t", times, None]            a slot
 
@@ -154,20 +158,30 @@ def _key(item: list) -> str:
     return "#text" if item[0] == "t" else "+".join(_key(c) for c in item[2])
 
 
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), signed=True)
+
+
 def _of_page(child, content: int) -> list:
     if isinstance(child, str):
-        return ["t", "1", child, [content]]
+        return ["t", "1", child if len(child) < SHORT_TEXT else f"\0{_digest(child)}", [content]]
     return ["e", child.key, "1", fold([_of_page(c, content) for c in child.children])]
 
 
 def page_items(page: str) -> list:
     """Folded items of one page, its texts marked with a hash of what it says."""
     root = parse(page)
-    said = "\n".join(_read(root, [])).encode("utf-8", "replace")
-    content = int.from_bytes(hashlib.blake2b(said, digest_size=8).digest())
+    content = _digest("\n".join(_read(root, [])))
     return fold([_of_page(c, content) for c in root.children])
 
 
+def _structure(items: list) -> list:
+    """Items without their texts."""
+    return [
+        [i[0], i[1]] if i[0] == "t" else [*i[:-1], _structure(i[-1])] for i in items
+    ]
+
+
 def fold(items: list) -> list:
     """Turn neighbours that come again, alone or up to four in a row, into repeats."""
     for period in range(1, _PERIOD + 1):
@@ -217,6 +231,10 @@ def _join(a: list, b: list) -> list:
 
 def _matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Longest common subsequence of two short lists of keys, as pairs of places."""
+    same = 0  # a common head needs no table
+    while same < min(len(a), len(b)) and a[same] == b[same]:
+        same += 1
+    head, a, b = [(k, k) for k in range(same)], a[same:], b[same:]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -226,13 +244,13 @@ def _matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     pairs, i, j = [], 0, 0
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
-            pairs.append((i, j))
+            pairs.append((same + i, same + j))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
             i += 1
         else:
             j += 1
-    return pairs
+    return head + pairs
 
 
 def merge(wrapper: list, page: list) -> list:
@@ -246,13 +264,17 @@ def merge(wrapper: list, page: list) -> list:
     return out
 
 
+def align(wrappers: list[list]) -> list:
+    """One wrapper of several, aligned in the given order."""
+    whole: list | None = None
+    for items in wrappers:
+        whole = items if whole is None else merge(whole, items)
+    return whole or []
+
+
 def infer(pages: list[str]) -> list:
     """Wrapper of the pages of one host, aligned in the given order."""
-    wrapper: list | None = None
-    for page in pages:
-        items = page_items(page)
-        wrapper = items if wrapper is None else merge(wrapper, items)
-    return wrapper or []
+    return align([page_items(page) for page in pages])
 
 
 def _says(key: str) -> str | None:
@@ -368,7 +390,7 @@ def _template_only(node: Node, below: list | None) -> bool:
         and below[0][0] == "t"
         and below[0][2] is not None
         and len(below[0][3]) >= TEMPLATE_PAGES
-        and len(below[0][2]) < 200
+        and len(below[0][2]) < SHORT_TEXT
         and node.children == [below[0][2]]
         and bool(node.hint)
     )
@@ -382,30 +404,80 @@ def host_of(url: Column) -> Column:
     )
 
 
-def learn_wrappers(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
-    """``host, wrapper`` (JSON), one row per host.
+def _of_structures(pages: DataFrame) -> DataFrame:
+    """``host, s, wrapper``: pages of equal structure ``s`` as one wrapper each.
 
-    The first ``sample`` pages of a host by hash are taken before anything is shuffled, so
-    a host with most of the pages sends no more rows than tasks times ``sample``.
+    Tasks align theirs first, so a host sends a row per structure and task, however many
+    pages it has.
     """
-    order = Window.partitionBy("host").orderBy("h", "page_id")
-    drawn = (
-        pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("url", "html").alias("h"), "page_id", "html")
+    most = HELD_CHARS
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[str, int], list] = {}
+        chars = 0
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame(
+                [(host, s, json.dumps(items)) for (host, s), items in held.items()],
+                columns=["host", "s", "wrapper"],
+            )
+
+        for batch in batches:
+            for host, page in zip(batch["host"], batch["html"], strict=True):
+                items = page_items(page)
+                at = host, _digest(json.dumps(_structure(items)))
+                if at in held:
+                    held[at] = merge(held[at], items)
+                    continue
+                held[at] = items
+                chars += len(page)
+                if chars > most:
+                    yield out()
+                    held, chars = {}, 0
+        if held:
+            yield out()
+
+    parts = (
+        pages.select(host_of(F.col("url")).alias("host"), "html")
         .filter("html IS NOT NULL")
-        .withColumn("k", F.row_number().over(order))
-        .filter(F.col("k") <= sample)
+        .mapInPandas(run, "host string, s long, wrapper string")
     )
+    return _aligned(parts, ["host", "s"], "host", "s")
 
-    def learn(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        ordered = rows.sort_values("k")["html"].tolist()
-        return pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(infer(ordered))]})
 
-    return drawn.select("host", "k", "html").groupBy("host").applyInPandas(
-        learn, "host string, wrapper string"
-    )
+def _aligned(parts: DataFrame, group: list[str], *kept: str) -> DataFrame:
+    """One wrapper of each group, aligned in the order of ``s``."""
 
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        ordered = rows.sort_values("s", kind="stable")["wrapper"]
+        if len(ordered) > 1:
+            ordered = [json.dumps(align([json.loads(w) for w in ordered]))]
+        return pd.DataFrame([[*key, next(iter(ordered))]], columns=[*group, "wrapper"])
 
-def main_text(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
+    schema = ", ".join(f"{c} {'string' if c == 'host' else 'long'}" for c in group)
+    return parts.groupBy(*group).applyInPandas(run, f"{schema}, wrapper string").selectExpr(*kept, "wrapper")
+
+
+def learn_wrappers(pages: DataFrame, fan: int | None = None) -> DataFrame:
+    """``host, wrapper`` (JSON), one row per host, from all its pages.
+
+    Structures are aligned in rounds, until each host has about ``fan`` or fewer partial
+    wrappers left, so no group grows with the table.
+    """
+    fan = fan or FAN
+    spark = pages.sparkSession
+    parts = written(_of_structures(pages), staging_dir(spark, "structures"))
+    while True:
+        sizes = parts.groupBy("host").agg(F.count("*").alias("n"))
+        if (sizes.agg(F.max("n").alias("n")).first()["n"] or 0) <= 2 * fan:
+            return _aligned(parts, ["host"], "host")
+        dealt = parts.join(sizes, "host").selectExpr(
+            "host", "s", "wrapper", f"pmod(xxhash64(s), CAST(ceil(n / {fan}) AS INT)) AS part"
+        )
+        parts = written(_aligned(dealt, ["host", "part"], "host", "part AS s"), staging_dir(spark, "structures"))
+
+
+def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``.
 
     NULL and empty pages, and pages without an article, give an empty text; a NULL url is
@@ -414,7 +486,7 @@ def main_text(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
     shuffled to them.
     """
     wrappers = written(
-        learn_wrappers(pages, sample).select(F.col("host").alias("_host"), "wrapper"),
+        learn_wrappers(pages).select(F.col("host").alias("_host"), "wrapper"),
         staging_dir(pages.sparkSession, "wrappers"),
     )
     width = F.sum(F.octet_length("_host") + F.octet_length("wrapper") + 64)

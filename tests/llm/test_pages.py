@@ -89,6 +89,22 @@ def test_a_text_that_pages_of_different_content_share_is_template():
     assert w.extract(texts[0], w.infer(texts[1:] * 2)) == "Short intro\nBody 0"
 
 
+def test_every_page_of_a_host_takes_part(spark, monkeypatch):
+    """A box of four pages among many others and copies, whatever tasks and rounds get."""
+    tag = "<div class=tag>Read on</div>"
+    texts = [f"<body><i{i % 60}></i{i % 60}><article>{tag * (i % 30 == 0)}<p>Body {i}</p></article></body>" for i in range(120)]
+    rows = [(i, f"http://a.example/{i}", t) for i, t in enumerate(texts + [texts[1]] * 80)]
+    found = []
+    for parts, fan, held in ((1, 64, 10**6), (7, 4, 300)):
+        monkeypatch.setattr(w, "FAN", fan, raising=False)
+        monkeypatch.setattr(w, "HELD_CHARS", held, raising=False)
+        docs = pages(spark, rows).repartition(parts)
+        got = {r.page_id: r.text for r in w.main_text(docs).collect()}
+        assert [got[i] for i in range(200)] == [f"Body {i if i < 120 else 1}" for i in range(200)]
+        found.append([r.wrapper for r in w.learn_wrappers(docs.repartition(parts + 2), 64).collect()])
+    assert found[0] == found[1] and len(found[0]) == 1
+
+
 def test_pages_without_an_article_element():
     text = '<body><div class="menu">m</div><div class="post-content"><p>x &eacute;</p><p>y</p></div><div class="sidebar">s</div></body>'
     assert w.extract(text, w.infer([text])) == "x é\ny"
