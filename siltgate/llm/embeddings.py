@@ -5,12 +5,10 @@ as often as it occurs.  Each class has a home cell, that of the nearest centre,
 visits the cells with a smaller number in which a partner could live: for centres ``c``
 and home ``h`` with ``u = (c - h) / |c - h|`` these are the cells with ``x . u >= -margin``.
 
-* ``margin = sqrt(1 - t * t)`` is exact for the threshold ``t``: a vector within that angle
-  of ``x`` and beyond the border to ``c`` cannot exist otherwise.
-* The default is ``REACH`` standard deviations, ``sqrt(2 * (1 - t) / dim)`` each, of the
-  component of a difference of random direction along ``u`` (never more than the exact
-  one).  A pair just at the threshold, its border exactly between the two vectors, is
-  then missed with a probability below one in a million; the tests measure recall.
+The default ``margin = sqrt(1 - t * t)`` is exact for the threshold ``t``: a vector within
+that angle of ``x`` and beyond the border to ``c`` cannot exist otherwise.  A smaller one
+visits fewer cells and loses links; ``REACH * sqrt(2 * (1 - t) / dim)`` loses few if
+differences point in random directions of all dimensions, and many if they do not.
 
 Cells are compared in blocks of ``BLOCK``: home against home, and visitors against home,
 so a cell with a third of all vectors is many tasks.  A block answers with one row per
@@ -39,6 +37,7 @@ SAMPLE = 40_000
 BLOCK = 4096
 #: Rows of a block that are multiplied at a time.
 _STRIP = 512
+#: Standard deviations of a random difference, for a margin that is not exact.
 REACH = 5.0
 
 
@@ -235,9 +234,8 @@ def near_vectors(
         .first()
     )
     dim = length["d"] if length else 0
-    exact = float(np.sqrt(max(0.0, 1 - threshold * threshold)))
     if margin is None:
-        margin = min(exact, REACH * float(np.sqrt(2 * (1 - threshold) / max(dim, 1))))
+        margin = float(np.sqrt(max(0.0, 1 - threshold * threshold)))
     rows = written(_classes(vectors, dim), staging_dir(spark, "vectors"))
     classes = rows.filter("v IS NOT NULL").groupBy("v").agg(
         F.count("*").alias("n"), F.min("vec_id").alias("least"), F.min("x").alias("x")

@@ -75,6 +75,21 @@ def test_recall_with_the_default_margin():
     assert found.mean() > 0.999
 
 
+def test_vectors_of_few_directions_keep_all_links(spark):
+    """64 dimensions of which the vectors use four, in 40 cells."""
+    draw = np.random.default_rng(3)
+    x = draw.standard_normal((200, 4))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = draw.standard_normal((200, 4))
+    side -= (side * x).sum(axis=1)[:, None] * x
+    y = 0.951 * x + np.sqrt(1 - 0.951**2) * side / np.linalg.norm(side, axis=1)[:, None]
+    turned = np.vstack((x, y)) @ np.linalg.qr(draw.standard_normal((64, 4)))[0].T
+    rows = [(i, v.tolist()) for i, v in enumerate(turned)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = em.near_vectors(df, cell_vectors=10).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=repr) == brute(rows)
+
+
 def test_empty_and_all_null(spark):
     schema = "vec_id long, embedding array<float>"
     assert em.near_vectors(spark.createDataFrame([], schema)).collect() == []
