@@ -40,7 +40,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
+    """One row of each group stays, that with the smallest id."""
     return near_duplicates.keep_one_of_each(docs)
 
 

@@ -65,7 +65,10 @@ def _set_hash(s: np.ndarray) -> int:
 
 
 def document_classes(docs: DataFrame, width: int, hashes: int = HASHES, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, v, sig, bands``; ``v`` names the shingle set, NULL if empty."""
+    """``doc_id, h, n_shingles, v, sig, bands``; ``v`` names the shingle set, NULL if empty.
+
+    ``h`` is a hash of the text as it is.
+    """
     drawn = multipliers(hashes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,6 +82,7 @@ def document_classes(docs: DataFrame, width: int, hashes: int = HASHES, rows: in
             yield pd.DataFrame(
                 {
                     "doc_id": chunk["doc_id"].astype("Int64"),
+                    "h": chunk["h"],
                     "n_shingles": [len(s) for s in sets],
                     "v": pd.array([_set_hash(s) if len(s) else None for s in sets], dtype="Int64"),
                     "sig": [next(short).tobytes() if len(s) else None for s in sets],
@@ -86,8 +90,8 @@ def document_classes(docs: DataFrame, width: int, hashes: int = HASHES, rows: in
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        run, "doc_id long, n_shingles long, v long, sig binary, bands array<long>"
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h")).mapInPandas(
+        run, "doc_id long, h long, n_shingles long, v long, sig binary, bands array<long>"
     )
 
 
@@ -267,6 +271,16 @@ def near_duplicates(
     Links documents whose sets of ``width``-word shingles have
     ``100 * |A & B| >= percent * |A | B|``.  Tables in between go to the shared folder.
     """
+    return _judged(docs, width, percent, miss, rows, bands).drop("h", "root")
+
+
+def _judged(
+    docs: DataFrame, width: int, percent: int, miss: float = MISS, rows: int = ROWS, bands: int = BANDS
+) -> DataFrame:
+    """Rows of ``near_duplicates`` with ``h`` of the text and ``root``, one value per component.
+
+    ``root`` is NULL for empty documents.
+    """
     spark = docs.sparkSession
     limits = prune_limits(percent / 100, miss, hashes=rows * bands)
     classes = written(
@@ -314,13 +328,17 @@ def _components(classes: DataFrame, ids: DataFrame, labels: DataFrame) -> DataFr
     # Few classes are linked at all; the others are components of their own.
     linked = labels.join(ids, "v")
     named = linked.groupBy("label").agg(F.min("least").alias("component_id"))
-    joined = linked.join(named, "label").select("v", "component_id")
-    of_class = ids.join(joined, "v", "left").selectExpr("v", "coalesce(component_id, least) AS component_id")
+    joined = linked.join(named, "label").select("v", "label", "component_id")
+    of_class = ids.join(joined, "v", "left").selectExpr(
+        "v", "coalesce(label, v) AS root", "coalesce(component_id, least) AS component_id"
+    )
     return (
-        classes.select("doc_id", "n_shingles", "v")
+        classes.select("doc_id", "h", "n_shingles", "v")
         .join(of_class, "v", "left")
         .select(
             "doc_id",
+            "h",
+            "root",
             "n_shingles",
             F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
@@ -333,15 +351,28 @@ def _same(a: str, b: str) -> Column:
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with all its columns, one document of each component.
+    """``docs`` with all its columns, one row of each component.
 
-    Rows with a NULL id stay.  Rows that repeat a kept id stay or go with it.
+    It is that with the smallest id, then the smallest hash of its text; of rows equal in
+    both any one.  Rows with a NULL id and empty documents stay.
     """
-    gone = (
-        near_duplicates(docs, width, percent)
-        .filter("NOT kept AND doc_id IS NOT NULL")
-        .select(F.col("doc_id").alias("_gone"))
-        .distinct()
+    spark = docs.sparkSession
+    judged = _judged(docs, width, percent).filter("root IS NOT NULL AND doc_id IS NOT NULL")
+    texts = written(
+        judged.groupBy("root", "doc_id", "h").agg(F.count("*").alias("n")), staging_dir(spark, "texts")
+    )
+    first = texts.groupBy("root").agg(F.expr("min(struct(doc_id, h)) AS s"))
+    first = first.selectExpr("s.doc_id AS doc_id", "s.h AS h")
+    gone = texts.join(first, ["doc_id", "h"], "left_anti")
+    again = written(
+        texts.filter("n > 1").join(first, ["doc_id", "h"], "left_semi"), staging_dir(spark, "again")
     )
-    same = F.expr("CAST(d.doc_id AS BIGINT) = gone._gone")
-    return docs.alias("d").join(gone.alias("gone"), same, "left_anti")
+    here = ["CAST(d.doc_id AS BIGINT)", "xxhash64(d.text)"]
+    same = F.expr(f"{here[0]} = t.doc_id AND {here[1]} = t.h")
+    left = docs.alias("d").join(gone.alias("t"), same, "left_anti")
+    if again.isEmpty():
+        return left
+    once = left.alias("d").join(again.alias("t"), same, "left_anti")
+    several = left.alias("d").join(again.alias("t"), same, "left_semi").alias("d")
+    one = several.groupBy(*map(F.expr, here)).agg(F.first(F.struct("d.*")).alias("r"))
+    return once.unionByName(one.select("r.*"))

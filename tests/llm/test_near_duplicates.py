@@ -111,6 +111,20 @@ def test_keep_one_of_each_keeps_columns_and_null_ids(spark):
     assert sorted(((r.doc_id) for r in kept.collect()), key=str) == [3, 7, 9, None]
 
 
+def test_keep_one_of_each_judges_rows(spark):
+    """Ids that come twice: a unique text under one stays, repeated rows stay once."""
+    text, near = "one two three four five six", "ONE two three four five six"
+    rows = [
+        (3, text), (5, near), (5, "a text that nothing else resembles at all"),  # (5, near) alone goes
+        (3, text), (3, text), (3, near), (8, "some words of its own under eight"), (8, None), (8, None), (None, "null id"),
+    ]
+    docs = documents(spark, rows, extra=True)
+    kept = nd.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, (r.text or "").lower()) for r in kept.collect()), key=repr)
+    assert got == sorted([(3, text), (5, rows[2][1]), rows[6], (8, ""), (8, ""), rows[9]], key=repr)
+
+
 def test_words_are_cut_as_the_contract_says():
     texts = ["a\x0bb\x0cc\x1cd\x85e\xa0f", None, "", "Ä Z", "  x  "]
     hashes, _, counts = WordHasher()(texts)
