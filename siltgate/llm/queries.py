@@ -14,6 +14,7 @@ from siltgate.llm import (
     licenses,
     near_duplicates,
     packing,
+    pieces,
     quality,
     recurrent,
     toxicity,
@@ -120,6 +121,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
+    return pieces.tokens(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of ``corpus_pipeline`` over ``documents``."""
     import corpus_pipeline  # it imports this module
@@ -140,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_main_text,
         op10_decontamination,
+        op12_pieces,
         pipeline,
     )
 }
