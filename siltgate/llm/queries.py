@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltgate.llm import (
+    alignment,
     decontamination,
     embeddings,
     language,
@@ -126,6 +127,11 @@ def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.tokens(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``."""
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of ``corpus_pipeline`` over ``documents``."""
     import corpus_pipeline  # it imports this module
@@ -147,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_main_text,
         op10_decontamination,
         op12_pieces,
+        op13_alignment,
         pipeline,
     )
 }
