@@ -19,6 +19,7 @@ from siltgate.llm import (
     quality,
     recurrent,
     toxicity,
+    whitening,
     wrappers,
 )
 from siltgate.llm.common import crc_mod, table
@@ -122,6 +123,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, component, n, deviation, whitened, explained, identity_error``."""
+    return whitening.whiten(whitening.fixed_point(table(spark, sf_dir, "embeddings")))
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
     return pieces.tokens(table(spark, sf_dir, "documents"), with_ids=False)
@@ -152,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_main_text,
         op10_decontamination,
+        op11_whitening,
         op12_pieces,
         op13_alignment,
         pipeline,
