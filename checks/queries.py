@@ -13,6 +13,10 @@ from checks.inputs import ARRIVAL, AS_OF, NATIVE_COMPLETED, SPECS
 from siltgate import sources
 from siltgate.functions import lower_trimmed, month_bucket, not_negative, parse_date, title_case
 from siltgate.operators import (
+    Covered,
+    Distinct,
+    Quantile,
+    Rows,
     expect,
     expectation_report,
     hot_routes,
@@ -20,12 +24,16 @@ from siltgate.operators import (
     join_small_parent,
     keep_first,
     left_join_children,
+    read_keyed,
     require,
     require_present,
+    table_report,
     upsert,
+    upsert_into,
     with_children,
     with_value,
     without_children,
+    write_keyed,
 )
 from siltgate.plans import (
     clean,
@@ -43,6 +51,7 @@ from siltgate.streaming import (
     ingest_new_files,
     read_cleaned,
     scan_csv_stream,
+    settle_orphans,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,6 +328,60 @@ def upsert_orders(spark, sf_dir):
     ).drop("seq")
 
 
+@query
+def upsert_table_orders(spark, sf_dir):
+    """The same changes into a written table, applied twice."""
+    raw = inputs.raw_orders(spark, sf_dir)
+    repeats = raw.filter("seq = 1")
+    new = repeats.withColumn("order_id", F.col("order_id") + 1_000_000_000)
+    path = sources.staging_dir(spark, "keyed")
+    write_keyed(raw.filter("seq = 0").drop("seq"), path, "order_id")
+    for _ in range(2):
+        upsert_into(spark, path, repeats.unionByName(new), "order_id", ["seq DESC"])
+    return read_keyed(spark, path)
+
+
+# --- input files ---------------------------------------------------------------------
+
+
+def _orders_with_a_broken_file(spark: SparkSession, sf_dir: str):
+    """Compressed files of orders by status; those with status P came uncompressed under a
+    name that says otherwise."""
+    path = sources.staging_dir(spark, "files")
+    rows = inputs.native_orders(spark, sf_dir)
+    packed = rows.filter("status != 'P'").select(*SPECS["orders"].columns)
+    packed.write.options(header="true", compression="gzip").csv(path)
+    plain = f"{path}-plain"
+    rows.filter("status = 'P'").select(*SPECS["orders"].columns).coalesce(1).write.option(
+        "header", "true"
+    ).csv(plain)
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for row in sources.list_files(spark, plain).take(1):
+        source = java.Path(row["file"])
+        files = source.getFileSystem(conf)
+        java.FileUtil.copy(files, source, files, java.Path(f"{path}/broken.csv.gz"), False, conf)
+    return sources.scan_readable(spark, path, SPECS["orders"])
+
+
+@query
+def readable_files_orders(spark, sf_dir):
+    return _orders_with_a_broken_file(spark, sf_dir).rows
+
+
+@query
+def skipped_files_orders(spark, sf_dir):
+    """The file that could not be read, why, and the statuses that are missing with it."""
+    found = _orders_with_a_broken_file(spark, sf_dir)
+    statuses = inputs.native_orders(spark, sf_dir).select("status").distinct()
+    missing = statuses.join(found.rows.select("status").distinct(), "status", "left_anti")
+    return found.skipped.join(F.broadcast(missing)).selectExpr(
+        "element_at(split(file, '/'), -1) AS file",
+        "contains(lower(reason), 'gzip') OR contains(lower(reason), 'header') AS names_the_reason",
+        "status AS missing_status",
+    )
+
+
 # --- filters and scalar functions ----------------------------------------------------
 
 
@@ -597,6 +660,41 @@ def expectations_dropped(spark, sf_dir):
     return expect(inputs.raw_orders(spark, sf_dir), _order_rules(), "drop")
 
 
+@query
+def table_rules_orders(spark, sf_dir):
+    """Rules about the whole order table from sketches, beside the exact values: whether the
+    exact value lies within the bounds of the estimate, and the verdict."""
+    orders = inputs.raw_orders(spark, sf_dir)
+    customers = inputs.raw_customers(spark, sf_dir)
+    report = table_report(
+        orders,
+        {
+            "rows": Rows(least=10),
+            "no_rows": Rows(most=10),
+            "orders": Distinct("order_id", least=10),
+            "customers": Distinct("customer_id", least=10),
+            "median_amount": Quantile("amount", 0.5, least=0.0),
+            "low_amount": Quantile("amount", 0.001, least=1e12),
+            "known_customers": Covered("customer_id", customers, "customer_id", least=0.5),
+        },
+    )
+    known = orders.select("customer_id").distinct().join(
+        customers.select("customer_id").distinct().withColumn("k", F.lit(1)), "customer_id", "left"
+    )
+    exact = orders.selectExpr(
+        """inline(array(
+            named_struct('rule', 'rows', 'exact', CAST(count(1) AS DOUBLE)),
+            named_struct('rule', 'no_rows', 'exact', CAST(count(1) AS DOUBLE)),
+            named_struct('rule', 'orders', 'exact', CAST(count(DISTINCT order_id) AS DOUBLE)),
+            named_struct('rule', 'customers', 'exact', CAST(count(DISTINCT customer_id) AS DOUBLE)),
+            named_struct('rule', 'median_amount', 'exact', percentile(amount, 0.5D)),
+            named_struct('rule', 'low_amount', 'exact', percentile(amount, 0.001D))))"""
+    ).unionByName(known.selectExpr("'known_customers' AS rule", "count(k) / count(1) AS exact"))
+    return report.join(exact, "rule").selectExpr(
+        "rule", "verdict", "exact BETWEEN low AND high AS exact_within_bounds"
+    )
+
+
 @query
 def not_null_violations(spark, sf_dir):
     return sources.null_violations(inputs.raw_customers(spark, sf_dir), SPECS["customers"])
@@ -666,3 +764,33 @@ def stream_late_parent(spark, sf_dir):
         parent=customers.filter("customer_id % 2 = 0"),
     )
     return read_cleaned(spark, SPECS["orders"], target, "clean", parent=customers)
+
+
+def _settled(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """Orders before their customers; the customers come in two parts and settle orphans."""
+    landing, target = (sources.staging_dir(spark, p) for p in ("landing", "cleaned"))
+    customers = sources.written(
+        _valid("customers", spark, sf_dir), sources.staging_dir(spark, "parent")
+    )
+    parts = [customers.filter(f"customer_id % 3 = {k}") for k in range(3)]
+    for seq in (0, 1):
+        _drop_files(spark, sf_dir, landing, seq)
+        clean_new_files(
+            scan_csv_stream(spark, landing, SPECS["orders"]),
+            SPECS["orders"],
+            target,
+            parent=parts[0],
+        )
+        settle_orphans(spark, SPECS["orders"], target, parts[1 + seq])
+    settle_orphans(spark, SPECS["orders"], target, customers)
+    return read_cleaned(spark, SPECS["orders"], target, which)
+
+
+@query
+def stream_settled_orders(spark, sf_dir):
+    return _settled(spark, sf_dir, "clean")
+
+
+@query
+def stream_settled_orphans(spark, sf_dir):
+    return _settled(spark, sf_dir, "orphan")

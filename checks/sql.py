@@ -209,6 +209,28 @@ _SELECTS = {
         UNION ALL
         SELECT order_id + 1000000000, customer_id, order_date, amount, status
         FROM raw_orders WHERE seq = 1""",
+    "upsert_table_orders": f"""SELECT {_COLUMNS["orders"]} FROM raw_orders
+        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) = 1
+        UNION ALL
+        SELECT order_id + 1000000000, customer_id, order_date, amount, status
+        FROM raw_orders WHERE seq = 1""",
+    "readable_files_orders": """SELECT order_id, customer_id,
+        CAST(order_date AS VARCHAR) AS order_date, amount, status
+        FROM dom_native_orders WHERE status <> 'P'""",
+    "skipped_files_orders": """SELECT DISTINCT 'broken.csv.gz' AS file, true AS names_the_reason,
+        status AS missing_status FROM dom_native_orders WHERE status = 'P'""",
+    "table_rules_orders": """SELECT rule, CASE WHEN value >= least AND value <= most
+            THEN 'passed' ELSE 'failed' END AS verdict, true AS exact_within_bounds FROM (
+        SELECT 'rows' AS rule, CAST(count(*) AS DOUBLE) AS value, 10.0 AS least, 1e18 AS most
+            FROM raw_orders
+        UNION ALL SELECT 'no_rows', count(*), 0, 10 FROM raw_orders
+        UNION ALL SELECT 'orders', count(DISTINCT order_id), 10, 1e18 FROM raw_orders
+        UNION ALL SELECT 'customers', count(DISTINCT customer_id), 10, 1e18 FROM raw_orders
+        UNION ALL SELECT 'median_amount', median(amount), 0, 1e18 FROM raw_orders
+        UNION ALL SELECT 'low_amount', quantile_cont(amount, 0.001), 1e12, 1e18 FROM raw_orders
+        UNION ALL SELECT 'known_customers', count(DISTINCT customer_id) FILTER (customer_id IN
+            (SELECT customer_id FROM raw_customers)) / count(DISTINCT customer_id), 0.5, 1
+            FROM raw_orders) r""",
     "drop_null_name": "SELECT * FROM named_customers",
     "drop_invalid_amount": "SELECT * FROM raw_orders WHERE amount IS NOT NULL AND amount >= 0",
     "filter_completed": "SELECT * FROM dom_native_orders WHERE status = 'F'",
@@ -286,6 +308,8 @@ _SELECTS = {
         UNION ALL SELECT 'name', count(*) FILTER (name IS NULL) FROM raw_customers""",
     "stream_ingest_orders": f"SELECT {_COLUMNS['orders']} FROM raw_orders",
     "stream_late_parent": "SELECT * FROM clean_orders",
+    "stream_settled_orders": "SELECT * FROM clean_orders",
+    "stream_settled_orphans": "SELECT * FROM orphan_orders",
     "stream_rerun_idempotent": f"SELECT {_COLUMNS['orders']} FROM raw_orders",
     "stream_clean_orders": "SELECT * FROM clean_orders",
 }

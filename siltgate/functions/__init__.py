@@ -1,6 +1,6 @@
 from siltgate.functions.dates import DATE_FORMATS, days_before, month_bucket, parse_date
 from siltgate.functions.numbers import not_negative
-from siltgate.functions.text import blank_out, lower_trimmed, quoted, title_case
+from siltgate.functions.text import blank_out, lower_trimmed, quoted, title_case, unused
 
 __all__ = [
     "DATE_FORMATS",
@@ -12,4 +12,5 @@ __all__ = [
     "parse_date",
     "quoted",
     "title_case",
+    "unused",
 ]

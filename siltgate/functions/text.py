@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +13,14 @@ def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def unused(name: str, *taken: Iterable[str]) -> str:
+    """``name`` with as many underscores in front as it takes to be none of ``taken``."""
+    names = {column.lower() for columns in taken for column in columns}
+    while name.lower() in names:
+        name = "_" + name
+    return name
+
+
 def title_case(column: str) -> Column:
     """First letter of every space-separated word in capitals, outer blanks gone."""
     return F.expr(f"initcap(trim({quoted(column)}))")

@@ -8,7 +8,15 @@ from siltgate.operators.joins import (
     with_children,
     without_children,
 )
-from siltgate.operators.quality import expect, expectation_report
+from siltgate.operators.quality import (
+    Covered,
+    Distinct,
+    Quantile,
+    Rows,
+    expect,
+    expectation_report,
+    table_report,
+)
 from siltgate.operators.referential import (
     Split,
     require_unique_parents,
@@ -19,11 +27,15 @@ from siltgate.operators.referential import (
     without_parent,
 )
 from siltgate.operators.skew import NO_HOT_KEYS, HotRoutes, hot_routes, salted_join
-from siltgate.operators.upsert import upsert
+from siltgate.operators.upsert import read_keyed, upsert, upsert_into, write_keyed
 
 __all__ = [
     "NO_HOT_KEYS",
+    "Covered",
+    "Distinct",
     "HotRoutes",
+    "Quantile",
+    "Rows",
     "Split",
     "expect",
     "expectation_report",
@@ -32,6 +44,7 @@ __all__ = [
     "join_small_parent",
     "keep_first",
     "left_join_children",
+    "read_keyed",
     "repeated_rows",
     "require",
     "require_present",
@@ -39,8 +52,10 @@ __all__ = [
     "rows_with_keys",
     "salted_join",
     "split_by_parent",
+    "table_report",
     "tag_parent",
     "upsert",
+    "upsert_into",
     "with_arrival",
     "with_children",
     "with_parent",
@@ -48,4 +63,5 @@ __all__ = [
     "with_value",
     "without_children",
     "without_parent",
+    "write_keyed",
 ]

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.functions import quoted
-from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
+from siltgate.functions import quoted, unused
+from siltgate.operators.skew import HotRoutes, hot_routes, with_lane
 
 
 def keep_first(
@@ -30,8 +30,9 @@ def keep_first(
     by = ", ".join(quoted(key) for key in keys)
     if by_hash:
         by = f"xxhash64({by}), {by}"
-    place = f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(order_by)}) AS _place"
-    return df.selectExpr("*", place).filter("_place = 1").drop("_place")
+    place = unused("_place", df.columns)
+    number = f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(order_by)}) AS {place}"
+    return df.selectExpr("*", number).filter(f"{place} = 1").drop(place)
 
 
 def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
@@ -60,18 +61,30 @@ def repeated_rows(
 ) -> DataFrame:
     """The rows ``keep_first`` leaves out; ``order_by`` are plain column names.
 
-    Numbering all rows of a key would put a hot key into one task.  Instead the
-    kept rows (one per key) are joined back, salted, and rows later than the kept
-    one are returned.  Of rows that tie with the kept one all but one are returned
-    too; only those are numbered, which are few where the order is worth its name.
+    All rows are shuffled once, by key, and numbered there.  Numbering would put a hot key
+    into one task, so its rows are numbered lane by lane: what is not first in its lane is
+    a repeat, and the firsts of the lanes, a few rows a key, are numbered once more.  Of
+    rows that tie with the first all but one are returned.
     """
     hot = hot or hot_routes(df, keys)
-    place = f"struct({', '.join(quoted(c) for c in order_by)})"
-    kept = keep_first(df, keys, order_by).selectExpr(*map(quoted, keys), f"{place} AS _kept")
-    joined = salted_join(df, kept, keys, "inner", spread_by=order_by, hot=hot, null_safe=True)
-    later = joined.filter(f"{place} != _kept").drop("_kept")
+    types = tuple(df.select(*map(quoted, keys)).schema[k].dataType.simpleString() for k in keys)
+    if hot.lanes and hot.types != types:
+        hot = hot_routes(df, keys, hot.min_rows, hot.lane_rows, types)
     by = ", ".join(quoted(key) for key in keys)
-    ties = joined.filter(f"{place} = _kept").selectExpr(
-        *map(quoted, df.columns), f"row_number() OVER (PARTITION BY {by} ORDER BY 1) AS _place"
+    order = ", ".join(quoted(c) for c in order_by)
+    place, lane = unused("_place", df.columns), unused("_lane", df.columns)
+    number = f"row_number() OVER (PARTITION BY {{}} ORDER BY {order}) AS {place}"
+    if not hot.lanes:
+        return df.selectExpr("*", number.format(by)).filter(f"{place} > 1").drop(place)
+    # Rows that tie in the order must come in one order in both branches below.
+    tied = ", ".join(
+        quoted(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()
     )
-    return later.unionByName(ties.filter("_place > 1").drop("_place"))
+    number = number.replace(f"ORDER BY {order}", f"ORDER BY {order}, xxhash64({tied})")
+    numbered = with_lane(df, keys, types, hot, order_by, lane).selectExpr(
+        "*", number.format(f"{by}, {lane}")
+    )
+    firsts = numbered.filter(f"{place} = 1").select(*map(quoted, df.columns))
+    later = numbered.filter(f"{place} > 1").select(*map(quoted, df.columns))
+    also = firsts.selectExpr("*", number.format(by)).filter(f"{place} > 1").drop(place)
+    return later.unionByName(also)

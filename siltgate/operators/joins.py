@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
-from siltgate.functions import quoted
+from siltgate.functions import quoted, unused
 from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: How much more than may be broadcast is read to find out.
+READ_FACTOR = 4
 
 
 def join_parent(
@@ -33,9 +35,10 @@ def left_join_children(
     hot = hot or hot_routes(child, [key])
     if not hot.lanes:
         columns = [c for c in child.columns if c != key]
-        found = child.select(F.col(quoted(key)).alias("_child_key"), *map(quoted, columns))
+        name = unused("_child_key", parent.columns, child.columns)
+        found = child.select(F.col(quoted(key)).alias(name), *map(quoted, columns))
         return parent.join(
-            found, F.expr(f"{quoted(key)} = _child_key"), "left"
+            found, F.expr(f"{quoted(key)} = {name}"), "left"
         ).select(*map(quoted, parent.columns), *map(quoted, columns))
     matched = join_parent(child, parent, key, child_key, hot)
     extra = [c for c in child.columns if c != key]
@@ -79,8 +82,24 @@ def without_children(
     )
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables and files that ``df`` reads, as Spark knows them without a job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size()))
+
+
+def measures_at_most(df: DataFrame, max_bytes: int) -> bool:
+    """Whether ``df`` is known to be no wider than ``max_bytes``, to be broadcast.
+
+    What it reads is looked at first: beyond ``READ_FACTOR * max_bytes`` nothing is read
+    and the answer is no, also for the rare plan that would leave little of it.  Otherwise
+    one job adds up the widths, so that looking never costs more than that much reading.
+    """
+    return input_bytes(df) <= READ_FACTOR * max_bytes and measured_bytes(df) <= max_bytes
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """The width of all values of ``df`` together; runs one job."""
+    """The width of all values of ``df`` together; runs one job over all of it."""
     widths = []
     for field in df.schema.fields:
         widths.append("16L")
@@ -99,10 +118,11 @@ def join_small_parent(
 ) -> DataFrame:
     """Inner join that broadcasts the parent if it measures at most ``max_bytes``.
 
-    Measuring runs one job over the parent.  A larger parent takes the salted
-    shuffle join, so growth changes the plan and not the outcome.
+    Measuring runs one job over a parent that can be that small.  A larger parent is not
+    read for it and takes the salted shuffle join, so growth changes the plan and not the
+    outcome.
     """
-    if measured_bytes(parent) > max_bytes:
+    if not measures_at_most(parent, max_bytes):
         return join_parent(child, parent, key, child_key, hot)
     return child.join(F.broadcast(parent), key, "inner").select(
         *child.columns, *[c for c in parent.columns if c != key]
@@ -117,7 +137,8 @@ def rows_with_keys(
     For a small set looked up in a large table: the keys are measured (one job) and
     up to ``max_bytes`` broadcast, so that ``big`` is scanned and not shuffled.
     """
-    keys = keys.toDF("_key").distinct()
-    if measured_bytes(keys) <= max_bytes:
+    name = unused("_key", big.columns)
+    keys = keys.toDF(name).distinct()
+    if measures_at_most(keys, max_bytes):
         keys = F.broadcast(keys)
-    return big.join(keys, F.expr(f"{quoted(column)} <=> _key"), "left_semi")
+    return big.join(keys, F.expr(f"{quoted(column)} <=> {name}"), "left_semi")

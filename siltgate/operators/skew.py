@@ -9,8 +9,9 @@ into lanes of bounded size and gives every lane its own copy of the one parent r
 Both sides are brought to one type first, the one their keys are compared in, and the
 route of a key is a hash of that value; equal keys therefore have equal routes, whatever
 they look like as text.  Types with no common one (a text and a number, say) are refused.
-No hash follows a collation other than the binary one, so such keys are never cut into
-lanes; they are left to adaptive skew handling.
+No hash of Spark's follows a collation.  Keys that only ignore case (UTF8_LCASE) are routed
+by the hash of what that collation compares, their lower case with one form of the Greek
+sigma; keys with any other collation are left to adaptive skew handling.
 
 A key is hot by its rows, not by its share.  The sketch follows 65,536 keys, so it names
 every key with more than about one row in 50,000, up to 8,192 of them; a key below that
@@ -33,7 +34,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from siltgate.functions import quoted
+from siltgate.functions import quoted, unused
 
 HOT_ROWS = 1_000_000
 LANE_ROWS = 1_000_000
@@ -76,8 +77,24 @@ def _common_type(a: DataType, b: DataType) -> DataType:
     )
 
 
-def _collated(sql_type: str) -> bool:
-    return "collate" in sql_type
+def _unroutable(sql_type: str) -> bool:
+    return "collate" in sql_type and not _ignores_case(sql_type)
+
+
+def _ignores_case(sql_type: str) -> bool:
+    return sql_type.split("collate ")[-1].upper() == "UTF8_LCASE"
+
+
+def hashed_value(key: str, sql_type: str) -> str | None:
+    """What to hash so that keys that compare as equal hash alike; None if nothing will do."""
+    return None if _unroutable(sql_type) else _routed(key, sql_type)
+
+
+def _routed(key: str, sql_type: str) -> str:
+    value = f"CAST({quoted(key)} AS {sql_type})"
+    if _ignores_case(sql_type):
+        return f"translate(lower(CAST({value} AS STRING COLLATE UTF8_BINARY)), 'ς', 'σ')"
+    return value
 
 
 def _wider(a: DataType, b: DataType) -> DataType:
@@ -91,7 +108,7 @@ def _wider(a: DataType, b: DataType) -> DataType:
 def _route(keys: Sequence[str], types: Sequence[str]) -> str:
     # The hash of a value, not of its text: 0.0 and -0.0, and all NaNs, hash alike, as
     # they compare alike.
-    values = [f"CAST({quoted(k)} AS {t})" for k, t in zip(keys, types, strict=True)]
+    values = [_routed(k, t) for k, t in zip(keys, types, strict=True)]
     return f"xxhash64({', '.join(values)})"
 
 
@@ -109,7 +126,7 @@ def hot_routes(
     of the comparison to come, if they differ from the columns' own.
     """
     types = tuple(types or (t.simpleString() for t in _types(df, keys)))
-    if any(map(_collated, types)):
+    if any(map(_unroutable, types)):
         return NO_HOT_KEYS
     sketches = (
         df.selectExpr(
@@ -160,35 +177,37 @@ def salted_join(
         for a, b in zip(_types(child, on), _types(parent, on), strict=True)
     ]
     types = tuple(t.simpleString() for t in common)
-    if any(map(_collated, types)):
+    if any(map(_unroutable, types)):
         hot = NO_HOT_KEYS
     if hot.lanes and hot.types != types:
         hot = hot_routes(child, on, hot.min_rows, hot.lane_rows, types)
     child_columns = [quoted(c) for c in child.columns]
     values = [quoted(c) for c in parent.columns if c not in on]
+    taken = [child.columns, parent.columns]
+    parent_key = {}
+    for k in on:
+        parent_key[k] = quoted(unused(f"_p_{k}", *taken, parent_key.values()))
+    lane, parent_lane = (unused(name, *taken) for name in ("_lane", "_p_lane"))
     renamed = [
-        f"CAST({quoted(k)} AS {t}) AS {quoted('_p_' + k)}" for k, t in zip(on, types, strict=True)
+        f"CAST({quoted(k)} AS {t}) AS {parent_key[k]}" for k, t in zip(on, types, strict=True)
     ]
     equal = "<=>" if null_safe else "="
     # The keys come before the lane: a merge join sorts in this order, and a sort
     # that starts with the lane, 0 for most rows, would compare nearly all in full.
     matched = [
-        f"CAST({quoted(k)} AS {t}) {equal} {quoted('_p_' + k)}"
+        f"CAST({quoted(k)} AS {t}) {equal} {parent_key[k]}"
         for k, t in zip(on, types, strict=True)
     ]
 
     if not hot.lanes:
         right = parent.selectExpr(*renamed, *values)
     else:
-        routes = child.sparkSession.createDataFrame(list(hot.lanes), "_route long, _lanes int")
-        spread = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
-        child = _with_lanes(child, on, types, routes).selectExpr(
-            *child_columns, f"CAST(pmod({spread}, coalesce(_lanes, 1)) AS INT) AS _lane"
+        child = with_lane(child, on, types, hot, spread_by, lane)
+        lanes = unused("_lanes", *taken)
+        right = _with_lanes(parent, on, types, hot, lanes).selectExpr(
+            *renamed, *values, f"explode(sequence(0, coalesce({lanes}, 1) - 1)) AS {parent_lane}"
         )
-        right = _with_lanes(parent, on, types, routes).selectExpr(
-            *renamed, *values, "explode(sequence(0, coalesce(_lanes, 1) - 1)) AS _p_lane"
-        )
-        matched.append("_lane = _p_lane")
+        matched.append(f"{lane} = {parent_lane}")
 
     joined = child.join(right, F.expr(" AND ".join(matched)), how)
     return joined.selectExpr(
@@ -196,10 +215,29 @@ def salted_join(
     )
 
 
+def with_lane(
+    df: DataFrame,
+    keys: Sequence[str],
+    types: Sequence[str],
+    hot: HotRoutes,
+    spread_by: Sequence[str],
+    name: str,
+) -> DataFrame:
+    """Add the lane of each row as ``name``, 0 for the rows of ordinary keys."""
+    lanes = unused("_lanes", df.columns)
+    spread = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
+    return _with_lanes(df, keys, types, hot, lanes).selectExpr(
+        *map(quoted, df.columns),
+        f"CAST(pmod({spread}, coalesce({lanes}, 1)) AS INT) AS {quoted(name)}",
+    )
+
+
 def _with_lanes(
-    df: DataFrame, keys: Sequence[str], types: Sequence[str], routes: DataFrame
+    df: DataFrame, keys: Sequence[str], types: Sequence[str], hot: HotRoutes, name: str
 ) -> DataFrame:
-    """Add ``_lanes``, NULL for ordinary keys; ``routes`` has ``_MOST_KEYS`` rows at most."""
-    return df.selectExpr("*", f"{_route(keys, types)} AS _route").join(
-        F.broadcast(routes), "_route", "left"
+    """Add the number of lanes, NULL for ordinary keys; at most ``_MOST_KEYS`` are hot."""
+    route = unused("_route", df.columns)
+    routes = df.sparkSession.createDataFrame(list(hot.lanes), f"{route} long, {name} int")
+    return df.selectExpr("*", f"{_route(keys, types)} AS {route}").join(
+        F.broadcast(routes), route, "left"
     )

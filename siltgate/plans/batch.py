@@ -6,7 +6,8 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from siltgate.operators.referential import (
     Split,
@@ -21,6 +22,7 @@ from siltgate.plans.cleaning import (
     REFUSED,
     clean,
     clean_tagged,
+    count_stages,
     raw_name,
     row_counts,
     unreadable_dates,
@@ -116,8 +118,10 @@ def run_batch(
     keep-first and the foreign key are its only shuffles, and the rows land in folders ``outcome=clean|orphan|refused`` under ``out_dir`` (by
     default a fresh folder under ``spark.checkpoint.dir``).  Children, quarantine,
     counts and reports read those folders, so nothing is computed twice and a lost
-    executor never sends a later stage back to the raw files.  Counts come from the
-    written files: an accumulator would count a repeated task twice.
+    executor never sends a later stage back to the raw files.  Counts are observed by the
+    jobs that write, in their last stage, where Spark takes each task's numbers once; they
+    are held against the number of rows in the files' footers, and only if those differ
+    are the files counted.
 
     With ``schema`` the clean folders are registered as catalog tables in place, after
     all of them are written: a run that fails leaves the tables of the last one.  For
@@ -126,7 +130,13 @@ def run_batch(
     """
     require_unique_parents(specs)
     out = out_dir or staging_dir(spark, "batch")
-    raw = {name: written(raw[name], f"{out}/raw/{name}") for name in specs}
+    counts: list[DataFrame] = []
+    arrived: dict[str, int | None] = {}
+    for name in specs:
+        seen = Observation()
+        whole = raw[name].observe(seen, F.count(F.lit(1)).alias("n"))
+        raw = {**raw, name: written(whole, f"{out}/raw/{name}")}
+        arrived[name] = _agreed(seen, raw[name], "n")
     staged: dict[str, DataFrame] = {}
     tables: dict[str, DataFrame] = {}
     quarantine: dict[str, DataFrame] = {}
@@ -139,9 +149,17 @@ def run_batch(
             rows = rows.selectExpr("*", "true AS has_parent")
         rows = rows.selectExpr("*", OUTCOME)
         path = f"{out}/{name}"
-        rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
+        seen, stages = Observation(), count_stages(spec)
+        rows.observe(
+            seen, *[F.expr(f"count_if({rule})").alias(s) for s, rule in stages.items()]
+        ).write.mode("overwrite").partitionBy("outcome").parquet(path)
 
         staged[name] = spark.read.schema(rows.schema).parquet(path)
+        if arrived[name] is None or _agreed(seen, staged[name], "kept_first") is None:
+            counts.append(row_counts(raw[name], staged[name], spec))
+        else:
+            lines = [(name, "raw", arrived[name])] + [(name, s, seen.get[s]) for s in stages]
+            counts.append(spark.createDataFrame(lines, _COUNTS))
         tables[name] = staged[name].filter("outcome = 'clean'").select(*spec.columns)
         if spec.foreign_key:
             extra = [raw_name(c) for c in spec.date_columns] if keep_raw else []
@@ -164,11 +182,20 @@ def run_batch(
             unreadable_dates(staged[n].filter("outcome != 'refused'"), specs[n])
             for n in specs
         ),
-        counts=_union(row_counts(raw[n], staged[n], specs[n]) for n in specs),
+        counts=_union(counts),
         as_of=as_of,
     )
 
 
+_COUNTS = "table_name string, stage string, n long"
+
+
+def _agreed(seen: Observation, stored: DataFrame, metric: str) -> int | None:
+    """What was observed, if the files' footers say the same; None if they do not."""
+    n = seen.get.get(metric)
+    return n if n == stored.count() else None
+
+
 def all_reports(
     tables: Mapping[str, DataFrame], as_of: dt.date | None = None
 ) -> dict[str, DataFrame]:

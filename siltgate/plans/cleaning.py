@@ -127,10 +127,12 @@ def refused_rows(
         holds = F.coalesce(rule, F.lit(False))
         parts.append(df.filter(~holds).withColumn("reason", F.lit(reason)))
         df = df.filter(holds)
+    if not parts:  # a spec without rules refuses nothing
+        parts = [raw.filter("false").withColumn("reason", F.lit(None).cast("string"))]
     refused = parts[0]
     for part in parts[1:]:
         refused = refused.unionByName(part)
-    return refused.select(*spec.columns, "reason")
+    return refused.select(*map(quoted, spec.columns), "reason")
 
 
 def unreadable_dates(
@@ -138,7 +140,15 @@ def unreadable_dates(
 ) -> DataFrame:
     """``(table_name, row_key, column_name, original)`` of dates no format could
     read, and the ``context`` columns of their rows.  Takes the output of
-    ``clean(..., keep_raw=True)``."""
+    ``clean(..., keep_raw=True)``; a table without dates has none."""
+    if not spec.date_columns:
+        return cleaned.filter("false").selectExpr(
+            f"'{spec.name}' AS table_name",
+            f"{quoted(spec.key)} AS row_key",
+            *map(quoted, context),
+            "CAST(NULL AS STRING) AS column_name",
+            "CAST(NULL AS STRING) AS original",
+        )
     lines = ", ".join(
         f"named_struct('column_name', '{c}', 'original', {quoted(raw_name(c))})"
         for c in spec.date_columns
@@ -158,12 +168,23 @@ def row_counts(raw: DataFrame, tagged: DataFrame, spec: TableSpec) -> DataFrame:
     table has a foreign key.  ``unparsed`` and ``missing`` count dates of the rows
     that passed the rules, orphans included.
     """
+    stages = count_stages(spec)
+    counted = tagged.selectExpr(*[f"count_if({rule}) AS {s}" for s, rule in stages.items()])
+    lines = ", ".join(f"named_struct('stage', '{s}', 'n', {s})" for s in stages)
+    whole = raw.selectExpr("count(1) AS n").selectExpr("'raw' AS stage", "n")
+    return whole.unionByName(counted.selectExpr(f"inline(array({lines}))")).selectExpr(
+        f"'{spec.name}' AS table_name", "stage", "n"
+    )
+
+
+def count_stages(spec: TableSpec) -> dict[str, str]:
+    """Which rows of ``clean_tagged`` output, with ``has_parent``, each stage counts."""
     passed = f"{REFUSED} IS NULL"
     parted = "has_parent" if spec.foreign_key else "true"
     dates = [(quoted(c), quoted(raw_name(c))) for c in spec.date_columns]
     unparsed = " OR ".join(f"{raw_text} IS NOT NULL" for _, raw_text in dates)
     missing = " OR ".join(f"({date} IS NULL AND {raw_text} IS NULL)" for date, raw_text in dates)
-    stages = {
+    return {
         "kept_first": "true",
         "passed_rules": passed,
         "orphan": f"{passed} AND NOT {parted}",
@@ -171,9 +192,3 @@ def row_counts(raw: DataFrame, tagged: DataFrame, spec: TableSpec) -> DataFrame:
         "unparsed": f"{passed} AND ({unparsed or 'false'})",
         "missing": f"{passed} AND ({missing or 'false'})",
     }
-    counted = tagged.selectExpr(*[f"count_if({rule}) AS {s}" for s, rule in stages.items()])
-    lines = ", ".join(f"named_struct('stage', '{s}', 'n', {s})" for s in stages)
-    whole = raw.selectExpr("count(1) AS n").selectExpr("'raw' AS stage", "n")
-    return whole.unionByName(counted.selectExpr(f"inline(array({lines}))")).selectExpr(
-        f"'{spec.name}' AS table_name", "stage", "n"
-    )

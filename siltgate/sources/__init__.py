@@ -1,4 +1,10 @@
 from siltgate.sources.csv import malformed, scan_csv, write_csv
+from siltgate.sources.files import (
+    ReadableFiles,
+    list_files,
+    scan_readable,
+    unreadable_files,
+)
 from siltgate.sources.staging import staging_dir, written
 from siltgate.sources.tables import (
     by_month,
@@ -16,10 +22,12 @@ from siltgate.sources.tables import (
 )
 
 __all__ = [
+    "ReadableFiles",
     "by_month",
     "clustered",
     "create_schema",
     "create_table",
+    "list_files",
     "load_table",
     "malformed",
     "null_violations",
@@ -28,8 +36,10 @@ __all__ = [
     "register_table",
     "save_table",
     "scan_csv",
+    "scan_readable",
     "staging_dir",
     "table_ddl",
+    "unreadable_files",
     "write_by_month",
     "write_csv",
     "written",

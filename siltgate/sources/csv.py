@@ -21,7 +21,6 @@ def csv_options(
     check_header: bool = False,
     corrupt_column: str | None = None,
     multi_line: bool = False,
-    skip_unreadable_files: bool = False,
 ) -> tuple[StructType, dict[str, str]]:
     """Schema and reader options, the same for a batch scan and a file stream."""
     if mode not in MODES:
@@ -30,8 +29,6 @@ def csv_options(
     options = {"header": str(header).lower(), "mode": mode, "escape": '"'}
     if multi_line:
         options["multiLine"] = "true"
-    if skip_unreadable_files:
-        options |= {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
     if check_header:
         # By default columns bind by position and a reordered file shifts silently.
         options["enforceSchema"] = "false"
@@ -61,11 +58,18 @@ def scan_csv(
     row out, FAILFAST stops the job.  Empty cells are NULL; ``null_tokens`` are
     words to be read as NULL too.  ``multi_line`` reads quoted cells with line breaks
     whole; each file is then one task, so it is an option and not the rule.  A file that
-    cannot be read stops the job unless ``skip_unreadable_files``.
+    cannot be read stops the job; with ``skip_unreadable_files`` the files are read through
+    first and those that fail are left out as a whole, with a warning (``scan_readable``
+    names them with their reasons).
     """
-    schema, options = csv_options(
-        spec, header, mode, check_header, corrupt_column, multi_line, skip_unreadable_files
-    )
+    if skip_unreadable_files:
+        from siltgate.sources.files import scan_readable
+
+        return scan_readable(
+            spark, path, spec, header=header, mode=mode, check_header=check_header,
+            corrupt_column=corrupt_column, null_tokens=null_tokens, multi_line=multi_line,
+        ).rows
+    schema, options = csv_options(spec, header, mode, check_header, corrupt_column, multi_line)
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.schema(schema).options(**options).csv(paths)
     if corrupt_column or mode != "PERMISSIVE":

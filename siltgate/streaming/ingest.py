@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltgate.operators.joins import rows_with_keys
+from siltgate.functions import quoted, unused
+from siltgate.operators.joins import BROADCAST_BYTES, measures_at_most, rows_with_keys
 from siltgate.operators.referential import tag_parent, with_parent, without_parent
 from siltgate.operators.skew import hot_routes
 from siltgate.plans.batch import OUTCOME
 from siltgate.plans.cleaning import clean_tagged
 from siltgate.sources.csv import csv_options, read_every_cell
+from siltgate.sources.staging import staging_dir, written
 from siltgate.spec import TableSpec
+from siltgate.streaming.history import UsedKeys
 
 # Inside the target: a target and the record of what it has seen belong together.
 # Names with a leading underscore are not read as data.
@@ -74,8 +78,10 @@ def clean_new_files(
     An order that arrives before its customer is an orphan and keeps its key.  Whoever
     reads the result can have orphans looked up again, see ``read_cleaned``.
 
-    History and parent grow and a batch does not: a batch's keys are looked up in
-    both by broadcast where they measure small, so that both are only scanned.
+    History and parent grow and a batch does not.  A batch's keys are tested against a
+    Bloom filter of those used before, and only buckets that may hold one of them are
+    opened (see ``UsedKeys``); in the parent they are looked up by broadcast where they
+    measure small, so that it is only scanned.
     """
     spark = stream.sparkSession
     order = list(arrival or ["_time", "_file", "_block", "_row"])
@@ -90,14 +96,10 @@ def clean_new_files(
     def add(batch: DataFrame, batch_id: int) -> None:
         if arrival is None:
             batch = batch.withColumn("_row", F.monotonically_increasing_id())
-        firsts = clean_tagged(batch, spec, order).persist()
-        try:
-            write(firsts, batch_id)
-        finally:
-            firsts.unpersist()
-
-    def write(firsts: DataFrame, batch_id: int) -> None:
-        rows = _unseen(firsts, spec, target, batch_id)
+        # Written, as it is read several times and must outlive lost executors.
+        firsts = written(clean_tagged(batch, spec, order), staging_dir(spark, "micro-batch"))
+        used = UsedKeys(spark, target, spec.key, spec.clean_schema()[spec.key].dataType)
+        rows = used.unseen(firsts, batch_id)
         if spec.foreign_key:
             fk = spec.foreign_key
             wanted = rows_with_keys(parent, fk.parent_key, firsts.select(fk.column))
@@ -105,9 +107,9 @@ def clean_new_files(
             rows = tag_parent(rows, wanted, spec, hot=hot)
         else:
             rows = rows.selectExpr("*", "true AS has_parent")
-        rows.selectExpr("*", OUTCOME).write.mode("overwrite").partitionBy(
-            "outcome"
-        ).parquet(f"{target}/batch_id={batch_id}")
+        path = f"{target}/batch_id={batch_id}"
+        rows.selectExpr("*", OUTCOME).write.mode("overwrite").partitionBy("outcome").parquet(path)
+        used.add(spark.read.schema(rows.schema).parquet(path), batch_id)
 
     if spec.foreign_key and parent is None:
         raise ValueError(f"{spec.name} needs its parent table")
@@ -130,32 +132,114 @@ def read_cleaned(
 ) -> DataFrame:
     """Rows of ``clean_new_files`` with the outcome ``clean``, ``orphan`` or ``refused``.
 
-    With ``parent``, the parent table of now, orphans whose parent has come since count
-    as clean.  Only the orphans are looked up again.
+    Orphans that ``settle_orphans`` has moved are among the clean rows, without a join.
+    With ``parent``, the parent table of now, orphans whose parent has come since the last
+    settling count as clean too.  Only the orphans are looked up again.
     """
-    schema = StructType([*spec.clean_schema().fields]).add("outcome", "string").add(
-        "batch_id", "long"
-    )
-    stored = spark.read.schema(schema).parquet(target)
-    rows = stored.filter(F.col("outcome") == which).select(*spec.columns)
-    if parent is None or spec.foreign_key is None or which == "refused":
+    stored = spark.read.schema(_stored_schema(spec)).parquet(target)
+    if which == "refused":
+        return stored.filter("outcome = 'refused'").select(*spec.columns)
+    settled = _last_settling(spark, target)
+    rows = _settled(spark, spec, target, which, stored, settled)
+    if parent is None or spec.foreign_key is None:
         return rows
-    orphans = stored.filter("outcome = 'orphan'").select(*spec.columns)
+    orphans = _settled(spark, spec, target, "orphan", stored, settled)
     if which == "orphan":
         return without_parent(orphans, parent, spec)
     return rows.unionByName(with_parent(orphans, parent, spec))
 
 
-def _unseen(rows: DataFrame, spec: TableSpec, target: str, batch_id: int) -> DataFrame:
-    """Rows whose key no earlier batch has used; NULL is a key like any other here."""
-    schema = StructType([spec.clean_schema()[spec.key]]).add("batch_id", "long")
-    # The folder exists: the checkpoint is in it.
-    history = rows.sparkSession.read.schema(schema).parquet(target)
-    earlier = history.filter(F.col("batch_id") != batch_id)
-    used = rows_with_keys(earlier, spec.key, rows.select(spec.key)).select(
-        F.col(spec.key).alias("_used")
+def settle_orphans(
+    spark: SparkSession, spec: TableSpec, target: str, new_parents: DataFrame
+) -> None:
+    """Move stored orphans whose parent is among ``new_parents`` to the clean rows, for good.
+
+    ``new_parents`` are the parent rows that came since the last time (``cleaned_since`` of
+    the parent's own target); more do no harm.  The open orphans are joined with them once
+    and written anew: found ones to a folder of this settling, the others to the one of two
+    slots that is not being read.  The settling counts when its line in the log is written,
+    last, so one that fails changes nothing and may be run again.  Settle between batches,
+    not while one is running.
+    """
+    fk = spec.foreign_key
+    if fk is None:
+        raise ValueError(f"{spec.name} has no foreign key")
+    last = _last_settling(spark, target)
+    stored = spark.read.schema(_stored_schema(spec)).parquet(target)
+    orphans = _settled(spark, spec, target, "orphan", stored, last)
+    upto = stored.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return
+    parents = new_parents.select(quoted(fk.parent_key)).distinct()
+    if measures_at_most(parents, BROADCAST_BYTES):
+        parent_key, found = (unused(n, orphans.columns) for n in ("_parent_key", "has_parent"))
+        right = parents.toDF(parent_key).selectExpr("*", f"true AS {found}")
+        tagged = orphans.join(
+            F.broadcast(right), F.expr(f"{quoted(fk.column)} = {parent_key}"), "left"
+        ).selectExpr(*map(quoted, spec.columns), f"coalesce({found}, false) AS {found}")
+    else:
+        found = unused("has_parent", orphans.columns)
+        tagged = tag_parent(orphans, parents, spec, flag=found)
+    tagged = written(tagged, staging_dir(spark, "settling"))
+    gen = 0 if last is None else last["gen"] + 1
+    for rule, path in ((found, _moved(target, gen)), (f"NOT {found}", _open(target, gen))):
+        tagged.filter(rule).select(*map(quoted, spec.columns)).write.mode("overwrite").parquet(path)
+    line = spark.createDataFrame([(gen, upto)], _LOG)
+    line.coalesce(1).write.mode("overwrite").parquet(f"{target}/_settled/log/line={gen}")
+
+
+def cleaned_since(spark: SparkSession, spec: TableSpec, target: str, batch_id: int) -> DataFrame:
+    """Clean rows of the batches after ``batch_id``; earlier batches' folders are not opened."""
+    stored = spark.read.schema(_stored_schema(spec)).parquet(target)
+    return stored.filter((F.col("batch_id") > batch_id) & (F.col("outcome") == "clean")).select(
+        *map(quoted, spec.columns)
+    )
+
+
+_LOG = "gen long, upto long"
+
+
+def _moved(target: str, gen: int) -> str:
+    return f"{target}/_settled/moved/gen={gen}"
+
+
+def _open(target: str, gen: int) -> str:
+    return f"{target}/_settled/open/slot={gen % 2}"
+
+
+def _last_settling(spark: SparkSession, target: str):
+    """``gen, upto``: the last settling and the batch up to which it has seen orphans."""
+    try:
+        log = spark.read.schema(_LOG).parquet(f"{target}/_settled/log")
+        return log.orderBy(F.desc("gen")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _stored_schema(spec: TableSpec) -> StructType:
+    return StructType([*spec.clean_schema().fields]).add("outcome", "string").add(
+        "batch_id", "long"
     )
-    return rows.join(used, F.col(spec.key).eqNullSafe(F.col("_used")), "left_anti")
+
+
+def _settled(
+    spark: SparkSession, spec: TableSpec, target: str, which: str, stored: DataFrame, settled
+) -> DataFrame:
+    """Clean rows or open orphans of the batches and of all settlings, by folders alone."""
+    rows = stored.filter(F.col("outcome") == which)
+    if settled is None:
+        return rows.select(*map(quoted, spec.columns))
+    if which == "orphan":
+        rows = rows.filter(F.col("batch_id") > settled["upto"])
+        also = spark.read.schema(spec.clean_schema()).parquet(_open(target, settled["gen"]))
+    else:
+        schema = StructType([*spec.clean_schema().fields]).add("gen", "long")
+        also = spark.read.schema(schema).parquet(f"{target}/_settled/moved")
+        also = also.filter(F.col("gen") <= settled["gen"])
+    columns = [quoted(c) for c in spec.columns]
+    return rows.select(*columns).unionByName(also.select(*columns))
 
 
 def _finish(query, timeout: int | None) -> None:

@@ -1,0 +1,179 @@
+"""Keys used by earlier batches, and orphans whose parents come late."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql.types import LongType, StringType
+
+from siltgate import retail_specs
+from siltgate.operators import split_by_parent, with_arrival
+from siltgate.plans import clean
+from siltgate.sources import scan_csv, written
+from siltgate.streaming import (
+    UsedKeys,
+    clean_new_files,
+    cleaned_since,
+    read_cleaned,
+    scan_csv_stream,
+    settle_orphans,
+)
+from siltgate.streaming import history
+from tests import shop
+from tests.conftest import rows
+
+SPECS = retail_specs()
+ORDERS = SPECS["orders"]
+
+
+def batch(spark, folder, n, low, high, extra=()):
+    """A written batch: keys ``low .. high - 1`` and those of ``extra``."""
+    keys = spark.range(low, high).selectExpr("id AS k").unionByName(
+        spark.createDataFrame([(e,) for e in extra], "k long")
+    )
+    return written(keys, f"{folder}/batch_id={n}")
+
+
+def bytes_under(folder) -> int:
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+
+def test_what_a_batch_reads_does_not_grow_with_the_batches(spark, tmp_path, monkeypatch):
+    opened = []
+    plain = UsedKeys.opened
+
+    def noted(self, batch_id, buckets):
+        found = plain(self, batch_id, buckets)
+        opened.append((batch_id, len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(UsedKeys, "opened", noted)
+    target = str(tmp_path / "t")
+    used = UsedKeys(spark, target, "k", LongType())
+    filters = []
+    for n in range(6):
+        rows_ = batch(spark, target, n, n * 500, (n + 1) * 500)
+        assert used.unseen(rows_, n).count() == 500
+        used.add(rows_, n)
+        filters.append(bytes_under(f"{target}/_keys/filters/slot={n % 2}"))
+    # False answers of the filter open a bucket now and then; no batch opens many.
+    assert sum(files for _, files in opened) <= 6
+    assert max(filters) < 1.1 * history.BUCKETS * history.SLICE_BITS / 8
+    # A repeated key opens the files of its own bucket.
+    assert used.unseen(batch(spark, target, 6, 9000, 9100, [3]), 6).count() == 100
+    assert opened[-1][0] == 6 and opened[-1][1] <= 12
+
+
+def test_repeats_null_keys_and_batches_that_run_again(spark, tmp_path):
+    target = str(tmp_path / "t")
+    used = UsedKeys(spark, target, "k", LongType())
+    first = batch(spark, target, 0, 0, 100, [None])
+    for _ in range(2):
+        assert used.unseen(first, 0).count() == 101
+        used.add(first, 0)
+    second = batch(spark, target, 1, 90, 120, [None])
+    for _ in range(2):
+        fresh = used.unseen(second, 1)
+        assert rows(fresh) == [(k,) for k in sorted(range(100, 120), key=lambda k: repr((k,)))]
+        used.add(fresh, 1)
+    assert used.unseen(batch(spark, target, 2, 0, 120, [None]), 2).count() == 0
+
+
+def test_the_filter_doubles_and_stays_right(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "SLICE_KEYS", 2)
+    target = str(tmp_path / "t")
+    used = UsedKeys(spark, target, "k", LongType())
+    sizes = []
+    for n in range(4):
+        rows_ = batch(spark, target, n, n * 100, n * 100 + 150)  # a third has been there
+        assert used.unseen(rows_, n).count() == (150 if n == 0 else 100)
+        used.add(used.unseen(rows_, n), n)
+        sizes.append(used._slot(n)[1])
+    assert sizes == [2, 2, 4, 4]
+
+
+def test_targets_without_an_index_get_one(spark, tmp_path):
+    target = str(tmp_path / "t")
+    for n in range(3):
+        batch(spark, target, n, n * 10, n * 10 + 10)
+    used = UsedKeys(spark, target, "k", LongType())
+    rows_ = batch(spark, target, 3, 25, 35)
+    assert rows(used.unseen(rows_, 3)) == [(k,) for k in range(30, 35)]
+    assert len(used.opened(3, list(range(history.BUCKETS))).inputFiles()) > 0
+
+
+@pytest.mark.parametrize("collation", ["UTF8_LCASE", "UNICODE_CI"])
+def test_keys_with_a_collation(spark, tmp_path, collation):
+    target = str(tmp_path / "t")
+    used = UsedKeys(spark, target, "k", StringType(collation))
+
+    def batch_of(n, *keys):
+        df = spark.createDataFrame([(k,) for k in keys], "k string")
+        return written(df.selectExpr(f"k COLLATE {collation} AS k"), f"{target}/batch_id={n}")
+
+    first = batch_of(0, "Ab", "ΑΣ")
+    used.add(used.unseen(first, 0), 0)
+    assert rows(used.unseen(batch_of(1, "aB", "ας", "x"), 1)) == [("x",)]
+
+
+@pytest.fixture
+def customers(spark):
+    return spark.range(1, 21).selectExpr("CAST(id AS INT) AS customer_id")
+
+
+def test_orphans_are_settled_once(spark, tmp_path, customers, plan):
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    lines = shop.orders()
+    parents = [customers.filter(f"customer_id % 3 = {k}") for k in range(3)]
+    for n, (low, high) in enumerate([(1, 30), (30, len(lines))]):
+        (landing / f"{n}.csv").write_text("\n".join([lines[0], *lines[low:high]]) + "\n")
+        clean_new_files(
+            scan_csv_stream(spark, str(landing), ORDERS), ORDERS, target, parent=parents[0]
+        )
+        settle_orphans(spark, ORDERS, target, parents[1])
+        settle_orphans(spark, ORDERS, target, parents[1])  # again: nothing changes
+    half = read_cleaned(spark, ORDERS, target, "clean").count()
+    settle_orphans(spark, ORDERS, target, customers)
+
+    raw = with_arrival(scan_csv(spark, str(landing), ORDERS))
+    want = split_by_parent(clean(raw, ORDERS, ["_arrival"]), customers, ORDERS)
+    settled = {w: read_cleaned(spark, ORDERS, target, w) for w in ("clean", "orphan")}
+    assert rows(settled["clean"]) == rows(want.valid) and half < want.valid.count()
+    assert rows(settled["orphan"]) == rows(want.orphans)
+    for df in settled.values():
+        assert "Join" not in plan(df) and "Exchange" not in plan(df)
+
+
+def test_a_settling_that_fails_counts_for_nothing(spark, tmp_path, customers):
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    (landing / "a.csv").write_text("\n".join(shop.orders()) + "\n")
+    none = customers.filter("false")
+    clean_new_files(scan_csv_stream(spark, str(landing), ORDERS), ORDERS, target, parent=none)
+    before = rows(read_cleaned(spark, ORDERS, target, "orphan"))
+    moved = read_cleaned(spark, ORDERS, target, "orphan").limit(3)
+    moved.write.parquet(f"{target}/_settled/moved/gen=0")  # what a failed one may leave
+    assert rows(read_cleaned(spark, ORDERS, target, "orphan")) == before
+    assert read_cleaned(spark, ORDERS, target, "clean").count() == 0
+    settle_orphans(spark, ORDERS, target, customers)
+    assert read_cleaned(spark, ORDERS, target, "clean").count() == 45
+
+
+def test_parents_since_a_batch(spark, tmp_path):
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    spec, lines = SPECS["customers"], shop.customers()
+    for n, (low, high) in enumerate([(1, 11), (11, 21)]):
+        (landing / f"{n}.csv").write_text("\n".join([lines[0], *lines[low:high]]) + "\n")
+        clean_new_files(scan_csv_stream(spark, str(landing), spec), spec, target)
+    assert rows(cleaned_since(spark, spec, target, 0).select("customer_id")) == [
+        (k,) for k in sorted(range(11, 21))
+    ]
+    assert cleaned_since(spark, spec, target, 1).count() == 0
+
+
+def test_no_foreign_key_nothing_to_settle(spark, tmp_path, customers):
+    with pytest.raises(ValueError, match="foreign key"):
+        settle_orphans(spark, SPECS["customers"], str(tmp_path), customers)
