@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import pickle
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +35,45 @@ def crc_mod(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
+def per_process(name: str, make):
+    """What ``make()`` gives, made once in each Python process.
+
+    Spark's Python workers go from task to task, but functions arrive anew each time and
+    lose what they had in their globals; this is kept where modules are.
+    """
+    kept = sys.modules.setdefault("_siltgate_kept", types.ModuleType("_siltgate_kept")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
+def merged_states(states: DataFrame, merge, fan_in: int = 32):
+    """One state of the pickled ones in ``states`` (part, state); None if there are none.
+
+    ``part`` numbers the tasks that made them.  They are merged ``fan_in`` at a time in as
+    many rounds as it takes, so neither a task nor the driver ever holds more.
+    """
+
+    def both(one, two):
+        return two if one is None else merge(one, two)
+
+    def of_group(group: pd.DataFrame) -> pd.DataFrame:
+        whole = functools.reduce(both, map(pickle.loads, group["state"]), None)
+        return pd.DataFrame({"part": group["part"].min(), "state": [pickle.dumps(whole)]})
+
+    last = states.agg(F.max("part")).first()[0]
+    lanes = 0 if last is None else last + 1
+    while lanes > fan_in:
+        lanes = -(-lanes // fan_in)
+        states = (
+            states.withColumn("part", F.col("part") % lanes)
+            .groupBy("part")
+            .applyInPandas(of_group, "part long, state binary")
+        )
+    found = (pickle.loads(row["state"]) for row in states.orderBy("part").collect())
+    return functools.reduce(both, found, None)
+
+
 def text_chunks(
     batches: Iterator[pd.DataFrame], text: str = "text", most: int = CHUNK_CHARS
 ) -> Iterator[pd.DataFrame]:

@@ -12,18 +12,25 @@ classes by their last two bytes, known or not; inside those the second factor is
 all unknown words share one 0.1.  So every word has a probability, and a class's words and
 its unknown share sum to one.
 
-*Training.*  Truncated backpropagation in numpy, over windows of ``WINDOW`` tokens in
-``STREAMS`` parallel streams of training documents, at most ``train_tokens`` tokens of
-those with the smallest hash of their id.
+*Training.*  Truncated backpropagation in numpy over every token of every training
+document, in ``ROUNDS`` rounds.  A round takes the documents whose hash is its turn.  Each
+task starts from the shared weights, reads its documents as parallel streams in windows of
+``WINDOW`` tokens (the state starts anew at each document, as in scoring) and hands back its
+weights; their average by tokens, merged 32 at a time, is what the next round starts from.
+So the training grows with the corpus, no task holds more than a block of tokens, and the
+driver holds one set of weights.  Output biases start at the log counts: a model that has
+seen little is no worse than counting.
 
 *Counts* cover every training document: tasks add up per chunk, and a shuffle by word
 hash sums them.  Words counted often enough (at most ``LISTED``, found from the histogram
-of counts) travel to the tasks as a sorted list of hashes; the other words of a document
+of counts, on a log scale) travel to the tasks as a sorted list of hashes; the other words of a document
 are joined with the table of counts.
 """
 
 from __future__ import annotations
 
+import copy
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import WordHasher, mix64, text_chunks
+from siltgate.llm.common import WordHasher, merged_states, mix64, text_chunks
 from siltgate.sources import staging_dir, written
 
 SHORT_WORDS = 1500
@@ -42,8 +49,12 @@ TAIL_CLASSES = 48
 LISTED = 400_000
 HIDDEN = 24
 WINDOW = 32
-STREAMS = 64
-TRAIN_TOKENS = 1_500_000
+#: Streams of a block of tokens: at most so many, and fewer where that leaves less updates.
+STREAMS, UPDATES = 256, 100
+#: Tokens that a task trains on at a time.
+BLOCK_TOKENS = 2_000_000
+ROUNDS = 4
+RATE = 0.01
 SMOOTHING = 0.1
 #: The end of a text, as a word hash no other word is likely to have.
 END = np.int64(-0x5E5E5E5E5E5E5E5E)
@@ -106,19 +117,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def build_vocabulary(counts: DataFrame, listed: int = LISTED) -> tuple[Vocabulary, int]:
     """The vocabulary, and the smallest count of a listed word.
 
-    Brings the histogram of counts, at most ``listed`` words and one sum per tail class to
-    the driver.
+    Brings a histogram of counts (eight steps to each doubling), at most ``listed`` words
+    and one sum per tail class to the driver.
     """
     histogram = sorted(
-        ((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.count("*").alias("n")).collect()),
+        counts.groupBy(F.floor(8 * F.log2("c")).alias("step"))
+        .agg(F.count("*").alias("n"), F.sum("c").alias("c"), F.min("c").alias("least"))
+        .collect(),
         reverse=True,
     )
-    words, tokens = sum(n for _, n in histogram), sum(c * n for c, n in histogram)
-    least, total = (histogram[0][0] + 1 if histogram else 1), 0
-    for c, n in histogram:
-        if total + n > listed:
+    words, tokens = sum(r["n"] for r in histogram), sum(r["c"] for r in histogram)
+    least, total = (histogram[0]["c"] + 1 if histogram else 1), 0
+    for r in histogram:
+        if total + r["n"] > listed:
             break
-        least, total = c, total + n
+        least, total = r["least"], total + r["n"]
     top = counts.filter(F.col("c") >= least).toPandas().sort_values("h")
     h, c = top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
     order = np.lexsort((h, -c))[:SHORT_WORDS]
@@ -155,17 +168,45 @@ class Model:
         normal = lambda *shape: (draw.standard_normal(shape) / np.sqrt(hidden)).astype(np.float32)
         self.embed = normal(k, 3 * hidden)  # input weights and biases of each symbol
         self.u = normal(hidden, 3 * hidden)
-        self.cw, self.cb = normal(hidden, vocabulary.n_classes), np.zeros(vocabulary.n_classes, np.float32)
-        self.ww, self.wb = normal(hidden, max(self.n_short, 1)), np.zeros(max(self.n_short, 1), np.float32)
+        self.cw, self.ww = normal(hidden, vocabulary.n_classes), normal(hidden, max(self.n_short, 1))
+        order = np.flatnonzero(vocabulary.short >= 0)
+        counts = np.full(max(self.n_short, 1), SMOOTHING)
+        counts[vocabulary.short[order]] += vocabulary.counts[order]
+        totals = np.concatenate((np.bincount(vocabulary.class_of, counts[: self.n_short]), vocabulary.tail_total))
+        self.wb, self.cb = (np.log(x / x.sum()).astype(np.float32) for x in (counts, totals))
 
     def step(self, symbols: np.ndarray, h: np.ndarray):
         """One step for a batch; also what the way back needs."""
+        return self._step(self.embed[symbols], h)
+
+    def _step(self, a: np.ndarray, h: np.ndarray):
         d = self.hidden
-        a, b = self.embed[symbols], h @ self.u
-        g = 1 / (1 + np.exp(-np.clip(a[:, : 2 * d] + b[:, : 2 * d], -30, 30)))
-        z, r = g[:, :d], g[:, d:]
-        n = np.tanh(a[:, 2 * d :] + r * b[:, 2 * d :])
-        return n + z * (h - n), (z, r, n, b[:, 2 * d :])
+        b = h @ self.u
+        g = a[:, : 2 * d] + b[:, : 2 * d]
+        np.clip(g, -30, 30, out=g)
+        np.negative(g, out=g)
+        np.exp(g, out=g)
+        g += 1
+        np.reciprocal(g, out=g)
+        z, r, bn = g[:, :d], g[:, d:], b[:, 2 * d :]
+        n = r * bn
+        n += a[:, 2 * d :]
+        np.tanh(n, out=n)
+        out = h - n
+        out *= z
+        out += n
+        return out, (z, r, n, bn)
+
+    @property
+    def weights(self) -> dict[str, np.ndarray]:
+        return {n: getattr(self, n) for n in self.NAMES}
+
+    def with_weights(self, weights: dict[str, np.ndarray]) -> Model:
+        """The same model with its own copy of other weights."""
+        other = copy.copy(self)
+        for n in self.NAMES:
+            setattr(other, n, weights[n].astype(np.float32))
+        return other
 
     def output(self, h: np.ndarray, symbols: np.ndarray, grad: dict | None = None):
         """Natural log of P(class) and, for short-listed words, of P(word | class).
@@ -208,63 +249,101 @@ class Model:
         return out, back
 
 
-def window_gradient(model: Model, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray):
-    """Loss, gradients and last state of one window; ``inputs[t]`` is read before ``targets[t]``."""
+def window_gradient(
+    model: Model, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, end: int = -1
+):
+    """Loss, gradients and last state of one window; ``inputs[t]`` is read before ``targets[t]``.
+
+    The state starts anew where ``end`` is read, and no gradient passes there.
+    """
     d, (steps, batch) = model.hidden, inputs.shape
-    grad = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES}
-    states, saved = [h], []
+    grad = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES if n not in ("u", "embed")}
+    kept = (inputs != end)[:, :, None].astype(model.u.dtype)
+    embedded = model.embed[inputs]
+    states = np.empty((steps + 1, batch, d), model.u.dtype)
+    before = np.empty((steps, batch, d), model.u.dtype)  # states as each step finds them
+    saved = []
+    states[0] = h
     for t in range(steps):
-        h, kept = model.step(inputs[t], h)
-        states.append(h)
-        saved.append(kept)
-    flat = np.concatenate(states[1:])
-    logs, back = model.output(flat, targets.ravel(), grad)
+        np.multiply(states[t], kept[t], out=before[t])
+        states[t + 1], parts = model._step(embedded[t], before[t])
+        saved.append(parts)
+    logs, back = model.output(states[1:].reshape(-1, d), targets.ravel(), grad)
     back = back.reshape(steps, batch, d)
-    carried = np.zeros_like(h)
+    carried = np.zeros_like(states[0])
+    inner = np.empty((steps, batch, 3 * d), model.u.dtype)  # as the recurrent weights see it
+    moved = np.empty((steps, batch, d), model.u.dtype)  # of the new content
+    u = np.ascontiguousarray(model.u.T)
     for t in range(steps - 1, -1, -1):
         z, r, n, bn = saved[t]
         dh = back[t] + carried
         dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (states[t] - n) * z * (1 - z)
-        dr = dn * bn * r * (1 - r)
-        inner = np.concatenate((dz, dr, dn * r), axis=1)
-        grad["u"] += states[t].T @ inner
-        carried = dh * z + inner @ model.u.T
-        np.add.at(grad["embed"], inputs[t], np.concatenate((dz, dr, dn), axis=1))
+        inner[t, :, :d] = dh * (before[t] - n) * z * (1 - z)
+        inner[t, :, d : 2 * d] = dn * bn * r * (1 - r)
+        inner[t, :, 2 * d :] = dn * r
+        moved[t] = dn
+        carried = (dh * z + inner[t] @ u) * kept[t]
+    grad["u"] = before.reshape(-1, d).T @ inner.reshape(-1, 3 * d)
+    inner[:, :, 2 * d :] = moved
+    # Gradients of equal symbols are added up after sorting.
+    order = np.argsort(inputs.ravel(), kind="stable")
+    symbols = inputs.ravel()[order]
+    first = np.flatnonzero(np.diff(symbols, prepend=-1))
+    grad["embed"] = np.zeros_like(model.embed)
+    grad["embed"][symbols[first]] = np.add.reduceat(inner.reshape(-1, 3 * d)[order], first, axis=0)
     return -float(logs.sum()), grad, states[-1]
 
 
-def train(vocabulary: Vocabulary, symbols: np.ndarray, hidden: int = HIDDEN, rate: float = 0.01) -> Model:
-    """Adam on mean loss over streams of one long run of documents, each ended by an end.
-
-    The state starts anew at each document; streams are equal parts of the run.
-    """
-    model = Model(vocabulary, hidden)
-    end = _end_symbol(vocabulary)
-    streams = int(min(STREAMS, max(1, len(symbols) // (4 * WINDOW))))
-    length = len(symbols) // streams
-    if length < 1:
-        return model
-    run = symbols[: length * streams].reshape(streams, length).T
-    before = np.vstack([np.full((1, streams), end, run.dtype), run[:-1]])
-    first = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES}
-    second = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES}
-    h, updates = np.zeros((streams, hidden), np.float32), max(1, length // WINDOW)
-    for k in range(updates):
-        at = slice(k * WINDOW, (k + 1) * WINDOW)
-        inputs, targets = before[at], run[at]
-        if not len(inputs):
-            break
-        h = np.where((inputs[0] == end)[:, None], 0, h).astype(np.float32)
-        _, grad, h = window_gradient(model, inputs, targets, h)
-        step = rate * (1 - k / updates)
-        for n in Model.NAMES:
-            g = grad[n] / inputs.size
-            first[n] = 0.9 * first[n] + 0.1 * g
-            second[n] = 0.99 * second[n] + 0.01 * g * g
-            move = (first[n] / (1 - 0.9 ** (k + 1))) / (np.sqrt(second[n] / (1 - 0.99 ** (k + 1))) + 1e-8)
-            setattr(model, n, (getattr(model, n) - step * move).astype(np.float32))
-    return model
+class Trainer:
+    """Adam on the mean loss of windows, over blocks of documents that come one by one."""
+
+    def __init__(self, model: Model, end: int, rate: float = RATE):
+        self.model, self.end, self.rate, self.updates, self.tokens = model, end, rate, 0, 0
+        self.first = {n: np.zeros_like(w) for n, w in model.weights.items()}
+        self.second = {n: np.zeros_like(w) for n, w in model.weights.items()}
+
+    def read(self, symbols: np.ndarray) -> None:
+        """Train on a run of documents, each with its end; every token is predicted once."""
+        symbols = symbols.astype(np.int32)
+        streams = int(min(STREAMS, max(1, len(symbols) // (WINDOW * UPDATES))))
+        length = len(symbols) // streams
+        whole = length * streams
+        self._streams(symbols[:whole].reshape(streams, length).T)
+        if whole < len(symbols):  # what equal streams leave over, as a short one of its own
+            self._streams(symbols[whole:, None])
+
+    def _streams(self, run: np.ndarray) -> None:
+        run = np.ascontiguousarray(run)
+        start = np.full((1, run.shape[1]), self.end, run.dtype)
+        before = np.vstack((start, run[:-1]))
+        h = np.zeros((run.shape[1], self.model.hidden), np.float32)
+        for at in range(0, len(run), WINDOW):
+            inputs, targets = before[at : at + WINDOW], run[at : at + WINDOW]
+            _, grad, h = window_gradient(self.model, inputs, targets, h, self.end)
+            self._update(grad, inputs.size)
+
+    def _update(self, grad: dict[str, np.ndarray], tokens: int) -> None:
+        self.updates += 1
+        self.tokens += tokens
+        k = self.updates
+        for n, g in grad.items():
+            g /= tokens
+            first, second = self.first[n], self.second[n]
+            first *= 0.9
+            first += 0.1 * g
+            g *= g
+            second *= 0.99
+            second += 0.01 * g
+            size = np.sqrt(second)
+            size /= np.sqrt(1 - 0.99**k)
+            size += 1e-8
+            getattr(self.model, n).__isub__((self.rate / (1 - 0.9**k)) * first / size)
+
+
+def _averaged(one, two):
+    """Two ``(tokens, weights)`` as one, weights averaged by tokens."""
+    (n, a), (m, b) = one, two
+    return n + m, {k: (n * a[k] + m * b[k]) / (n + m) for k in a}
 
 
 def _end_symbol(vocabulary: Vocabulary) -> int:
@@ -317,36 +396,41 @@ def document_logs(model: Model, end: int, documents: list[np.ndarray], rows: int
     return out
 
 
-def learn_model(
-    docs: DataFrame, vocabulary: Vocabulary, train_tokens: int = TRAIN_TOKENS
-) -> Model:
-    """Fit on at most ``train_tokens`` tokens of ``docs`` (doc_id, text) in order of a hash."""
-    average = 64
-    most = max(1, train_tokens // average)
+def learn_model(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
+    """Fit on all tokens of ``docs`` (doc_id, text), each in one of ``rounds`` rounds."""
+    spark, model, end = docs.sparkSession, Model(vocabulary), _end_symbol(vocabulary)
+    turn = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(17)), F.lit(rounds))
+    for k in range(rounds):
+        part = docs.filter(turn == k).select("text")
+        states = _train_round(part, vocabulary, model, end, RATE * (1 - k / rounds))
+        found = merged_states(written(states, staging_dir(spark, "weights")), _averaged)
+        if found is not None:
+            model = model.with_weights(found[1])
+    return model
+
+
+def _train_round(
+    texts: DataFrame, vocabulary: Vocabulary, model: Model, end: int, rate: float
+) -> DataFrame:
+    """``part, state``: tokens and weights of each task that has seen any."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
+        trainer = Trainer(model.with_weights(model.weights), end, rate)
+        held: list[np.ndarray] = []
         for chunk in text_chunks(batches, most=2_000_000):
-            h, tails, counts = _tokens(chunk["text"].tolist(), hasher)
-            symbols, _ = symbols_of(vocabulary, h, tails)
-            parts = np.split(symbols, np.cumsum(counts)[:-1])
-            yield pd.DataFrame(
-                {"o": chunk["o"], "n": counts, "symbols": [p.astype(np.int16).tobytes() for p in parts]}
-            )
-
-    share = 4.0 * train_tokens / max(vocabulary.tokens, 1)
-    ordered = docs.select(F.xxhash64(F.col("doc_id"), F.lit(17)).alias("o"), "text")
-    if share < 1:  # a slice of the hash range holds enough tokens
-        ordered = ordered.filter(F.col("o") < int(-(2**63) + share * 2**64))
-    rows = (
-        ordered.mapInPandas(run, "o long, n long, symbols binary")
-        .orderBy("o", "n", "symbols")
-        .limit(most)
-        .toPandas()
-    )
-    keep = rows["n"].cumsum() - rows["n"] < train_tokens
-    joined = b"".join(rows["symbols"][keep])
-    return train(vocabulary, np.frombuffer(joined, np.int16)[:train_tokens].astype(np.int32))
+            h, tails, _ = _tokens(chunk["text"].tolist(), hasher)
+            held.append(symbols_of(vocabulary, h, tails)[0].astype(np.int16))
+            if sum(map(len, held)) >= BLOCK_TOKENS:
+                trainer.read(np.concatenate(held))
+                held = []
+        if held:
+            trainer.read(np.concatenate(held))
+        if trainer.tokens:
+            state = pickle.dumps((trainer.tokens, trainer.model.weights))
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "state": [state]})
+
+    return texts.mapInPandas(run, "part long, state binary")
 
 
 def score_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
@@ -362,6 +446,7 @@ def score_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
     model = learn_model(training, vocabulary)
     end = _end_symbol(vocabulary)
     base_log, tail_log = np.log10(vocabulary.base_total), np.log10(vocabulary.tail_total)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The vocabulary travels with the task: 20 bytes for each listed word.
         hasher, serial = WordHasher(), TaskContext.get().partitionId() << 40

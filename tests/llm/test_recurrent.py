@@ -40,6 +40,61 @@ def test_gradients_equal_differences():
             assert grad[n][where] == pytest.approx((losses[0] - losses[1]) / 2e-5, abs=1e-5)
 
 
+def test_no_state_passes_an_end_in_training():
+    """A window with two documents has the loss and gradients of two windows."""
+    model = r.Model(small_vocabulary(), hidden=3)
+    for n in r.Model.NAMES:
+        setattr(model, n, getattr(model, n).astype(np.float64))
+    draw, end = np.random.default_rng(3), 2
+    one, two = np.append(draw.integers(3, 20, 4), end), np.append(draw.integers(3, 20, 6), end)
+    run = np.concatenate((one, two))[:, None]
+    before = np.concatenate(([[end]], run[:-1]))
+    loss, grad, _ = r.window_gradient(model, before, run, np.zeros((1, 3)), end)
+    parts = [
+        r.window_gradient(model, before[s], run[s], draw.standard_normal((1, 3)), end)
+        for s in (slice(0, 5), slice(5, 12))
+    ]
+    assert loss == pytest.approx(sum(p[0] for p in parts))
+    for n in r.Model.NAMES:
+        assert np.allclose(grad[n], sum(p[1][n] for p in parts))
+
+
+def test_averages_are_weighted_by_tokens():
+    tokens, weights = r._averaged((1, {"u": np.array([0.0])}), (3, {"u": np.array([4.0])}))
+    assert tokens == 4 and weights["u"].tolist() == [3.0]
+
+
+def test_every_token_is_trained_on_once():
+    vocabulary = small_vocabulary()
+    for n in (1, 31, 32, 33, 7001):
+        trainer = r.Trainer(r.Model(vocabulary, hidden=3), 0)
+        trainer.read(np.arange(n) % 12)
+        assert trainer.tokens == n
+
+
+def held_out_gain(spark, texts, probe, partitions):
+    docs = documents(spark, texts).repartitionByRange(partitions, "doc_id")
+    probes = documents(spark, [(-1, probe)])
+    row = r.score_documents(probes, docs).collect()[0]
+    return (row.score - row.base_score) / row.n_tokens
+
+
+def test_what_only_the_last_partition_holds_is_learnt(spark):
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(12)]
+    texts = [" ".join(draw.choices(words, k=120)) for _ in range(400)]
+    turns = " ".join(words[k % 12] for k in range(120))
+    without = held_out_gain(spark, texts, turns, 4)
+    with_turns = held_out_gain(spark, texts + [turns] * 100, turns, 5)
+    assert with_turns > without + 0.2
+
+
+def test_a_few_long_documents_are_learnt_from(spark):
+    words = [f"w{k}" for k in range(9)]
+    long = " ".join(words[k % 9] for k in range(20_000))
+    assert held_out_gain(spark, [long] * 10, " ".join(words * 20), 2) > 0.5
+
+
 def test_the_output_is_a_distribution():
     vocabulary = small_vocabulary()
     model = r.Model(vocabulary, hidden=4)
