@@ -2,14 +2,16 @@
 
 Built from DataFrame functions only.  Words are maximal runs of a-z, 0-9 and anything
 beyond ASCII, after lower-casing A-Z.  A window is ``n`` words of a test item; an item
-with fewer words is one shorter window.  Documents are scanned in three steps:
+with fewer words is one shorter window.  Documents are scanned in three steps, each once
+whatever sizes the windows have:
 
-1. every window of every document becomes one 64-bit key, the hash of its first, last
-   and two inner words, and a hash join with the keys of the test windows keeps the
-   positions that may match (the test side is broadcast only if its counted rows stay
-   under ``BROADCAST_WINDOWS``; otherwise both sides shuffle);
+1. every window of every size in use becomes one 64-bit key, the hash of its size, its
+   first, last and two inner words, and a hash join with the keys of the test windows keeps
+   the positions that may match (the keys are broadcast only if they measure no more than
+   ``BROADCAST_BYTES``; otherwise both sides shuffle);
 2. positions go back to their document, where all words of the window are cut out and
-   compared with the test window, so a hash collision changes nothing;
+   compared with the test window (broadcast by its measured width, likewise), so a hash
+   collision changes nothing;
 3. hit words, hit items and the verdict are counted per document.
 
 Rows are told apart by id and text, so repeated rows get equal answers.  NULL and
@@ -26,8 +28,9 @@ from siltgate.llm.common import ascii_lower
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WINDOW_WORDS = 13
-#: About 16 bytes each in the broadcast hash relation: 64 MB at most.
-BROADCAST_WINDOWS = 4_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+#: What a key takes in a broadcast hash relation, with its slot.
+KEY_BYTES = 32
 
 
 def word_array(text: Column) -> Column:
@@ -54,36 +57,45 @@ def benchmark_windows(benchmark: DataFrame, n: int = WINDOW_WORDS) -> DataFrame:
     )
 
 
-def _sized(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_WINDOWS else small
+def _sized(small: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(small) if size <= BROADCAST_BYTES else small
+
+
+def _key(words: str, size: int, first: str) -> str:
+    """Hash of a window of ``words`` that starts at place ``first``."""
+    return f"xxhash64({size}, {', '.join(f'get({words}, {first} + {p})' for p in _offsets(size))})"
 
 
 def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS) -> DataFrame:
     """``doc_id, text_hash, hit_words, items`` of the documents with a test window.
 
     ``hit_words`` are the 1-based places of words inside such a window, ``items`` the ids
-    of the items it comes from, sorted as text.  Runs one small job that counts the test
-    windows by size.
+    of the items it comes from, sorted as text.  Runs one small job that counts and measures
+    the test windows by size.
     """
     windows = benchmark_windows(benchmark, n)
-    counts = windows.groupBy("size").agg(F.count("*").alias("n")).collect()  # n rows at most
-    total = sum(r["n"] for r in counts)
+    # At most n rows.  An id or a word of a window costs its bytes and a slot.
+    width = "sum(aggregate(gram, 64, (n, x) -> n + octet_length(x) + 16)) AS width"
+    ids = "sum(octet_length(CAST(item_id AS STRING)) + 24) AS ids"
+    sizes = windows.groupBy("size").agg(F.count("*").alias("n"), F.expr(width), F.expr(ids)).collect()
+    total = sum(r["n"] for r in sizes)
+    wide = sum(r["width"] + (r["ids"] or 0) for r in sizes)
+    sizes = sorted(r["size"] for r in sizes)
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    worded = docs.select("doc_id", "text_hash", word_array(F.col("text")).alias("w"))
-    positions = docs.selectExpr("doc_id", "text_hash", "0 AS pos", "0 AS size").limit(0)
-    for size in sorted(r["size"] for r in counts):
-        places = _offsets(size)
-        in_doc = ", ".join(f"get(w, i + {p})" for p in places)
-        in_gram = ", ".join(f"get(gram, {p})" for p in places)
-        keys = windows.filter(F.col("size") == size).selectExpr(f"xxhash64({in_gram}) AS key")
-        positions = positions.unionByName(
-            worded.selectExpr(
-                "doc_id", "text_hash", f"posexplode(transform(w, (x, i) -> xxhash64({in_doc})))"
-                " AS (at, key)",
-            )
-            .join(_sized(keys.distinct(), total), "key", "left_semi")
-            .selectExpr("doc_id", "text_hash", "at + 1 AS pos", f"{size} AS size")
+    if sizes:
+        at_each = ", ".join(
+            f"transform(w, (x, i) -> struct({_key('w', s, 'i')} AS key, i + 1 AS pos, {s} AS size))"
+            for s in sizes
+        )
+        in_gram = " ".join(f"WHEN {s} THEN {_key('gram', s, '0')}" for s in sizes)
+        keys = windows.selectExpr(f"CASE size {in_gram} END AS key").distinct()
+        positions = (
+            docs.select("doc_id", "text_hash", word_array(F.col("text")).alias("w"))
+            .selectExpr("doc_id", "text_hash", f"inline(concat({at_each}))")
+            .join(_sized(keys, total * KEY_BYTES), "key", "left_semi")
         )
+    else:
+        positions = docs.selectExpr("doc_id", "text_hash", "0 AS pos", "0 AS size").limit(0)
     # Repeated rows find the same places; a set per document is bounded by its words.
     candidates = positions.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.struct("pos", "size")).alias("places")
@@ -105,7 +117,7 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS) ->
             "slice(w, h.pos, h.size) AS gram))) AS h",
         )
         .select("doc_id", "text_hash", "h.pos", "h.size", "h.gram")
-        .join(_sized(grams, total), ["size", "gram"])
+        .join(_sized(grams, wide), ["size", "gram"])
         .groupBy("doc_id", "text_hash")
         .agg(
             F.collect_set(F.struct("pos", "size")).alias("spans"),

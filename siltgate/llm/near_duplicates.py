@@ -96,7 +96,11 @@ def document_classes(docs: DataFrame, width: int, hashes: int = HASHES, rows: in
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``v, set`` of the wanted classes (``v, doc_id``), read again from one text of each."""
+    """``v, set`` of the wanted classes (``v, doc_id, h``), read again from one text of each.
+
+    A class is found by an id; one whose rows have none, by the hash of a text among the
+    rows without an id, of which each task keeps one.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
@@ -106,11 +110,19 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield out[[len(s) > 0 and _set_hash(s) == v for s, v in zip(sets, chunk["v"], strict=True)]]
 
     wanted = written(wanted, staging_dir(docs.sparkSession, "wanted"))
-    small = wanted.count() <= BROADCAST_IDS
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(wanted) if small else wanted, "doc_id"
-    )
-    sets = found.select("v", "text").mapInPandas(run, "v long, set binary")
+    n = wanted.selectExpr("count(doc_id) AS named", "count_if(doc_id IS NULL) AS nameless").first()
+    named, nameless = (wanted.filter(f"doc_id IS {part} NULL") for part in ("NOT", ""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = rows.join(
+        F.broadcast(named) if n["named"] <= BROADCAST_IDS else named, "doc_id"
+    ).select("v", "text")
+    if n["nameless"]:
+        nameless = nameless.select("v", "h")
+        by_text = rows.filter("doc_id IS NULL").selectExpr("xxhash64(text) AS h", "text").join(
+            F.broadcast(nameless) if n["nameless"] <= BROADCAST_IDS else nameless, "h"
+        )
+        found = found.unionByName(by_text.groupBy("v").agg(F.first("text").alias("text")))
+    sets = found.mapInPandas(run, "v long, set binary")
     return written(sets.dropDuplicates(["v"]), staging_dir(docs.sparkSession, "sets"))
 
 
@@ -270,6 +282,11 @@ def near_duplicates(
 
     Links documents whose sets of ``width``-word shingles have
     ``100 * |A & B| >= percent * |A | B|``.  Tables in between go to the shared folder.
+
+    Rows with a NULL id link like others, so they may connect two documents; they are never
+    the smallest id, and a component of such rows alone has a NULL ``component_id``, of which
+    all are ``kept``.  Empty and NULL texts are alone and kept, rows of one id are judged one
+    by one.
     """
     return _judged(docs, width, percent, miss, rows, bands).drop("h", "root")
 
@@ -290,11 +307,11 @@ def _judged(
     # Copies have equal signatures; one row of each class is enough.
     one = written(
         texts.groupBy("v").agg(
-            F.min("doc_id").alias("doc_id"), F.expr("min(struct(sig, bands)) AS s")
-        ).selectExpr("v", "doc_id", "s.sig AS sig", "s.bands AS bands"),
+            F.min("doc_id").alias("doc_id"), F.min("h").alias("h"), F.expr("min(struct(sig, bands)) AS s")
+        ).selectExpr("v", "doc_id", "h", "s.sig AS sig", "s.bands AS bands"),
         staging_dir(spark, "signatures"),
     )
-    ids = one.select("v", "doc_id").filter("doc_id IS NOT NULL")
+    ids = one.select("v", "doc_id", "h")
     sigs = one.select("v", "sig")
     banded = one.select("v", F.posexplode("bands").alias("band", "key"))
     shared = (
@@ -314,7 +331,7 @@ def _judged(
     labels = connected_components(links)
     more = written(
         _rest_of_links(
-            docs, ids, buckets.drop("center"), one.drop("doc_id"), labels, width, percent, limits
+            docs, ids, buckets.drop("center"), one.drop("doc_id", "h"), labels, width, percent, limits
         ),
         staging_dir(spark, "links"),
     )

@@ -54,9 +54,9 @@ def cases():
     return docs, items
 
 
-@pytest.mark.parametrize("limit", [0, dc.BROADCAST_WINDOWS])
+@pytest.mark.parametrize("limit", [0, dc.BROADCAST_BYTES])
 def test_decontamination_equals_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(dc, "BROADCAST_WINDOWS", limit)
+    monkeypatch.setattr(dc, "BROADCAST_BYTES", limit)
     docs, items = cases()
     df = documents(spark, docs, extra=True)
     benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS size", "2 AS gram")
@@ -128,3 +128,15 @@ def test_licences_and_their_directories(spark):
         key=repr,
     )
     assert licenses.scan(files.limit(0)).collect() == []
+
+
+def test_one_scan_for_windows_of_all_sizes(spark, plan, tmp_path):
+    """Thirteen sizes of windows read the documents three times in all."""
+    words = [f"w{k}" for k in range(40)]
+    documents(spark, [" ".join(words[k : k + 20]) for k in range(20)]).write.parquet(f"{tmp_path}/documents")
+    items = [(k, " ".join(words[:k])) for k in range(1, 18)]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    report = dc.digest(docs, items)
+    assert plan(report).count(f"{tmp_path}/documents") <= 3
+    assert report.filter("doc_id = 0").first()["n_items"] == 17

@@ -167,3 +167,16 @@ def test_query_equals_brute_force(spark):
     got = QUERIES["op4_near_duplicates"](spark, sf).collect()
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows, 4, 80)
+
+
+@pytest.mark.parametrize("middle", [2, None])
+def test_a_row_without_an_id_connects_others(spark, middle):
+    """1 ~ middle ~ 3, where 1 and 3 are too far apart to be linked themselves."""
+    words = [f"w{k}" for k in range(120)]
+    texts = [(1, words), (middle, [*words[:-6], *"abcdef"]), (3, [*"uvwxyz", *words[6:-6], *"abcdef"])]
+    rows = [(i, " ".join(t)) for i, t in texts] + [(None, "all by itself with no name at all")] * 2
+    got = nd.near_duplicates(documents(spark, rows), width=4).collect()
+    of = {r["doc_id"]: r["component_id"] for r in got if r["n_shingles"] > 50}
+    assert set(of.values()) == {1}
+    alone = [r for r in got if r["n_shingles"] < 50]
+    assert [(r["component_id"], r["kept"]) for r in alone] == [(None, True)] * 2
