@@ -22,22 +22,23 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import text_chunks
+from siltgate.llm.common import per_process, text_chunks
 from siltgate.llm.packing import public_encoder
-from siltgate.llm.pieces import MODEL, PieceModel
+from siltgate.llm.pieces import MODEL, PieceTable
 from siltgate.sources import staging_dir, written
 
 BYTES = "byte_bpe_50k"
 #: Pairs that travel to the tasks, 13 bytes each.
 LISTED = 1_500_000
-#: Tokens of A that a task aligns at a time; a longer document is a chunk of its own.
-CHUNK_TOKENS = 400_000
+#: Tokens of A that a task aligns at a time, about; longer documents are cut at shared ends.
+CHUNK_TOKENS = 100_000
 #: Different pairs a task holds before it passes its counts on.
 _HELD_PAIRS = 2_000_000
 _HEADS = 32
@@ -151,6 +152,8 @@ class Vocabularies:
 
         import public_tokenizers as files
 
+        self.first = None  # the encoder of A, made where it is needed
+
         self.paths = files.path(f"{a}.json"), files.path(f"{a}.tiktoken"), files.PATTERN
         with open(self.paths[0], encoding="utf-8") as text:
             content = json.load(text)
@@ -161,29 +164,40 @@ class Vocabularies:
         for piece, i in named.items():
             if piece not in special:
                 self.raw_a[i] = bytes(back[c] for c in piece)
-        self.pieces = PieceModel(files.path(b))
+        self.pieces = PieceTable(files.path(b))
         self.raw_b = self.pieces.raw
         self.type_a, self.type_b = _id_type(len(self.raw_a)), _id_type(len(self.raw_b))
         self.size_a = np.array([len(r) for r in self.raw_a])
         self.size_b = np.array([len(r) for r in self.raw_b])
 
+    def keys(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, Aligned]:
+        """The pair of ids of each link, the place of its token of A, and the alignment."""
+        aligned = Aligned(self.size_a[chunk.ids_a], self.size_b[chunk.ids_b])
+        at_a, at_b = aligned.links()
+        return chunk.ids_a[at_a] * len(self.raw_b) + chunk.ids_b[at_b], at_a, aligned
+
     def encode(self, texts) -> Iterator[tuple[bytes, bytes]]:
         """Packed ids of both tokenizers; empty where they do not give the text back."""
-        first = plain_encoder(*self.paths)
+        if self.first is None:
+            self.first = plain_encoder(*self.paths)
         for text in texts:
             if not isinstance(text, str) or not text:
                 yield b"", b""
                 continue
             target = b" " + text.encode()
-            a, b = first(" " + text), self.pieces.encode(text)
-            if _bytes(self.raw_a, a) != target or _bytes(self.raw_b, b) != target:
+            a, b = self.first(" " + text), self.pieces.model.encode(text)
+            if _bytes(self.raw_a, a.tolist()) != target or _bytes(self.raw_b, b) != target:
                 yield b"", b""
                 continue
-            yield a.astype(self.type_a).tobytes(), b.astype(self.type_b).tobytes()
+            yield a.astype(self.type_a).tobytes(), np.array(b, self.type_b).tobytes()
+
+
+def _bytes(raw: list[bytes], ids: list[int]) -> bytes:
+    return b"".join(map(raw.__getitem__, ids))
 
 
-def _bytes(raw: list[bytes], ids: np.ndarray) -> bytes:
-    return b"".join(map(raw.__getitem__, ids.tolist()))
+def vocabularies(a: str, b: str) -> Vocabularies:
+    return per_process(f"vocabularies {a} {b}", lambda: Vocabularies(a, b))
 
 
 def plain_encoder(json_path: str, ranks_path: str, pattern: str):
@@ -215,7 +229,7 @@ def token_rows(docs: DataFrame, a: str = BYTES, b: str = MODEL) -> DataFrame:
     """``row, doc_id, a, b``: packed ids of each row of ``docs``, with a number for the row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Vocabularies(a, b)
+        words = vocabularies(a, b)
         for chunk in text_chunks(batches):
             ids = list(words.encode(chunk["text"]))
             out = pd.DataFrame(ids, columns=["a", "b"])
@@ -229,21 +243,59 @@ def token_rows(docs: DataFrame, a: str = BYTES, b: str = MODEL) -> DataFrame:
     )
 
 
-def _chunks(batches: Iterator[pd.DataFrame], words: Vocabularies):
-    """Batches cut by tokens: the rows, ids of A and of B end to end, and tokens of each row."""
+@dataclass
+class Chunk:
+    """Whole documents end to end, or a part of one: ``rows`` says which rows of the batch,
+    ``n_a`` and ``n_b`` how many tokens of each; ``last`` that the last row ends here."""
+
+    rows: range
+    ids_a: np.ndarray
+    ids_b: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    last: bool = True
+
+
+def _chunks(batch: pd.DataFrame, words: Vocabularies) -> Iterator[Chunk]:
+    """Batches cut by tokens, so that no document is too long to be aligned in pieces."""
     width_a, width_b = np.dtype(words.type_a).itemsize, np.dtype(words.type_b).itemsize
-    for batch in batches:
-        if not len(batch):
+    n_a = batch["a"].str.len().to_numpy(np.int64) // width_a
+    n_b = batch["b"].str.len().to_numpy(np.int64) // width_b
+    part = (np.cumsum(n_a) - n_a) // CHUNK_TOKENS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        # Only the last document of a part can be longer than a chunk.
+        whole = j - 1 if n_a[j - 1] > CHUNK_TOKENS else j
+        ids_a, ids_b = (
+            np.frombuffer(b"".join(batch[c].iloc[i:whole]), t).astype(np.int64)
+            for c, t in (("a", words.type_a), ("b", words.type_b))
+        )
+        if whole > i:
+            yield Chunk(range(i, whole), ids_a, ids_b, n_a[i:whole], n_b[i:whole])
+        if whole < j:
+            a, b = (np.frombuffer(batch[c].iat[whole], t) for c, t in (("a", words.type_a), ("b", words.type_b)))
+            for ids_a, ids_b, last in _pieces(a, b, words):
+                n = np.array([len(ids_a)]), np.array([len(ids_b)])
+                yield Chunk(range(whole, j), ids_a, ids_b, *n, last)
+
+
+def _pieces(a: np.ndarray, b: np.ndarray, words: Vocabularies):
+    """A long document in parts that end where both have a token's end."""
+    at_a = at_b = 0
+    width = CHUNK_TOKENS
+    while at_a < len(a):
+        ids_a = a[at_a : at_a + width].astype(np.int64)
+        ids_b = b[at_b : at_b + width].astype(np.int64)
+        ends_a, ends_b = np.cumsum(words.size_a[ids_a]), np.cumsum(words.size_b[ids_b])
+        rank = gallop(ends_a, ends_b)
+        inside = rank < len(ends_b)
+        shared = np.flatnonzero(inside & (ends_b[np.minimum(rank, len(ends_b) - 1)] == ends_a))
+        if not len(shared):  # no end is shared so far: look further
+            width *= 2
             continue
-        n_a = batch["a"].str.len().to_numpy(np.int64) // width_a
-        n_b = batch["b"].str.len().to_numpy(np.int64) // width_b
-        part = (np.cumsum(n_a) - n_a) // CHUNK_TOKENS
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
-        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-            rows = batch.iloc[i:j].reset_index(drop=True)
-            ids_a = np.frombuffer(b"".join(rows["a"]), words.type_a).astype(np.int64)
-            ids_b = np.frombuffer(b"".join(rows["b"]), words.type_b).astype(np.int64)
-            yield rows, ids_a, ids_b, n_a[i:j], n_b[i:j]
+        n_a, n_b = int(shared[-1]) + 1, int(rank[shared[-1]]) + 1
+        at_a, at_b = at_a + n_a, at_b + n_b
+        yield ids_a[:n_a], ids_b[:n_b], at_a == len(a)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,14 +309,14 @@ def pair_counts(tokens: DataFrame, a: str = BYTES, b: str = MODEL) -> DataFrame:
     """``key, n``: links of each pair of ids in all rows; ``key`` is ``a * size of B + b``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Vocabularies(a, b)
+        words = vocabularies(a, b)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for _, ids_a, ids_b, _, _ in _chunks(batches, words):
-            at_a, at_b = Aligned(words.size_a[ids_a], words.size_b[ids_b]).links()
-            if not len(at_a):
+        for chunk in (c for batch in batches for c in _chunks(batch, words)):
+            keys = words.keys(chunk)[0]
+            if not len(keys):
                 continue
-            held.append(np.unique(ids_a[at_a] * len(words.raw_b) + ids_b[at_b], return_counts=True))
+            held.append(np.unique(keys, return_counts=True))
             size += len(held[-1][0])
             if size > _HELD_PAIRS:
                 held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
@@ -355,51 +407,56 @@ def _by_row(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _digests(tokens: DataFrame, listed, a: str, b: str, with_groups: bool) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Vocabularies(a, b)
+        words = vocabularies(a, b)
         keys, counts, best = listed.value
-        ending = np.array(
-            [f"{i}{c}" for c in ",|" for i in range(len(words.raw_a))]
-            + [f"{i}{c}" for c in ",;" for i in range(len(words.raw_b))],
+        n_ids = len(words.raw_a), len(words.raw_b)
+        #: Every id with the mark that follows it.
+        marked = np.array(
+            [f"{i}{mark}" for marks, n in zip((",|", ",;"), n_ids, strict=True) for mark in marks for i in range(n)],
             dtype=object,
         )
-        from_b = 2 * len(words.raw_a)
-        for rows, ids_a, ids_b, n_a, n_b in _chunks(batches, words):
-            aligned = Aligned(words.size_a[ids_a], words.size_b[ids_b])
-            at_a, at_b = aligned.links()
-            ends_a, ends_b = np.cumsum(n_a), np.cumsum(n_b)
-            at, there = _found(keys, ids_a[at_a] * len(words.raw_b) + ids_b[at_b])
-            # Links come in order of their documents.
-            ends = np.searchsorted(at_a, ends_a)
-            of_links = np.zeros((3, len(at_a)), np.int64)
-            of_links[0] = 1
-            of_links[1, there], of_links[2, there] = best[at[there]], counts[at[there]]
-            n_links, n_best, count_sum = (_by_row(values, ends) for values in of_links)
-            # What is written: every id with the mark that follows it.
-            marked_a, marked_b = ids_a.copy(), ids_b + from_b
-            marked_a[aligned.last_a] += len(words.raw_a)
-            marked_b[aligned.last_b] += len(words.raw_b)
-            written_ids = np.empty(len(ids_a) + len(ids_b), np.int64)
-            place_a, place_b = aligned.order(len(ids_a), len(ids_b))
-            written_ids[place_a], written_ids[place_b] = marked_a, marked_b
-            texts = ending[written_ids].tolist()
-            cuts = (ends_a + ends_b).tolist()
-            groups = ["".join(texts[i:j])[:-1] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)]
+        for batch in batches:
+            n = np.zeros((6, len(batch)), np.int64)
+            shas = [hashlib.sha256() for _ in range(len(batch))]
+            groups: list[list[str]] = [[] for _ in range(len(batch))]
+            for chunk in _chunks(batch, words):
+                wanted, at_a, aligned = words.keys(chunk)
+                rows = slice(chunk.rows.start, chunk.rows.stop)
+                ends_a, ends_b = np.cumsum(chunk.n_a), np.cumsum(chunk.n_b)
+                at, there = _found(keys, wanted)
+                at, there = at[there], there.nonzero()[0]
+                n[0, rows] += chunk.n_a
+                n[1, rows] += chunk.n_b
+                n[2, rows] += np.diff(np.searchsorted(aligned.last_a, ends_a), prepend=0)
+                # Links come in order of their documents.
+                ends = np.searchsorted(at_a, ends_a)
+                of_link = np.ones(len(at_a), np.int64)
+                n[3, rows] += _by_row(of_link, ends)
+                for k, values in ((4, best), (5, counts)):
+                    of_link[:] = 0
+                    of_link[there] = values[at]
+                    n[k, rows] += _by_row(of_link, ends)
+                ids_a, ids_b = chunk.ids_a.copy(), chunk.ids_b + 2 * n_ids[0]
+                ids_a[aligned.last_a] += n_ids[0]
+                ids_b[aligned.last_b] += n_ids[1]
+                in_order = np.empty(len(ids_a) + len(ids_b), np.int64)
+                place_a, place_b = aligned.order(len(ids_a), len(ids_b))
+                in_order[place_a], in_order[place_b] = ids_a, ids_b
+                cuts = (ends_a + ends_b).tolist()
+                for row, i, j in zip(chunk.rows, [0, *cuts[:-1]], cuts, strict=True):
+                    text = "".join(marked[in_order[i:j]])
+                    if chunk.last:
+                        text = text[:-1]  # no mark after the last group
+                    shas[row].update(text.encode())
+                    if with_groups:
+                        groups[row].append(text)
+            names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
             out = pd.DataFrame(
-                {
-                    "row": rows["row"],
-                    "doc_id": rows["doc_id"].astype("Int64"),
-                    "n_a": n_a,
-                    "n_b": n_b,
-                    "n_groups": np.diff(np.searchsorted(aligned.last_a, ends_a), prepend=0),
-                    "n_links": n_links,
-                    "n_best": n_best,
-                    "count_sum": count_sum,
-                    "groups_sha256": [
-                        hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups
-                    ],
-                }
+                {"row": batch["row"], "doc_id": batch["doc_id"].astype("Int64")}
+                | dict(zip(names, n, strict=True))
+                | {"groups_sha256": [s.hexdigest() if k else "" for s, k in zip(shas, n[0], strict=True)]}
             )
-            yield out.assign(groups=groups) if with_groups else out
+            yield out.assign(groups=["".join(g) for g in groups]) if with_groups else out
 
     schema = (
         "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long,"
@@ -414,14 +471,15 @@ def _unlisted(tokens: DataFrame, listed, a: str, b: str) -> DataFrame:
     """``row, key, n``: links of pairs that are not listed, counted for each row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Vocabularies(a, b)
+        words = vocabularies(a, b)
         keys = listed.value[0]
-        for rows, ids_a, ids_b, n_a, _ in _chunks(batches, words):
-            at_a, at_b = Aligned(words.size_a[ids_a], words.size_b[ids_b]).links()
-            wanted = ids_a[at_a] * len(words.raw_b) + ids_b[at_b]
-            rest = ~_found(keys, wanted)[1]
-            of = np.searchsorted(np.cumsum(n_a), at_a[rest], side="right")
-            out = pd.DataFrame({"row": rows["row"].to_numpy()[of], "key": wanted[rest]})
-            yield out.groupby(["row", "key"], as_index=False).size().rename(columns={"size": "n"})
+        for batch in batches:
+            for chunk in _chunks(batch, words):
+                wanted, at_a, _ = words.keys(chunk)
+                rest = ~_found(keys, wanted)[1]
+                of = np.searchsorted(np.cumsum(chunk.n_a), at_a[rest], side="right")
+                row = batch["row"].to_numpy()[chunk.rows.start + of]
+                out = pd.DataFrame({"row": row, "key": wanted[rest]})
+                yield out.groupby(["row", "key"], as_index=False).size().rename(columns={"size": "n"})
 
     return tokens.select("row", "a", "b").mapInPandas(run, "row long, key long, n long")

@@ -27,18 +27,19 @@ import re
 from array import array
 from collections.abc import Iterator
 from itertools import pairwise
+from operator import add
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import text_chunks
+from siltgate.llm.common import per_process, text_chunks
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Words and pairs that a task remembers, and the longest word it remembers.
-REMEMBERED, REMEMBERED_CHARS = 600_000, 48
+#: Parts of words and pairs that a process remembers, and the longest word it remembers.
+REMEMBERED, REMEMBERED_CHARS = 250_000, 48
 
 
 class Merges:
@@ -161,33 +162,35 @@ class Backtracker:
 
 
 class Memory(dict):
-    """What a function gives for short strings; forgets all of it when it is full."""
+    """What a function gives for short strings, for ``most`` to ``2 * most`` of them.
 
-    def __init__(self, function):
+    When it is full it becomes the older half, from which what is asked for comes back.
+    """
+
+    def __init__(self, function, most: int):
         super().__init__()
-        self.function = function
+        self.function, self.most, self.older = function, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.function(key)
-        if len(key) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[key] = value
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+            if len(key) > REMEMBERED_CHARS:
+                return value
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
-class PieceModel:
-    """Encoder and decoder of a SentencePiece file of the merge type with byte pieces.
-
-    It covers models that leave text as it is but for spaces (the identity normalizer with
-    a space put before the text), as the file of the query does; ``tests/llm`` hold it
-    against the library.
-    """
+class PieceTable:
+    """The pieces of a SentencePiece file with byte pieces, and what they stand for."""
 
     def __init__(self, path: str):
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         self.names = [model.id_to_piece(i) for i in range(n)]
         kinds = [
@@ -208,11 +211,23 @@ class PieceModel:
                 self.byte_ids[self.raw[i][0]] = i
             elif kind == "text":
                 self.raw[i] = name.replace(SPACE, " ").encode()
-        self.merges = Merges({p: model.get_score(i) for p, i in self.ids.items()})
+
+
+class PieceModel(PieceTable):
+    """Encoder and decoder of a SentencePiece file of the merge type with byte pieces.
+
+    It covers models that leave text as it is but for spaces (the identity normalizer with
+    a space put before the text), as the file of the query does; ``tests/llm`` hold it
+    against the library.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.merges = Merges({p: self.model.get_score(i) for p, i in self.ids.items()})
         self.split = Backtracker(self.merges)
         self.neighbours = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
-        self.of_part = Memory(self.encode_part)
-        self.of_word = Memory(self.encode_word)
+        self.of_part = Memory(self.encode_part, REMEMBERED)
+        self.of_word = Memory(self.encode_word, REMEMBERED)
         self.whole_words = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
 
     def words(self, text: str) -> list[str]:
@@ -228,9 +243,10 @@ class PieceModel:
 
     def parts(self, word: str) -> list[str]:
         """``word`` cut where no piece of the vocabulary goes on."""
-        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.neighbours]
-        if not cuts:
+        if self.neighbours.issuperset(map(add, word, word[1:])):
             return [word]
+        pairs = enumerate(map(add, word, word[1:]), 1)
+        cuts = [k for k, pair in pairs if pair not in self.neighbours]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
     def pieces(self, part: str) -> list[str]:
@@ -305,7 +321,8 @@ def tokens(docs: DataFrame, vocabulary: str = MODEL, with_ids: bool = True) -> D
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
 
-        model = PieceModel(public_tokenizers.path(vocabulary))
+        path = public_tokenizers.path(vocabulary)
+        model = per_process(f"pieces {path}", lambda: PieceModel(path))
         decimal = [str(i) for i in range(len(model.names))]
         for chunk in text_chunks(batches):
             rows = []

@@ -70,15 +70,13 @@ def test_long_runs(text):
 
 
 def test_what_is_remembered_is_bounded():
-    seen = pieces.Memory(lambda key: key.encode())
-    kept, pieces.REMEMBERED = pieces.REMEMBERED, 10
-    try:
-        for k in range(100):
-            assert seen[str(k)] == str(k).encode()
-            assert len(seen) <= 10
-        assert seen["x" * 1000] and "x" * 1000 not in seen
-    finally:
-        pieces.REMEMBERED = kept
+    made = []
+    seen = pieces.Memory(lambda key: made.append(key) or key.encode(), 10)
+    for k in range(100):
+        assert seen[str(k)] == str(k).encode() and seen["often"] == b"often"
+        assert len(seen) <= 10 and len(seen.older) <= 10
+    assert made.count("often") == 1 and len(made) == 101
+    assert seen["x" * 1000] and "x" * 1000 not in seen
 
 
 def test_rows_of_the_query(spark, tmp_path):
