@@ -68,7 +68,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, license, origin, cosine, from_dir`` of documents laid out as files."""
     files = licenses.documents_as_files(table(spark, sf_dir, "documents"))
     return licenses.scan(files).selectExpr(
-        "CAST(element_at(split(path, '/'), -1) AS BIGINT) AS doc_id",
+        "try_cast(element_at(split(path, '/'), -1) AS BIGINT) AS doc_id",
         "license", "origin", "cosine", "from_dir",
     )
 

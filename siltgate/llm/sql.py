@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltgate.llm.licenses import ANCHORS, FILE_MIN, HEADER_MIN, TEMPLATES
+from siltgate.llm.licenses import ANCHORS, FILE_MIN, HEADER_MIN, TEMPLATES, anchored_notices
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -15,11 +15,15 @@ def _op3() -> str:
     templates = ", ".join(
         f"({k}, {_quote(n)}, {_quote(t)})" for k, (n, t) in enumerate(TEMPLATES)
     )
-    announces = " OR ".join(f"contains(lower(text), {_quote(a)})" for a in ANCHORS)
+    notices = ", ".join(
+        f"({k}, {_quote(n)}, '{a}', {before}, {size})" for k, n, a, before, size in anchored_notices()
+    )
+    anchors = ", ".join(f"'{a}'" for a in ANCHORS)
     words = f"list_filter(string_split_regex({_LOWER.format('text')}, '[^a-z0-9]+'), lambda w: w <> '')"
     t = f"{1.0 + len(TEMPLATES)}"
     return f"""
 WITH templates(template, license, text) AS (VALUES {templates}),
+notices(template, license, anchor, before, n) AS (VALUES {notices}),
 t_tf AS (SELECT template, license, word, count(*) AS tf
          FROM (SELECT template, license, unnest({words}) AS word FROM templates) GROUP BY ALL),
 t_idf AS (SELECT word, ln({t}::DOUBLE / (1 + count(*))) + 1 AS idf FROM t_tf GROUP BY word),
@@ -27,20 +31,23 @@ t_norm AS (SELECT template, sqrt(sum(tf * idf * tf * idf)) AS norm FROM t_tf JOI
 vectors AS (SELECT license, template, word, tf * idf / norm AS weight
             FROM t_tf JOIN t_idf USING (word) JOIN t_norm USING (template)),
 files AS (SELECT doc_id, concat_ws('/', source, lang, (doc_id // 100)::VARCHAR) AS dir, text FROM documents),
-marked AS (SELECT doc_id, text FROM files WHERE {announces}),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text,
-                 generate_subscripts(string_split(text, chr(10)), 1) AS block FROM marked),
-blocks AS (SELECT doc_id, 0 AS block, text FROM marked
-           UNION ALL SELECT doc_id, block, text FROM lines WHERE {announces}),
-tf AS (SELECT doc_id, block, word, count(*) AS tf
-       FROM (SELECT doc_id, block, unnest({words}) AS word FROM blocks) GROUP BY ALL),
-weighed AS (SELECT doc_id, block, word, tf * coalesce(idf, ln({t}::DOUBLE) + 1) AS w
-            FROM tf LEFT JOIN t_idf USING (word)),
-norms AS (SELECT doc_id, block, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
-dots AS (SELECT doc_id, block, license, template, sum(w * weight) AS dot
-         FROM weighed JOIN vectors USING (word) GROUP BY ALL),
-scored AS (SELECT doc_id, block = 0 AS whole, license, round(dot / norm, 6) AS cosine
-           FROM dots JOIN norms USING (doc_id, block)),
+marked AS (SELECT doc_id, w FROM (SELECT doc_id, {words} AS w FROM files) WHERE list_has_any(w, [{anchors}])),
+placed AS (SELECT doc_id, w, unnest(w) AS anchor, generate_subscripts(w, 1) AS pos FROM marked),
+near AS (SELECT doc_id, pos, template, unnest(w[greatest(pos - before, 1):pos - before + n - 1]) AS word
+         FROM placed JOIN notices USING (anchor)),
+near_tf AS (SELECT doc_id, pos, template, word, count(*) AS tf FROM near GROUP BY ALL),
+near_w AS (SELECT doc_id, pos, template, word, tf * coalesce(idf, ln({t}::DOUBLE) + 1) AS w
+           FROM near_tf LEFT JOIN t_idf USING (word)),
+in_windows AS (SELECT doc_id, false AS whole, template,
+                      round(coalesce(sum(w * weight), 0) / sqrt(sum(w * w)), 6) AS cosine
+               FROM near_w LEFT JOIN vectors USING (template, word) GROUP BY doc_id, pos, template),
+tf AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS word FROM marked) GROUP BY ALL),
+weighed AS (SELECT doc_id, word, tf * coalesce(idf, ln({t}::DOUBLE) + 1) AS w FROM tf LEFT JOIN t_idf USING (word)),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
+dots AS (SELECT doc_id, template, sum(w * weight) AS dot FROM weighed JOIN vectors USING (word) GROUP BY ALL),
+in_whole AS (SELECT doc_id, true AS whole, template, round(dot / norm, 6) AS cosine FROM dots JOIN norms USING (doc_id)),
+scored AS (SELECT doc_id, whole, license, cosine
+           FROM (SELECT * FROM in_windows UNION ALL SELECT * FROM in_whole) JOIN (SELECT template, license FROM templates) USING (template)),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, whole ORDER BY cosine DESC, license) AS k
                         FROM scored) WHERE k = 1),
 passed AS (SELECT doc_id, whole, license, cosine FROM best

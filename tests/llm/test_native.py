@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 
 from siltgate.llm import decontamination as dc
 from siltgate.llm import licenses
+from siltgate.llm.queries import QUERIES
 from tests.llm.helpers import documents, odd_texts, sentence
 
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -130,6 +133,86 @@ def test_licences_and_their_directories(spark):
     assert licenses.scan(files.limit(0)).collect() == []
 
 
+MIT = next(t for n, t in licenses.TEXTS if n == "MIT")
+NOTICES = [
+    ("MIT", "file", MIT[: MIT.rindex("IN NO EVENT")]),
+    ("MIT", None, "// Permission is hereby granted, free of charge, to any person obtaining a copy\n// of this software"),
+    ("MIT", None, "This file is licensed under the MIT License"),
+    ("MIT", None, "# SPDX-License-Identifier: MIT"),
+    ("GPL-3.0", None, "GNU GENERAL PUBLIC LICENSE"),
+    ("Proprietary", None, "Copyright 2019 Acme Inc. All rights reserved."),
+    ("MIT", None, "Released under the MIT License. See LICENSE for details."),
+    ("LGPL-3.0", None, "the GNU Lesser General Public License"),
+    ("Apache-2.0", "header", "/* SPDX-License-Identifier: Apache-2.0 */\n" + "int x = 1; " * 50),
+    ("BSD-3-Clause", "header", "long code " * 90 + "Use of this source code is governed by a BSD-style license that can be found"),
+]
+
+
+@pytest.mark.parametrize("k", range(len(NOTICES)))
+def test_notices_are_found_in_their_context(spark, k):
+    name, origin, text = NOTICES[k]
+    row = licenses.scan(spark.createDataFrame([("a/b", text)], "path string, text string")).collect()[0]
+    assert row["license"] == name and (origin is None or row["origin"] == origin)
+
+
+def test_prose_has_no_licence(spark):
+    texts = [
+        "The driver showed a license that was reserved for members of the commons.",
+        "She gave permission to use the software in the garden for any purpose he liked.",
+        "An Apache helicopter and a gnu met; all rights of way were reserved by the park.",
+        "He got his driving license in 2004, in January, version two of it in June.",
+        "Redistribution of wealth and use of public land in many forms is permitted here.",
+    ]
+    rows = [(f"d{k}/f", t) for k, t in enumerate(texts)]
+    got = licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {r["origin"] for r in got} == {"none"}
+
+
+def cosine_by_hand(words, template):
+    """TF-IDF cosine of some words to a template, step by step."""
+    lists = [licenses.template_words(t) for _, t in licenses.TEMPLATES]
+    total = len(lists)
+    idf = lambda w: math.log((1 + total) / (1 + sum(w in x for x in lists))) + 1
+    a, b = ({w: n * idf(w) for w, n in Counter(x).items()} for x in (words, lists[template]))
+    dot = sum(v * b.get(w, 0) for w, v in a.items())
+    return dot / math.sqrt(sum(v * v for v in a.values())) / math.sqrt(sum(v * v for v in b.values()))
+
+
+def test_cosines_equal_those_by_hand(spark):
+    draw = random.Random(12)
+    vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in licenses.template_words(t)})
+    texts = [" ".join(draw.choices(vocabulary + ["other"] * 40, k=draw.randint(1, 60))) for _ in range(25)]
+    texts += [t for _, t in licenses.NOTICES[:6]]
+    files = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "path string, text string")
+    got = {(r.path, r.whole): r.cosine for r in licenses.block_scores(files).collect()}
+    for k, text in enumerate(texts):
+        words_, want = licenses.template_words(text), {}
+        if not set(words_) & set(licenses.ANCHORS):
+            assert (str(k), True) not in got
+            continue
+        want[True] = max(cosine_by_hand(words_, t) for t in range(len(licenses.TEMPLATES)))
+        want[False] = max(
+            cosine_by_hand(words_[max(at - before, 0) : at - before + n], t)
+            for at, w in enumerate(words_)
+            for t, _, anchor, before, n in licenses.anchored_notices()
+            if w == anchor
+        )
+        for whole, cosine in want.items():
+            assert got[str(k), whole] == pytest.approx(cosine, abs=2e-6)
+
+
+def test_rows_of_the_licence_query(spark, tmp_path):
+    draw = random.Random(3)
+    texts = [*odd_texts(draw), "Released under the MIT License", (None, "All rights reserved"), (None, None), (5, "twice"), (5, "twice")]
+    documents(spark, texts, extra=True).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op3_licenses"](spark, str(tmp_path)).collect()
+    assert len(got) == len(texts)
+    assert sum(r["doc_id"] is None for r in got) == 2
+    assert {r["license"] for r in got if r["doc_id"] is None} == {"Proprietary"}
+    documents(spark, []).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert QUERIES["op3_licenses"](spark, f"{tmp_path}/none").collect() == []
+
+
 def test_one_scan_for_windows_of_all_sizes(spark, plan, tmp_path):
     """Thirteen sizes of windows read the documents three times in all."""
     words = [f"w{k}" for k in range(40)]
