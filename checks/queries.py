@@ -38,6 +38,7 @@ from siltgate.operators import (
 from siltgate.plans import (
     clean,
     clean_all,
+    increments,
     quarantine_reasons,
     refused_rows,
     reports,
@@ -317,6 +318,16 @@ def clustered_orders(spark, sf_dir):
     return sources.written(laid_out, sources.staging_dir(spark, "clustered"))
 
 
+@query
+def clustered_orders_two_columns(spark, sf_dir):
+    """Laid out by customer and date at once, read back for some of each."""
+    laid_out = sources.clustered_by(
+        inputs.orders(spark, sf_dir), ["customer_id", "order_date"], "order_id", files=32
+    )
+    stored = sources.written(laid_out, sources.staging_dir(spark, "curve"))
+    return stored.filter("customer_id < 500 OR order_date < DATE '1993-01-01'")
+
+
 @query
 def upsert_orders(spark, sf_dir):
     """The repeats of the raw orders, and orders under new keys, go into the table."""
@@ -650,6 +661,82 @@ def _order_rules() -> dict:
     }
 
 
+@query
+def expectations_warned(spark, sf_dir):
+    """Every order with the names of the rules it breaks."""
+    return expect(inputs.raw_orders(spark, sf_dir), _order_rules()).select(
+        "order_id", "seq", F.array_join("failed_rules", ",").alias("failed_rules")
+    )
+
+
+@query
+def expectations_that_stop(spark, sf_dir):
+    """Which rules stop a job over all orders."""
+    orders, found = inputs.raw_orders(spark, sf_dir), None
+    for name, rule in {**_order_rules(), "has_a_key": F.col("order_id").isNotNull()}.items():
+        broken = orders.filter(~F.coalesce(rule, F.lit(False))).limit(1).count()
+        try:
+            expect(orders, {name: rule}, "fail").write.format("noop").mode("overwrite").save()
+            stopped = F.lit(False)
+        except Exception as error:
+            if name not in str(error):
+                raise
+            stopped = F.lit(True)
+        part = orders.agg(
+            F.lit(name).alias("rule"), stopped.alias("stops"),
+            (F.count(F.lit(1)) > 0).alias("has_rows"), F.lit(broken).cast("long").alias("broken"),
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query
+def csv_modes_orders(spark, sf_dir):
+    """Rows that each reading mode gives of lines some of which do not fit; NULL if it stops."""
+    path, found = _messy_lines(spark, sf_dir), None
+    for mode in ("PERMISSIVE", "DROPMALFORMED", "FAILFAST"):
+        lines = sources.scan_csv(spark, path, SPECS["orders"], header=False, mode=mode)
+        try:
+            part = sources.written(lines, sources.staging_dir(spark, "mode"))
+            part = part.agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n"))
+        except Exception as error:
+            if "MALFORMED" not in str(error).upper():
+                raise
+            part = part.select(F.lit(mode).alias("mode"), F.lit(None).cast("long").alias("n"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query
+def inactive_today(spark, sf_dir):
+    """The inactivity report with its default day, today."""
+    return reports.inactive_customers(
+        inputs.customers(spark, sf_dir), inputs.native_orders(spark, sf_dir)
+    )
+
+
+def _incremental(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
+    """Clean orders and payments in two batches, the second twice, then the report."""
+    customers, orders, payments = (
+        sources.written(t, sources.staging_dir(spark, "whole"))
+        for t in _cleaned(spark, sf_dir, "payments")
+    )
+    target = sources.staging_dir(spark, "increments")
+    for batch in (0, 1, 1):
+        part = orders.filter(f"order_id % 3 {'=' if batch else '!='} 0")
+        increments.add_orders(part, target, batch)
+        arrived = orders if batch else part
+        later = payments.join(part.select("order_id"), "order_id", "left_semi")
+        increments.add_payments(later, arrived, target, batch)
+    return increments.current_reports(spark, customers, target, AS_OF)[report]
+
+
+for report in (
+    "revenue_per_customer", "monthly_revenue", "unpaid_customers", "top_customers", "inactive_customers"
+):
+    QUERIES[f"incremental_{report}"] = partial(_incremental, report=report)
+
+
 @query
 def quality_expectations(spark, sf_dir):
     return expectation_report(inputs.raw_orders(spark, sf_dir), _order_rules())

@@ -231,6 +231,35 @@ _SELECTS = {
         UNION ALL SELECT 'known_customers', count(DISTINCT customer_id) FILTER (customer_id IN
             (SELECT customer_id FROM raw_customers)) / count(DISTINCT customer_id), 0.5, 1
             FROM raw_orders) r""",
+    "clustered_orders_two_columns": """SELECT * FROM dom_orders
+        WHERE customer_id < 500 OR order_date < DATE '1993-01-01'""",
+    "expectations_warned": f"""SELECT order_id, seq, concat_ws(',',
+        CASE WHEN amount IS NULL OR amount < 0 THEN 'amount_valid' END,
+        CASE WHEN {_parsed("order_date")} IS NULL THEN 'date_readable' END,
+        CASE WHEN lower(trim(status)) NOT IN ('completed', 'pending', 'cancelled')
+            THEN 'status_known' END) AS failed_rules FROM raw_orders""",
+    "expectations_that_stop": f"""SELECT rule, broken > 0 AS stops, true AS has_rows,
+        least(broken, 1) AS broken FROM (
+        SELECT 'amount_valid' AS rule, count(*) FILTER (amount IS NULL OR amount < 0) AS broken
+            FROM raw_orders
+        UNION ALL SELECT 'date_readable', count(*) FILTER ({_parsed("order_date")} IS NULL)
+            FROM raw_orders
+        UNION ALL SELECT 'status_known', count(*) FILTER
+            (lower(trim(status)) NOT IN ('completed', 'pending', 'cancelled')) FROM raw_orders
+        UNION ALL SELECT 'has_a_key', count(*) FILTER (order_id IS NULL) FROM raw_orders) r""",
+    "csv_modes_orders": """SELECT 'PERMISSIVE' AS mode, count(*) AS n FROM dom_native_orders
+        UNION ALL SELECT 'DROPMALFORMED', count(*) FROM dom_native_orders
+            WHERE order_id % 50 NOT IN (7, 8)
+        UNION ALL SELECT 'FAILFAST', CASE WHEN count(*) FILTER (order_id % 50 IN (7, 8)) = 0
+            THEN count(*) END FROM dom_native_orders""",
+    "inactive_today": _inactive("dom_customers", "dom_native_orders").replace(
+        _AS_OF, "CAST(current_date AS DATE)"
+    ),
+    "incremental_revenue_per_customer": _revenue("clean_customers", "clean_orders", "completed"),
+    "incremental_monthly_revenue": _monthly("clean_orders", "completed"),
+    "incremental_unpaid_customers": _unpaid("clean_customers", "clean_orders", "clean_payments"),
+    "incremental_top_customers": _top("clean_customers", "clean_orders", "completed"),
+    "incremental_inactive_customers": _inactive("clean_customers", "clean_orders"),
     "drop_null_name": "SELECT * FROM named_customers",
     "drop_invalid_amount": "SELECT * FROM raw_orders WHERE amount IS NOT NULL AND amount >= 0",
     "filter_completed": "SELECT * FROM dom_native_orders WHERE status = 'F'",

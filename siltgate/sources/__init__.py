@@ -9,6 +9,7 @@ from siltgate.sources.staging import staging_dir, written
 from siltgate.sources.tables import (
     by_month,
     clustered,
+    clustered_by,
     create_schema,
     create_table,
     load_table,
@@ -25,6 +26,7 @@ __all__ = [
     "ReadableFiles",
     "by_month",
     "clustered",
+    "clustered_by",
     "create_schema",
     "create_table",
     "list_files",

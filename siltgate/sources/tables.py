@@ -6,7 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    IntegralType,
+    NumericType,
+    StringType,
+    TimestampType,
+)
+
+from siltgate.functions import quoted, unused
 from siltgate.spec import TableSpec
 
 # Formats whose own overwrite either happens as a whole or not at all.
@@ -40,11 +49,30 @@ def create_table(spark: SparkSession, spec: TableSpec, table: str, fmt: str = "p
 def register_table(
     spark: SparkSession, spec: TableSpec, table: str, path: str, fmt: str = "parquet"
 ) -> None:
-    """Name files that are already written; no copy is made."""
+    """Name files that are already written; no copy is made.
+
+    A table that was registered before, with the same columns and format, is pointed at the
+    new files in one step, so readers find the old rows or the new ones and never none.  Any
+    other table of that name is dropped first.
+    """
+    if _can_be_moved(spark, spec, table, fmt):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"REFRESH TABLE {table}")
+        return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"{table_ddl(spec, table, fmt)} LOCATION '{path}'")
 
 
+def _can_be_moved(spark: SparkSession, spec: TableSpec, table: str, fmt: str) -> bool:
+    if not spark.catalog.tableExists(table) or fmt in _ATOMIC_FORMATS:
+        return False
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").take(1000)}
+    same = [(f.name, f.clean.simpleString()) for f in spec.fields] == [
+        (f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields
+    ]
+    return same and facts.get("Type") == "EXTERNAL" and facts.get("Provider") == fmt
+
+
 def null_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     """``(column, nulls)`` for every NOT NULL column, in one aggregate."""
     required = [f.name for f in spec.fields if f.required]
@@ -119,3 +147,58 @@ def clustered(df: DataFrame, key: str, unique: str) -> DataFrame:
     ``unique`` is the second range column: it lets a hot key spread over tasks.
     """
     return df.repartitionByRange(key, unique).sortWithinPartitions(key, unique)
+
+
+# --- several columns ------------------------------------------------------------
+
+_CURVE_BITS = 6
+
+
+def clustered_by(
+    df: DataFrame, columns: Sequence[str], unique: str, files: int | None = None
+) -> DataFrame:
+    """Lay rows out along a space-filling curve, so that a filter on any of ``columns`` skips files.
+
+    Every column is cut into 64 ranges of about equal rows (one job finds the limits with a
+    sketch, some kilobytes), so skewed values still spread; the bits of the ranges are woven
+    into one number, and rows are range-partitioned and sorted by it.  ``unique`` is the last
+    range column: it lets rows that agree on all others spread over tasks.  Texts are ranged
+    by their first seven bytes.  NULL is the lowest range.  With more columns each skips less.
+    """
+    values = [_rankable(df, c) for c in columns]
+    shares = ", ".join(f"{k / 2**_CURVE_BITS}D" for k in range(1, 2**_CURVE_BITS))
+    limits = df.selectExpr(
+        *[f"percentile_approx({v}, array({shares}), 1000) AS c{k}" for k, v in enumerate(values)]
+    ).first()
+    bits = []
+    for k, value in enumerate(values):
+        # A value that is many limits at once (a hot one) takes the lowest of its ranges.
+        cuts = sorted(set(limits[k] or []))
+        if not cuts:
+            continue
+        ranges = ", ".join(f"{c!r}D" if isinstance(c, float) else f"{c}L" for c in cuts)
+        rank = f"coalesce(size(filter(array({ranges}), c -> c < {value})), 0)"
+        for bit in range(_CURVE_BITS):
+            place = bit * len(columns) + k
+            bits.append(f"shiftleft(CAST(shiftright({rank}, {bit}) & 1 AS BIGINT), {place})")
+    curve = unused("_curve", df.columns)
+    placed = df.withColumn(curve, F.expr(" + ".join(bits) if bits else "0L"))
+    by = [F.col(curve), F.col(quoted(unique))]
+    dealt = placed.repartitionByRange(files, *by) if files else placed.repartitionByRange(*by)
+    return dealt.sortWithinPartitions(*by).drop(curve)
+
+
+def _rankable(df: DataFrame, column: str) -> str:
+    """SQL for a number in the order of the column's values."""
+    name, kind = quoted(column), df.select(quoted(column)).schema.fields[0].dataType
+    if isinstance(kind, StringType):
+        return f"CAST(conv(rpad(hex(substring(CAST({name} AS BINARY), 1, 7)), 14, '0'), 16, 10) AS BIGINT)"
+    if isinstance(kind, DateType):
+        return f"CAST(unix_date({name}) AS BIGINT)"
+    if isinstance(kind, TimestampType):
+        return f"unix_micros({name})"
+    if isinstance(kind, IntegralType | BooleanType):
+        return f"CAST({name} AS BIGINT)"
+    if isinstance(kind, NumericType):
+        return f"CAST({name} AS DOUBLE)"
+    raise ValueError(f"{column} has no order to lay files out by")
