@@ -10,6 +10,7 @@ from siltgate.functions import quoted, unused
 from siltgate.operators.skew import HotRoutes, hot_routes, salted_join
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+_UNKNOWN_BYTES = 1 << 62
 #: How much more than may be broadcast is read to find out.
 READ_FACTOR = 4
 
@@ -83,9 +84,13 @@ def without_children(
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of the tables and files that ``df`` reads, as Spark knows them without a job."""
+    """Bytes of the tables and files that ``df`` reads, as Spark knows them without a job.
+
+    Inputs whose size Spark does not know, such as rows made by the driver, count nothing.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size()))
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
 
 
 def measures_at_most(df: DataFrame, max_bytes: int) -> bool:
