@@ -215,11 +215,14 @@ class Model:
         """
         k = self.class_of[symbols]
         rows = np.arange(len(h))
-        logits = h @ self.cw + self.cb
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        out = logits[rows, k] - np.log(total)
+        logits = h @ self.cw
+        logits += self.cb
+        if not self._is_tame(self.cw, self.cb):
+            logits -= logits.max(axis=1, keepdims=True)
+        out = logits[rows, k]
+        e = np.exp(logits, out=logits)
+        total = e @ np.ones(e.shape[1], e.dtype)
+        out -= np.log(total)
         back = None
         if grad is not None:
             e /= total[:, None]
@@ -227,27 +230,40 @@ class Model:
             grad["cw"] += h.T @ e
             grad["cb"] += e.sum(axis=0)
             back = e @ self.cw.T
-        order = np.argsort(k, kind="stable")
+        # Small numbers are sorted by counting; tail classes come last and need no softmax.
+        order = np.argsort(k.astype(np.uint8 if len(self.cb) < 256 else np.uint16), kind="stable")
         cuts = np.searchsorted(k[order], np.arange(len(self.start)))
+        tame = self._is_tame(self.ww, self.wb)
+        held, held_symbols = h[order[: cuts[-1]]], symbols[order[: cuts[-1]]]
         for c in range(len(self.start) - 1):
             which = order[cuts[c] : cuts[c + 1]]
             if not len(which):
                 continue
             a, b = self.start[c], self.start[c + 1]
-            part = h[which] @ self.ww[:, a:b] + self.wb[a:b]
-            part -= part.max(axis=1, keepdims=True)
-            e = np.exp(part)
-            total = e.sum(axis=1)
-            at = symbols[which] - a
-            out[which] += part[np.arange(len(which)), at] - np.log(total)
+            mine = held[cuts[c] : cuts[c + 1]]
+            part = mine @ self.ww[:, a:b]
+            part += self.wb[a:b]
+            if not tame:
+                part -= part.max(axis=1, keepdims=True)
+            at = held_symbols[cuts[c] : cuts[c + 1]] - a
+            there = np.arange(len(which))
+            found = part[there, at]
+            e = np.exp(part, out=part)
+            total = e @ np.ones(b - a, e.dtype)
+            out[which] += found - np.log(total)
             if grad is not None:
                 e /= total[:, None]
-                e[np.arange(len(which)), at] -= 1
-                grad["ww"][:, a:b] += h[which].T @ e
+                e[there, at] -= 1
+                grad["ww"][:, a:b] += mine.T @ e
                 grad["wb"][a:b] += e.sum(axis=0)
                 back[which] += e @ self.ww[:, a:b].T
         return out, back
 
+    def _is_tame(self, weights: np.ndarray, biases: np.ndarray) -> bool:
+        """No logit can be so large or small that its exponential is not a float32: states
+        lie between -1 and 1.  Else the largest of each row is taken away first."""
+        return float((np.abs(weights).sum(axis=0) + np.abs(biases)).max()) < 60
+
 
 def window_gradient(
     model: Model, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, end: int = -1
