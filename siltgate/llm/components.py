@@ -17,8 +17,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Alternating star contraction: each round hangs all larger neighbours of a vertex, then
     all smaller ones, under the smallest; the number of rounds grows with the logarithm of
-    the longest path.  Minima are pre-aggregated, and each round is written to the shared
-    folder, so a vertex with most of the edges costs one row per task and a lost executor
+    the longest path.  Minima are pre-aggregated, so finding the smallest neighbour of a
+    vertex with most of the edges costs one row per task; hanging its neighbours under that
+    one is a join by the vertex, whose 16-byte rows meet in one task unless adaptive skew
+    handling cuts them.  Each round is written to the shared folder, so a lost executor costs
     no earlier round.  No edge, label or component comes to the driver, only a count and a
     checksum per round.
     """

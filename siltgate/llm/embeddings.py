@@ -5,10 +5,15 @@ as often as it occurs.  Each class has a home cell, that of the nearest centre,
 visits the cells with a smaller number in which a partner could live: for centres ``c``
 and home ``h`` with ``u = (c - h) / |c - h|`` these are the cells with ``x . u >= -margin``.
 
-The default ``margin = sqrt(1 - t * t)`` is exact for the threshold ``t``: a vector within
-that angle of ``x`` and beyond the border to ``c`` cannot exist otherwise.  A smaller one
-visits fewer cells and loses links; ``REACH * sqrt(2 * (1 - t) / dim)`` loses few if
-differences point in random directions of all dimensions, and many if they do not.
+``margin = sqrt(1 - t * t)`` (``EXACT``) loses no link at the threshold ``t``: a vector
+within that angle of ``x`` and beyond the border to ``c`` cannot exist otherwise.  In many
+dimensions it makes nearly every vector visit nearly every cell, which is comparing all
+pairs.  The default is ``REACH`` standard deviations of a difference of that length along a
+border, ``REACH * sqrt(2 * (1 - t) / r)``, where ``r`` is the number of dimensions that the
+vectors really use (the participation ratio of their covariance), and never more than the
+exact one.  Vectors of few dimensions thus get the exact margin; others lose about one in
+4,000 of the links right at the threshold that cross a border, and fewer above it.
+``measured_recall`` compares every 50th vector with all to say what a table loses.
 
 Cells are compared in blocks of ``BLOCK``: home against home, and visitors against home,
 so a cell with a third of all vectors is many tasks.  A block answers with one row per
@@ -31,14 +36,18 @@ from siltgate.llm.components import connected_components
 from siltgate.sources import staging_dir, written
 
 THRESHOLD = 0.95
-CELL_VECTORS = 4000
+#: Vectors of a cell, about, at least; there are never more cells than CELLS_A_ROOT times the
+#: root of the number of vectors, so that the visits of a vector hardly grow with the table.
+CELL_VECTORS = 100
+CELLS_A_ROOT = 0.6
 MAX_CELLS = 4096
 SAMPLE = 40_000
 BLOCK = 4096
 #: Rows of a block that are multiplied at a time.
 _STRIP = 512
-#: Standard deviations of a random difference, for a margin that is not exact.
-REACH = 5.0
+#: Standard deviations of a random difference, for the margin that is not exact.
+REACH = 3.5
+EXACT = -1.0
 
 
 def fit_centres(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -74,11 +83,26 @@ def _units(rows) -> list[np.ndarray | None]:
     return out
 
 
-def _classes(vectors: DataFrame, dim: int) -> DataFrame:
+def dimensions_used(x: np.ndarray) -> float:
+    """Participation ratio of the covariance of rows: how many dimensions they spread over."""
+    if len(x) < 2:
+        return 1.0
+    spread = np.linalg.svd(x - x.mean(axis=0), compute_uv=False) ** 2
+    return float(spread.sum() ** 2 / max((spread**2).sum(), 1e-300))
+
+
+def margin_of(sample: np.ndarray, threshold: float) -> float:
+    exact = float(np.sqrt(max(0.0, 1 - threshold * threshold)))
+    return min(exact, REACH * float(np.sqrt(2 * (1 - threshold) / max(dimensions_used(sample), 1.0))))
+
+
+def _classes(vectors: DataFrame) -> DataFrame:
+    """``vec_id, d, v, x``: each vector as a unit vector in bytes, its length and a name for
+    what it is; NULL for those that link with nothing."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             units = _units(batch["embedding"])
-            units = [u if u is not None and len(u) == dim else None for u in units]
             packed = [None if u is None else u.tobytes() for u in units]
             hashed = hash64([p or b"" for p in packed]).view(np.int64)
             names = [
@@ -87,13 +111,14 @@ def _classes(vectors: DataFrame, dim: int) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "vec_id": batch["vec_id"].astype("Int64"),
+                    "d": [0 if u is None else len(u) for u in units],
                     "v": pd.array(names, dtype="Int64"),
                     "x": packed,
                 }
             )
 
     return vectors.select(F.col("vec_id").cast("long"), "embedding").mapInPandas(
-        run, "vec_id long, v long, x binary"
+        run, "vec_id long, d int, v long, x binary"
     )
 
 
@@ -213,6 +238,60 @@ def _compare(parts: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _links_of(
+    classes: DataFrame, dim: int, n: int, threshold: float, cell_vectors: int, margin: float | None
+) -> DataFrame:
+    """``v, n_links, w`` of the vectors of one length: links of each block, and who they join."""
+    spark = classes.sparkSession
+    k = max(1, min(MAX_CELLS, n // cell_vectors, int(CELLS_A_ROOT * n**0.5)))
+    sample = classes.select("v", "x").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()
+    x = np.frombuffer(b"".join(sample["x"]), float).reshape(len(sample), dim)
+    if margin is None:
+        margin = margin_of(x, threshold)
+    elif margin == EXACT:
+        margin = float(np.sqrt(max(0.0, 1 - threshold * threshold)))
+    placed = _cells(classes.select("v", "n", "x"), fit_centres(x, k), margin)
+    placed = written(placed, staging_dir(spark, "cells"))
+    return written(_compare(_parts(placed), threshold), staging_dir(spark, "links"))
+
+
+def measured_recall(
+    vectors: DataFrame, threshold: float = THRESHOLD, every: int = 50, margin: float | None = None
+) -> tuple[int, int]:
+    """Links found and links there are, of the vectors whose id is divisible by ``every``.
+
+    Those vectors are compared with all others, in blocks; both counts are of links to other
+    rows, copies included.
+    """
+    spark = vectors.sparkSession
+    asked = vectors.filter(F.expr(f"vec_id % {every} = 0")).select("vec_id").distinct()
+    got = near_vectors(vectors, threshold, margin=margin).join(asked, "vec_id", "left_semi")
+    n_found = got.agg(F.sum("n_links")).first()[0] or 0
+    units = _classes(vectors).filter("v IS NOT NULL").selectExpr("*", "monotonically_increasing_id() AS row")
+    units = written(units, staging_dir(spark, "recall"))
+    queries = units.filter(F.expr(f"vec_id % {every} = 0"))
+    parts = [-(-rows.count() // BLOCK) or 1 for rows in (queries, units)]
+    own = [f"CAST(pmod(xxhash64(row), {n}) AS INT)" for n in parts]
+    each = [f"explode(sequence(0, {n - 1}))" for n in parts]
+    dealt = queries.selectExpr("d", f"{own[0]} AS a", f"{each[1]} AS b", "true AS asks", "x").unionByName(
+        units.selectExpr("d", f"{each[0]} AS a", f"{own[1]} AS b", "false AS asks", "x")
+    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in whole_groups(batches, ("d", "a", "b")):
+            x = np.frombuffer(b"".join(part["x"]), float).reshape(len(part), -1)
+            asks, n = part["asks"].to_numpy(), 0
+            for k in range(0, int(asks.sum()), _STRIP):
+                n += int((x[asks][k : k + _STRIP] @ x[~asks].T >= threshold).sum())
+            yield pd.DataFrame({"n": [n]})
+
+    counted = (
+        dealt.repartition("d", "a", "b").sortWithinPartitions("d", "a", "b").mapInPandas(run, "n long")
+    )
+    n_there = counted.agg(F.sum("n")).first()[0] or 0
+    return int(n_found), int(n_there) - queries.count()  # each row is found beside itself
+
+
 def near_vectors(
     vectors: DataFrame,
     threshold: float = THRESHOLD,
@@ -221,34 +300,22 @@ def near_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (vec_id, embedding).
 
-    NULL, zero and non-finite vectors, and those of another length than the commonest (the
-    shorter one of a tie), link with nothing.  Rows with a NULL id count as partners and
-    keep a NULL component of their own if alone.
+    NULL, zero and non-finite vectors link with nothing, vectors of one length only with
+    each other.  Rows with a NULL id count as partners and keep a NULL component of their own
+    if alone.  ``margin`` is that of the module's text, ``EXACT`` the one that loses nothing.
     """
     spark = vectors.sparkSession
-    length = (
-        vectors.filter("size(embedding) > 0")
-        .groupBy(F.size("embedding").alias("d"))
-        .count()
-        .orderBy(F.desc("count"), "d")
-        .first()
-    )
-    dim = length["d"] if length else 0
-    if margin is None:
-        margin = float(np.sqrt(max(0.0, 1 - threshold * threshold)))
-    rows = written(_classes(vectors, dim), staging_dir(spark, "vectors"))
+    rows = written(_classes(vectors), staging_dir(spark, "vectors"))
     classes = rows.filter("v IS NOT NULL").groupBy("v").agg(
-        F.count("*").alias("n"), F.min("vec_id").alias("least"), F.min("x").alias("x")
+        F.count("*").alias("n"), F.min("vec_id").alias("least"), F.min("d").alias("d"), F.min("x").alias("x")
     )
     classes = written(classes, staging_dir(spark, "vectors"))
-    n_classes = classes.count()
-    k = max(1, min(MAX_CELLS, n_classes // cell_vectors))
-    sample = classes.select("v", "x").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()
-    centres = fit_centres(
-        np.frombuffer(b"".join(sample["x"]), float).reshape(len(sample), dim) if dim else np.zeros((0, 1)), k
-    )
-    placed = written(_cells(classes.select("v", "n", "x"), centres, margin), staging_dir(spark, "cells"))
-    found = written(_compare(_parts(placed), threshold), staging_dir(spark, "links"))
+    found = None
+    for d, n in sorted((r["d"], r["n"]) for r in classes.groupBy("d").agg(F.count("*").alias("n")).collect()):
+        links = _links_of(classes.filter(F.col("d") == d), d, n, threshold, cell_vectors, margin)
+        found = links if found is None else found.unionByName(links)
+    if found is None:
+        found = spark.createDataFrame([], "v long, n_links long, w long")
     labels = connected_components(found.selectExpr("v AS a", "w AS b"))
     links = found.groupBy("v").agg(F.sum("n_links").alias("n_links"))
     named = (

@@ -90,6 +90,32 @@ def test_vectors_of_few_directions_keep_all_links(spark):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=repr) == brute(rows)
 
 
+def test_lengths_are_compared_each_for_itself(spark):
+    """Two vectors of three entries link beside many of two."""
+    rows = [(k, [1.0, float(k)]) for k in range(0, 300, 100)] + [(500, [1.0, 0.0, 0.0]), (501, [1.0, 0.01, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in em.near_vectors(df, cell_vectors=1).collect())
+    assert got == brute(rows) and got[-1] == (501, 1, 500)
+
+
+@pytest.mark.parametrize("dims", [64, 16, 4])
+def test_recall_is_measured(spark, dims):
+    """Planted pairs at and above the threshold, among vectors of 64 entries that use fewer."""
+    draw = np.random.default_rng(dims)
+    x = draw.standard_normal((1500, dims))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = draw.standard_normal((1500, dims))
+    side -= (side * x).sum(axis=1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cos = np.where(np.arange(1500) % 2 == 0, 0.9501, 0.97)[:, None]
+    y = cos * x + np.sqrt(1 - cos**2) * side
+    turned = np.vstack((x, y)) @ np.linalg.qr(draw.standard_normal((64, dims)))[0].T
+    df = spark.createDataFrame(list(enumerate(turned.tolist())), "vec_id long, embedding array<double>")
+    found, there = em.measured_recall(df, every=5)
+    assert there >= 600 and 0.99 * there <= found <= there
+    assert em.measured_recall(df, every=5, margin=em.EXACT) == (there, there)
+
+
 def test_empty_and_all_null(spark):
     schema = "vec_id long, embedding array<float>"
     assert em.near_vectors(spark.createDataFrame([], schema)).collect() == []
