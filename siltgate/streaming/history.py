@@ -21,6 +21,8 @@ place: each batch then looks all of its keys up.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,15 @@ BUCKETS = 64
 #: Bits of a slice, the keys it is meant for, and the bits set for a key.
 SLICE_BITS, SLICE_KEYS, PROBES = 32_768, 1_500, 6
 
-_FILTER = "bucket int, slice int, bits binary, n long, batch_id long, slices int"
+_FILTER = "bucket int, slice int, bits binary, batch_id long, slices int, total long"
+
+
+class Filter(NamedTuple):
+    """Bitmaps of all keys up to a batch, the slices of a bucket, and the number of keys."""
+
+    bits: DataFrame
+    slices: int
+    total: int
 
 
 class UsedKeys:
@@ -46,6 +56,7 @@ class UsedKeys:
         self.type = key_type.simpleString()
         self.schema = StructType([StructField(key, key_type)])
         self.used_dir, self.filter_dir = f"{target}/_keys/used", f"{target}/_keys/filters"
+        self.known: dict[int, Filter | None] = {}
 
     # --- reading -------------------------------------------------------------
 
@@ -55,8 +66,7 @@ class UsedKeys:
         known = self._filter_before(batch_id)
         if known is None:
             return rows
-        filters, slices = known
-        suspects = self._suspects(rows.select(quoted(self.key)).distinct(), filters, slices)
+        suspects = self._suspects(rows.select(quoted(self.key)).distinct(), known)
         suspects = written(suspects, staging_dir(self.spark, "suspects"))
         hit = suspects.select("bucket").distinct().take(BUCKETS)
         if not hit:
@@ -73,18 +83,18 @@ class UsedKeys:
         stored = self.spark.read.schema(schema).parquet(self.used_dir)
         return stored.filter(F.col("bucket").isin(buckets) & (F.col("batch_id") < batch_id))
 
-    def _suspects(self, keys: DataFrame, filters: DataFrame, slices: int) -> DataFrame:
+    def _suspects(self, keys: DataFrame, known: Filter) -> DataFrame:
         """Keys that may have been used, with their bucket."""
-        placed = self._placed(keys, slices)
+        placed, bits = self._placed(keys, known.slices), known.bits
         # 4 KB a slice; a filter that is too large to send is shuffled once, a slice a row.
-        if BUCKETS * slices * SLICE_BITS // 8 <= BROADCAST_BYTES:
-            filters = F.broadcast(filters)
+        if BUCKETS * known.slices * SLICE_BITS // 8 <= BROADCAST_BYTES:
+            bits = F.broadcast(bits)
         every = " AND ".join(
             f"(shiftright(CAST(conv(hex(substring(bits, p[{k}] DIV 8 + 1, 1)), 16, 10) AS INT),"
             f" p[{k}] % 8) & 1) = 1"
             for k in range(PROBES)
         )
-        found = placed.join(filters.select("bucket", "slice", "bits"), ["bucket", "slice"])
+        found = placed.join(bits, ["bucket", "slice"])
         return found.filter(every).select(quoted(self.key), "bucket")
 
     def _placed(self, keys: DataFrame, slices: int) -> DataFrame:
@@ -112,41 +122,33 @@ class UsedKeys:
         known = self._filter_before(batch_id)
         keys = keys.select(quoted(self.key))
         self._store(keys, f"{self.used_dir}/batch_id={batch_id}")
-        n_before, slices = 0, 1
-        if known is not None:
-            slices = known[1]
-            n_before = known[0].agg(F.sum("n")).first()[0] or 0
-        total = n_before + keys.count()
-        wanted = slices
-        while total > BUCKETS * wanted * SLICE_KEYS:
-            wanted *= 2
-        mine = self.spark.read.schema(self.schema).parquet(f"{self.used_dir}/batch_id={batch_id}")
-        if wanted != slices and n_before:  # doubled: one pass over all used keys
-            earlier = self.opened(batch_id + 1, list(range(BUCKETS)))
-            parts = self._bits(earlier, wanted)
+        total = keys.count() + (known.total if known else 0)
+        slices = self._slices_for(total, known.slices if known else 1)
+        if known and slices != known.slices:  # doubled: one pass over all used keys
+            parts = self._bits(self.opened(batch_id + 1, list(range(BUCKETS))), slices)
         else:
-            parts = self._bits(mine, wanted)
-            if known is not None:
-                parts = parts.unionByName(known[0].select("bucket", "slice", "bits", "n"))
-        self._write_filter(parts, batch_id, wanted)
+            parts = self._bits(keys, slices)
+            if known:
+                parts = parts.unionByName(known.bits)
+        self._write_filter(parts, batch_id, slices, total)
+
+    def _slices_for(self, total: int, slices: int = 1) -> int:
+        while total > BUCKETS * slices * SLICE_KEYS:
+            slices *= 2
+        return slices
 
     def _bits(self, keys: DataFrame, slices: int) -> DataFrame:
         placed = self._placed(keys.select(quoted(self.key)), slices)
         return (
             placed.selectExpr("bucket", "slice", "explode(p) AS p")
             .groupBy("bucket", "slice")
-            .agg(
-                F.expr("bitmap_construct_agg(CAST(p AS LONG))").alias("bits"),
-                F.expr(f"count(1) DIV {PROBES}").alias("n"),
-            )
+            .agg(F.expr("bitmap_construct_agg(CAST(p AS LONG))").alias("bits"))
         )
 
-    def _write_filter(self, parts: DataFrame, batch_id: int, slices: int) -> None:
-        whole = parts.groupBy("bucket", "slice").agg(
-            F.expr("bitmap_or_agg(bits)").alias("bits"), F.sum("n").alias("n")
-        )
+    def _write_filter(self, parts: DataFrame, batch_id: int, slices: int, total: int) -> None:
+        whole = parts.groupBy("bucket", "slice").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
         whole.selectExpr(
-            "*", f"CAST({batch_id} AS LONG) AS batch_id", f"{slices} AS slices"
+            "*", f"{batch_id}L AS batch_id", f"{slices} AS slices", f"{total}L AS total"
         ).write.mode("overwrite").parquet(f"{self.filter_dir}/slot={batch_id % 2}")
 
     def _store(self, keys: DataFrame, path: str) -> None:
@@ -155,27 +157,31 @@ class UsedKeys:
 
     # --- the filter as it was before a batch -----------------------------------
 
-    def _filter_before(self, batch_id: int) -> tuple[DataFrame, int] | None:
-        """The filter of all batches before this one and its slices; None if there is no key."""
+    def _filter_before(self, batch_id: int) -> Filter | None:
+        """The filter of all batches before this one; None if there is no key."""
         if batch_id == 0:
             return None
-        stored = self._slot(batch_id - 1)
-        if stored is None:
-            self._rebuild(batch_id)
+        if batch_id not in self.known:
             stored = self._slot(batch_id - 1)
-        return stored
+            if stored is None:
+                self._rebuild(batch_id)
+                stored = self._slot(batch_id - 1)
+            self.known = {batch_id: stored}
+        return self.known[batch_id]
 
-    def _slot(self, batch_id: int) -> tuple[DataFrame, int] | None:
+    def _slot(self, batch_id: int) -> Filter | None:
         path = f"{self.filter_dir}/slot={batch_id % 2}"
         try:
             filters = self.spark.read.schema(_FILTER).parquet(path)
             filters = filters.filter(F.col("batch_id") == batch_id)
-            first = filters.select("slices").first()
+            first = filters.select("slices", "total").first()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        return (filters, first["slices"]) if first else None
+        if first is None:
+            return None
+        return Filter(filters.select("bucket", "slice", "bits"), first["slices"], first["total"])
 
     def _rebuild(self, batch_id: int) -> None:
         """Both tables anew from the target itself, for targets that came without them."""
@@ -188,8 +194,6 @@ class UsedKeys:
         ).parquet(self.used_dir)
         total = earlier.count()
         if total:
-            slices = 1
-            while total > BUCKETS * slices * SLICE_KEYS:
-                slices *= 2
+            slices = self._slices_for(total)
             keys = self.opened(batch_id, list(range(BUCKETS)))
-            self._write_filter(self._bits(keys, slices), batch_id - 1, slices)
+            self._write_filter(self._bits(keys, slices), batch_id - 1, slices, total)

@@ -96,7 +96,7 @@ def test_the_filter_doubles_and_stays_right(spark, tmp_path, monkeypatch):
         rows_ = batch(spark, target, n, n * 100, n * 100 + 150)  # a third has been there
         assert used.unseen(rows_, n).count() == (150 if n == 0 else 100)
         used.add(used.unseen(rows_, n), n)
-        sizes.append(used._slot(n)[1])
+        sizes.append(used._slot(n).slices)
     assert sizes == [2, 2, 4, 4]
 
 
