@@ -15,7 +15,8 @@ What is left changes from page to page, and there alignment cannot tell an artic
 say, a list of links.  So the wrapper also names the part that holds the article: elements
 that say so, and of several the one with most running text.  Only outside that part do
 names throw out menus, adverts, notices and the like; inside it only what is no text of an
-article in any sense does (``nav``, ``aside``, ``form``, comments, adverts).
+article in any sense goes (``nav``, ``aside``, ``form``, comments, adverts, notices), and
+no word that an article's own section may bear (``related``, ``share``, ``legal``) counts.
 
 Wrappers do not depend on the order of pages or on how they are dealt to tasks, and copies
 of a page change nothing.  A wrapper grows with the different structures of its host.
@@ -81,8 +82,10 @@ _BOILER = re.compile(
 )
 #: What is no part of an article even inside it, though it changes from page to page.
 _NEVER = re.compile(
-    r"(?:^|[^a-z])(?:ads?|adverts?|advertisement|advertising|sponsored|cookies?|newsletter|"
-    r"sidebar|nav|navbar|navigation|breadcrumbs?|comments?|disqus)(?:$|[^a-z])"
+    r"(?:^|[^a-z])(?:ads?|adverts?|advertisement|advertising|sponsor\w*|promo\w*|banner\w*|cookies?|"
+    r"consent|notices?|gdpr|newsletter|subscri\w+|signup|sidebar\w*|nav|navbar|navigation|"
+    r"breadcrumbs?|comment\w*|respond|replies|disqus|social|widgets?|popup|modal|overlay|login|"
+    r"pagination|pager|toolbar)(?:$|[^a-z])"
 )
 _MODIFIER = re.compile(r"(?:has|with|without|no|is)[-_]|(?:article|post|entry|content|page)[-_]?(?:header|title)$")
 _MAIN = re.compile(r"(?:^|[^a-z])(?:article|main|content|post|entry|story|body)(?:$|[^a-z])")
