@@ -15,8 +15,8 @@ Built from DataFrame functions only.  ``files`` has a ``path`` and a ``text``.
   licence name; of several licence files in one directory the highest cosine, then the
   name, then the path.
 * A file without a licence of its own takes that of the nearest directory at or above its
-  own with a licence file.  Directories are resolved once each, and only those at or below
-  one with a licence file are joined back to their files.
+  own with a licence file.  Directories are resolved once each, and joined back to their
+  files by salted keys where one has a million files or more.
 
 Paths are cut at ``/``; empty parts are dropped.  NULL paths count as the root, NULL and
 empty texts have no words.  Repeated paths are files of their own if their texts differ
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.llm.common import ascii_lower
+from siltgate.operators.skew import hot_routes, salted_join
 
 #: Short forms of public licence notices, by SPDX name.
 NOTICES = (
@@ -276,11 +277,15 @@ def scan(files: DataFrame, header_min: float = HEADER_MIN, file_min: float = FIL
         .agg(F.expr("max(struct(depth, from_dir, license)) AS near"))
         .selectExpr("dir", "near.from_dir AS from_dir", "near.license AS near_license")
     )
-    return (
+    own_rows = (
         rows.alias("f")
         .join(own.alias("o"), F.expr("f.path <=> o.path AND f.text_hash = o.text_hash"), "left")
-        .select("f.path", "f.dir", "o.is_file", "o.license", "o.cosine")
-        .join(nearest, "dir", "left")
+        .select("f.path", "f.dir", "f.text_hash", "o.is_file", "o.license", "o.cosine")
+    )
+    # A directory may hold a third of all files: its rows go to several tasks.
+    hot = hot_routes(rows, ["dir"])
+    return (
+        salted_join(own_rows, nearest, ["dir"], "left", spread_by=["path", "text_hash"], hot=hot)
         .selectExpr(
             "path",
             "coalesce(license, near_license) AS license",

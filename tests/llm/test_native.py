@@ -201,6 +201,18 @@ def test_cosines_equal_those_by_hand(spark):
             assert got[str(k), whole] == pytest.approx(cosine, abs=2e-6)
 
 
+def test_a_directory_with_most_files_is_cut(spark, monkeypatch, plan):
+    """The files of one directory inherit alike, in lanes and without."""
+    rows = [("a/LICENSE", "Released under the MIT License")] + [(f"a/b/f{k}", f"text {k}") for k in range(300)]
+    files = spark.createDataFrame(rows + [("c/x", "y")], "path string, text string")
+    want = sorted(map(tuple, licenses.scan(files).collect()))
+    real = licenses.hot_routes
+    monkeypatch.setattr(licenses, "hot_routes", lambda df, keys: real(df, keys, min_rows=50, lane_rows=20))
+    cut = licenses.scan(files)
+    assert sorted(map(tuple, cut.collect())) == want and "_lane" in plan(cut)
+    assert sum(r[2] == "inherited" for r in want) == 300
+
+
 def test_rows_of_the_licence_query(spark, tmp_path):
     draw = random.Random(3)
     texts = [*odd_texts(draw), "Released under the MIT License", (None, "All rights reserved"), (None, None), (5, "twice"), (5, "twice")]
