@@ -47,11 +47,11 @@ def per_process(name: str, make):
     return kept[name]
 
 
-def merged_states(states: DataFrame, merge, fan_in: int = 32):
+def merged_states(states: DataFrame, merge, fan_in: int = 8):
     """One state of the pickled ones in ``states`` (part, state); None if there are none.
 
     ``part`` numbers the tasks that made them.  They are merged ``fan_in`` at a time in as
-    many rounds as it takes, so no task ever holds more and the driver gets the last one.
+    many rounds as it takes, so neither a task nor the driver ever holds more.
     """
 
     def both(one, two):
@@ -63,7 +63,7 @@ def merged_states(states: DataFrame, merge, fan_in: int = 32):
 
     last = states.agg(F.max("part")).first()[0]
     lanes = 0 if last is None else last + 1
-    while lanes > 1:
+    while lanes > fan_in:
         lanes = -(-lanes // fan_in)
         states = (
             states.withColumn("part", F.col("part") % lanes)

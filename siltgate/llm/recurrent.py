@@ -16,7 +16,7 @@ its unknown share sum to one.
 document, in ``ROUNDS`` rounds.  A round takes the documents whose hash is its turn.  Each
 task starts from the shared weights, reads its documents as parallel streams in windows of
 ``WINDOW`` tokens (the state starts anew at each document, as in scoring) and hands back its
-weights; their average by tokens, merged 32 at a time, is what the next round starts from.
+weights; their average by tokens, merged 8 at a time, is what the next round starts from.
 So the training grows with the corpus, no task holds more than a block of tokens, and the
 driver holds one set of weights.  Output biases start at the log counts: a model that has
 seen little is no worse than counting.
@@ -179,10 +179,10 @@ class Model:
         """One step for a batch; also what the way back needs."""
         return self._step(self.embed[symbols], h)
 
-    def _step(self, a: np.ndarray, h: np.ndarray):
+    def _step(self, a: np.ndarray, h: np.ndarray, out: np.ndarray | None = None):
         d = self.hidden
         b = h @ self.u
-        g = a[:, : 2 * d] + b[:, : 2 * d]
+        g = np.add(a[:, : 2 * d], b[:, : 2 * d], out=out)
         np.clip(g, -30, 30, out=g)
         np.negative(g, out=g)
         np.exp(g, out=g)
@@ -192,10 +192,10 @@ class Model:
         n = r * bn
         n += a[:, 2 * d :]
         np.tanh(n, out=n)
-        out = h - n
-        out *= z
-        out += n
-        return out, (z, r, n, bn)
+        new = h - n
+        new *= z
+        new += n
+        return new, (z, r, n, bn)
 
     @property
     def weights(self) -> dict[str, np.ndarray]:
@@ -272,37 +272,42 @@ def window_gradient(
 
     The state starts anew where ``end`` is read, and no gradient passes there.
     """
-    d, (steps, batch) = model.hidden, inputs.shape
+    d, (steps, batch), kind = model.hidden, inputs.shape, model.u.dtype
     grad = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES if n not in ("u", "embed")}
-    kept = (inputs != end)[:, :, None].astype(model.u.dtype)
+    kept = (inputs != end)[:, :, None].astype(kind)
     embedded = model.embed[inputs]
-    states = np.empty((steps + 1, batch, d), model.u.dtype)
-    before = np.empty((steps, batch, d), model.u.dtype)  # states as each step finds them
-    saved = []
+    states = np.empty((steps + 1, batch, d), kind)
+    before, content, inside = (np.empty((steps, batch, d), kind) for _ in range(3))
+    gates = np.empty((steps, batch, 2 * d), kind)
     states[0] = h
     for t in range(steps):
-        np.multiply(states[t], kept[t], out=before[t])
-        states[t + 1], parts = model._step(embedded[t], before[t])
-        saved.append(parts)
+        np.multiply(states[t], kept[t], out=before[t])  # the state as this step finds it
+        states[t + 1], (z, r, content[t], inside[t]) = model._step(embedded[t], before[t], gates[t])
     logs, back = model.output(states[1:].reshape(-1, d), targets.ravel(), grad)
     back = back.reshape(steps, batch, d)
-    carried = np.zeros_like(states[0])
-    inner = np.empty((steps, batch, 3 * d), model.u.dtype)  # as the recurrent weights see it
-    moved = np.empty((steps, batch, d), model.u.dtype)  # of the new content
-    u = np.ascontiguousarray(model.u.T)
+    # What does not depend on the gradient from later steps, for all steps at once.
+    z, r = gates[:, :, :d], gates[:, :, d:]
+    to_content = (1 - z) * (1 - content * content)
+    to_z = (before - content) * z * (1 - z)
+    to_r = inside * r * (1 - r)
+    inner = np.empty((steps, batch, 3 * d), kind)  # as the recurrent weights see it
+    carried, u = np.zeros((batch, d), kind), np.ascontiguousarray(model.u.T)
     for t in range(steps - 1, -1, -1):
-        z, r, n, bn = saved[t]
-        dh = back[t] + carried
-        dn = dh * (1 - z) * (1 - n * n)
-        inner[t, :, :d] = dh * (before[t] - n) * z * (1 - z)
-        inner[t, :, d : 2 * d] = dn * bn * r * (1 - r)
-        inner[t, :, 2 * d :] = dn * r
-        moved[t] = dn
-        carried = (dh * z + inner[t] @ u) * kept[t]
+        dh = back[t]
+        dh += carried
+        np.multiply(dh, to_z[t], out=inner[t, :, :d])
+        moved = to_content[t]
+        moved *= dh  # of the new content, from here on
+        np.multiply(moved, to_r[t], out=inner[t, :, d : 2 * d])
+        np.multiply(moved, r[t], out=inner[t, :, 2 * d :])
+        dh *= z[t]
+        carried = inner[t] @ u
+        carried += dh
+        carried *= kept[t]
     grad["u"] = before.reshape(-1, d).T @ inner.reshape(-1, 3 * d)
-    inner[:, :, 2 * d :] = moved
+    inner[:, :, 2 * d :] = to_content
     # Gradients of equal symbols are added up after sorting.
-    order = np.argsort(inputs.ravel(), kind="stable")
+    order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
     symbols = inputs.ravel()[order]
     first = np.flatnonzero(np.diff(symbols, prepend=-1))
     grad["embed"] = np.zeros_like(model.embed)
