@@ -355,7 +355,7 @@ def upsert_table_orders(spark, sf_dir):
 # --- input files ---------------------------------------------------------------------
 
 
-def _orders_with_a_broken_file(spark: SparkSession, sf_dir: str):
+def _orders_with_broken_files(spark: SparkSession, sf_dir: str):
     """Compressed files of orders by status; those with status P came uncompressed under a
     name that says otherwise."""
     path = sources.staging_dir(spark, "files")
@@ -363,33 +363,37 @@ def _orders_with_a_broken_file(spark: SparkSession, sf_dir: str):
     packed = rows.filter("status != 'P'").select(*SPECS["orders"].columns)
     packed.write.options(header="true", compression="gzip").csv(path)
     plain = f"{path}-plain"
-    rows.filter("status = 'P'").select(*SPECS["orders"].columns).coalesce(1).write.option(
+    rows.filter("status = 'P'").select(*SPECS["orders"].columns).write.option(
         "header", "true"
     ).csv(plain)
     java = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for row in sources.list_files(spark, plain).take(1):
-        source = java.Path(row["file"])
+    for k, row in enumerate(sources.list_files(spark, plain).toLocalIterator()):
+        source, target = java.Path(row["file"]), java.Path(f"{path}/broken-{k}.csv.gz")
         files = source.getFileSystem(conf)
-        java.FileUtil.copy(files, source, files, java.Path(f"{path}/broken.csv.gz"), False, conf)
+        java.FileUtil.copy(files, source, files, target, False, conf)
     return sources.scan_readable(spark, path, SPECS["orders"])
 
 
 @query
 def readable_files_orders(spark, sf_dir):
-    return _orders_with_a_broken_file(spark, sf_dir).rows
+    return _orders_with_broken_files(spark, sf_dir).rows
 
 
 @query
 def skipped_files_orders(spark, sf_dir):
-    """The file that could not be read, why, and the statuses that are missing with it."""
-    found = _orders_with_a_broken_file(spark, sf_dir)
+    """Which files could not be read, why, and the statuses that are missing with them."""
+    found = _orders_with_broken_files(spark, sf_dir)
     statuses = inputs.native_orders(spark, sf_dir).select("status").distinct()
     missing = statuses.join(found.rows.select("status").distinct(), "status", "left_anti")
-    return found.skipped.join(F.broadcast(missing)).selectExpr(
-        "element_at(split(file, '/'), -1) AS file",
-        "contains(lower(reason), 'gzip') OR contains(lower(reason), 'header') AS names_the_reason",
-        "status AS missing_status",
+    return (
+        found.skipped.join(F.broadcast(missing))
+        .selectExpr(
+            "regexp_replace(element_at(split(file, '/'), -1), '[0-9]+', 'N') AS file",
+            "contains(lower(reason), 'gzip') OR contains(lower(reason), 'header') AS names_the_reason",
+            "status AS missing_status",
+        )
+        .distinct()
     )
 
 

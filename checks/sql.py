@@ -217,7 +217,7 @@ _SELECTS = {
     "readable_files_orders": """SELECT order_id, customer_id,
         CAST(order_date AS VARCHAR) AS order_date, amount, status
         FROM dom_native_orders WHERE status <> 'P'""",
-    "skipped_files_orders": """SELECT DISTINCT 'broken.csv.gz' AS file, true AS names_the_reason,
+    "skipped_files_orders": """SELECT DISTINCT 'broken-N.csv.gz' AS file, true AS names_the_reason,
         status AS missing_status FROM dom_native_orders WHERE status = 'P'""",
     "table_rules_orders": """SELECT rule, CASE WHEN value >= least AND value <= most
             THEN 'passed' ELSE 'failed' END AS verdict, true AS exact_within_bounds FROM (
