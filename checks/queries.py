@@ -386,15 +386,12 @@ def skipped_files_orders(spark, sf_dir):
     found = _orders_with_broken_files(spark, sf_dir)
     statuses = inputs.native_orders(spark, sf_dir).select("status").distinct()
     missing = statuses.join(found.rows.select("status").distinct(), "status", "left_anti")
-    return (
-        found.skipped.join(F.broadcast(missing))
-        .selectExpr(
-            "regexp_replace(element_at(split(file, '/'), -1), '[0-9]+', 'N') AS file",
-            "contains(lower(reason), 'gzip') OR contains(lower(reason), 'header') AS names_the_reason",
-            "status AS missing_status",
-        )
-        .distinct()
-    )
+    named = found.skipped.selectExpr(
+        "regexp_replace(element_at(split(file, '/'), -1), '[0-9]+', 'N') AS file",
+        "contains(lower(reason), 'gzip') OR contains(lower(reason), 'header') AS names_the_reason",
+    ).distinct()
+    gone = missing.agg(F.collect_list("status")).scalar()  # three statuses at most
+    return named.withColumn("missing_status", F.explode(gone))
 
 
 # --- filters and scalar functions ----------------------------------------------------

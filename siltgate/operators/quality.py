@@ -120,11 +120,11 @@ def table_report(df: DataFrame, rules: Mapping[str, TableRule]) -> DataFrame:
         sketches += _sketch(rule, k)
         if isinstance(rule, Covered):
             parents[k] = rule.parent.agg(
-                F.expr(f"theta_sketch_agg({quoted(rule.parent_key)}, {_LG_THETA})").alias(f"p{k}")
+                F.expr(f"theta_sketch_agg({quoted(rule.parent_key)}, {_LG_THETA})")
             )
     whole = df.agg(*sketches)
-    for parent in parents.values():
-        whole = whole.join(F.broadcast(parent))  # one row beside one row
+    for k, parent in parents.items():
+        whole = whole.withColumn(f"p{k}", parent.scalar())  # one sketch
     lines = []
     for k, (name, rule) in enumerate(rules.items()):
         value, low, high = (f"CAST({x} AS DOUBLE)" for x in _estimate(rule, k))
