@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters of text that one task holds as Python words at a time.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 _TOKENS = re.compile(r"[^\W\d_]+|[^\w\s]+")
 
@@ -88,6 +88,7 @@ def text_chunks(
         part = (np.cumsum(size) - size) // most
         for start, end in _runs(part):
             yield batch.iloc[start:end].reset_index(drop=True)
+        del batch, size, part  # not kept while the next one is read
 
 
 def _runs(values: np.ndarray) -> list[tuple[int, int]]:

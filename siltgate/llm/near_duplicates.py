@@ -53,7 +53,7 @@ HASHES = ROWS * BANDS
 MISS = 1e-6
 BLOCK = 512
 #: Characters hashed at a time.
-CHUNK = 2_000_000
+CHUNK = 500_000
 #: Ids, 16 bytes each, that a broadcast may hold.
 BROADCAST_IDS = 2_000_000
 

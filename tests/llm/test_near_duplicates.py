@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
+import weakref
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from siltgate.llm import near_duplicates as nd
 from siltgate.llm import shingles as sh
-from siltgate.llm.common import WordHasher, ascii_words
+from siltgate.llm.common import CHUNK_CHARS, WordHasher, ascii_words, text_chunks
 from siltgate.llm.components import connected_components
 from siltgate.llm.queries import QUERIES
 from tests.llm.helpers import documents, odd_texts, sentence
@@ -180,3 +183,25 @@ def test_a_row_without_an_id_connects_others(spark, middle):
     assert set(of.values()) == {1}
     alone = [r for r in got if r["n_shingles"] < 50]
     assert [(r["component_id"], r["kept"]) for r in alone] == [(None, True)] * 2
+
+
+def test_tasks_hold_little_at_a_time():
+    """A batch goes before the next one is read; the hashes of a chunk take little room."""
+    made = []
+
+    def batches():
+        for _ in range(3):
+            assert all(ref() is None for ref in made)
+            batch = pd.DataFrame({"text": ["some words " * 50_000] * 4})
+            made.append(weakref.ref(batch))
+            yield batch
+            del batch
+
+    hasher = WordHasher()
+    tracemalloc.start()
+    for chunk in text_chunks(batches(), most=nd.CHUNK):
+        sh.shingle_sets(chunk["text"].tolist(), 5, hasher)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    assert CHUNK_CHARS <= 1_000_000
