@@ -30,6 +30,8 @@ are joined with the table of counts.
 from __future__ import annotations
 
 import copy
+import itertools
+import math
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -51,14 +53,24 @@ HIDDEN = 24
 WINDOW = 32
 #: Streams of a block of tokens: at most so many, and fewer where that leaves less updates.
 STREAMS, UPDATES = 256, 100
+#: Rows of a softmax at a time: they stay in the processor's cache.
+ROWS = 2048
 #: Tokens that a task trains on at a time.
 BLOCK_TOKENS = 2_000_000
+#: Characters of the documents that are scored side by side: the few long ones of a larger
+#: lot are read beside more others.
+SCORED_CHARS = 32_000_000
 ROUNDS = 4
 RATE = 0.01
 SMOOTHING = 0.1
 #: The end of a text, as a word hash no other word is likely to have.
 END = np.int64(-0x5E5E5E5E5E5E5E5E)
 _LN10 = float(np.log(10.0))
+_LOG2E = float(np.log2(np.e))
+#: Added to a small float32, it leaves the nearest whole number in the last bits.
+_ROUND = np.float32(1.5 * 2**23)
+#: ``2 ** x`` from -1/2 to 1/2, highest power first.
+_POWERS = (np.float32(0.00957009673), np.float32(0.0559178599), np.float32(0.24024745), np.float32(0.693121815), np.float32(0.999999261))
 
 
 @dataclass(frozen=True)
@@ -87,8 +99,11 @@ class Vocabulary:
         return self.tokens + SMOOTHING * (self.words + 1)
 
 
+_TAIL_CLASS = (mix64(np.arange(1 << 16)) % np.uint64(TAIL_CLASSES)).astype(np.int32)
+
+
 def tail_class(tails: np.ndarray) -> np.ndarray:
-    return (mix64(tails) % np.uint64(TAIL_CLASSES)).astype(np.int32)
+    return _TAIL_CLASS.take(tails)
 
 
 def _tokens(texts: list, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,8 +122,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
         hasher = WordHasher()
         for chunk in text_chunks(batches, most=2_000_000):
             h, tail, _ = _tokens(chunk["text"].tolist(), hasher)
-            distinct, first, counts = np.unique(h, return_index=True, return_counts=True)
-            yield pd.DataFrame({"h": distinct, "tail": tail[first], "c": counts})
+            distinct, counts = np.unique(h, return_counts=True)
+            of_word = np.empty(len(distinct), tail.dtype)
+            of_word[Lookup(distinct)(h)] = tail  # the same wherever a word occurs
+            yield pd.DataFrame({"h": distinct, "tail": of_word, "c": counts})
 
     counted = docs.select("text").mapInPandas(run, "h long, tail int, c long")
     return counted.groupBy("h").agg(F.first("tail").alias("tail"), F.sum("c").alias("c"))
@@ -152,50 +169,102 @@ def build_vocabulary(counts: DataFrame, listed: int = LISTED) -> tuple[Vocabular
     return vocabulary, int(least)
 
 
+class Scratch(dict):
+    """Arrays that are written over again and again, so that their pages are touched once."""
+
+    def room(self, name: str, shape: tuple[int, ...], kind) -> np.ndarray:
+        size = math.prod(shape)
+        flat = self.get((name, kind))
+        if flat is None or flat.size < size:
+            flat = self[name, kind] = np.empty(size, kind)
+        return flat[:size].reshape(shape)
+
+    def __reduce__(self):
+        return Scratch, ()
+
+
+def _exp2(x: np.ndarray, scratch: Scratch) -> None:
+    """``2 ** x`` in place, for ``x`` between -120 and 120.
+
+    In float32 from whole steps over the array, which are cheaper than the library's
+    function: a polynomial (off by 4e-6 at most) of what rounding leaves, and the whole
+    part added to the exponent's bits.
+    """
+    if x.dtype != np.float32:
+        np.exp2(x, out=x)
+        return
+    whole, y = (scratch.room(name, x.shape, x.dtype) for name in ("whole", "powers"))
+    np.add(x, _ROUND, out=whole)  # its last bits hold the whole part
+    np.subtract(whole, _ROUND, out=y)
+    x -= y
+    np.multiply(x, _POWERS[0], out=y)
+    for c in _POWERS[1:-1]:
+        y += c
+        y *= x
+    y += _POWERS[-1]
+    bits = whole.view(np.int32)
+    bits <<= 23
+    np.add(y.view(np.int32), bits, out=x.view(np.int32))
+
+
 class Model:
-    """Weights of the unit and of the two softmaxes, all float32."""
+    """Weights of the unit and of the two softmaxes, all float32.
 
-    NAMES = ("embed", "u", "cw", "cb", "ww", "wb")
+    The unit's weights are three parts: of the update gate, of the reset gate and of the
+    content.  Gates are ``(1 + tanh(x / 2)) / 2``, the logistic function.  The last row of
+    ``cw`` (classes) and ``ww`` (words) are biases: states get a one at their end for them.
+    """
+
+    NAMES = ("embed", "u", "cw", "ww")
 
     def __init__(self, vocabulary: Vocabulary, hidden: int = HIDDEN, seed: int = 7):
         draw = np.random.default_rng(seed)
         k = vocabulary.n_short + TAIL_CLASSES
         self.hidden, self.start = hidden, vocabulary.class_start
-        self.n_short = vocabulary.n_short
+        self.n_short, self.scratch = vocabulary.n_short, Scratch()
         self.class_of = np.concatenate(
             (vocabulary.class_of, len(self.start) - 1 + np.arange(TAIL_CLASSES, dtype=np.int32))
         )
         normal = lambda *shape: (draw.standard_normal(shape) / np.sqrt(hidden)).astype(np.float32)
-        self.embed = normal(k, 3 * hidden)  # input weights and biases of each symbol
-        self.u = normal(hidden, 3 * hidden)
-        self.cw, self.ww = normal(hidden, vocabulary.n_classes), normal(hidden, max(self.n_short, 1))
+        parts = lambda w: np.ascontiguousarray(w.reshape(-1, 3, hidden).transpose(1, 0, 2))
+        self.embed = parts(normal(k, 3 * hidden))  # input weights and biases of each symbol
+        self.u = parts(normal(hidden, 3 * hidden))
+        cw, ww = normal(hidden, vocabulary.n_classes), normal(hidden, max(self.n_short, 1))
         order = np.flatnonzero(vocabulary.short >= 0)
         counts = np.full(max(self.n_short, 1), SMOOTHING)
         counts[vocabulary.short[order]] += vocabulary.counts[order]
         totals = np.concatenate((np.bincount(vocabulary.class_of, counts[: self.n_short]), vocabulary.tail_total))
-        self.wb, self.cb = (np.log(x / x.sum()).astype(np.float32) for x in (counts, totals))
+        wb, cb = (np.log(x / x.sum()).astype(np.float32) for x in (counts, totals))
+        self.cw, self.ww = np.vstack((cw, cb)), np.vstack((ww, wb))
+
+    def halved(self) -> tuple[np.ndarray, np.ndarray]:
+        """``embed`` and ``u`` as ``move`` takes them, the gates' parts halved."""
+        half = np.array([0.5, 0.5, 1], self.u.dtype)[:, None, None]
+        return self.embed * half, self.u * half
 
     def step(self, symbols: np.ndarray, h: np.ndarray):
         """One step for a batch; also what the way back needs."""
-        return self._step(self.embed[symbols], h)
-
-    def _step(self, a: np.ndarray, h: np.ndarray, out: np.ndarray | None = None):
-        d = self.hidden
-        b = h @ self.u
-        g = np.add(a[:, : 2 * d], b[:, : 2 * d], out=out)
-        np.clip(g, -30, 30, out=g)
-        np.negative(g, out=g)
-        np.exp(g, out=g)
-        g += 1
-        np.reciprocal(g, out=g)
-        z, r, bn = g[:, :d], g[:, d:], b[:, 2 * d :]
-        n = r * bn
-        n += a[:, 2 * d :]
-        np.tanh(n, out=n)
-        new = h - n
-        new *= z
-        new += n
-        return new, (z, r, n, bn)
+        embed, u = self.halved()
+        new, content = np.empty_like(h), np.empty_like(h)
+        unit = np.empty((3, *h.shape), h.dtype)
+        self.move(embed.take(symbols, axis=1), h, u, unit, content, new)
+        return new, (*unit, content)
+
+    @staticmethod
+    def move(a: np.ndarray, h: np.ndarray, u: np.ndarray, unit: np.ndarray, content: np.ndarray, new: np.ndarray):
+        """One step from ``h`` to ``new``; leaves both gates and the content's part in ``unit``."""
+        np.matmul(h, u, out=unit)
+        gates = unit[:2]
+        gates += a[:2]
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        np.multiply(unit[1], unit[2], out=content)
+        content += a[2]
+        np.tanh(content, out=content)
+        np.subtract(h, content, out=new)
+        new *= unit[0]
+        new += content
 
     @property
     def weights(self) -> dict[str, np.ndarray]:
@@ -211,58 +280,95 @@ class Model:
     def output(self, h: np.ndarray, symbols: np.ndarray, grad: dict | None = None):
         """Natural log of P(class) and, for short-listed words, of P(word | class).
 
-        With ``grad``, adds up the gradients of minus their sum and returns that for ``h``.
+        With ``grad``, adds up the gradients of minus their sum and returns that for ``h``,
+        which is written over by the next call.
         """
+        (n, d), kind, room = h.shape, h.dtype, self.scratch.room
         k = self.class_of[symbols]
-        rows = np.arange(len(h))
-        logits = h @ self.cw
-        logits += self.cb
-        if not self._is_tame(self.cw, self.cb):
-            logits -= logits.max(axis=1, keepdims=True)
-        out = logits[rows, k]
-        e = np.exp(logits, out=logits)
-        total = e @ np.ones(e.shape[1], e.dtype)
-        out -= np.log(total)
-        back = None
-        if grad is not None:
-            e /= total[:, None]
-            e[rows, k] -= 1
-            grad["cw"] += h.T @ e
-            grad["cb"] += e.sum(axis=0)
-            back = e @ self.cw.T
-        # Small numbers are sorted by counting; tail classes come last and need no softmax.
-        order = np.argsort(k.astype(np.uint8 if len(self.cb) < 256 else np.uint16), kind="stable")
-        cuts = np.searchsorted(k[order], np.arange(len(self.start)))
-        tame = self._is_tame(self.ww, self.wb)
-        held, held_symbols = h[order[: cuts[-1]]], symbols[order[: cuts[-1]]]
-        for c in range(len(self.start) - 1):
-            which = order[cuts[c] : cuts[c + 1]]
-            if not len(which):
-                continue
-            a, b = self.start[c], self.start[c + 1]
-            mine = held[cuts[c] : cuts[c + 1]]
-            part = mine @ self.ww[:, a:b]
-            part += self.wb[a:b]
+        # Small numbers are sorted by counting; tail classes come last and need no second softmax.
+        order = np.argsort(k.astype(np.uint8 if self.cw.shape[1] < 256 else np.uint16), kind="stable")
+        k, symbols = k[order], symbols[order]
+        cuts = np.searchsorted(k, np.arange(len(self.start)))
+        short = int(cuts[-1])
+        one = room("one", (n, d + 1), kind)
+        one[:, :d] = h.take(order, axis=0, out=room("taken", (n, d), kind), mode="clip")
+        one[:, d] = 1
+        logs, back = np.empty(n, kind), None if grad is None else room("sorted", h.shape, kind)
+        tame, whole = self._is_tame(self.cw), np.array([0, self.cw.shape[1]])
+        for at in range(0, n, ROWS):
+            rows = slice(at, min(at + ROWS, n))
+            logs[rows] = self._softmax(
+                one[rows], np.array([0, rows.stop - at]), k[rows], self.cw, whole, tame,
+                grad and (grad["cw"], back[rows]),
+            )
+        more = None if grad is None else room("more", (short, d), kind)
+        logs[:short] += self._softmax(
+            one[:short], cuts, symbols[:short] - self.start[k[:short]], self.ww, self.start,
+            self._is_tame(self.ww), grad and (grad["ww"], more),
+        )
+        out = np.empty(n, kind)
+        out[order] = logs
+        if grad is None:
+            return out, None
+        back[:short] += more
+        place = np.empty(n, np.intp)
+        place[order] = np.arange(n)
+        return out, back.take(place, axis=0, out=room("taken", (n, d), kind), mode="clip")
+
+    def _softmax(
+        self, h: np.ndarray, cuts: np.ndarray, places: np.ndarray, w: np.ndarray, start: np.ndarray,
+        tame: bool, grad: tuple | None,
+    ) -> np.ndarray:
+        """Natural log of the share of each row's place in the softmax of its class.
+
+        Rows ``cuts[c]`` to ``cuts[c + 1]`` are of class ``c``, whose weights are the columns
+        ``start[c]`` to ``start[c + 1]`` of ``w``.  With ``grad`` (for ``w`` and ``h``) adds to
+        the first and fills the second.
+        """
+        rows, columns = np.diff(cuts), np.diff(start)
+        ends = np.cumsum(rows * columns)
+        flat = self.scratch.room("logits", (int(ends[-1]) if len(ends) else 0,), h.dtype)
+        classes = [
+            (slice(*ab), slice(*cd), flat[end - n * m : end].reshape(n, m))
+            for ab, cd, end, n, m in zip(
+                itertools.pairwise(cuts.tolist()), itertools.pairwise(start.tolist()),
+                ends.tolist(), rows.tolist(), columns.tolist(), strict=True,
+            )
+            if n
+        ]
+        mine = np.cumsum(np.repeat(columns, rows))
+        mine -= np.repeat(columns, rows)
+        mine += places
+        binary = w * np.asarray(_LOG2E, w.dtype)
+        for r, c, e in classes:
+            np.matmul(h[r], binary[:, c], out=e)
             if not tame:
-                part -= part.max(axis=1, keepdims=True)
-            at = held_symbols[cuts[c] : cuts[c + 1]] - a
-            there = np.arange(len(which))
-            found = part[there, at]
-            e = np.exp(part, out=part)
-            total = e @ np.ones(b - a, e.dtype)
-            out[which] += found - np.log(total)
-            if grad is not None:
-                e /= total[:, None]
-                e[there, at] -= 1
-                grad["ww"][:, a:b] += mine.T @ e
-                grad["wb"][a:b] += e.sum(axis=0)
-                back[which] += e @ self.ww[:, a:b].T
-        return out, back
-
-    def _is_tame(self, weights: np.ndarray, biases: np.ndarray) -> bool:
+                e -= e.max(axis=1, keepdims=True)
+                np.maximum(e, -100, out=e)
+        logs = flat.take(mine) / np.asarray(_LOG2E, h.dtype)
+        _exp2(flat, self.scratch)
+        total = np.empty(len(h), h.dtype)
+        ones = np.ones(columns.max(initial=0), h.dtype)
+        for r, _, e in classes:
+            np.matmul(e, ones[: e.shape[1]], out=total[r])
+        logs -= np.log(total)
+        if grad is not None:
+            # Rows are divided by their totals where they are narrow.
+            flat[mine] -= total
+            total = np.reciprocal(total, out=total)[:, None]
+            shared = np.multiply(h, total, out=self.scratch.room("shared", h.shape, h.dtype))
+            of_w, of_h = grad
+            back = w[:-1].T
+            for r, c, e in classes:
+                of_w[:, c] += shared[r].T @ e
+                np.matmul(e, back[c], out=of_h[r])
+            of_h *= total
+        return logs
+
+    def _is_tame(self, weights: np.ndarray) -> bool:
         """No logit can be so large or small that its exponential is not a float32: states
         lie between -1 and 1.  Else the largest of each row is taken away first."""
-        return float((np.abs(weights).sum(axis=0) + np.abs(biases)).max()) < 60
+        return float(np.abs(weights).sum(axis=0).max()) < 60
 
 
 def window_gradient(
@@ -274,45 +380,71 @@ def window_gradient(
     """
     d, (steps, batch), kind = model.hidden, inputs.shape, model.u.dtype
     grad = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES if n not in ("u", "embed")}
-    kept = (inputs != end)[:, :, None].astype(kind)
-    embedded = model.embed[inputs]
-    states = np.empty((steps + 1, batch, d), kind)
-    before, content, inside = (np.empty((steps, batch, d), kind) for _ in range(3))
-    gates = np.empty((steps, batch, 2 * d), kind)
+    room = lambda name, *shape: model.scratch.room(name, (*shape, steps, batch, d), kind)
+    fresh = [np.flatnonzero(row) for row in inputs == end]
+    embed, u = model.halved()
+    embedded = embed.take(inputs, axis=1, out=room("embedded", 3), mode="clip")
+    before, content, unit = room("before"), room("content"), room("unit", 3)
+    states = model.scratch.room("states", (steps + 1, batch, d), kind)
     states[0] = h
     for t in range(steps):
-        np.multiply(states[t], kept[t], out=before[t])  # the state as this step finds it
-        states[t + 1], (z, r, content[t], inside[t]) = model._step(embedded[t], before[t], gates[t])
+        before[t] = states[t]  # the state as this step finds it
+        if len(fresh[t]):
+            before[t, fresh[t]] = 0
+        model.move(embedded[:, t], before[t], u, unit[:, t], content[t], states[t + 1])
+    last = states[-1].copy()
     logs, back = model.output(states[1:].reshape(-1, d), targets.ravel(), grad)
     back = back.reshape(steps, batch, d)
     # What does not depend on the gradient from later steps, for all steps at once.
-    z, r = gates[:, :, :d], gates[:, :, d:]
-    to_content = (1 - z) * (1 - content * content)
-    to_z = (before - content) * z * (1 - z)
-    to_r = inside * r * (1 - r)
-    inner = np.empty((steps, batch, 3 * d), kind)  # as the recurrent weights see it
-    carried, u = np.zeros((batch, d), kind), np.ascontiguousarray(model.u.T)
+    z, r, inside = unit
+    one_less = np.subtract(1, z, out=room("one_less"))
+    to_z = np.subtract(before, content, out=room("to_z"))
+    to_z *= z
+    to_z *= one_less
+    to_content = np.multiply(content, content, out=content)
+    np.subtract(1, to_content, out=to_content)
+    to_content *= one_less
+    to_r = np.subtract(1, r, out=one_less)
+    to_r *= r
+    to_r *= inside
+    inner = embedded  # its place: gradients as the recurrent weights see them
+    carried, through = np.zeros((batch, d), kind), np.empty((3, batch, d), kind)
+    ut = np.ascontiguousarray(model.u.transpose(0, 2, 1))
     for t in range(steps - 1, -1, -1):
         dh = back[t]
         dh += carried
-        np.multiply(dh, to_z[t], out=inner[t, :, :d])
+        now = inner[:, t]
+        np.multiply(dh, to_z[t], out=now[0])
         moved = to_content[t]
         moved *= dh  # of the new content, from here on
-        np.multiply(moved, to_r[t], out=inner[t, :, d : 2 * d])
-        np.multiply(moved, r[t], out=inner[t, :, 2 * d :])
-        dh *= z[t]
-        carried = inner[t] @ u
-        carried += dh
-        carried *= kept[t]
-    grad["u"] = before.reshape(-1, d).T @ inner.reshape(-1, 3 * d)
-    inner[:, :, 2 * d :] = to_content
-    # Gradients of equal symbols are added up after sorting.
-    order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
-    symbols = inputs.ravel()[order]
+        np.multiply(moved, to_r[t], out=now[1])
+        np.multiply(moved, r[t], out=now[2])
+        np.matmul(now, ut, out=through)
+        np.multiply(dh, z[t], out=carried)
+        for part in through:
+            carried += part
+        if len(fresh[t]):
+            carried[fresh[t]] = 0
+    grad["u"] = before.reshape(-1, d).T @ inner.reshape(3, -1, d)
+    inner[2] = to_content
+    grad["embed"] = _sums_by_symbol(
+        inputs.ravel(), inner.reshape(3, -1, d), np.zeros_like(model.embed), model.scratch
+    )
+    return -float(logs.sum()), grad, last
+
+
+def _sums_by_symbol(
+    symbols: np.ndarray, parts: np.ndarray, out: np.ndarray, scratch: Scratch
+) -> np.ndarray:
+    """Adds the rows of each of the ``parts`` up by symbol; equal ones are brought together first."""
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
+    symbols, kind = symbols[order], parts.dtype
     first = np.flatnonzero(np.diff(symbols, prepend=-1))
-    grad["embed"] = np.zeros_like(model.embed)
-    grad["embed"][symbols[first]] = np.add.reduceat(inner.reshape(-1, 3 * d)[order], first, axis=0)
-    return -float(logs.sum()), grad, states[-1]
+    rows = parts.take(order, axis=1, out=scratch.room("rows", parts.shape, kind), mode="clip")
+    if rows.shape[2] % 2 == 0:  # as complex numbers two at a time
+        rows = rows.view(np.result_type(kind, np.complex64))
+    out[:, symbols[first]] = np.add.reduceat(rows, first, axis=1).view(kind)
+    return out
 
 
 class Trainer:
@@ -344,21 +476,24 @@ class Trainer:
             self._update(grad, inputs.size)
 
     def _update(self, grad: dict[str, np.ndarray], tokens: int) -> None:
+        """One step of Adam; ``first`` and ``second`` are kept 10 and 100 times as large."""
         self.updates += 1
         self.tokens += tokens
         k = self.updates
         for n, g in grad.items():
-            g /= tokens
+            g *= 1 / tokens
             first, second = self.first[n], self.second[n]
             first *= 0.9
-            first += 0.1 * g
+            first += g
             g *= g
             second *= 0.99
-            second += 0.01 * g
-            size = np.sqrt(second)
-            size /= np.sqrt(1 - 0.99**k)
+            second += g
+            size = np.sqrt(second, out=g)
+            size *= 0.1 / np.sqrt(1 - 0.99**k)
             size += 1e-8
-            getattr(self.model, n).__isub__((self.rate / (1 - 0.9**k)) * first / size)
+            moved = np.divide(first, size, out=size)
+            moved *= 0.1 * self.rate / (1 - 0.9**k)
+            getattr(self.model, n).__isub__(moved)
 
 
 def _averaged(one, two):
@@ -373,16 +508,43 @@ def _end_symbol(vocabulary: Vocabulary) -> int:
     return int(vocabulary.short[at]) if known and vocabulary.short[at] >= 0 else vocabulary.n_short
 
 
-def symbols_of(vocabulary: Vocabulary, h: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbol of each token (a short-listed word or a tail class) and its listed count or -1."""
+class Lookup:
+    """Places of 64-bit hashes in a sorted list of distinct ones.
+
+    Hashes are spread evenly, so their first bits say where to look but for a step or two.
+    """
+
+    def __init__(self, hashes: np.ndarray):
+        self.bits = max(1, len(hashes).bit_length())
+        self.hashes = np.append(hashes, np.iinfo(np.int64).max)
+        sizes = np.bincount(self._start(hashes), minlength=1 << self.bits)
+        self.first = np.concatenate(([0], np.cumsum(sizes)))
+
+    def _start(self, h: np.ndarray) -> np.ndarray:
+        return (h >> (64 - self.bits)) + (1 << (self.bits - 1))
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        """The place of each, -1 for those that are not listed."""
+        at = self.first[self._start(h)]
+        found = self.hashes[at]
+        late = np.flatnonzero(found < h)
+        while len(late):
+            at[late] += 1
+            found[late] = self.hashes[at[late]]
+            late = late[found[late] < h[late]]
+        at[(found != h) | (at == len(self.hashes) - 1)] = -1
+        return at
+
+
+def symbols_of(
+    vocabulary: Vocabulary, lookup: Lookup, h: np.ndarray, tails: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Symbol of each token (a short-listed word or a tail class) and its listed place or -1."""
+    at = lookup(h)
     if not len(vocabulary.hashes):
-        return tails.astype(np.int32), np.full(len(h), -1, np.int64)
-    at = np.searchsorted(vocabulary.hashes, h)
-    at[at == len(vocabulary.hashes)] = 0
-    known = vocabulary.hashes[at] == h
-    short = np.where(known, vocabulary.short[at], -1)
-    symbols = np.where(short >= 0, short, vocabulary.n_short + tails).astype(np.int32)
-    return symbols, np.where(known, vocabulary.counts[at], -1)
+        return tails.astype(np.int32), at
+    short = np.where(at >= 0, vocabulary.short[at], -1)
+    return np.where(short >= 0, short, vocabulary.n_short + tails).astype(np.int32), at
 
 
 def document_logs(model: Model, end: int, documents: list[np.ndarray], rows: int = 65_536) -> np.ndarray:
@@ -398,21 +560,30 @@ def document_logs(model: Model, end: int, documents: list[np.ndarray], rows: int
         return out
     flat = np.concatenate([documents[i] for i in order])
     offset = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    h = np.zeros((len(order), model.hidden), np.float32)
+    d, (embed, u), room = model.hidden, model.halved(), model.scratch.room
+    kind = embed.dtype
+    h, content = np.zeros((len(order), d), kind), np.empty((len(order), d), kind)
+    before, owners = np.full(len(order), end, np.int32), np.arange(len(order))
     at = 0
     while at < lengths[0]:
         running = int(np.searchsorted(-lengths, -at))
         steps = int(min(max(1, rows // running), lengths[0] - at))
-        states, symbols, owners = [], [], []
-        for t in range(at, at + steps):
-            active = int(np.searchsorted(-lengths, -t))
-            before = flat[offset[:active] + t - 1] if t else np.full(active, end, np.int32)
-            h[:active], _ = model.step(before, h[:active])
-            states.append(h[:active].copy())
-            symbols.append(flat[offset[:active] + t])
-            owners.append(np.arange(active))
-        logs, _ = model.output(np.concatenate(states), np.concatenate(symbols))
-        out[order] += np.bincount(np.concatenate(owners), weights=logs, minlength=len(order))
+        active = np.searchsorted(-lengths, -np.arange(at, at + steps)).tolist()
+        states = room("states", (sum(active), d), kind)
+        symbols = np.empty(len(states), np.int32)
+        done = 0
+        for t, n in enumerate(active, at):
+            mine = slice(done, done + n)
+            embedded = embed.take(before[:n], axis=1, out=room("embedded", (3, n, d), kind), mode="clip")
+            model.move(embedded, h[:n], u, room("unit", (3, n, d), kind), content[:n], states[mine])
+            h = states[mine]
+            before = symbols[mine] = flat[offset[:n] + t]
+            done += n
+        h = h.copy()  # its place is written over
+        logs, _ = model.output(states, symbols)
+        out[order] += np.bincount(
+            np.concatenate([owners[:n] for n in active]), weights=logs, minlength=len(order)
+        )
         at += steps
     return out
 
@@ -436,12 +607,12 @@ def _train_round(
     """``part, state``: tokens and weights of each task that has seen any."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher()
+        hasher, lookup = WordHasher(), Lookup(vocabulary.hashes)
         trainer = Trainer(model.with_weights(model.weights), end, rate)
         held: list[np.ndarray] = []
         for chunk in text_chunks(batches, most=2_000_000):
             h, tails, _ = _tokens(chunk["text"].tolist(), hasher)
-            held.append(symbols_of(vocabulary, h, tails)[0].astype(np.int16))
+            held.append(symbols_of(vocabulary, lookup, h, tails)[0].astype(np.int16))
             if sum(map(len, held)) >= BLOCK_TOKENS:
                 trainer.read(np.concatenate(held))
                 held = []
@@ -471,21 +642,24 @@ def score_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The vocabulary travels with the task: 20 bytes for each listed word.
         hasher, serial = WordHasher(), TaskContext.get().partitionId() << 40
-        for chunk in text_chunks(batches, most=8_000_000):
+        lookup = Lookup(vocabulary.hashes)
+        # Of each listed word; last, at -1, what the others have here.
+        count_logs = np.append(np.log10(vocabulary.counts + SMOOTHING), 0.0)
+        for chunk in text_chunks(batches, most=SCORED_CHARS):
             parts, facts = [], []
             for small in text_chunks(iter([chunk]), most=1_000_000):
                 h, tails, n = _tokens(small["text"].tolist(), hasher)
-                symbols, c = symbols_of(vocabulary, h, tails)
+                symbols, place = symbols_of(vocabulary, lookup, h, tails)
                 cuts = np.cumsum(n)[:-1]
-                listed, tail = c >= 0, symbols >= vocabulary.n_short
-                logs = np.log10(np.maximum(c, 0) + SMOOTHING)
-                base = np.where(listed, logs, 0.0) - base_log
-                extra = np.where(tail, np.where(listed, logs, 0.0) - tail_log[tails], 0.0)
+                listed, tail = place >= 0, symbols >= vocabulary.n_short
+                logs = count_logs[place]
+                base = logs - base_log
+                extra = np.where(tail, logs - tail_log[tails], 0.0)
                 starts = np.concatenate(([0], cuts)).astype(np.int64)
                 sums = [np.add.reduceat(x, starts) for x in (listed.astype(np.int64), base, extra)]
                 rare = np.split(h[~listed], np.cumsum(np.add.reduceat((~listed).astype(np.int64), starts))[:-1])
                 rare = [np.unique(p, return_counts=True) for p in rare]
-                parts += np.split(symbols, cuts)
+                parts += np.split(symbols.astype(np.int16), cuts)
                 facts.append(
                     pd.DataFrame(
                         {

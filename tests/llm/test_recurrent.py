@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -59,6 +60,39 @@ def test_no_state_passes_an_end_in_training():
         assert np.allclose(grad[n], sum(p[1][n] for p in parts))
 
 
+def test_windows_are_worked_out_in_arrays_that_stay():
+    """The second window takes no new room to speak of, and the first one's gradients stay."""
+    model, draw = r.Model(small_vocabulary()), np.random.default_rng(6)
+    inputs, targets = draw.integers(0, 20, (2, 32, 256), dtype=np.int32)
+    h = np.zeros((256, r.HIDDEN), np.float32)
+    one = r.window_gradient(model, inputs, targets, h, 2)
+    kept = {n: g.copy() for n, g in one[1].items()}
+    tracemalloc.start()
+    two = r.window_gradient(model, inputs, targets, h, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4e6
+    assert all((kept[n] == one[1][n]).all() and (kept[n] == two[1][n]).all() for n in kept)
+
+
+def test_words_are_found_without_a_search():
+    draw, ends = np.random.default_rng(7), np.iinfo(np.int64)
+    some = np.append(draw.integers(ends.min, ends.max, 3000), (ends.min, ends.max, -1, 0, r.END))
+    for listed in (some, some[:1], some[:0], np.arange(-40, 40)):
+        listed = np.unique(listed)
+        asked = np.concatenate((some, some + 1, listed, np.arange(-50, 50)))
+        want = [{v: k for k, v in enumerate(listed.tolist())}.get(v, -1) for v in asked.tolist()[-200:]]
+        assert r.Lookup(listed)(asked)[-200:].tolist() == want
+        assert r.Lookup(listed)(listed).tolist() == list(range(len(listed)))
+
+
+def test_powers_of_two():
+    x = np.linspace(-115, 115, 100_001, dtype=np.float32)
+    got = x.copy()
+    r._exp2(got, r.Scratch())
+    assert np.abs(got / np.exp2(x.astype(float)) - 1).max() < 4e-6
+
+
 def test_averages_are_weighted_by_tokens():
     tokens, weights = r._averaged((1, {"u": np.array([0.0])}), (3, {"u": np.array([4.0])}))
     assert tokens == 4 and weights["u"].tolist() == [3.0]
