@@ -186,8 +186,12 @@ class WordHasher:
         self.up = self.down = np.ones(1, np.uint64)
 
     def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash and last two bytes of each word, and the number of words of each text."""
-        raw = [b"" if not isinstance(t, str) else t.encode("utf-8", "replace").lower() for t in texts]
+        """Hash and last two bytes of each word, and the number of words of each text.
+
+        Texts are strings, or their bytes in UTF-8; anything else has no words.
+        """
+        raw = [t.encode("utf-8", "replace") if isinstance(t, str) else t for t in texts]
+        raw = [t.lower() if isinstance(t, bytes | bytearray) else b"" for t in raw]
         ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
         buffer = np.frombuffer(b" " + b" ".join(raw) + b" ", dtype=np.uint8)
         n = len(buffer)

@@ -21,7 +21,12 @@ So the training grows with the corpus, no task holds more than a block of tokens
 driver holds one set of weights.  Output biases start at the log counts: a model that has
 seen little is no worse than counting.
 
-*Counts* cover every training document: tasks add up per chunk, and a shuffle by word
+*Lots.*  Texts are turned into words once: a row of ``text_lots`` has some texts of the same
+round as the hashes of their words and, two bytes for most tokens, the place of each token
+among them.  Counting, training and scoring read these rows, and look up each word of a lot
+once, not each token.
+
+*Counts* cover every training document: tasks add up per lot, and a shuffle by word
 hash sums them.  Words counted often enough (at most ``LISTED``, found from the histogram
 of counts, on a log scale) travel to the tasks as a sorted list of hashes; the other words of a document
 are joined with the table of counts.
@@ -39,7 +44,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.llm.common import WordHasher, merged_states, mix64, text_chunks
@@ -57,9 +62,13 @@ STREAMS, UPDATES = 256, 100
 ROWS = 2048
 #: Tokens that a task trains on at a time.
 BLOCK_TOKENS = 2_000_000
-#: Characters of the documents that are scored side by side: the few long ones of a larger
-#: lot are read beside more others.
-SCORED_CHARS = 32_000_000
+#: Bytes of text of a lot.
+LOT_BYTES = 2_000_000
+#: There is a range of hashes to add up for every so many lots.
+LOTS_COUNTED = 25
+#: Tokens that a task scores, and at most twice as many side by side: the few long documents
+#: of a larger number are read beside more others.
+SCORED_TOKENS = 7_000_000
 ROUNDS = 4
 RATE = 0.01
 SMOOTHING = 0.1
@@ -115,20 +124,88 @@ def _tokens(texts: list, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np
     return hashes, classes, counts + 1
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``h, tail, c``: tokens of ``docs`` (text) by word hash, over all rows."""
+def text_lots(texts: DataFrame) -> DataFrame:
+    """``texts`` (doc_id, text, turn, scored) as rows of several texts of one turn.
+
+    ``words`` has the hashes in a lot, sorted, ``tails`` and ``counts`` what belongs to each;
+    ``places`` has the place there of every token and ``sizes`` the tokens of each text.  A
+    missing id is 0 in ``ids`` and true in ``no_id``; ``tokens`` is the sum of ``sizes``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
-        for chunk in text_chunks(batches, most=2_000_000):
-            h, tail, _ = _tokens(chunk["text"].tolist(), hasher)
-            distinct, counts = np.unique(h, return_counts=True)
-            of_word = np.empty(len(distinct), tail.dtype)
-            of_word[Lookup(distinct)(h)] = tail  # the same wherever a word occurs
-            yield pd.DataFrame({"h": distinct, "tail": of_word, "c": counts})
+        for chunk in text_chunks(batches, most=4 * LOT_BYTES):
+            for (turn, scored), some in chunk.groupby(["turn", "scored"], sort=False):
+                for lot in text_chunks(iter([some]), most=LOT_BYTES):
+                    h, tail, sizes = _tokens(lot["text"].tolist(), hasher)
+                    words, counts = np.unique(h, return_counts=True)
+                    places = Lookup(words)(h)
+                    tails = np.empty(len(words), np.uint8)
+                    tails[places] = tail  # the same wherever a word occurs
+                    arrays = {
+                        "ids": lot["id"].to_numpy(np.int64),
+                        "no_id": lot["no_id"].to_numpy(bool),
+                        "sizes": sizes.astype(np.int64),
+                        "words": words,
+                        "tails": tails,
+                        "counts": counts.astype(np.uint32),
+                        "places": places.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32),
+                    }
+                    columns = {n: [a.tobytes()] for n, a in arrays.items()}
+                    yield pd.DataFrame({"turn": [turn], "scored": [scored], "tokens": [len(h)], **columns})
+
+    doc_id = F.col("doc_id").cast("long")
+    return texts.select(
+        F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id"),
+        F.col("text").cast("binary"), "turn", "scored",  # not decoded only to be encoded again
+    ).mapInPandas(
+        run,
+        "turn int, scored boolean, tokens long, ids binary, no_id binary, sizes binary, words binary, "
+        "tails binary, counts binary, places binary",
+    )
 
-    counted = docs.select("text").mapInPandas(run, "h long, tail int, c long")
-    return counted.groupBy("h").agg(F.first("tail").alias("tail"), F.sum("c").alias("c"))
+
+def _words_of(lot) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(lot.words, np.int64), np.frombuffer(lot.tails, np.uint8).astype(np.int32)
+
+
+def _places_of(lot) -> np.ndarray:
+    """The place of each token among the words, as numpy takes them."""
+    kind = np.uint16 if len(lot.places) == 2 * lot.tokens else np.uint32
+    return np.frombuffer(lot.places, kind).astype(np.intp)
+
+
+def word_counts(lots: DataFrame, ranges: int) -> DataFrame:
+    """``h, tail, c``: tokens of all ``lots`` by word hash, added up in ``ranges`` of hashes."""
+    bounds = np.linspace(-(2.0**63), 2.0**63, ranges + 1)[1:-1].astype(np.int64)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lot in batch.itertuples():
+                cuts = np.searchsorted(np.frombuffer(lot.words, np.int64), bounds).tolist()
+                edges = list(itertools.pairwise([0, *cuts, len(lot.tails)]))
+                pieces = {
+                    n: [bytes(memoryview(x)[k * start : k * end]) for start, end in edges]
+                    for n, k, x in (("words", 8, lot.words), ("tails", 1, lot.tails), ("counts", 4, lot.counts))
+                }
+                yield pd.DataFrame({"part": range(ranges), **pieces})
+
+    def add_up(pieces: pd.DataFrame) -> pd.DataFrame:
+        h = np.frombuffer(b"".join(pieces["words"]), np.int64)
+        c = np.frombuffer(b"".join(pieces["counts"]), np.uint32).astype(np.int64)
+        order = np.argsort(h, kind="stable")
+        h = h[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else order
+        tail = np.frombuffer(b"".join(pieces["tails"]), np.uint8)[order[first]].astype(np.int32)
+        total = np.add.reduceat(c[order], first) if len(h) else c
+        return pd.DataFrame({"h": h[first], "tail": tail, "c": total})
+
+    return (
+        lots.select("words", "tails", "counts")
+        .mapInPandas(cut, "part int, words binary, tails binary, counts binary")
+        .groupBy("part")
+        .applyInPandas(add_up, "h long, tail int, c long")
+    )
 
 
 def build_vocabulary(counts: DataFrame, listed: int = LISTED) -> tuple[Vocabulary, int]:
@@ -480,20 +557,26 @@ class Trainer:
         self.updates += 1
         self.tokens += tokens
         k = self.updates
-        for n, g in grad.items():
-            g *= 1 / tokens
-            first, second = self.first[n], self.second[n]
-            first *= 0.9
-            first += g
-            g *= g
-            second *= 0.99
-            second += g
-            size = np.sqrt(second, out=g)
-            size *= 0.1 / np.sqrt(1 - 0.99**k)
-            size += 1e-8
-            moved = np.divide(first, size, out=size)
-            moved *= 0.1 * self.rate / (1 - 0.9**k)
-            getattr(self.model, n).__isub__(moved)
+        weights = self.model.weights
+        for n in grad:
+            all_of = (grad[n], self.first[n], self.second[n], weights[n])
+            # Part by part where there are three: those stay in the processor's cache.
+            for arrays in zip(*all_of, strict=True) if grad[n].ndim == 3 else [all_of]:
+                self._move(*arrays, k, tokens)
+
+    def _move(self, g: np.ndarray, first: np.ndarray, second: np.ndarray, w: np.ndarray, k: int, tokens: int) -> None:
+        g *= 1 / tokens
+        first *= 0.9
+        first += g
+        g *= g
+        second *= 0.99
+        second += g
+        size = np.sqrt(second, out=g)
+        size *= 0.1 / np.sqrt(1 - 0.99**k)
+        size += 1e-8
+        moved = np.divide(first, size, out=size)
+        moved *= 0.1 * self.rate / (1 - 0.9**k)
+        w -= moved
 
 
 def _averaged(one, two):
@@ -588,13 +671,11 @@ def document_logs(model: Model, end: int, documents: list[np.ndarray], rows: int
     return out
 
 
-def learn_model(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """Fit on all tokens of ``docs`` (doc_id, text), each in one of ``rounds`` rounds."""
-    spark, model, end = docs.sparkSession, Model(vocabulary), _end_symbol(vocabulary)
-    turn = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(17)), F.lit(rounds))
+def learn_model(lots: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
+    """Fit on all tokens of ``lots``, each in the round that is its turn."""
+    spark, model, end = lots.sparkSession, Model(vocabulary), _end_symbol(vocabulary)
     for k in range(rounds):
-        part = docs.filter(turn == k).select("text")
-        states = _train_round(part, vocabulary, model, end, RATE * (1 - k / rounds))
+        states = _train_round(lots.filter(F.col("turn") == k), vocabulary, model, end, RATE * (1 - k / rounds))
         found = merged_states(written(states, staging_dir(spark, "weights")), _averaged)
         if found is not None:
             model = model.with_weights(found[1])
@@ -602,85 +683,122 @@ def learn_model(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -
 
 
 def _train_round(
-    texts: DataFrame, vocabulary: Vocabulary, model: Model, end: int, rate: float
+    lots: DataFrame, vocabulary: Vocabulary, model: Model, end: int, rate: float
 ) -> DataFrame:
     """``part, state``: tokens and weights of each task that has seen any."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, lookup = WordHasher(), Lookup(vocabulary.hashes)
+        lookup = Lookup(vocabulary.hashes)
         trainer = Trainer(model.with_weights(model.weights), end, rate)
         held: list[np.ndarray] = []
-        for chunk in text_chunks(batches, most=2_000_000):
-            h, tails, _ = _tokens(chunk["text"].tolist(), hasher)
-            held.append(symbols_of(vocabulary, lookup, h, tails)[0].astype(np.int16))
-            if sum(map(len, held)) >= BLOCK_TOKENS:
-                trainer.read(np.concatenate(held))
-                held = []
+        for batch in batches:
+            for lot in batch.itertuples():
+                symbols = symbols_of(vocabulary, lookup, *_words_of(lot))[0].astype(np.int16)
+                held.append(symbols[_places_of(lot)])
+                if sum(map(len, held)) >= BLOCK_TOKENS:
+                    trainer.read(np.concatenate(held))
+                    held = []
         if held:
             trainer.read(np.concatenate(held))
         if trainer.tokens:
             state = pickle.dumps((trainer.tokens, trainer.model.weights))
             yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "state": [state]})
 
-    return texts.mapInPandas(run, "part long, state binary")
+    return lots.select("words", "tails", "places", "tokens").mapInPandas(run, "part long, state binary")
+
 
+def _lots_together(batches: Iterator[pd.DataFrame]) -> Iterator[list]:
+    """Lots in lists of about twice ``SCORED_TOKENS`` tokens."""
+    some, tokens = [], 0
+    for batch in batches:
+        for lot in batch.itertuples():
+            some.append(lot)
+            tokens += lot.tokens
+            if tokens >= 2 * SCORED_TOKENS:
+                yield some
+                some, tokens = [], 0
+    if some:
+        yield some
 
-def score_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
+
+def score_documents(docs: DataFrame, training: DataFrame | Column) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
-    ``training`` are the rows to learn from; both have ``doc_id`` and ``text``, NULL texts
-    are empty.  ``base_score`` is the smoothed word-frequency model, ``score`` this one;
-    both are log10 probabilities of the whole text.
+    ``training`` are the rows to learn from: a condition on ``docs`` or a table.  All have
+    ``doc_id`` and ``text``, NULL texts are empty.  ``base_score`` is the smoothed
+    word-frequency model, ``score`` this one; both are log10 probabilities of the whole text.
     """
     spark = docs.sparkSession
-    counts = written(word_counts(training), staging_dir(spark, "words"))
+    turn = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(17)), F.lit(ROUNDS)).cast("int")
+    rest = F.lit(-1)  # not learnt from
+    if isinstance(training, DataFrame):
+        texts = docs.select("doc_id", "text", rest.alias("turn"), F.lit(True).alias("scored")).unionByName(
+            training.select("doc_id", "text", turn.alias("turn"), F.lit(False).alias("scored"))
+        )
+    else:
+        texts = docs.select(
+            "doc_id", "text", F.when(training, turn).otherwise(rest).alias("turn"), F.lit(True).alias("scored")
+        )
+    lots = written(text_lots(texts), staging_dir(spark, "lots"), "turn")
+    learnt = lots.filter(F.col("turn") >= 0)
+    size = lots.agg(
+        F.count_if(F.col("turn") >= 0).alias("learnt"), F.sum(F.expr("IF(scored, tokens, 0)")).alias("scored")
+    ).first()
+    tasks = spark.sparkContext.defaultParallelism
+    counts = written(
+        word_counts(learnt, max(tasks, size["learnt"] // LOTS_COUNTED)), staging_dir(spark, "words")
+    )
     vocabulary, least = build_vocabulary(counts)
-    model = learn_model(training, vocabulary)
+    model = learn_model(learnt, vocabulary)
     end = _end_symbol(vocabulary)
     base_log, tail_log = np.log10(vocabulary.base_total), np.log10(vocabulary.tail_total)
 
+    def facts_of(lot, lookup: Lookup, count_logs: np.ndarray) -> tuple[pd.DataFrame, list[np.ndarray]]:
+        """What the counts say about each text of a lot, and its symbols."""
+        words, tails = _words_of(lot)
+        n, ids = (np.frombuffer(x, np.int64) for x in (lot.sizes, lot.ids))
+        places = _places_of(lot)
+        symbols, listed = symbols_of(vocabulary, lookup, words, tails)
+        logs = count_logs[listed]
+        extra = np.where(symbols >= vocabulary.n_short, logs - tail_log[tails], 0.0)
+        known, ends = listed >= 0, np.cumsum(n)
+        sums = [np.add.reduceat(x[places], ends - n) for x in (known.astype(np.int64), logs - base_log, extra)]
+        # Words that are not listed, by text and place.
+        rare = np.flatnonzero(~known[places])
+        owners = np.searchsorted(ends, rare, side="right")
+        rare, times = np.unique(owners * len(words) + places[rare], return_counts=True)
+        cuts = np.searchsorted(rare, np.arange(1, len(n)) * len(words))
+        facts = pd.DataFrame(
+            {
+                "doc_id": pd.arrays.IntegerArray(ids.copy(), np.frombuffer(lot.no_id, bool).copy()),
+                "n_tokens": n,
+                "n_known": sums[0],
+                "base": sums[1],
+                "score": sums[2],
+                "rare": np.split(words[rare % len(words)], cuts),
+                "times": np.split(times, cuts),
+            }
+        )
+        return facts, np.split(symbols.astype(np.int16)[places], ends[:-1])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The vocabulary travels with the task: 20 bytes for each listed word.
-        hasher, serial = WordHasher(), TaskContext.get().partitionId() << 40
-        lookup = Lookup(vocabulary.hashes)
+        serial, lookup = TaskContext.get().partitionId() << 40, Lookup(vocabulary.hashes)
         # Of each listed word; last, at -1, what the others have here.
         count_logs = np.append(np.log10(vocabulary.counts + SMOOTHING), 0.0)
-        for chunk in text_chunks(batches, most=SCORED_CHARS):
-            parts, facts = [], []
-            for small in text_chunks(iter([chunk]), most=1_000_000):
-                h, tails, n = _tokens(small["text"].tolist(), hasher)
-                symbols, place = symbols_of(vocabulary, lookup, h, tails)
-                cuts = np.cumsum(n)[:-1]
-                listed, tail = place >= 0, symbols >= vocabulary.n_short
-                logs = count_logs[place]
-                base = logs - base_log
-                extra = np.where(tail, logs - tail_log[tails], 0.0)
-                starts = np.concatenate(([0], cuts)).astype(np.int64)
-                sums = [np.add.reduceat(x, starts) for x in (listed.astype(np.int64), base, extra)]
-                rare = np.split(h[~listed], np.cumsum(np.add.reduceat((~listed).astype(np.int64), starts))[:-1])
-                rare = [np.unique(p, return_counts=True) for p in rare]
-                parts += np.split(symbols.astype(np.int16), cuts)
-                facts.append(
-                    pd.DataFrame(
-                        {
-                            "doc_id": small["doc_id"].astype("Int64"),
-                            "n_tokens": n,
-                            "n_known": sums[0],
-                            "base": sums[1],
-                            "score": sums[2],
-                            "rare": [w for w, _ in rare],
-                            "times": [k for _, k in rare],
-                        }
-                    )
-                )
+        for some in _lots_together(batches):
+            facts, parts = zip(*(facts_of(lot, lookup, count_logs) for lot in some), strict=True)
             out = pd.concat(facts, ignore_index=True)
-            out["score"] += document_logs(model, end, parts) / _LN10
+            out["score"] += document_logs(model, end, list(itertools.chain(*parts))) / _LN10
             out.insert(0, "row", serial + np.arange(len(out)))
             serial += len(out)
             yield out
 
     rows = written(
-        docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
+        lots.filter("scored")
+        .select("tokens", "ids", "no_id", "sizes", "words", "tails", "places")
+        .coalesce(max(tasks, (size["scored"] or 0) // SCORED_TOKENS))
+        .mapInPandas(
             run,
             "row long, doc_id long, n_tokens long, n_known long, base double, score double, "
             "rare array<long>, times array<long>",
@@ -690,8 +808,10 @@ def score_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
     unlisted = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
         "row", F.col("r.rare").alias("h"), F.col("r.times").alias("times")
     )
+    # Each word is there once, so its side of a partition is small and needs no sorting.
+    rarer = counts.filter(F.col("c") < least).select("h", "c").hint("shuffle_hash")
     more = (
-        unlisted.join(counts.filter(F.col("c") < least).select("h", "c"), "h", "left")
+        unlisted.join(rarer, "h", "left")
         .selectExpr("row", "times", "coalesce(c, 0) AS c")
         .groupBy("row")
         .agg(

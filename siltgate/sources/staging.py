@@ -28,7 +28,10 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="siltgate-")
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` and read it back: cuts the lineage and outlives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+def written(df: DataFrame, path: str, *by: str) -> DataFrame:
+    """Write ``df``, in a folder for each value of ``by``, and read it back.
+
+    That cuts the lineage and outlives lost executors.
+    """
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,9 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siltgate.llm import recurrent as r
-from siltgate.llm.common import ascii_words
+from siltgate.llm.common import WordHasher, ascii_words
 from tests.llm.helpers import documents, odd_texts, sentence
 
 
@@ -155,6 +156,44 @@ def test_documents_are_read_whole_and_alone():
     assert r.document_logs(model, 0, []).shape == (0,)
 
 
+def test_texts_become_words_once(spark, monkeypatch):
+    """Counting, training and scoring read the same lots, whose words and places are the texts."""
+    draw, tables = random.Random(4), {}
+    plain = r.written
+    monkeypatch.setattr(r, "written", lambda df, to, *by: tables.setdefault(to, plain(df, to, *by)))
+    texts = [*odd_texts(draw), *[sentence(draw, k) for k in range(40)], None]
+    docs = documents(spark, texts)
+    r.score_documents(docs, F.col("doc_id") % 3 != 0)
+    (_, lots), *rest = ((to.rsplit("/", 1)[1].split("-")[0], df) for to, df in tables.items())
+    assert [name for name, _ in rest] == ["words", *["weights"] * r.ROUNDS, "scores"]
+    got, hasher = {}, WordHasher()
+    for lot in lots.toPandas().itertuples():
+        words, places = r._words_of(lot)[0], r._places_of(lot)
+        sizes, ids = (np.frombuffer(x, np.int64) for x in (lot.sizes, lot.ids))
+        assert lot.tokens == len(places) == sizes.sum()
+        assert (np.frombuffer(lot.counts, np.uint32) == np.bincount(places)).all()
+        assert all((lot.turn >= 0) == (k % 3 != 0) for k in ids)
+        got |= zip(ids.tolist(), np.split(words[places], np.cumsum(sizes)[:-1]), strict=True)
+    assert sorted(got) == list(range(len(texts)))
+    for k, text in enumerate(texts):
+        assert (got[k] == r._tokens([text], hasher)[0]).all()
+
+
+def test_long_ids_beside_missing_ones_stay_exact(spark):
+    docs = documents(spark, [(2**53 + 1, "a b"), (None, "c"), (-(2**62) - 1, None)])
+    got = r.score_documents(docs, docs)
+    assert {(x.doc_id, x.n_tokens) for x in got.collect()} == {(2**53 + 1, 3), (None, 2), (-(2**62) - 1, 1)}
+
+
+def test_a_condition_learns_what_its_rows_teach(spark):
+    draw = random.Random(9)
+    docs = documents(spark, [*[sentence(draw, k) for k in range(60)], None, ""])
+    key = lambda x: (x.doc_id, x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 6))
+    one = r.score_documents(docs, F.col("doc_id") % 4 != 0).collect()
+    two = r.score_documents(docs, docs.filter("doc_id % 4 != 0")).collect()
+    assert len(one) == 62 and Counter(map(key, one)) == Counter(map(key, two))
+
+
 @pytest.mark.parametrize("listed", [10_000, 20])
 def test_scores_of_all_documents(spark, monkeypatch, listed):
     """Base score and counts against plain counting, with and without the join."""
